@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from atelier.llm import jump_shards, suffix_rules, warc_revisit
+from atelier.llm import chosen_path, jump_shards, suffix_rules, warc_revisit
 from atelier.llm.common import table
 
 QUERIES = {
     "op1_revisit_resolution": lambda spark, d: warc_revisit.revisits_of_pages(table(spark, d, "pages")),
     "op7_suffix_repetition": lambda spark, d: suffix_rules.repetition_rules(table(spark, d, "documents")),
     "op8_jump_sharding": lambda spark, d: jump_shards.shard_rows(table(spark, d, "documents")),
+    "op10_chosen_path_join": lambda spark, d: chosen_path.jaccard_join(table(spark, d, "documents")),
 }
 
 ORACLES = {

@@ -114,3 +114,35 @@ def sums(flags: np.ndarray, t: Texts) -> np.ndarray:
     total = np.zeros(len(flags) + 1, np.int64)
     np.cumsum(flags, out=total[1:])
     return total[t.cut[1:]] - total[t.cut[:-1]]
+
+
+_STEP = np.random.default_rng(11).integers(1, 1 << 63, 64, dtype=np.uint64) | U(1)
+
+
+def shingles(column: pa.Array | pa.ChunkedArray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of the distinct runs of ``size`` words of each text in lower case, by row.
+
+    A text of fewer words, but one at least, has them all as its only shingle.
+    """
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    t = texts(pc.utf8_lower(column))
+    w = words(t)
+    count = w.last - w.first
+    at = np.arange(w.n)
+    run = at + size <= w.last[w.doc]
+    total = np.zeros(w.n, np.uint64)
+    for k in range(size):
+        inside = np.minimum(at + k, w.n - 1)
+        term = w.hash[inside] * _STEP[k]
+        total += np.where(run, term, U(0))
+    short = np.flatnonzero((count > 0) & (count < size))
+    first = w.first[short]
+    for k in range(size - 1):
+        has = count[short] > k
+        total[first[has]] += w.hash[first[has] + k] * _STEP[k]
+    run[first] = True
+    value, row = mix(total[run]), w.doc[run]
+    _, keep = np.unique(mix(value + row.astype(np.uint64) * U(0xA24BAED4963EE407)), return_index=True)
+    keep.sort()
+    return value[keep], row[keep]
