@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from atelier.llm import chosen_path, jump_shards, suffix_rules, warc_revisit
+from atelier.llm import chat_masks, chosen_path, jump_shards, packing, suffix_rules, warc_revisit, zstd_quality
 from atelier.llm.common import table
 
 QUERIES = {
     "op1_revisit_resolution": lambda spark, d: warc_revisit.revisits_of_pages(table(spark, d, "pages")),
+    "op5_length_buckets": lambda spark, d: packing.pack_documents(table(spark, d, "documents")),
+    "op6_compression_quality": lambda spark, d: zstd_quality.classify(table(spark, d, "documents"), table(spark, d, "labels")),
     "op7_suffix_repetition": lambda spark, d: suffix_rules.repetition_rules(table(spark, d, "documents")),
     "op8_jump_sharding": lambda spark, d: jump_shards.shard_rows(table(spark, d, "documents")),
+    "op9_chat_masks": lambda spark, d: chat_masks.masks_of_conversations(table(spark, d, "conversations")),
     "op10_chosen_path_join": lambda spark, d: chosen_path.jaccard_join(table(spark, d, "documents")),
 }
 
 ORACLES = {
     "op1_revisit_resolution": warc_revisit.revisits_of_pages_sql(),
     "op8_jump_sharding": jump_shards.shard_rows_sql(),
+    "op9_chat_masks": chat_masks.masks_of_conversations_sql(),
 }
