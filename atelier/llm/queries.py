@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from atelier.llm import chat_masks, chosen_path, decontaminate, html_crf, jump_shards, packing, suffix_rules, warc_revisit, zstd_quality
+from atelier.llm import chat_masks, chosen_path, decontaminate, html_crf, jump_shards, packing, pii_tagger, suffix_rules, warc_revisit, zstd_quality
 from atelier.llm.common import table
 
 QUERIES = {
     "op1_revisit_resolution": lambda spark, d: warc_revisit.revisits_of_pages(table(spark, d, "pages")),
     "op2_latent_decontamination": lambda spark, d: decontaminate.find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op3_pii_tagger": lambda spark, d: pii_tagger.tag_documents(table(spark, d, "documents")),
     "op4_crf_extraction": lambda spark, d: html_crf.extract(table(spark, d, "pages")),
     "op5_length_buckets": lambda spark, d: packing.pack_documents(table(spark, d, "documents")),
     "op6_compression_quality": lambda spark, d: zstd_quality.classify(table(spark, d, "documents"), table(spark, d, "labels")),
