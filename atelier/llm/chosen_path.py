@@ -5,8 +5,9 @@ Texts are sets of five-word shingles; links are pairs of similarity 0.8 or more.
 1. Texts with equal shingle sets fold into one representative (a pre-aggregated group).
 2. Each representative is embedded as ``TOKENS`` MinHash tokens. A node of the search tree picks
    some token positions by a hash of its own path; sets that share a picked token share a child.
-   Buckets of at most ``LEAF`` are brute-forced on the tokens, larger ones are split again; at
-   ``DEPTH`` what is still large hangs together as it is. Runs with other seeds repeat this until
+   Buckets of at most ``LEAF`` are brute-forced on the tokens. In larger ones a member chosen by hash
+   is the head: what is close to it joins it, what is all but equal to it is settled, and the rest
+   is split again; at ``DEPTH`` what is still large hangs together as it is. Runs with other seeds repeat this until
    the target recall (``runs_for``).
 3. What hangs together, a superset of the links, forms clusters (distributed components). Inside
    each cluster every pair is compared exactly, in blocks of ``BLOCK`` texts: a cluster's rows meet
@@ -33,10 +34,12 @@ from atelier.llm.words import U, mix, shingles
 SHINGLE = 5
 SIMILARITY = 0.8
 TOKENS = 64
-LEAF = 64
+LEAF = 256
 DEPTH = 5
 BLOCK = 128
 RECALL = 0.99
+NEAR = 0.45  # members of a large bucket that hang together with its head
+SETTLED = 0.75  # those that need no further splitting: what matches them (0.8) is NEAR the head as well
 SKETCH_SLACK = 0.2  # tokens may show a similarity so much too low: four standard deviations
 
 _RNG = np.random.default_rng(2017)
@@ -65,11 +68,8 @@ def tokens(value: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def picks(path: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
-    """Positions that each node picks: about 1 / similarity of them, one at least (bool matrix)."""
-    noise = mix(path[:, None] + _SHIFT[None, :])
-    chosen = noise < U(int(2**64 / (similarity * TOKENS)))
-    chosen[np.arange(len(path)), noise.argmin(1)] = True
-    return chosen
+    """Positions that each node picks: each with probability 1 / (similarity * TOKENS) (bool matrix)."""
+    return mix(path[:, None] + _SHIFT[None, :]) < U(int(2**64 / (similarity * TOKENS)))
 
 
 def children(path: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,14 +112,25 @@ def profiles(docs: DataFrame, size: int, runs: int) -> DataFrame:
 
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(path, uid, sketch) -> the same with the children's paths."""
+    """Members of large buckets against their bucket's head: edges for what is close to it; children
+    for all but those so close that whatever they match is close to the head, too."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, TOKENS)
-        row, child = children(batch.column("path").to_numpy().view(np.uint64), sketch)
-        at = pa.array(row)
-        yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), batch.column("uid").take(at), batch.column("sketch").take(at)], names=["path", "uid", "sketch"])
+        sketch, head = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, TOKENS) for c in ("sketch", "head_sketch"))
+        alike = (sketch == head).mean(1)
+        near, far = np.flatnonzero(alike >= NEAR), np.flatnonzero(alike < SETTLED)
+        row, child = children(batch.column("path").to_numpy().view(np.uint64)[far], sketch[far])
+        at = pa.array(far[row])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(child.view(np.int64)), batch.column("uid").take(at), batch.column("sketch").take(at), pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.list_(pa.int64()))], names=["path", "uid", "sketch", "head", "members"]
+        )
+        uid, hub = (batch.column(c).to_numpy()[near] for c in ("uid", "head"))
+        order = np.argsort(hub, kind="stable")
+        hubs, first = np.unique(hub[order], return_index=True)
+        n = len(hubs)
+        members = pa.array(np.split(uid[order], first[1:]) if n else [], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(hubs), members], names=["path", "uid", "sketch", "head", "members"])
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -169,7 +180,7 @@ def candidate_edges(sets: DataFrame) -> DataFrame:
     sketches = sets.select("uid", "sketch")
     carried = False
     for depth in range(1, DEPTH + 1):
-        sizes = level.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("low")).filter("n > 1")
+        sizes = level.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("uid", "path").alias("h"), "uid"))["uid"].alias("head")).filter("n > 1")
         sized = level.join(sizes, "path")
         if not carried:  # tokens only for what has company
             sized = sized.join(sketches, "uid")
@@ -180,11 +191,15 @@ def candidate_edges(sets: DataFrame) -> DataFrame:
         large = sized.filter(F.col("n") > LEAF)
         last = depth == DEPTH
         if last:
-            edges = edges.union(large.select(F.col("uid").alias("a"), F.col("low").alias("b")))
+            edges = edges.union(large.select(F.col("uid").alias("a"), F.col("head").alias("b")))
         found = edges if found is None else found.union(edges)
         if last or large.isEmpty():
             return found
-        level, carried = large.select("path", "uid", "sketch").mapInArrow(_split, "path long, uid long, sketch binary"), True
+        heads = large.groupBy("path").agg(F.min("head").alias("head")).join(sketches.select(F.col("uid").alias("head"), F.col("sketch").alias("head_sketch")), "head")
+        split = large.select("path", "uid", "sketch").join(heads, "path").mapInArrow(_split, "path long, uid long, sketch binary, head long, members array<long>")
+        split = materialise(split, "split")
+        found = found.union(split.filter("path is null").select(F.explode("members").alias("a"), F.col("head").alias("b")))
+        level, carried = split.filter("path is not null").select("path", "uid", "sketch"), True
     return found
 
 
