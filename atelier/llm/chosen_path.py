@@ -248,6 +248,11 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMIL
     n_links: other rows of similarity 0.8 or more, copies included; n_text_links: other shingle
     sets of that similarity; n_copies: rows with its shingle set.
     """
+    return _joined(docs, size, similarity, recall).drop("key", "first")
+
+
+def _joined(docs: DataFrame, size: int, similarity: float, recall: float) -> DataFrame:
+    """The join's rows with the text's key, and whether the row is the first of its class."""
     spark = docs.sparkSession
     rows = materialise(profiles(docs, size, runs_for(recall)).withColumn("uid", F.monotonically_increasing_id()), "profiles")
     groups = materialise(
@@ -271,15 +276,33 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMIL
     classes = components(compared.select(F.col("uid").alias("a"), F.col("root").alias("b")), "classes")
     ids = rows.select(F.col("uid").alias("node"), "doc_id")
     named = classes.join(ids, "node")
-    smallest = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    of_head = named.join(smallest, "root").select(F.col("node").alias("uid"), "class_id").join(counts, "uid")
+    last_id = F.coalesce("doc_id", F.lit(2**63 - 1))
+    smallest = named.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.min(F.struct(last_id.alias("d"), "node"))["node"].alias("first_uid"))
+    of_head = named.join(smallest, "root").select(F.col("node").alias("uid"), "class_id", "first_uid").join(counts, "uid")
     heads_out = groups.join(of_head, "uid", "left").join(ids.select(F.col("node").alias("uid"), F.col("doc_id").alias("head_id")), "uid")
-    heads_out = heads_out.select("f1", "f2", F.lit(False).alias("empty"), "copies", F.coalesce("class_id", "head_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("text_links", F.lit(0)).alias("text_links"))
-    out = rows.select("doc_id", "f1", "f2", "empty").join(heads_out, ["f1", "f2", "empty"], "left")
+    heads_out = heads_out.select("f1", "f2", F.lit(False).alias("empty"), "copies", F.coalesce("class_id", "head_id").alias("class_id"), F.coalesce("first_uid", "uid").alias("first_uid"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("text_links", F.lit(0)).alias("text_links"))
+    out = rows.select("doc_id", "key", "uid", "f1", "f2", "empty").join(heads_out, ["f1", "f2", "empty"], "left")
     return out.select(
         "doc_id",
         F.coalesce("class_id", "doc_id").alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"),
         F.coalesce("text_links", F.lit(0)).alias("n_text_links"),
         F.coalesce("copies", F.lit(1)).alias("n_copies"),
+        "key",
+        (F.col("uid") == F.coalesce("first_uid", "uid")).alias("first"),
     )
+
+
+def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, that are the first of their class.
+
+    First is the smallest doc_id (no doc_id comes last); of repeated rows one stays.
+    """
+    names = ("__of_class_id", "__of_class_key")
+    found = _joined(docs, size, similarity, recall).groupBy(F.coalesce("doc_id", F.lit(-(2**63))).alias(names[0]), F.col("key").alias(names[1]))
+    found = materialise(found.agg(F.max("first").alias("stays"), F.count(F.lit(1)).alias("n")).filter("not stays or n > 1"), "classes")
+    keyed = docs.withColumns({names[0]: F.coalesce(F.col("doc_id"), F.lit(-(2**63))), names[1]: F.xxhash64("text")})
+    kept = keyed.join(found.filter("not stays").select(*names), list(names), "left_anti")
+    if not found.filter("stays").isEmpty():  # rows that repeat doc_id and text
+        kept = kept.dropDuplicates(list(names))
+    return kept.select(*docs.columns)
