@@ -1,0 +1 @@
+"""A PySpark engine for image-and-caption datasets and training corpora."""

@@ -1,14 +1,17 @@
-"""Queries of the engine's own operators and their SQL."""
+"""All queries of the engine's own operators, and their SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from atelier.plans import captions, catalog, listing, training, vectors
+from atelier.plans.common import Query
+
+FAMILIES = (catalog.family, listing.family, captions.family, vectors.family, training.family)
+QUERIES: dict[str, Query] = {name: q for f in FAMILIES for name, q in f.queries.items()}
+ORACLES: dict[str, str] = {name: sql for f in FAMILIES for name, sql in f.oracles.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/part.parquet")
+    """New items against the catalog's snapshot."""
+    return QUERIES["new_items_snapshot"](spark, sf_dir)
