@@ -19,7 +19,9 @@ are each reported; only doc_id and text, item_id and text are read.
 
 from __future__ import annotations
 
+import copy
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +35,11 @@ from atelier.llm.words import Texts, Words, texts, words
 
 HALF = 32  # words; a passage is two halves
 COMMON = 0.1  # share of items from which on a word is no term
+FREQUENT = 0.01  # share of passages from which on a word is no term ...
+KEPT_TERMS = 10  # ... but each item keeps so many of its rarest
 SPARE = 56  # rank beyond the number of items
 MOST_RANK = 768
+SUMS = 32  # tasks' products are summed in so many groups before all of them
 MIN_TERMS = 3  # terms that a passage needs to be a candidate
 COSINE = 0.45
 COVERED = 0.6  # part of the item's words in common order
@@ -78,9 +83,25 @@ class Items:
         by_share = dict(zip(terms.tolist(), shares.tolist(), strict=True))
         for x in held:  # each item keeps its rarest words at least
             rare.update(sorted(x.tolist(), key=lambda v: (by_share[v], v))[:MIN_TERMS])
-        self.terms = np.array(sorted(rare), np.uint64)
+        self._use(np.array(sorted(rare), np.uint64))
+
+    def _use(self, terms: np.ndarray) -> None:
+        self.terms = terms
         self.sieve = np.zeros(1 << 20, bool)
-        self.sieve[(self.terms & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        self.sieve[(terms & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+
+    def without_frequent(self, df: np.ndarray, most: float) -> tuple[Items, np.ndarray]:
+        """Items over the terms in at most so many passages, and those terms' counts.
+
+        Each item keeps its rarest terms in any case, so one that stands everywhere is still found.
+        """
+        keep = df <= most
+        for x in self.words:
+            own = np.unique(self.lookup(x)[1])
+            keep[own[np.argsort(df[own], kind="stable")[:KEPT_TERMS]]] = True
+        out = copy.copy(self)
+        out._use(self.terms[keep])
+        return out, df[keep]
 
     def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position, term number) of the hashes that are terms."""
@@ -110,10 +131,28 @@ def add_rows(row: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def project(row: np.ndarray, term: np.ndarray, weight: np.ndarray, space: np.ndarray, n: int) -> np.ndarray:
+    """Sparse rows (sorted) times ``space``: the k-th terms of all rows together, for k = 0, 1, ..."""
+    out = np.zeros((n, space.shape[1]), np.float32)
+    if not len(row):
+        return out
+    first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+    count = np.diff(np.append(first, len(row)))
+    order = np.argsort(-count, kind="stable")
+    first, count = first[order], count[order]
+    part = np.zeros((len(first), space.shape[1]), np.float32)
+    for k in range(int(count[0])):
+        live = int(np.searchsorted(-count, -k, "left"))
+        at = first[:live] + k
+        part[:live] += weight[at, None] * space[term[at]]
+    out[row[first]] = part
+    return out
+
+
 def gram_part(row: np.ndarray, term: np.ndarray, weight: np.ndarray, probe: np.ndarray) -> np.ndarray:
     """A'(A R) of some rows."""
     _, row = np.unique(row, return_inverse=True)
-    held = add_rows(row, weight[:, None] * probe[term], int(row[-1]) + 1 if len(row) else 0)
+    held = project(row, term, weight, probe, int(row[-1]) + 1 if len(row) else 0)
     order = np.argsort(term, kind="stable")
     return add_rows(term[order], weight[order, None] * held[row[order]], len(probe))
 
@@ -138,13 +177,12 @@ def eigenvectors(product: np.ndarray, probe: np.ndarray, rank: int) -> np.ndarra
     return u[:, :rank]
 
 
-def latent_space(docs: DataFrame, items: Items, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """(idf, terms x rank projection), from all passages of ``docs``."""
-    d = len(items.terms)
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+def latent_space(docs: DataFrame, items: Items, seed: int = 5) -> tuple[Items, np.ndarray, np.ndarray]:
+    """(items over the terms used, idf, terms x rank projection), from all passages of ``docs``."""
+    everything, whole = docs.sparkSession.sparkContext.broadcast(items), len(items.terms)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total, n = shared.value, np.zeros(d, np.int64), 0
+        known, total, n = everything.value, np.zeros(whole, np.int64), 0
         for batch in batches:
             for part in pieces(batch, "text"):
                 _, w = plain_words(part.column("text"))
@@ -152,19 +190,21 @@ def latent_space(docs: DataFrame, items: Items, seed: int = 5) -> tuple[np.ndarr
                     continue
                 n += passages_of(w)
                 at, term = known.lookup(w.hash)
-                total += np.bincount(np.unique(disjoint(w, at) * d + term) % d, minlength=d)
+                total += np.bincount(np.unique(disjoint(w, at) * whole + term) % whole, minlength=whole)
         has = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(has, -1)), pa.array(np.append(total[has], n))], names=["term", "n"])
 
     counted = {r["term"]: r["n"] for r in docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
     n = counted.pop(-1, 0)
-    df = np.zeros(d)
+    df = np.zeros(whole)
     df[list(counted)] = list(counted.values())
+    items, df = items.without_frequent(df, max(FREQUENT * n, 50))
+    d, shared = len(items.terms), docs.sparkSession.sparkContext.broadcast(items)
     idf = 1 + np.log((n + 1) / (df + 1))
     rank = min(d, len(items.ids) + SPARE, MOST_RANK)
     probe = np.random.default_rng(seed).standard_normal((d, min(d, rank + 16))).astype(np.float32)
     probed = docs.sparkSession.sparkContext.broadcast((idf, probe))
-    step = max(1, 250_000 // probe.shape[1])
+    step = max(1, 25_000 // probe.shape[1])
 
     def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, (idf, probe) = shared.value, probed.value
@@ -178,7 +218,7 @@ def latent_space(docs: DataFrame, items: Items, seed: int = 5) -> tuple[np.ndarr
         for low in range(0, d, step):
             yield pa.RecordBatch.from_arrays([pa.array([low], pa.int64()), pa.array([total[low : low + step].astype(np.float32).tobytes()], pa.binary())], names=["low", "part"])
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch], kind: type = np.float32) -> Iterator[pa.RecordBatch]:
         low, total = None, None
         for batch in batches:
             for key, raw in zip(batch.column("low").to_pylist(), batch.column("part").to_pylist(), strict=True):
@@ -186,18 +226,24 @@ def latent_space(docs: DataFrame, items: Items, seed: int = 5) -> tuple[np.ndarr
                     yield pa.RecordBatch.from_arrays([pa.array([low], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["low", "part"])
                     total = None
                 low = key
-                total = np.frombuffer(raw, np.float32).astype(np.float64) + (0 if total is None else total)
+                total = np.frombuffer(raw, kind).astype(np.float64) + (0 if total is None else total)
         if low is not None:
             yield pa.RecordBatch.from_arrays([pa.array([low], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["low", "part"])
 
-    parts = docs.select("text").mapInArrow(gram, "low long, part binary").repartition(-(-d // step), "low").sortWithinPartitions("low").mapInArrow(add, "low long, part binary")
+    def add_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from add(batches, np.float64)
+
+    kind = "low long, part binary"
+    parts = docs.select("text").mapInArrow(gram, kind).withColumn("task", F.pmod(F.spark_partition_id(), F.lit(SUMS)))
+    parts = parts.repartition("low", "task").sortWithinPartitions("low").select("low", "part").mapInArrow(add, kind)
+    parts = parts.repartition("low").sortWithinPartitions("low").mapInArrow(add_again, kind)
     product = np.zeros(probe.shape)
     for r in parts.collect():
         got = np.frombuffer(r["part"], np.float64).reshape(-1, probe.shape[1])
         product[r["low"] : r["low"] + len(got)] += got
     row, term, weight = tf_idf(*_item_rows(items), idf)
     product += max(n, 1) / len(items.ids) * gram_part(row, term, weight, probe)
-    return idf, eigenvectors(product, probe.astype(np.float64), rank).astype(np.float32)
+    return items, idf, eigenvectors(product, probe.astype(np.float64), rank).astype(np.float32)
 
 
 def _item_rows(items: Items) -> tuple[np.ndarray, np.ndarray]:
@@ -225,7 +271,9 @@ def _bits(words_: list[int]) -> dict[int, int]:
 class Judge:
     """Checks candidates word by word."""
 
-    def __init__(self, items: Items) -> None:
+    def __init__(self, items: Items, covered: float) -> None:
+        self.least = [covered * len(x) for x in items.words]
+        self.counts = [Counter(x.tolist()) for x in items.words]
         self.items = [(len(x), _bits(x.tolist()), len(a), _bits(a.tolist())) for x, a in zip(items.words, items.answers, strict=True)]
 
     def best(self, item: int, own: list[int], first: int) -> tuple[int, int, float]:
@@ -234,6 +282,11 @@ class Judge:
         wide, step = -(-length * 5 // 4), max(1, length // 4)
         low, high = max(0, first - length), min(len(own), first + 2 * HALF + length)
         best = (0, 0, 0.0)
+        left, shared = self.counts[item], 0
+        for word, n in Counter(own[low:high]).items():
+            shared += min(n, left.get(word, 0))
+        if shared < self.least[item]:  # a common subsequence cannot be longer
+            return best
         for start in range(low, max(low + 1, high - length + step), step):
             part = own[start : start + wide]
             found = common_subsequence(bits, length, part)
@@ -284,15 +337,15 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _searcher(docs: DataFrame, items: Items, cosine: float, covered: float):
     """Makes, on an executor, the function text column -> found (row, item_id, place, sizes, shares)."""
-    idf, space = latent_space(docs, items)
+    items, idf, space = latent_space(docs, items)
     row, term, weight = tf_idf(*_item_rows(items), idf)
-    queries = add_rows(row, weight[:, None] * space[term], len(items.ids))
+    queries = project(row, term, weight, space, len(items.ids))
     queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-9)
     shared = docs.sparkSession.sparkContext.broadcast((items, idf, space, queries))
 
     def make():
         items, idf, space, queries = shared.value
-        judge = Judge(items)
+        judge = Judge(items, covered)
 
         def search(column: pa.Array) -> list[tuple]:
             _, w = plain_words(column)
@@ -314,7 +367,7 @@ def _searcher(docs: DataFrame, items: Items, cosine: float, covered: float):
             lists: dict[int, list[int]] = {}
             for low in range(0, len(numbers), 4096):
                 a, b = np.searchsorted(row, [low, low + 4096])
-                z = add_rows(row[a:b] - low, weight[a:b, None] * space[held[a:b]], min(4096, len(numbers) - low))
+                z = project(row[a:b] - low, held[a:b], weight[a:b], space, min(4096, len(numbers) - low))
                 z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
                 close = z @ queries.T
                 for p, item in zip(*np.nonzero(close >= cosine), strict=True):
