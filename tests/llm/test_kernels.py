@@ -1,0 +1,261 @@
+"""Numpy kernels against brute force."""
+
+import collections
+import itertools
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from atelier.llm import chosen_path, decontaminate, html_crf, packing, pii_tagger, suffix_rules, zstd_quality
+from atelier.llm.words import shingles, span_hash, texts, words
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def random_texts(count, seed):
+    r = random.Random(seed)
+    vocabulary = ["a", "b", "é", "ß#", "the", "of", "|", "x y", " ", "\x1c", "日本"]
+    out = [None, "", " \n ", "\n\n", "word", "\n".join(["same line"] * 5), "a " * 3000]
+    for _ in range(count):
+        out.append("".join(r.choice(vocabulary) + r.choice([" ", " ", "\n", "\t", "  "]) for _ in range(r.randint(0, 60))))
+    return out
+
+
+def brute_profile(t, least):
+    t = t or ""
+    w = WORD.findall(t)
+    counts = collections.Counter(zip(w, w[1:], w[2:], strict=False))
+    windows = set()
+    for i in range(len(w) - 2):
+        if counts[w[i], w[i + 1], w[i + 2]] > 1:
+            windows |= {i, i + 1, i + 2}
+    seen, repeats = set(), 0
+    for line in t.split("\n"):
+        if WORD.search(line):
+            repeats += line in seen
+            seen.add(line)
+    places = collections.defaultdict(list)
+    for i in range(len(w) - least + 1):
+        places[tuple(w[i : i + least])].append(i)
+    covered = {i + k for p in places.values() if len(p) > 1 for i in p for k in range(least)}
+    longest = 0
+    for p in places.values():
+        for i, j in itertools.combinations(p, 2) if len(p) < 40 else zip(p, p[1:], strict=False):
+            k = least
+            while j + k < len(w) and w[i + k] == w[j + k]:
+                k += 1
+            longest = max(longest, k)
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), repeats, len(windows), len(covered), longest
+
+
+@pytest.mark.parametrize("least", [4, 8])
+def test_suffix_profile(least):
+    rows = random_texts(150, 1)
+    p = suffix_rules.profile(pa.array(rows, pa.string()), least)
+    keys = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_words", "longest_repeat")
+    for i, t in enumerate(rows):
+        assert tuple(int(p[k][i]) for k in keys) == brute_profile(t, least), (i, t)
+
+
+def test_maximal_repeats():
+    assert sorted(suffix_rules.maximal_repeats("a b c d a b c x a b", 2)) == [(2, [0, 4, 8]), (2, [1, 5]), (3, [0, 4])]
+    assert suffix_rules.maximal_repeats("", 2) == []
+
+
+def test_words_do_not_cross_texts():
+    w = words(texts(pa.array(["ab", "cd ef", None, "", "g"])))
+    assert (w.last - w.first).tolist() == [1, 2, 0, 0, 1]
+    t = texts(pa.array(["abc", "xabc"]))
+    prefix = __import__("atelier.llm.words", fromlist=["prefix_hash"]).prefix_hash(t)
+    assert span_hash(prefix, np.array([0]), np.array([3])) == span_hash(prefix, np.array([4]), np.array([7]))
+
+
+def test_shingles():
+    value, row = shingles(pa.array(["A b c d e f", "a B c d e f", "one two", "ONE two", "", None, "a a a a a a a"]), 5)
+    sets = [set(value[row == i].tolist()) for i in range(7)]
+    assert [len(s) for s in sets] == [2, 2, 1, 1, 0, 0, 1]
+    assert sets[0] == sets[1] and sets[2] == sets[3]
+
+
+def test_token_sketch_estimates_similarity():
+    r = random.Random(2)
+    base = [f"w{r.randrange(10**6)}" for _ in range(300)]
+    near = list(base)
+    for _ in range(5):
+        near[r.randrange(300)] = "new"
+    value, row = shingles(pa.array([" ".join(base), " ".join(near)]), 5)
+    a, b = (set(value[row == i].tolist()) for i in (0, 1))
+    sketch = chosen_path.tokens(value, np.searchsorted(row, [0, 1]))
+    assert abs((sketch[0] == sketch[1]).mean() - len(a & b) / len(a | b)) < 0.2
+    assert chosen_path.runs_for(0.99, 1) <= chosen_path.runs_for(0.99, 3) <= chosen_path.runs_for(0.999, 3)
+
+
+def test_bucket_bounds_are_optimal():
+    r = random.Random(3)
+    pad = lambda h, b: sum(n * (min(x for x in b if x >= length) - length) for length, n in h.items())
+    for _ in range(200):
+        h = {r.randint(1, 40): r.randint(1, 9) for _ in range(r.randint(1, 8))}
+        k, lengths = r.randint(1, 5), sorted(h)
+        bounds = packing.optimal_bounds(h, k)
+        best = min(pad(h, (*c, lengths[-1])) for n in range(min(k, len(lengths))) for c in itertools.combinations(lengths[:-1], n))
+        assert len(bounds) <= k and bounds[-1] == lengths[-1] and pad(h, bounds) == best
+    assert packing.optimal_bounds({}, 4) == []
+
+
+def test_common_subsequence():
+    r = random.Random(4)
+    for _ in range(200):
+        a, b = ([r.randrange(6) for _ in range(r.randint(1, 20))] for _ in range(2))
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, j in itertools.product(range(len(a)), range(len(b))):
+            table[i + 1][j + 1] = table[i][j] + 1 if a[i] == b[j] else max(table[i][j + 1], table[i + 1][j])
+        assert decontaminate.common_subsequence(decontaminate._bits(a), len(a), b) == table[-1][-1]
+
+
+def test_range_finder_finds_the_eigenvectors():
+    r = np.random.default_rng(5)
+    u, _ = np.linalg.qr(r.standard_normal((60, 60)))
+    g = (u * (0.6 ** np.arange(60))) @ u.T
+    probe = r.standard_normal((60, 20))
+    found = decontaminate.eigenvectors(g @ probe, probe, 5)
+    assert np.allclose(np.abs((u[:, :5] * found).sum(0)), 1, atol=1e-2)
+
+
+def test_gram_part_is_the_product():
+    r = np.random.default_rng(6)
+    row, term = np.sort(r.integers(0, 9, 80)), r.integers(0, 15, 80)
+    idf, probe = r.random(15) + 0.5, r.standard_normal((15, 4)).astype(np.float32)
+    i, j, w = decontaminate.tf_idf(row, term, idf)
+    a = np.zeros((9, 15))
+    a[i, j] = w
+    assert np.allclose((a**2).sum(1), 1, atol=1e-5)
+    assert np.allclose(decontaminate.gram_part(i, j, w, probe), a.T @ (a @ probe), atol=1e-4)
+    assert np.allclose(decontaminate.project(i, j, w, probe, 9), a @ probe, atol=1e-5)
+
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def brute_spans(t):
+    out = [("email", *m.span()) for m in EMAIL.finditer(t)]
+    out += [("ip", *m.span()) for m in IP.finditer(t) if all(int(x) <= 255 for x in m[0].split("."))]
+    for m in CARD.finditer(t):
+        d = re.sub("[ -]", "", m[0])
+        if 12 <= len(d) <= 19 and pii_tagger.luhn(d):
+            out.append(("card", *m.span()))
+    out += [("phone", *m.span()) for m in PHONE.finditer(t) if 9 <= sum(c in "0123456789" for c in m[0]) <= 15]
+    return sorted(out, key=lambda s: (s[1], pii_tagger.KINDS.index(s[0])))
+
+
+def test_base_spans():
+    r = random.Random(7)
+    for _ in range(4000):
+        t = "".join(r.choice("a1@.+- ()25é\n") for _ in range(r.randint(0, 40)))
+        assert pii_tagger.base_spans(t) == brute_spans(t), t
+    assert pii_tagger.base_spans("4111 1111 1111 1111 +1 (212) 555-0100 a@b.co 10.0.0.255") == brute_spans("4111 1111 1111 1111 +1 (212) 555-0100 a@b.co 10.0.0.255")
+    assert pii_tagger.base_spans("a" * 200_000 + "1" * 200_000 + "@") == []
+
+
+def test_tagger_gradients():
+    t = pii_tagger.Tagger(1)
+    t.p = {k: v.astype(np.float64) for k, v in t.p.items()}
+    rows = pii_tagger.labelled_texts(3, 5)
+    x = np.stack([np.pad(pii_tagger.codes(s)[:40], (0, max(0, 40 - len(s)))) for s, _ in rows])
+    y = np.stack([np.pad(pii_tagger.label_codes(s, p)[:40], (0, max(0, 40 - len(s)))) for s, p in rows])
+
+    def loss():
+        scores, moves, total = t.scores(x).astype(float), t.p["moves"] + pii_tagger._MOVES, 0.0
+        for s, labels in zip(scores, y, strict=True):
+            f = s[0] + pii_tagger._START
+            for k in range(1, 40):
+                z = f[:, None] + moves
+                f = z.max(0) + np.log(np.exp(z - z.max(0)).sum(0)) + s[k]
+            path = s[np.arange(40), labels].sum() + moves[labels[:-1], labels[1:]].sum()
+            total += f.max() + np.log(np.exp(f - f.max()).sum()) - path
+        return total / len(x)
+
+    g = t.gradients(x, y)
+    for name, at in (("out", (3, 1)), ("wf", (2, 5)), ("wb", (15, 30)), ("moves", (0, 1)), ("bf", (4,)), ("embed", (1, 3))):
+        held = t.p[name][at]
+        t.p[name][at] = held + 1e-4
+        up = loss()
+        t.p[name][at] = held - 1e-4
+        down = loss()
+        t.p[name][at] = held
+        assert abs((up - down) / 2e-4 - g[name][at]) < 1e-3 * max(1, abs(g[name][at])), name
+
+
+def test_tagger_learns_and_windows_agree():
+    tagger = pii_tagger.trained()
+    held_out = pii_tagger.labelled_texts(150, 77)
+    found = pii_tagger.tagged_spans([t for t, _ in held_out], tagger)
+    right = sum(len(set(a) & set(b)) for a, (_, b) in zip(found, held_out, strict=True))
+    assert right / sum(map(len, found)) > 0.9 and right / sum(len(b) for _, b in held_out) > 0.9
+    pad = "lorem ipsum dolor sit amet " * 3
+    for shift in range(0, 96, 7):  # wherever windows cut, the span is whole
+        text = "x" * shift + " " + pad + "mail john.doe7@example.com now " + pad
+        spans = pii_tagger.tagged_spans([text], tagger)[0]
+        assert ("email", text.index("john"), text.index(" now")) in spans
+    base, both = pii_tagger.all_spans(["call +1 (826) 555-4081 190.137.10.9 now", "", "no data at all"], tagger)
+    assert base[0] == [("ip", 23, 35)] or ("ip", 23, 35) in both[0]
+    assert both[1] == both[2] == []
+
+
+def test_viterbi_is_the_best_path():
+    r = np.random.default_rng(8)
+    moves = r.standard_normal((pii_tagger.LABELS, pii_tagger.LABELS)) + pii_tagger._MOVES
+    scores = [r.standard_normal((n, pii_tagger.LABELS)) for n in (1, 4, 3)]
+    value = lambda s, p: s[np.arange(len(p)), p].sum() + pii_tagger._START[p[0]] + sum(moves[a, b] for a, b in itertools.pairwise(p))
+    for s, path in zip(scores, pii_tagger.viterbi(scores, moves), strict=True):
+        best = max(itertools.product(range(pii_tagger.LABELS), repeat=len(s)), key=lambda p: value(s, p)) if len(s) < 5 else None
+        assert np.isclose(value(s, path), value(s, best))
+
+
+def test_leaf_blocks():
+    page = """<html><head><title>T &amp; t</title><script>var a="<p>no</p>";</script></head><body><!-- <p>no</p> --><nav><ul><li><a href="/x">One<li><a href="/y">Two</a></ul></nav>
+    <article><h1>Head</h1><p>a <b>b<br>c</b>  &eacute;<p title="x > y">d<div class="ad">buy</div></article><footer>&copy; f"""
+    blocks = html_crf.leaf_blocks(page)
+    assert [b[0] for b in blocks] == ["T & t", "One", "Two", "Head", "a b c é", "d", "buy", "© f"]
+    assert "tag:nav" in blocks[1][1] and blocks[2][3] == 1.0 and "tag:nav" not in blocks[3][1]
+    assert {"class:ad", "tag:article"} <= blocks[6][1]
+    assert html_crf.leaf_blocks("") == [] and html_crf.leaf_blocks("<p></p> <br>") == []
+
+
+def test_field_decodes_held_out_pages():
+    field = html_crf.trained()
+    pages = html_crf.labelled_pages(150, 99)
+    wrong = sum(sum(a != b for a, b in zip(field.decode(html_crf.leaf_blocks(p)), y, strict=True)) for p, y in pages)
+    assert wrong / sum(len(y) for _, y in pages) < 0.01
+
+
+def test_field_viterbi():
+    field = html_crf.Field(["bias", "tag:p"], np.array([-0.2, 0.7]), np.random.default_rng(1).standard_normal((2, 2, 2)))
+    field.weight |= {"words:1": 0.3, "ends": -0.9}
+    blocks = [("w.", frozenset(), 1, 0.0), ("w", frozenset(["tag:p"]), 1, 0.0), ("w w.", frozenset(["tag:p"]), 2, 0.0), ("w", frozenset(), 2, 0.0)]
+
+    def value(labels):
+        total = 0.0
+        for k, (t, f, s, link) in enumerate(blocks):
+            if labels[k]:
+                total += sum(field.weight.get(x, 0) for x in html_crf.block_features(t, f, link)) + field.weight["bias"]
+            if k:
+                total += field.moves[s == blocks[k - 1][2]][labels[k - 1]][labels[k]]
+        return total
+
+    best = max(itertools.product((0, 1), repeat=4), key=value)
+    assert [int(x) for x in field.decode(blocks)] == list(best)
+
+
+def test_monotone_fit():
+    r = np.random.default_rng(9)
+    x = r.random(400)
+    y = (r.random(400) < x).astype(float)
+    at, p = zstd_quality.monotone_fit(x, y)
+    assert at == sorted(at) and all(a <= b + 0.05 for a, b in itertools.pairwise(p)) and all(0 < v < 1 for v in p)
+    assert abs(np.interp(0.5, at, p) - 0.5) < 0.15

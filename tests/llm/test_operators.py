@@ -1,0 +1,397 @@
+"""The operators on Spark: edge cases, and brute force on small tables."""
+
+import hashlib
+import itertools
+import json
+import random
+import zlib
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from atelier.llm import chat_masks, chosen_path, common, decontaminate, html_crf, jump_shards, packing, pii_tagger, suffix_rules, warc_revisit, zstd_quality
+from atelier.llm.queries import ORACLES, QUERIES
+
+SF = "/root/testdata/sf0.001"
+EDGE = [(1, None), (2, ""), (3, " \n\t"), (4, "one two"), (5, "one two"), (5, "one two"), (None, "ünï ©ode | ### text"), (7, "long " * 30_000), (8, "a@b.co 4111 1111 1111 1111"), (-9, "x" * 50_000)]
+EDGE_SCHEMA = "doc_id long, text string"
+
+
+def edge(spark, extra=True):
+    df = spark.createDataFrame(EDGE, EDGE_SCHEMA)
+    return df.selectExpr("'c' as kept", "doc_id", "text", "1 as shard", "2 as key", "3 as uid", "4L as n_chars", "'s' as `class_id`") if extra else df
+
+
+def empty(spark):
+    return spark.createDataFrame([], EDGE_SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in "documents pages benchmark labels conversations".split():
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_oracle(spark, duck, name):
+    got = QUERIES[name](spark, SF)
+    want = duck.sql(ORACLES[name])
+    assert sorted(got.columns) == sorted(want.columns)
+    a, b = (sorted((tuple(map(repr, r)) for r in rows)) for rows in (got.select(sorted(got.columns)).collect(), duck.sql(f"SELECT {', '.join(sorted(want.columns))} FROM ({ORACLES[name]})").fetchall()))
+    assert [tuple(r) for r in a] == b
+
+
+# --- jump sharding
+
+
+def jump(key, shards):
+    key &= (1 << 64) - 1
+    b, j = -1, 0
+    while j < shards:
+        b, key = j, (key * jump_shards.MULTIPLIER + 1) & ((1 << 64) - 1)
+        j = int((b + 1) * (2147483648.0 / ((key >> 33) + 1)))
+    return b
+
+
+def test_jump_shards(spark):
+    keys = [*range(-50, 2000, 7), 2**63 - 1, -(2**63), 10**12]
+    got = spark.createDataFrame([(k,) for k in keys], "k long").select("k", jump_shards.jump_shards("k", 24).alias("j")).collect()
+    for r in got:
+        assert (r["j"]["shard"], r["j"]["grown"]) == (jump(r["k"], 24), jump(r["k"], 25))
+    moved = [r for r in got if r["j"]["shard"] != r["j"]["grown"]]
+    assert moved and all(r["j"]["grown"] == 24 for r in moved) and len(moved) < 3 * len(keys) / 25
+
+
+def test_sharding_edges(spark):
+    rows = jump_shards.shard_rows(edge(spark)).collect()
+    assert len(rows) == len(EDGE)
+    for r in rows:
+        texts = [t or "" for d, t in EDGE if d == r["doc_id"]]
+        assert r["size"] in [len(t.encode()) + 8 for t in texts] and r["text_crc32"] in [zlib.crc32(t.encode()) for t in texts]
+    for _, own in itertools.groupby(sorted(rows, key=lambda r: (r["shard"], r["slot"])), key=lambda r: r["shard"]):
+        own = list(own)
+        assert [r["slot"] for r in own] == list(range(len(own)))
+    assert jump_shards.shard_rows(empty(spark)).count() == 0
+
+
+# --- revisits
+
+
+def brute_revisits(records):
+    out = {}
+    for r in records:
+        if r["kind"] != "revisit":
+            continue
+        earlier = [x for x in records if x["kind"] == "response" and x["complete"] and x["u"] == r["u"] and (x["at"], x["record_id"]) < (r["at"], r["record_id"])]
+        f = max(earlier, key=lambda x: (x["at"], x["record_id"]), default=None)
+        if f is None:
+            status = "no_response"
+        elif r["etag"] is None and r["last_modified"] is None:
+            status = "no_validator"
+        elif r["etag"] is not None:
+            status = "resolved" if f["etag"] == r["etag"] and not r["etag"].startswith("W/") else "changed"
+        else:
+            status = "resolved" if f["last_modified"] == r["last_modified"] else "changed"
+        merged = None
+        if status == "resolved":
+            merged = dict(f["headers"] or {}) | {k: v for k, v in (r["headers"] or {}).items() if k in warc_revisit.PERMITTED}
+        out[r["record_id"]] = (f and f["record_id"], status, merged)
+    return out
+
+
+def test_revisits_against_brute_force(spark):
+    r = random.Random(1)
+    records = []
+    for i in range(400):
+        u = r.choice(["hot"] * 5 + ["a", "b"])
+        records.append(
+            {"record_id": i, "url": {"hot": r.choice(["http://www.Hot.org/p/", "https://hot.org:443/p?utm_source=x#f"]), "a": "a.org/?b=2&a=1", "b": "a.org?a=1&b=2&ref=9"}[u], "u": u if u == "hot" else "ab", "at": r.choice([None, *range(60)]) if r.random() < 0.1 else r.randrange(60),
+             "kind": r.choice(["response", "revisit"]), "complete": r.random() < 0.8, "etag": r.choice([None, '"1"', '"2"', 'W/"1"']), "last_modified": r.choice([None, "d1", "d2"]), "headers": r.choice([None, {"date": str(i), "content-length": "5", "x": "y"}])}
+        )
+    records = [x for x in records if x["at"] is not None]
+    schema = "record_id long, url string, at long, kind string, complete boolean, etag string, last_modified string, headers map<string,string>, canonical_url string"
+    df = spark.createDataFrame([tuple(x[c] for c in ("record_id", "url", "at", "kind", "complete", "etag", "last_modified", "headers")) + ("clash",) for x in records], schema)
+    got = {x["record_id"]: (x["response_id"], x["status"], x["headers"]) for x in warc_revisit.resolve_revisits(df, blocks=8).collect()}
+    assert got == brute_revisits(records)
+    assert {s for _, s, _ in got.values()} >= {"resolved", "changed"}
+    assert warc_revisit.resolve_revisits(df.limit(0)).count() == 0
+    nulls = spark.createDataFrame([(1, None, 1, "response", True, None, None, None, ""), (2, None, 2, "revisit", None, None, None, None, "")], schema)
+    assert [x["status"] for x in warc_revisit.resolve_revisits(nulls).collect()] == ["no_validator"]
+
+
+# --- quality rules
+
+
+def test_rules_edges(spark):
+    rows = suffix_rules.repetition_rules(edge(spark)).collect()
+    assert len(rows) == len(EDGE)
+    by = {r["doc_id"]: r for r in rows}
+    assert by[1]["n_words"] == 0 and by[1]["base_failed"] and not by[1]["kept"]
+    assert by[7]["n_words"] == 30_000 == by[7]["n_repeat_words"] and by[7]["longest_repeat"] == 29_999
+    assert suffix_rules.repetition_rules(empty(spark)).count() == 0
+    varied = " ".join(f"w{i}" for i in range(80))
+    repeated = " ".join(f"w{i}" for i in range(60)) + " " + " ".join(f"v{i}" for i in range(30)) + " " + " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, varied), (2, repeated), (3, "short")], EDGE_SCHEMA).withColumn("kept", F.lit("clash"))
+    assert [r["doc_id"] for r in suffix_rules.keep_unrepetitive(docs).collect()] == [1]
+    assert suffix_rules.keep_unrepetitive(docs).columns == docs.columns
+
+
+# --- near duplicates
+
+
+def sets_of(rows):
+    def one(t):
+        w = (t or "").lower().split()
+        return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+    return [one(t) for _, t in rows]
+
+
+def brute_classes(rows):
+    s, n = sets_of(rows), len(rows)
+    parent, links = list(range(n)), [0] * n
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, j in itertools.combinations(range(n), 2):
+        k = len(s[i] & s[j])
+        if k and k >= 0.8 * (len(s[i]) + len(s[j]) - k):
+            links[i] += 1
+            links[j] += 1
+            parent[max(find(i), find(j))] = min(find(i), find(j))
+    groups = {}
+    for i in range(n):
+        groups.setdefault(find(i), []).append(i)
+    smallest = {i: min((rows[k][0] for k in g if rows[k][0] is not None), default=None) for g in groups.values() for i in g}
+    return links, smallest
+
+
+@pytest.fixture(scope="module")
+def near_rows():
+    r = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    base, passage = ([r.choice(vocabulary) for _ in range(n)] for n in (120, 30))
+    rows = []
+    for i in range(150):  # one large group of near copies
+        w = list(base)
+        for _ in range(r.randint(0, 5)):
+            w[r.randrange(120)] = r.choice(vocabulary)
+        rows.append((i, " ".join(w)))
+    for i in range(150, 350):  # a passage that unlike texts share
+        w = [r.choice(vocabulary) for _ in range(60)]
+        rows.append((i, " ".join(w[:30] + passage + w[30:])))
+    rows += [(i, rows[200][1]) for i in range(350, 380)]  # exact copies
+    return rows + [(1000, None), (1001, ""), (1002, "one two"), (1003, "One two"), (1002, "one two")]
+
+
+@pytest.mark.parametrize("leaf, block", [(256, 128), (16, 32)])
+def test_join_against_brute_force(spark, near_rows, monkeypatch, leaf, block):
+    monkeypatch.setattr(chosen_path, "LEAF", leaf)
+    monkeypatch.setattr(chosen_path, "BLOCK", block)
+    links, smallest = brute_classes(near_rows)
+    got = chosen_path.jaccard_join(spark.createDataFrame(near_rows, EDGE_SCHEMA)).collect()
+    assert len(got) == len(near_rows)
+    want = sorted((near_rows[i][0], smallest[i], links[i]) for i in range(len(near_rows)))
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in got) == want
+
+
+def test_join_edges(spark):
+    assert chosen_path.jaccard_join(empty(spark)).count() == 0
+    assert chosen_path.jaccard_join(edge(spark)).count() == len(EDGE)
+    docs = spark.createDataFrame([*EDGE, (20, "one two"), (None, "only here")], EDGE_SCHEMA).withColumn("class_id", F.lit("clash"))
+    kept = chosen_path.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    rows = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sum(t == "one two" for _, t in rows) == 1 and (4, "one two") in rows
+    assert {d for d, _ in rows} == {1, 2, 3, 4, 7, 8, -9, None} and len(rows) == 9
+
+
+def test_components(spark):
+    r = random.Random(5)
+    pairs = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1040)] + [(5000, x) for x in range(5001, 5300)] + [(7, 7)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        if a != b:
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    got = {x["node"]: x["root"] for x in common.components(spark.createDataFrame(pairs, "a long, b long"), "test").collect()}
+    assert got == {x: find(x) for x in parent}
+    assert common.components(spark.createDataFrame([], "a long, b long"), "test").count() == 0
+
+
+# --- decontamination
+
+
+def test_leaks(spark):
+    r = random.Random(6)
+    words = [f"k{i}" for i in range(400)]
+    filler = ["the", "of", "and", "in", "to", "is"]
+    sentence = lambda n: " ".join(r.choice(words) if r.random() < 0.6 else r.choice(filler) for _ in range(n))
+    items = [(i, f"{sentence(20)}. {sentence(8)}.") for i in range(30)]
+    docs, truth = [], set()
+    for i in range(300):
+        text = sentence(r.choice([3, 40, 200]))
+        if i % 10 == 0:
+            k = r.randrange(30)
+            body = items[k][1].split()
+            if i % 20 == 0:  # a paraphrase: some words replaced, some added, the answer kept
+                for p in r.sample(range(20), 3):
+                    body[p] = "swapped"
+                body.insert(5, "added")
+            text = f"{text} {' '.join(body)} {sentence(50)}"
+            truth.add((i, k))
+        docs.append((i, text))
+    docs += [(1000, None), (1001, ""), (1002, "the of and")]
+    bench = spark.createDataFrame([*items, (99, None), (98, "")], "item_id long, text string")
+    df = spark.createDataFrame(docs, EDGE_SCHEMA).withColumn("item_id", F.lit("clash"))
+    got = decontaminate.find_leaks(df, bench).collect()
+    assert {(x["doc_id"], x["item_id"]) for x in got} == truth
+    kept = decontaminate.drop_leaking(df, bench)
+    assert kept.columns == df.columns and {x["doc_id"] for x in kept.collect()} == {d for d, _ in docs} - {d for d, _ in truth}
+    assert decontaminate.find_leaks(df, bench.limit(0)).count() == 0
+    assert decontaminate.find_leaks(df.limit(0), bench).count() == 0
+
+
+def test_leaks_of_a_table(spark):
+    """Every document that holds a whole item, letter by letter but for case and punctuation, is found."""
+    plain = lambda t: " " + " ".join("".join(c if c.isalnum() or ord(c) > 127 else " " for c in t.lower()).split()) + " "
+    docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    items = [(r["item_id"], plain(r["text"])) for r in bench.collect()]
+    truth = {(r["doc_id"], i) for r in docs.collect() for t in [plain(r["text"])] for i, s in items if s in t}
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, bench).collect()} == truth and truth
+
+
+# --- personal data
+
+
+def test_tags_and_redaction(spark):
+    rows = {(r["doc_id"], r["n_email"], r["n_card"], r["spans"], r["base_sha256"]) for r in pii_tagger.tag_documents(edge(spark)).collect()}
+    spans = "email:0:6,card:7:26"
+    assert (8, 1, 1, spans, hashlib.sha256(spans.encode()).hexdigest()) in rows
+    assert (1, 0, 0, "", hashlib.sha256(b"").hexdigest()) in rows and (7, 0, 0, "", hashlib.sha256(b"").hexdigest()) in rows
+    assert pii_tagger.tag_documents(empty(spark)).count() == 0
+    out = pii_tagger.redact(edge(spark))
+    assert out.columns == edge(spark).columns
+    by = {r["doc_id"]: r for r in out.collect()}
+    assert (by[8]["text"], by[8]["n_chars"]) == ("[EMAIL] [CARD]", 14) and by[1]["text"] is None and by[1]["n_chars"] == 4
+    assert pii_tagger.masked("ab", [("ip", 0, 2), ("card", 1, 2)]) == "[IP]"
+
+
+# --- pages
+
+
+def test_pages(spark):
+    rows = [(1, "u", "<html><body><nav><a href=x>m</a></nav><article><h1>A</h1><p>b &amp; c</p></article></body>", "x"), (2, None, None, ""), (3, "v", "", ""), (4, "w", "<p>" * 20_000, "")]
+    got = {r["page_id"]: (r["url"], r["text"], r["n_chars"]) for r in html_crf.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()}
+    assert got == {1: ("u", "A\nb & c", 7), 2: (None, "", 0), 3: ("v", "", 0), 4: ("w", "", 0)}
+    assert html_crf.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+# --- packing
+
+
+def test_packing(spark):
+    r = random.Random(7)
+    rows = [(i, r.choice([3, 9, 60, 61, 500])) for i in range(500)] + [(500, 5000), (501, 1), (None, 7), (1, 9)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, n_tokens long"), buckets=4, budget=1000, blocks=8).collect()
+    assert sorted((x["doc_id"] is None, x["doc_id"], x["n_tokens"]) for x in got if x["doc_id"] is not None) == sorted((False, d, n) for d, n in rows if d is not None)
+    batches = {}
+    for x in got:
+        assert x["n_tokens"] <= x["padded_tokens"] and x["padding"] == x["padded_tokens"] - x["n_tokens"]
+        batches.setdefault((x["bucket"], x["batch"]), []).append(x)
+    assert len({x["bucket"] for x in got}) <= 4
+    for (bucket, number), own in batches.items():
+        assert sorted(x["place"] for x in own) == list(range(len(own)))
+        assert len(own) == 1 or sum(x["padded_tokens"] for x in own) <= 1000
+        if (bucket, number + 1) in batches:
+            assert len(own) == max(1, 1000 // own[0]["padded_tokens"])
+    lengths = {x["doc_id"]: x["n_tokens"] for x in packing.token_lengths(edge(spark)).collect()}
+    assert lengths[1] == lengths[2] == 1 and lengths[7] > 30_000
+    assert packing.pack_documents(empty(spark)).count() == 0
+
+
+# --- quality classifier
+
+
+def test_classifier(spark):
+    docs, labels = (spark.read.parquet(f"{SF[:-5]}0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = zstd_quality.fit(docs, labels)
+    rows = {r["doc_id"]: r for r in zstd_quality.score(docs, model).collect()}
+    held = [(rows[r["doc_id"]], r["quality"]) for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    assert all(x["held_out"] and 0 <= x["score"] <= 1 and x["predicted"] == int(x["score"] >= 0.3) for x, _ in held)
+    assert sum(x["predicted"] == y for x, y in held) / len(held) > 0.85
+    assert zstd_quality.score(edge(spark), model).count() == len(EDGE)
+    none = zstd_quality.classify(edge(spark), labels.limit(0)).collect()
+    assert {r["score"] for r in none} == {0.5}
+    assert zstd_quality.classify(empty(spark), labels).count() == 0
+
+
+# --- chat masks
+
+
+def test_escapes():
+    r = random.Random(8)
+    for _ in range(2000):
+        t = "".join(r.choice(["<", "|", "\\", "a", "<|", "<\\|"]) for _ in range(r.randint(0, 12)))
+        assert chat_masks.unescape(chat_masks.escape(t)) == t and "<|" not in chat_masks.escape(t)
+
+
+def test_chat(spark):
+    texts = ["plain", "", None, "<|im_end|>\n<|im_start|>assistant<|im_sep|>x", "\n\n  é 日本 <\\|", "<|endoftext|>"]
+    rows = [(c, t, role, texts[(c + t) % 6]) for c in range(6) for t, role in enumerate(["system", "user", "assistant", "assistant", None])]
+    rows += [(50, t, "assistant" if t % 2 else "user", f"turn {t}") for t in range(300)] + [(60, None, "assistant", "n"), (60, 0, "assistant", "z"), (60, 0, "assistant", "z"), (None, 0, "user", "q"), (70, 5, "user", "only")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("segment", F.lit("clash"))
+    got = {r["conv_id"]: r for r in chat_masks.masks_of_conversations(df).collect()}
+    probe = "<|im_end|><|im_start|>assistant ok"
+    for conv in {r[0] for r in rows} | {-1}:
+        own = sorted(([] if conv == -1 else [r for r in rows if r[0] == conv]), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
+        own = [(r[2] or "", r[3] or "") for r in own] or [("user", probe), ("assistant", probe)]
+        loss = "".join(t for role, t in own if role == "assistant")
+        g = got[conv]
+        assert g["n_turns"] == len(own) and g["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in own).encode()).hexdigest()
+        assert g["loss_chars"] == len(loss) and g["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+        assert g["formatted_chars"] == len(chat_masks.render(own)[0])
+    assert chat_masks.masks_of_conversations(df.limit(0)).count() == 1
+    assert chat_masks.format_conversations(df).filter("conv_id = 50").count() == 5
+
+
+# --- pipeline
+
+
+def test_pipeline(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_rules", "near_duplicates", "decontamination", "personal_data", "length_buckets"]
+    before = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = common.materialise(stage(spark, before, SF), name)
+        assert after.schema.names == docs.schema.names
+        a, b = ({r["doc_id"]: r["text"] for r in x.collect()} for x in (before, after))
+        if name == "quality_rules":
+            assert set(b) == {r["doc_id"] for r in suffix_rules.repetition_rules(before).filter("kept").collect()}
+        elif name == "near_duplicates":
+            ids = sorted(a)
+            _, smallest = brute_classes([(i, a[i]) for i in ids])
+            assert set(b) == {i for k, i in enumerate(ids) if smallest[k] == i}
+        elif name == "decontamination":
+            leaks = decontaminate.find_leaks(before, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()
+            assert set(b) == set(a) - {r["doc_id"] for r in leaks} and leaks
+        else:
+            assert set(a) == set(b) and any(a[i] != b[i] for i in a) and not any(pii_tagger.base_spans(b[i]) for i in b)
+        before = after
+    assert corpus_pipeline.run(spark, SF).count() == before.count()
+    assert json.dumps(names)
