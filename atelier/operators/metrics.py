@@ -83,6 +83,12 @@ def pruned(checkpoints: DataFrame, keep: int = KEEP) -> DataFrame:
     return old.crossJoin(F.broadcast(many)).filter("__many").drop("__many")
 
 
+def resume_choice(checkpoints: DataFrame, kinds: list[str]) -> DataFrame:
+    """(name) to resume from: the last by name of the first kind that has any; null if none has."""
+    latest = [F.max(F.when(F.col("kind") == k, F.col("name"))) for k in kinds]
+    return checkpoints.agg(F.coalesce(*latest).alias("name"))
+
+
 def nearest_ranks(df: DataFrame, group: str, value: str, shares: list[float], blocks: int = 64) -> DataFrame:
     """(group, share, value) at sorted position int(share * (n - 1)): exact, without sorting a group in one task."""
     held = df.select(F.col(group), F.col(value).alias("__v"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from atelier.functions.text import uniform
 from atelier.operators import listing as op
 from atelier.plans.common import Family, table, uniform_sql
-from atelier.sources import manifest
+from atelier.sources import html_pages, manifest
 
 family = Family()
 ANCHORS = "regexp_extract_all(html, '<a href=\"([^\"]*)\">([^<]*)</a>', {})"
@@ -17,6 +17,12 @@ def page_links(spark, d):
     return t.select("page_id", F.col("l.href").alias("href"), F.col("l.text").alias("text"), F.col("pos").cast("long").alias("pos"))
 
 
+@family.add("page_elements", f"SELECT page_id, unnest({ANCHORS.format(1)}) AS href, trim(unnest({ANCHORS.format(2)})) AS text, unnest(range(len({ANCHORS.format(1)}))) AS pos FROM pages")
+def page_elements(spark, d):
+    """The same links through the selector source."""
+    return html_pages.select_elements(table(spark, d, "pages"), "page_id", "html", "nav li a")
+
+
 @family.add(
     "item_desc_zip",
     f"""SELECT page_id, i AS pos, coalesce(h[i], '') AS item, CASE WHEN p[i] IS NOT NULL AND len(string_split(p[i], ' ')) > 3 THEN string_split(p[i], ' ')[4] ELSE '' END AS type

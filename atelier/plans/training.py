@@ -128,11 +128,26 @@ def warmup_discard(spark, d):
     return table(spark, d, "events").filter(F.col("event_id") >= 50).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("mean"))
 
 
+RANKED = "(SELECT event_type, count(*) AS n, list(value ORDER BY value) AS xs, round(1000.0::DOUBLE / (avg(value) + 1e-12::DOUBLE) * 4, 3) AS sps FROM events GROUP BY 1)"
+
+
 @family.add(
     "bench_report",
-    """SELECT '{"meta":{"warmup":50,"runs":300},"cases":[' || string_agg('{"mode":"' || event_type || '","runs":' || n || '}', ',' ORDER BY event_type) || ']}' AS report FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1)""",
+    f"""SELECT '{{"meta":{{"warmup":50,"runs":300}},"cases":[' || string_agg('{{"batch":4,"mode":"' || event_type || '","latency_ms":{{"p50":' || xs[trunc(0.5 * (n - 1))::INT + 1] || ',"p95":' || xs[trunc(0.95 * (n - 1))::INT + 1]
+    || ',"p99":' || xs[trunc(0.99 * (n - 1))::INT + 1] || '}},"throughput_sps":' || sps || ',"max_mem_mb":null}}', ',' ORDER BY event_type) || ']}}' AS report FROM {RANKED}""",
 )
 def bench_report(spark, d):
-    cases = table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).agg(F.array_sort(F.collect_list(F.struct(F.col("event_type").alias("mode"), F.col("n").alias("runs")))).alias("cases"))
+    """The nested report; peak memory is null, as on a CPU."""
+    events = table(spark, d, "events")
+    ranks = metrics.nearest_ranks(events, "event_type", "value", [0.5, 0.95, 0.99]).groupBy("event_type").pivot("share", [0.5, 0.95, 0.99]).agg(F.first("value"))
+    rates = events.groupBy("event_type").agg(F.round(metrics.throughput(F.avg("value"), 4), 3).alias("sps"))
+    latency = F.struct(F.col("`0.5`").alias("p50"), F.col("`0.95`").alias("p95"), F.col("`0.99`").alias("p99"))
+    case = F.struct(F.lit(4).alias("batch"), F.col("event_type").alias("mode"), latency.alias("latency_ms"), F.col("sps").alias("throughput_sps"), F.lit(None).cast("double").alias("max_mem_mb"))
+    listed = ranks.join(rates, "event_type").agg(F.transform(F.array_sort(F.collect_list(F.struct("event_type", case.alias("c")))), lambda s: s["c"]).alias("cases"))
     meta = F.struct(F.lit(50).alias("warmup"), F.lit(300).alias("runs"))
-    return cases.select(F.to_json(F.struct(meta.alias("meta"), "cases")).alias("report"))
+    return listed.select(F.to_json(F.struct(meta.alias("meta"), "cases"), {"ignoreNullFields": "false"}).alias("report"))
+
+
+@family.add("resume_choice", f"SELECT CASE WHEN (SELECT count(*) FROM {CHECKPOINTS} WHERE kind = 'ema') > 0 THEN (SELECT max(name) FROM {CHECKPOINTS} WHERE kind = 'ema') ELSE (SELECT max(name) FROM {CHECKPOINTS} WHERE kind = 'raw') END AS name")
+def resume_choice(spark, d):
+    return metrics.resume_choice(checkpoints(spark, d), ["ema", "raw"])

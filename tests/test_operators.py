@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from atelier.functions.ranking import rank_by_key, rank_in_file_order
 from atelier.operators import arrays, geometry, listing, metrics, sampling
 from atelier.sources import arrays as files
-from atelier.sources import index, manifest
+from atelier.sources import html_pages, index, manifest
 
 
 def test_ranking(spark):
@@ -25,6 +25,14 @@ def test_page_rules(spark):
     assert listing.image_rows(spark.createDataFrame([(0,), (3,)], "n int"), "n").count() == 3
 
 
+def test_selectors():
+    page = """<div class="g x"><h1><a href="/1"> One &amp; 1</a></h1><table class="d"><tr><td>a<td>b<br>c</table></div><div><h1><a href="/2">Two</a></h1></div><p id="q">z"""
+    assert html_pages.elements_of(page, "div.g h1 a") == [("/1", "One & 1")]
+    assert html_pages.elements_of(page, "h1 a") == [("/1", "One & 1"), ("/2", "Two")]
+    assert html_pages.elements_of(page, "#q") == [(None, "z")]
+    assert html_pages.elements_of(page, "ul a") == html_pages.elements_of(None, "a") == []
+
+
 def test_novelty_and_dictionaries(spark):
     items = spark.createDataFrame([("1", 0, "a"), ("2", 1, "b"), ("2", 2, "c")], "id string, at int, v string")
     seen = spark.createDataFrame([("1", "old")], "id string, v string")
