@@ -15,6 +15,7 @@ class Catalog:
     def __init__(self, df: DataFrame, names: list[str]) -> None:
         self.df, self.width = df, len(names)
         self.positions = {n: i for i, n in enumerate(names)}  # of equal names the last counts
+        self._count: int | None = None
 
     @classmethod
     def of(cls, df: DataFrame, row_idx: str = "row_idx") -> Catalog:
@@ -24,7 +25,10 @@ class Catalog:
         return cls(df.select(*cells, F.col(row_idx).alias("row_idx")), names)
 
     def rows_count(self) -> int:
-        return self.df.count()
+        """Counted once: a catalog is a snapshot."""
+        if self._count is None:
+            self._count = self.df.count()
+        return self._count
 
     def cols_count(self) -> int:
         return self.width
