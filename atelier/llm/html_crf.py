@@ -46,7 +46,8 @@ STEMS = (
 ).split()
 AD_WORDS = frozenset(("ad", "ads", "adv", "adbox", "adslot", "adunit", "adsense", "dfp"))
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S | re.I)
+_IN_TAG = r"""(?:"[^"]*"|'[^']*'|[^'"<>])*"""  # an opening bracket ends what was no tag, so reading stays linear
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({'|'.join(RAW)})\b{_IN_TAG}>.*?(?:</\1\s*>|\Z)|<[!?][^<>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_IN_TAG})>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _CLASS_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d")
