@@ -1,10 +1,12 @@
 """Quality by compression: two zstandard dictionaries, one of good and one of bad labelled text.
 
 A text's compressed size under the bad dictionary less that under the good one, per byte, tells
-which language it is nearer to. A monotone fit on other labelled rows turns it into a probability.
+which language it is nearer to. A monotone fit on other labelled rows turns it into a probability,
+with a fit of its own for short texts, whose differences scatter more.
 
 Learning uses bounded samples (``SAMPLE`` rows per class for the dictionaries, ``CALIBRATION`` rows
-for the fit) of labelled rows that are not held out; scoring covers every whole text.
+for the fit, none of more than ``LONGEST`` characters) of labelled rows that are not held out;
+scoring covers every whole text.
 
 Defined results: a null text counts as empty; an empty text has difference 0 and the score of that;
 repeated rows score alike; without labels of both classes every score is the share of label 1
@@ -22,11 +24,13 @@ from pyspark.sql import functions as F
 
 from atelier.llm.common import pieces
 
-SAMPLE = 2_000
+SAMPLE = 1_500
 CALIBRATION = 4_000
-DICTIONARY = 900_000  # bytes
-LONGEST = 8_000  # bytes that one labelled text may give to a dictionary, so that many are heard
+LONGEST = 50_000  # characters of a row to learn from; longer ones are not learnt from at all
+DICTIONARY = 2_000_000  # bytes
 LEVEL = 9
+BANDS = (200, 500)  # bytes: texts below each are calibrated by themselves ...
+BAND_ROWS = 60  # ... where so many labelled rows are
 THRESHOLD = 0.3
 
 
@@ -52,39 +56,48 @@ class Compressors:
 
 
 def monotone_fit(x: np.ndarray, y: np.ndarray) -> tuple[list[float], list[float]]:
-    """Points (difference, probability) of the isotonic regression of y on x, shrunk a little to the share of ones."""
+    """Points (difference, probability) of the isotonic regression of y on x, shrunk a little to the share of ones.
+
+    A pool of equal probability gives both of its ends, so only the gaps between pools are interpolated.
+    """
     order = np.argsort(x, kind="stable")
     share = (y.sum() + 1) / (len(y) + 2)
-    pools: list[list[float]] = []  # sum of y, weight, sum of x
+    pools: list[tuple[float, float, float, float]] = []  # sum of y, weight, lowest x, highest x
     for xi, yi in zip(x[order].tolist(), y[order].tolist(), strict=True):
-        pools.append([yi, 1.0, xi])
-        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
-            last = pools.pop()
-            pools[-1] = [a + b for a, b in zip(pools[-1], last, strict=True)]
-    return [p[2] / p[1] for p in pools], [(p[0] + share) / (p[1] + 1) for p in pools]
+        now = (yi, 1.0, xi, xi)
+        while pools and pools[-1][0] * now[1] >= now[0] * pools[-1][1]:
+            before = pools.pop()
+            now = (before[0] + now[0], before[1] + now[1], before[2], now[3])
+        pools.append(now)
+    value = [(p[0] + share) / (p[1] + 1) for p in pools]
+    return [e for p in pools for e in p[2:]], [v for v in value for _ in (0, 1)]
 
 
 class Model:
-    """Dictionaries and the fitted curve; ``good`` is None if a class was missing."""
+    """Dictionaries and the fitted curves by length; ``good`` is None if a class was missing."""
 
-    def __init__(self, good: bytes | None, bad: bytes | None, x: list[float], p: list[float]) -> None:
-        self.good, self.bad, self.x, self.p = good, bad, x, p
+    def __init__(self, good: bytes | None, bad: bytes | None, curves: list[tuple[list[float], list[float]]]) -> None:
+        self.good, self.bad, self.curves = good, bad, curves
 
     def scorer(self):
         if self.good is None:
-            return lambda _: self.p[0]
+            return lambda _: self.curves[0][1][0]
         sizes = Compressors(self.good, self.bad)
-        return lambda text: float(np.clip(np.interp(sizes.difference(text), self.x, self.p), 0.0, 1.0))
+        return lambda text: float(np.clip(np.interp(sizes.difference(text), *self.curves[band(len(text))]), 0.0, 1.0))
+
+
+def band(size: int) -> int:
+    return sum(size >= b for b in BANDS)
 
 
 def dictionary(texts: list[bytes], size: int = DICTIONARY) -> bytes:
+    """Whole texts, as many as fit."""
     out, held = [], 0
     for t in texts:
-        out.append(t[:LONGEST])
-        held += len(out[-1]) + 1
-        if held >= size:
-            break
-    return b"\n".join(out)[:size]
+        if held + len(t) <= size:
+            out.append(t)
+            held += len(t) + 1
+    return b"\n".join(out)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -93,17 +106,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     known = known.withColumn("__h", F.xxhash64("doc_id", F.lit(6))).withColumn("__half", F.pmod("__h", F.lit(2)))
     part = lambda rows, n, use: rows.orderBy("__h", "quality").limit(n).select("doc_id", "quality", "__h", F.lit(use).alias("use"))
     sample = part(known.filter("__half = 0 and quality = 1"), SAMPLE, 0).union(part(known.filter("__half = 0 and quality = 0"), SAMPLE, 0)).union(part(known.filter("__half = 1"), CALIBRATION, 1))
-    found = docs.select("doc_id", "text").filter("length(text) > 0").join(F.broadcast(sample), "doc_id").select("__h", "quality", "use", "text").collect()
+    texts = docs.select("doc_id", "text").filter(F.length("text").between(1, LONGEST))
+    found = texts.join(F.broadcast(sample), "doc_id").select("__h", "quality", "use", "text").collect()
     found.sort(key=lambda r: (r["__h"], r["quality"], r["text"]))
     good, bad = ([r["text"].encode() for r in found if r["use"] == 0 and r["quality"] == q] for q in (1, 0))
     rest = [(r["text"].encode(), r["quality"]) for r in found if r["use"] == 1]
     if not good or not bad or not rest:
         ones = sum(r["quality"] for r in found)
-        return Model(None, None, [0.0], [(ones + 1) / (len(found) + 2)])
+        return Model(None, None, [([0.0], [(ones + 1) / (len(found) + 2)])])
     g, b = dictionary(good), dictionary(bad)
     sizes = Compressors(g, b)
-    x, p = monotone_fit(np.array([sizes.difference(t) for t, _ in rest]), np.array([q for _, q in rest], float))
-    return Model(g, b, x, p)
+    x, y = np.array([sizes.difference(t) for t, _ in rest]), np.array([q for _, q in rest], float)
+    bands = np.array([band(len(t)) for t, _ in rest])
+    rows = [bands == k if (bands == k).sum() >= BAND_ROWS else np.ones(len(x), bool) for k in range(len(BANDS) + 1)]
+    return Model(g, b, [monotone_fit(x[r], y[r]) for r in rows])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
