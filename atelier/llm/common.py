@@ -40,7 +40,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/atelier/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._shared_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for ``df``, once nothing will read it again."""
+    path = getattr(df, "_shared_path", None)
+    if path:
+        spark = df.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def group_rank(df: DataFrame, groups: list[str], block: Column, n_blocks: int, order: list[Column], name: str) -> DataFrame:
@@ -113,7 +124,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        kept = materialise(small.union(least.select("a", F.col("m").alias("b"))).distinct(), name)
+        last, kept = kept, materialise(small.union(least.select("a", F.col("m").alias("b"))).distinct(), name)
+        release(last)
         now = kept.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -39,6 +39,7 @@ FREQUENT = 0.01  # share of passages from which on a word is no term ...
 KEPT_TERMS = 10  # ... but each item keeps so many of its rarest
 SPARE = 56  # rank beyond the number of items
 MOST_RANK = 768
+MOST_ITEMS = 50_000  # the benchmark is the query set and is sent to every executor: a larger one goes in parts
 SUMS = 32  # tasks' products are summed in so many groups before all of them
 MIN_TERMS = 3  # terms that a passage needs to be a candidate
 COSINE = 0.45
@@ -295,10 +296,17 @@ class Judge:
         return best
 
 
+def _items(benchmark: DataFrame) -> Items:
+    rows = benchmark.select("item_id", "text").limit(MOST_ITEMS + 1).collect()
+    if len(rows) > MOST_ITEMS:
+        raise ValueError(f"more than {MOST_ITEMS} benchmark items: search them in parts")
+    return Items([(r["item_id"], r["text"]) for r in rows])
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, covered: float = COVERED) -> DataFrame:
     """A row for each text and each benchmark item that it holds, word by word or as a paraphrase."""
     spark = docs.sparkSession
-    items = Items([(r["item_id"], r["text"]) for r in benchmark.select("item_id", "text").collect()])
+    items = _items(benchmark)
     if not items.ids:
         return spark.createDataFrame([], LEAKS)
     searcher = _searcher(docs, items, cosine, covered)
@@ -319,7 +327,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, co
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all their columns unchanged."""
-    items = Items([(r["item_id"], r["text"]) for r in benchmark.select("item_id", "text").collect()])
+    items = _items(benchmark)
     if not items.ids:
         return docs
     searcher = _searcher(docs, items, COSINE, COVERED)

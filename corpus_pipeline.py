@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from atelier.llm import chosen_path, decontaminate, packing, pii_tagger, suffix_rules
-from atelier.llm.common import materialise, table
+from atelier.llm.common import materialise, release, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -55,5 +55,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole ``documents`` table."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        last, docs = docs, materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        release(last)
     return STAGES[-1][1](spark, docs, sf_dir)
