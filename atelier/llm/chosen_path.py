@@ -306,3 +306,32 @@ def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, similarity: float = S
     if not found.filter("stays").isEmpty():  # rows that repeat doc_id and text
         kept = kept.dropDuplicates(list(names))
     return kept.select(*docs.columns)
+
+
+def jaccard_join_sql(size: int = SHINGLE, similarity: float = SIMILARITY) -> str:
+    """The exact join in DuckDB SQL, for small tables with a key: every pair that shares a shingle is counted."""
+    return f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \\t\\n\\x0b\\f\\r]+'), lambda x: x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {size} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - {size - 2}), lambda i: array_to_string(w[i:i + {size - 1}], ' '))) END AS s FROM words
+), keyed AS (
+  SELECT doc_id, s, len(s) AS n, md5(array_to_string(list_sort(s), chr(31))) AS k FROM sets
+), heads AS (
+  SELECT k, min(doc_id) AS head, count(*) AS copies FROM keyed WHERE n > 0 GROUP BY k
+), terms AS (
+  SELECT head, n, copies, unnest(s) AS t FROM heads JOIN keyed ON doc_id = head
+), links AS (
+  SELECT a.head AS a, b.head AS b, any_value(b.copies) AS copies FROM terms a JOIN terms b ON a.t = b.t AND a.head <> b.head
+  GROUP BY a.head, a.n, b.head, b.n HAVING count(*) >= {similarity} * (a.n + b.n - count(*)) - 1e-3
+), reach AS (
+  SELECT a AS node, a AS other FROM links UNION SELECT node, b FROM reach JOIN links ON a = other
+), classes AS (
+  SELECT node, min(other) AS class_id FROM reach GROUP BY node
+), counts AS (
+  SELECT a, sum(copies) AS rows_, count(*) AS texts FROM links GROUP BY a
+)
+SELECT doc_id, coalesce(class_id, head, doc_id) AS class_id, (coalesce(rows_, 0) + coalesce(copies, 1) - 1)::BIGINT AS n_links, coalesce(texts, 0) AS n_text_links, coalesce(copies, 1) AS n_copies
+FROM keyed LEFT JOIN heads ON heads.k = keyed.k AND keyed.n > 0 LEFT JOIN classes ON node = head LEFT JOIN counts ON a = head
+"""

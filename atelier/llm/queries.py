@@ -22,4 +22,5 @@ ORACLES = {
     "op1_revisit_resolution": warc_revisit.revisits_of_pages_sql(),
     "op8_jump_sharding": jump_shards.shard_rows_sql(),
     "op9_chat_masks": chat_masks.masks_of_conversations_sql(),
+    "op10_chosen_path_join": chosen_path.jaccard_join_sql(),
 }
