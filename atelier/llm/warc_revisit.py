@@ -11,7 +11,7 @@ block's share of all rows even if one URL owns everything; between blocks only o
 
 Defined results: a null URL is a URL of its own (empty string); a revisit without validators is
 ``no_validator``; equal times order by record id, and a response at the revisit's own time counts
-as earlier only if its id is smaller; repeated records each give a row; an empty table gives no
+as earlier only if its id is smaller; a revisit without a time has no response; repeated records each give a row; an empty table gives no
 rows; records' other columns are ignored.
 """
 
