@@ -206,7 +206,7 @@ def label_codes(text: str, spans: list[Span]) -> np.ndarray:
     return y
 
 
-def train(examples: list[tuple[str, list[Span]]], rounds: int = 8, rows: int = 64, rate: float = 0.02, seed: int = 3) -> Tagger:
+def train(examples: list[tuple[str, list[Span]]], rounds: int = 10, rows: int = 64, rate: float = 0.02, seed: int = 3) -> Tagger:
     """Adam over windows of the labelled texts; the rate falls to nothing."""
     tagger, r = Tagger(seed), np.random.default_rng(seed)
     xs, ys = [], []
@@ -305,10 +305,11 @@ def labelled_texts(count: int = 2500, seed: int = 8) -> list[tuple[str, list[Spa
             for _ in range(r.randint(1, 7)):
                 text += word() + r.choice(["", "", "", ",", "."]) + (glue if glue != " " else r.choice([" ", " ", " ", "\n"]))
             if r.random() < 0.6:
-                kind = r.choice(KINDS)
-                value = makers[kind]()
-                spans.append((kind, len(text), len(text) + len(value)))
-                text += value + r.choice(["", "", "", ".", ",", "!!", "###"]) + " "
+                for _ in range(r.choice([1, 1, 1, 2, 3])):  # now and then values in a row
+                    kind = r.choice(KINDS)
+                    value = makers[kind]()
+                    spans.append((kind, len(text), len(text) + len(value)))
+                    text += value + r.choice(["", "", "", ".", ",", "!!", "###"]) + " "
             else:
                 text += other() + r.choice([" ", ", ", ". "])
         text += word()
@@ -317,7 +318,7 @@ def labelled_texts(count: int = 2500, seed: int = 8) -> list[tuple[str, list[Spa
 
 
 @cache
-def trained(count: int = 2000, rounds: int = 8, seed: int = 8) -> Tagger:
+def trained(count: int = 3000, rounds: int = 10, seed: int = 8) -> Tagger:
     return train(labelled_texts(count, seed), rounds)
 
 
