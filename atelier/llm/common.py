@@ -70,7 +70,7 @@ def group_rank(df: DataFrame, groups: list[str], block: Column, n_blocks: int, o
     return joined.withColumn(name, (F.col("__before") + F.col("__rn") - 1).cast("long")).drop("__before", "__rn", b)
 
 
-def pieces(batch: pa.RecordBatch, column: str, most_bytes: int = 2_000_000):
+def pieces(batch: pa.RecordBatch, column: str, most_bytes: int = 750_000):
     """Cut a batch into slices whose ``column`` holds about ``most_bytes`` (one row at least)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start, held = 0, 0

@@ -24,7 +24,7 @@ _powers: dict[str, np.ndarray] = {}
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers.get("up", ())) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 20)
         for key, base in (("up", _BASE), ("down", _BASE_INVERSE)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
