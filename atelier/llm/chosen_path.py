@@ -11,7 +11,7 @@ Texts are sets of five-word shingles; links are pairs of similarity 0.8 or more.
    the target recall (``runs_for``).
 3. What hangs together, a superset of the links, forms clusters (distributed components). Inside
    each cluster every pair is compared exactly, in blocks of ``BLOCK`` texts: a cluster's rows meet
-   block by block in tasks of bounded size, and only counts per text leave them.
+   block by block in tasks of bounded size (by texts and by shingles), and only counts per text leave them.
 
 Defined results: texts without words are never linked; null texts count as empty; repeated rows
 are copies of each other, each with its own row; equal similarities need no rule, as all links
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 TOKENS = 64
 LEAF = 256
-DEPTH = 5
-BLOCK = 128
+DEPTH = 4
+BLOCK = 128  # texts of a block on average ...
+BLOCK_SHINGLES = 200_000  # ... or fewer, if they have more shingles than this together
 RECALL = 0.99
 NEAR = 0.45  # members of a large bucket that hang together with its head
 SETTLED = 0.75  # those that need no further splitting: what matches them (0.8) is NEAR the head as well
@@ -103,12 +105,12 @@ def profiles(docs: DataFrame, size: int, runs: int) -> DataFrame:
                 empty = pa.array(count == 0)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width, dtype=np.int32)), pa.array(paths.reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), part.column("key"), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), empty, pa.array([x.tobytes() for x in sketch], pa.binary()), lists],
-                    names=["doc_id", "key", "f1", "f2", "empty", "sketch", "paths"],
+                    [part.column("doc_id").cast(pa.int64()), part.column("key"), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), empty, pa.array(count, pa.int64()), pa.array([x.tobytes() for x in sketch], pa.binary()), lists],
+                    names=["doc_id", "key", "f1", "f2", "empty", "size", "sketch", "paths"],
                 )
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
-    return rows.mapInArrow(run, "doc_id long, key long, f1 long, f2 long, empty boolean, sketch binary, paths array<long>")
+    return rows.mapInArrow(run, "doc_id long, key long, f1 long, f2 long, empty boolean, size long, sketch binary, paths array<long>")
 
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,32 +177,32 @@ def _leaf_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def candidate_edges(sets: DataFrame) -> DataFrame:
     """Edges (a, b) over (uid, sketch, paths): every pair that some run brings into one bucket is connected."""
     spark = sets.sparkSession
-    found = None
     level = sets.select(F.explode("paths").alias("path"), "uid")
     sketches = sets.select("uid", "sketch")
-    carried = False
+    leaves, edges = [], []
     for depth in range(1, DEPTH + 1):
-        sizes = level.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("uid", "path").alias("h"), "uid"))["uid"].alias("head")).filter("n > 1")
+        # counts are written, so that the joins that bring them back have no aggregate below and Spark may split a hot bucket
+        drawn = F.xxhash64("uid", "path")
+        sizes = materialise(level.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min(drawn).alias("lowest")).filter("n > 1"), "sizes", narrow=True)
         sized = level.join(sizes, "path")
-        if not carried:  # tokens only for what has company
+        if depth == 1:  # tokens only for what has company
             sized = sized.join(sketches, "uid")
         sized = materialise(sized, "paths")
-        leaves = sized.filter(F.col("n") <= LEAF).select("path", "uid", "sketch")
-        width = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        edges = leaves.repartition(width, "path").sortWithinPartitions("path").mapInArrow(_leaf_edges, "a long, b long")
+        leaves.append(sized.filter(F.col("n") <= LEAF).select("path", "uid", "sketch"))
         large = sized.filter(F.col("n") > LEAF)
-        last = depth == DEPTH
-        if last:
-            edges = edges.union(large.select(F.col("uid").alias("a"), F.col("head").alias("b")))
-        found = edges if found is None else found.union(edges)
-        if last or large.isEmpty():
-            return found
-        heads = large.groupBy("path").agg(F.min("head").alias("head")).join(sketches.select(F.col("uid").alias("head"), F.col("sketch").alias("head_sketch")), "head")
-        split = large.select("path", "uid", "sketch").join(heads, "path").mapInArrow(_split, "path long, uid long, sketch binary, head long, members array<long>")
-        split = materialise(split, "split")
-        found = found.union(split.filter("path is null").select(F.explode("members").alias("a"), F.col("head").alias("b")))
-        level, carried = split.filter("path is not null").select("path", "uid", "sketch"), True
-    return found
+        if large.isEmpty():
+            break
+        heads = large.filter(drawn == F.col("lowest")).select("path", F.col("uid").alias("head"), F.col("sketch").alias("head_sketch"))
+        led = large.select("path", "uid", "sketch").join(heads, "path")
+        if depth == DEPTH:
+            edges.append(led.select(F.col("uid").alias("a"), F.col("head").alias("b")))
+            break
+        split = materialise(led.mapInArrow(_split, "path long, uid long, sketch binary, head long, members array<long>"), "split")
+        edges.append(split.filter("path is null").select(F.explode("members").alias("a"), F.col("head").alias("b")))
+        level = split.filter("path is not null").select("path", "uid", "sketch")
+    width = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = reduce(DataFrame.union, leaves).repartition(width, "path").sortWithinPartitions("path")  # no path is in two levels
+    return reduce(DataFrame.union, edges, buckets.mapInArrow(_leaf_edges, "a long, b long"))
 
 
 def _compare(size: int, similarity: float):
@@ -234,8 +236,9 @@ def _compare(size: int, similarity: float):
                 linked &= block[:, None] != block[None, :]
             x, y = np.nonzero(np.triu(linked))
             root = _roots(n, x, y)
+            whole = np.full(n, group.column("blocks")[0].as_py() == 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(uid), pa.array((linked * copies[None, :]).sum(1).astype(np.int64)), pa.array(linked.sum(1).astype(np.int64)), pa.array(uid[root])], names=["uid", "links", "text_links", "root"]
+                [pa.array(uid), pa.array((linked * copies[None, :]).sum(1).astype(np.int64)), pa.array(linked.sum(1).astype(np.int64)), pa.array(uid[root]), pa.array(whole)], names=["uid", "links", "text_links", "root", "whole"]
             )
 
     return run
@@ -261,23 +264,30 @@ def _joined(docs: DataFrame, size: int, similarity: float, recall: float) -> Dat
     heads = groups.select("uid", "copies")
     sets = rows.select("uid", "doc_id", "key", "sketch", "paths").join(heads, "uid")
     clusters = components(candidate_edges(sets.select("uid", "sketch", "paths")), "clusters").select(F.col("node").alias("uid"), F.col("root").alias("cluster"))
-    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    members = clusters.join(sizes, "cluster").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-    members = members.join(rows.select("uid", "doc_id", "key"), "uid").join(heads, "uid")
+    clusters = clusters.join(rows.select("uid", "doc_id", "key", "size"), "uid")
+    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("total")).filter("members > 1")
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int")
+    sizes = materialise(sizes.select("cluster", blocks.alias("blocks")), "members", narrow=True)
+    members = clusters.drop("size").join(sizes, "cluster").join(heads, "uid")
     texts = docs.select(F.col("doc_id").alias("__d"), F.xxhash64("text").alias("__k"), "text")
     held = members.join(texts, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("key") == F.col("__k")))
     held = held.withColumn("block", F.pmod(F.xxhash64("uid", F.lit(5)), "blocks").cast("int"))
     dealt = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("cluster", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "uid", "block", "copies", "text")
+    dealt = dealt.select("cluster", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "uid", "block", "blocks", "copies", "text")
     width = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = dealt.repartition(width, "cluster", "left", "right").sortWithinPartitions("cluster", "left", "right")
-    compared = materialise(dealt.mapInArrow(_compare(size, similarity), "uid long, links long, text_links long, root long"), "compared")
+    compared = materialise(dealt.mapInArrow(_compare(size, similarity), "uid long, links long, text_links long, root long, whole boolean"), "compared")
     counts = compared.groupBy("uid").agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))
-    classes = components(compared.select(F.col("uid").alias("a"), F.col("root").alias("b")), "classes")
+    classes = compared.filter("whole").select(F.col("uid").alias("node"), "root")
+    parts = compared.filter("not whole and uid <> root").select(F.col("uid").alias("a"), F.col("root").alias("b"))
+    if not parts.isEmpty():  # clusters of several blocks: the blocks' trees are joined
+        joined = components(parts, "classes")
+        alone = compared.filter("not whole").select(F.col("uid").alias("node")).distinct().join(joined, "node", "left_anti")
+        classes = classes.union(joined).union(alone.select("node", F.col("node").alias("root")))
     ids = rows.select(F.col("uid").alias("node"), "doc_id")
     named = classes.join(ids, "node")
     last_id = F.coalesce("doc_id", F.lit(2**63 - 1))
-    smallest = named.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.min(F.struct(last_id.alias("d"), "node"))["node"].alias("first_uid"))
+    smallest = materialise(named.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.min(F.struct(last_id.alias("d"), "node"))["node"].alias("first_uid")), "firsts", narrow=True)
     of_head = named.join(smallest, "root").select(F.col("node").alias("uid"), "class_id", "first_uid").join(counts, "uid")
     heads_out = groups.join(of_head, "uid", "left").join(ids.select(F.col("node").alias("uid"), F.col("doc_id").alias("head_id")), "uid")
     heads_out = heads_out.select("f1", "f2", F.lit(False).alias("empty"), "copies", F.coalesce("class_id", "head_id").alias("class_id"), F.coalesce("first_uid", "uid").alias("first_uid"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("text_links", F.lit(0)).alias("text_links"))
