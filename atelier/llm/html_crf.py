@@ -9,8 +9,8 @@ The labelled pages come from ``labelled_pages``, a seeded generator of layouts:
 stands, what surrounds it and what interrupts it vary. Other labelled pages can be given to ``fit``.
 
 Defined results: a null or empty page has an empty text; a page without article blocks, too;
-unclosed and stray tags are read as browsers do, roughly; equal pages give equal texts; only
-page_id, url and html are read.
+unclosed and stray tags are read as browsers do, roughly; text in the elements of ``RAW`` is no text of
+the page, that in formulas (math) is; equal pages give equal texts; only page_id, url and html are read.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ BLOCKS = frozenset(
     "option p pre search section select summary table tbody td textarea tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "math")
+RAW = ("script", "style", "noscript", "template", "svg", "iframe", "object", "canvas")
 CLOSES_P = BLOCKS - frozenset("body button head html label option optgroup select textarea title".split())
 CLOSED_BY = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SECTIONS = frozenset("article aside body dialog footer form header main nav section".split())
@@ -47,7 +47,10 @@ STEMS = (
 AD_WORDS = frozenset(("ad", "ads", "adv", "adbox", "adslot", "adunit", "adsense", "dfp"))
 
 _IN_TAG = r"""(?:"[^"]*"|'[^']*'|[^'"<>])*"""  # an opening bracket ends what was no tag, so reading stays linear
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({'|'.join(RAW)})\b{_IN_TAG}>.*?(?:</\1\s*>|\Z)|<[!?][^<>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_IN_TAG})>", re.S | re.I)
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_IN_TAG})>", re.S)
+_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
+_NAME_ENDS = ("", "/", " ", "\t", "\n", "\f", "\r")  # what follows a name; after anything else it is a custom element's
+_TAG_PART = re.compile(r"[\s\"']")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _CLASS_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d")
@@ -78,6 +81,14 @@ def _marks(attributes: str) -> frozenset[str]:
     return frozenset(out)
 
 
+def self_closed(attributes: str) -> bool:
+    """Whether a tag ends in a slash that is not part of an unquoted value."""
+    if not attributes.endswith("/"):
+        return False
+    tail = _TAG_PART.split(attributes)[-1]
+    return "=" not in tail and not attributes[: -len(tail)].rstrip().endswith("=")
+
+
 def leaf_blocks(page: str) -> list[tuple[str, frozenset[str], int, float]]:
     """(text, ancestor features, number of the nearest section, share of linked characters) of each block with text."""
     nothing: frozenset[str] = frozenset()
@@ -100,25 +111,30 @@ def leaf_blocks(page: str) -> list[tuple[str, frozenset[str], int, float]]:
         if links:
             now.linked += len(text.strip())
 
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         add(page[at : m.start()])
         at = m.end()
-        tag = m[3]
+        tag = m[2]
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in _RAW_END and not m[1] and m[3][:1] in _NAME_ENDS:
+            if tag != "svg" or not self_closed(m[3]):  # of these, only in svg a slash ends the element
+                end = _RAW_END[tag].search(page, at)
+                at = end.end() if end else len(page)
+            continue
         if tag == "br":
             add(" ")
             continue
         if tag in BLOCKS:
             now = None
-        if m[2]:
+        if m[1]:
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
             if depth is not None and (tag in BLOCKS or all(t not in BLOCKS for t, _, _ in stack[depth:])):
                 links -= sum(t == "a" for t, _, _ in stack[depth:])
                 del stack[depth:]
             continue
-        if tag in VOID or m[4].endswith("/") and tag not in BLOCKS:
+        if tag in VOID or m[3].endswith("/") and tag not in BLOCKS:
             continue
         if tag in CLOSES_P:
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in BLOCKS), None)
@@ -130,7 +146,7 @@ def leaf_blocks(page: str) -> list[tuple[str, frozenset[str], int, float]]:
             if depth is not None and stack[depth][0] in CLOSED_BY[tag]:
                 links -= sum(t == "a" for t, _, _ in stack[depth:])
                 del stack[depth:]
-        marks = _marks(m[4]) if m[4] else nothing
+        marks = _marks(m[3]) if m[3] else nothing
         _, above, section = stack[-1] if stack else ("", nothing, 0)
         if tag in SECTIONS or tag == "div" and marks:
             sections += 1

@@ -227,6 +227,23 @@ def test_leaf_blocks():
     assert html_crf.leaf_blocks("") == [] and html_crf.leaf_blocks("<p></p> <br>") == []
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<nav><svg-icon name="m"></svg-icon></nav><article><p>whole article</p></article>', ["whole article"]),
+        ("<template-card><p>a</p></template-card><object-view>b</object-view><SVG.x>c<p>d</p>", ["a", "bc", "d"]),
+        ("<p>a <svg/> b</p><p>c</p>", ["a b", "c"]),
+        ('<p>a <svg class="x=" hidden/> b</p><p>c</p>', ["a b", "c"]),
+        ("<p>a <svg class=x/><text>drawn</text></svg> b</p>", ["a b"]),  # this slash is part of the value
+        ("<p>a <math/> b</p><p>c</p>", ["a b", "c"]),
+        ("<p>if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then</p><p>c</p>", ["if x=1 then", "c"]),
+        ("a<script/>x<b>y</b></SCRIPT >b<Svg\n><text>x</text></svg>c<style>p{}</style-x></style>d<iframe>never closed <p>e", ["abcd"]),
+    ],
+)
+def test_raw_elements_end_where_they_should(page, want):
+    assert [b[0] for b in html_crf.leaf_blocks(page)] == want
+
+
 def test_field_decodes_held_out_pages():
     field = html_crf.trained()
     pages = html_crf.labelled_pages(150, 99)
