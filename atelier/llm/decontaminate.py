@@ -9,10 +9,13 @@
 4. A third pass projects half-overlapping passages; an item is a candidate where the latent cosine
    is high enough. Candidates must then share a long common subsequence of words with the item, in
    order, and enough of its answer (its last sentence), so that paraphrases count and common words do not.
+   An item of fewer than MIN_TERMS different words says too little for a cosine: its candidates are the
+   passages that hold those of its words that it cannot do without.
 
 What reaches the driver is bounded by the benchmark: a count per term and a terms x rank matrix.
 
-Defined results: null texts count as empty; an item without words is never found; an empty
+Defined results: null texts count as empty; an item without words is never found, and words end at white
+space or ASCII punctuation, also in scripts that write none between them; an empty
 benchmark finds nothing; ties in an item's best place go to the earliest passage; repeated rows
 are each reported; only doc_id and text, item_id and text are read.
 """
@@ -41,7 +44,7 @@ SPARE = 56  # rank beyond the number of items
 MOST_RANK = 768
 MOST_ITEMS = 50_000  # the benchmark is the query set and is sent to every executor: a larger one goes in parts
 SUMS = 32  # tasks' products are summed in so many groups before all of them
-MIN_TERMS = 3  # terms that a passage needs to be a candidate
+MIN_TERMS = 3  # terms that a passage needs to be a candidate, if the item has so many
 COSINE = 0.45
 COVERED = 0.6  # part of the item's words in common order
 SURE = 0.8  # from here on without an answer check
@@ -343,17 +346,44 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
+def short_items(items: Items, covered: float) -> list[tuple[int, int, int]]:
+    """(item, term, other term or -1) of each item of one or two terms: what a passage must hold to cover enough of it."""
+    out = []
+    for k, x in enumerate(items.words):
+        own, count = np.unique(items.lookup(x)[1], return_counts=True)
+        if len(own) < MIN_TERMS:  # so few terms are all its words
+            first, *other = own[np.argsort(-count, kind="stable")].tolist()
+            out.append((k, first, other[0] if other and count.max() < covered * len(x) else -1))
+    return out
+
+
+def holders(row: np.ndarray, term: np.ndarray, short: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """(row, item) of the rows that hold what each of the short items needs."""
+    order = np.argsort(term, kind="stable")
+    row, term = row[order], term[order]
+    need = np.array([s[1:] for s in short], np.int64)
+    low, high = np.searchsorted(term, need, "left"), np.searchsorted(term, need, "right")
+    out = []
+    for k in np.flatnonzero((high > low).all(1) | (need[:, 1] < 0) & (high > low)[:, 0]).tolist():
+        found = row[low[k, 0] : high[k, 0]]
+        if need[k, 1] >= 0:
+            found = np.intersect1d(found, row[low[k, 1] : high[k, 1]], assume_unique=True)
+        out += [(p, short[k][0]) for p in found.tolist()]
+    return out
+
+
 def _searcher(docs: DataFrame, items: Items, cosine: float, covered: float):
     """Makes, on an executor, the function text column -> found (row, item_id, place, sizes, shares)."""
     items, idf, space = latent_space(docs, items)
     row, term, weight = tf_idf(*_item_rows(items), idf)
     queries = project(row, term, weight, space, len(items.ids))
     queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-9)
-    shared = docs.sparkSession.sparkContext.broadcast((items, idf, space, queries))
+    shared = docs.sparkSession.sparkContext.broadcast((items, idf, space, queries, short_items(items, covered)))
 
     def make():
-        items, idf, space, queries = shared.value
+        items, idf, space, queries, short = shared.value
         judge = Judge(items, covered)
+        short_item = np.array([k for k, _, _ in short], np.int64)
 
         def search(column: pa.Array) -> list[tuple]:
             _, w = plain_words(column)
@@ -367,10 +397,14 @@ def _searcher(docs: DataFrame, items: Items, cosine: float, covered: float):
             again = half > 0
             row, held = np.concatenate([place, place[again] - 1]), np.concatenate([term, term[again]])
             row, held, weight = tf_idf(row, held, idf)
-            enough = np.bincount(row)
-            keep = enough[row] >= MIN_TERMS
+            enough = np.bincount(row) >= MIN_TERMS
+            pairs = holders(row, held, short) if short else []
+            keep = enough.copy()
+            keep[[p for p, _ in pairs]] = True
+            keep = keep[row]
             row, held, weight = row[keep], held[keep], weight[keep]
             numbers, row = np.unique(row, return_inverse=True)
+            extra = np.array(sorted(zip(np.searchsorted(numbers, [p for p, _ in pairs]).tolist(), [k for _, k in pairs], strict=True)), np.int64).reshape(-1, 2)
             out: dict[tuple[int, int], tuple] = {}
             lists: dict[int, list[int]] = {}
             for low in range(0, len(numbers), 4096):
@@ -378,7 +412,12 @@ def _searcher(docs: DataFrame, items: Items, cosine: float, covered: float):
                 z = project(row[a:b] - low, held[a:b], weight[a:b], space, min(4096, len(numbers) - low))
                 z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
                 close = z @ queries.T
-                for p, item in zip(*np.nonzero(close >= cosine), strict=True):
+                near = close >= cosine
+                near[~enough[numbers[low : low + 4096]]] = False
+                near[:, short_item] = False
+                here = extra[(extra[:, 0] >= low) & (extra[:, 0] < low + 4096)]
+                near[here[:, 0] - low, here[:, 1]] = True
+                for p, item in zip(*np.nonzero(near), strict=True):
                     number = numbers[low + p]
                     doc = int(np.searchsorted(base, number, side="right") - 1)
                     if doc not in lists:

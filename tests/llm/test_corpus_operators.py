@@ -274,6 +274,20 @@ def test_leaks_of_a_table(spark):
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, bench).collect()} == truth and truth
 
 
+def test_leaks_of_short_items(spark):
+    """Items of one or two different words: exact copies alone, among words that are no terms, and among terms of other items."""
+    long = [(i, " ".join(f"t{i}x{k}" for k in range(40))) for i in range(10, 13)]
+    items = [(1, "Zebra crossing?"), (2, "これは短い文です"), (3, "no no yes"), *long]
+    among = " ".join(w for k in range(40) for w in (f"t10x{k}", f"t11x{(k * 7) % 40}"))
+    docs = [(1, "zebra crossing"), (2, "the of and " * 40 + "zebra crossing " + "in to is " * 40), (3, f"{among} Zebra, crossing! {among}"), (4, "crossing the zebra"), (5, "zebra"), (6, "これは短い文です"), (7, f"{among} no no {among}"), (8, "yes no"), (9, "of " * 31 + "zebra crossing " + "of " * 31)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.find_leaks(spark.createDataFrame(docs, EDGE_SCHEMA), bench).collect()
+    assert {(x["doc_id"], x["item_id"]) for x in got if x["item_id"] < 10 and x["doc_id"] != 7} == {(1, 1), (2, 1), (3, 1), (6, 2), (9, 1)}
+    assert {x["common_words"] for x in got if x["item_id"] == 1} == {2} and (7, 3) in {(x["doc_id"], x["item_id"]) for x in got}
+    kept = decontaminate.drop_leaking(spark.createDataFrame(docs, EDGE_SCHEMA), bench)
+    assert {4, 5, 8} <= {x["doc_id"] for x in kept.collect()} and not {1, 2, 3, 6, 9} & {x["doc_id"] for x in kept.collect()}
+
+
 # --- personal data
 
 
