@@ -38,8 +38,8 @@ from atelier.llm.words import Texts, Words, texts, words
 
 HALF = 32  # words; a passage is two halves
 COMMON = 0.1  # share of items from which on a word is no term
-FREQUENT = 0.01  # share of passages from which on a word is no term ...
-KEPT_TERMS = 10  # ... but each item keeps so many of its rarest
+FREQUENT = 0.01  # share of passages from which on a word is no term
+KEPT_TERMS = 10  # each item keeps so many of its rarest words as terms against both rules
 SPARE = 56  # rank beyond the number of items
 MOST_RANK = 768
 MOST_ITEMS = 50_000  # the benchmark is the query set and is sent to every executor: a larger one goes in parts
@@ -86,7 +86,7 @@ class Items:
         rare = set(terms[shares <= max(2, COMMON * len(held))].tolist())
         by_share = dict(zip(terms.tolist(), shares.tolist(), strict=True))
         for x in held:  # each item keeps its rarest words at least
-            rare.update(sorted(x.tolist(), key=lambda v: (by_share[v], v))[:MIN_TERMS])
+            rare.update(sorted(x.tolist(), key=lambda v: (by_share[v], v))[:KEPT_TERMS])
         self._use(np.array(sorted(rare), np.uint64))
 
     def _use(self, terms: np.ndarray) -> None:

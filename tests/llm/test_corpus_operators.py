@@ -288,6 +288,15 @@ def test_leaks_of_short_items(spark):
     assert {4, 5, 8} <= {x["doc_id"] for x in kept.collect()} and not {1, 2, 3, 6, 9} & {x["doc_id"] for x in kept.collect()}
 
 
+def test_leaks_of_a_templated_benchmark(spark):
+    """Nearly all words of an item stand in every item; one of its few own words is changed in the copy."""
+    item = lambda k, own: f"A tank named {own} holds ninety litres and loses seven every hour until somebody mends its valve {k}a {k}b."
+    bench = spark.createDataFrame([(k, item(k, f"{k}c")) for k in range(40)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, item(5, "changed")), (2, item(6, "6c")), (3, "nothing of the kind")], EDGE_SCHEMA)
+    got = {(x["doc_id"], x["item_id"]) for x in decontaminate.find_leaks(docs, bench).collect()}
+    assert {(1, 5), (2, 6)} <= got and 3 not in {d for d, _ in got}
+
+
 # --- personal data
 
 
