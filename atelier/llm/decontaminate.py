@@ -23,6 +23,8 @@ are each reported; only doc_id and text, item_id and text are read.
 from __future__ import annotations
 
 import copy
+import functools
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -33,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atelier.llm.common import pieces
+from atelier.llm.common import materialise, pieces, release
 from atelier.llm.words import Texts, Words, texts, words
 
 HALF = 32  # words; a passage is two halves
@@ -42,7 +44,7 @@ FREQUENT = 0.01  # share of passages from which on a word is no term
 KEPT_TERMS = 10  # each item keeps so many of its rarest words as terms against both rules
 SPARE = 56  # rank beyond the number of items
 MOST_RANK = 768
-MOST_ITEMS = 50_000  # the benchmark is the query set and is sent to every executor: a larger one goes in parts
+MOST_ITEMS = 50_000  # the benchmark is the query set and is sent to every executor: a larger one is searched in blocks of so many
 SUMS = 32  # tasks' products are summed in so many groups before all of them
 MIN_TERMS = 3  # terms that a passage needs to be a candidate, if the item has so many
 COSINE = 0.45
@@ -299,19 +301,26 @@ class Judge:
         return best
 
 
-def _items(benchmark: DataFrame) -> Items:
-    rows = benchmark.select("item_id", "text").limit(MOST_ITEMS + 1).collect()
+def _blocks(benchmark: DataFrame) -> Iterator[Items]:
+    """The benchmark in blocks of MOST_ITEMS rows, by item; those without words are left out."""
+    benchmark = benchmark.select("item_id", "text")
+    rows = benchmark.limit(MOST_ITEMS + 1).collect()
     if len(rows) > MOST_ITEMS:
-        raise ValueError(f"more than {MOST_ITEMS} benchmark items: search them in parts")
-    return Items([(r["item_id"], r["text"]) for r in rows])
+        rows = benchmark.orderBy("item_id", "text").toLocalIterator()
+    rows = iter(rows)
+    while block := [(r["item_id"], r["text"]) for r in itertools.islice(rows, MOST_ITEMS)]:
+        items = Items(block)
+        if items.ids:
+            yield items
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, covered: float = COVERED) -> DataFrame:
     """A row for each text and each benchmark item that it holds, word by word or as a paraphrase."""
-    spark = docs.sparkSession
-    items = _items(benchmark)
-    if not items.ids:
-        return spark.createDataFrame([], LEAKS)
+    found = [_leaks_of(docs, items, cosine, covered) for items in _blocks(benchmark)]
+    return functools.reduce(DataFrame.union, found) if found else docs.sparkSession.createDataFrame([], LEAKS)
+
+
+def _leaks_of(docs: DataFrame, items: Items, cosine: float, covered: float) -> DataFrame:
     searcher = _searcher(docs, items, cosine, covered)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,11 +339,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, co
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all their columns unchanged."""
-    items = _items(benchmark)
-    if not items.ids:
-        return docs
-    searcher = _searcher(docs, items, COSINE, COVERED)
+    kept = written = None
+    for items in _blocks(benchmark):
+        if kept is not None:  # written in between, so that a task holds one block at a time
+            last, written = written, materialise(kept, "clean")
+            if last is not None:
+                release(last)
+        kept = _without(docs if written is None else written, _searcher(docs, items, COSINE, COVERED))
+    return docs if kept is None else kept
+
 
+def _without(docs: DataFrame, searcher) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = searcher()
         for batch in batches:

@@ -297,6 +297,21 @@ def test_leaks_of_a_templated_benchmark(spark):
     assert {(1, 5), (2, 6)} <= got and 3 not in {d for d, _ in got}
 
 
+def test_leaks_of_a_benchmark_in_blocks(spark, monkeypatch):
+    """More items than one search takes: repeated rows, an item in two blocks, and rows without words."""
+    item = lambda k: " ".join(f"b{k}w{j}" for j in range(20))
+    rows = [*((k, item(k)) for k in range(10)), (3, item(3)), (4, item(40)), (20, None), (None, item(50))]
+    bench = spark.createDataFrame([*rows, *((30 + k, "") for k in range(8))], "item_id long, text string")
+    docs = spark.createDataFrame([(100 + k, f"so {item(k)} so") for k in (0, 3, 5, 9, 40, 50, 60)] + [(200, f"{item(1)} and {item(8)}"), (201, None)], EDGE_SCHEMA)
+    pairs = lambda: sorted((x["doc_id"], x["item_id"]) for x in decontaminate.find_leaks(docs, bench).collect())
+    want = sorted([(100, 0), (103, 3), (103, 3), (105, 5), (109, 9), (140, 4), (200, 1), (200, 8)])
+    assert pairs() == want
+    monkeypatch.setattr(decontaminate, "MOST_ITEMS", 5)
+    assert pairs() == want
+    kept = decontaminate.drop_leaking(docs, bench)
+    assert kept.columns == docs.columns and sorted(x["doc_id"] for x in kept.collect()) == [150, 160, 201]
+
+
 # --- personal data
 
 
