@@ -3,8 +3,10 @@
 The network is trained in numpy from labelled spans (``labelled_texts``: seeded sentences around
 generated addresses, numbers and look-alikes; other labelled texts can be given to ``train``).
 
-A text is covered by overlapping windows wherever it has a digit or an at sign; nothing else can
-hold one of the four kinds. Each window is run through the network; where windows overlap, their
+The network reads a text in which digits of all scripts and full-width forms are their ASCII
+characters, and an at or a dot written out in brackets is its sign ("jane (at) example [dot] com");
+spans are places of the text itself. It is covered by overlapping windows wherever it then has a
+digit or an at sign. Numbers in words, and at and dot in words without brackets, are not searched. Each window is run through the network; where windows overlap, their
 scores are averaged with more weight to the window in which a character stands further from the
 edge, and one Viterbi path per covered stretch settles all of its windows together. Spans of that
 path that are sure enough and touch no base span are added to the base spans.
@@ -19,6 +21,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
@@ -43,6 +47,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]")
 _NO_DIGITS = re.compile(r"[^0-9]")
+_WRITTEN = re.compile(r"(?:(?<!\s)\s+)?(?:\(\s*(at|dot)\s*\)|\[\s*(at|dot)\s*\]|\{\s*(at|dot)\s*\}|<\s*(at|dot)\s*>)\s*", re.I)
+_ASCII = {c: chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)} | {0xFE6B: "@"}
+_ASCII |= {c: str(unicodedata.decimal(chr(c))) for c in range(128, sys.maxunicode + 1) if chr(c).isdecimal()}
 
 
 def luhn(digits: str) -> bool:
@@ -402,6 +409,20 @@ def tagged_spans(texts: list[str], tagger: Tagger) -> list[list[Span]]:
     return found
 
 
+def folded(text: str) -> tuple[str, list[tuple[int, int]]]:
+    """The text as the network reads it, and what part of ``text`` each character stands for (none if unmoved)."""
+    if not text.isascii():
+        text = text.translate(_ASCII)
+    out, places, at = [], [], 0
+    for m in _WRITTEN.finditer(text):
+        out += [text[at : m.start()], "@" if m[m.lastindex].lower() == "at" else "."]
+        places += [(k, k + 1) for k in range(at, m.start())] + [m.span()]
+        at = m.end()
+    if not at:
+        return text, []
+    return "".join([*out, text[at:]]), places + [(k, k + 1) for k in range(at, len(text))]
+
+
 def _card_numbers(text: str, a: int, b: int) -> list[tuple[int, int]]:
     """Runs of digit groups of a stretch that pass as cards, longest first from the left."""
     groups = [(a + m.start(), a + m.end()) for m in re.finditer("[0-9]+", text[a:b])]
@@ -434,11 +455,13 @@ def checked(text: str, kind: str, a: int, b: int) -> list[Span]:
 def all_spans(texts: list[str], tagger: Tagger) -> tuple[list[list[Span]], list[list[Span]]]:
     """(base spans, all spans) of each text, by start, then kind."""
     base = [base_spans(t) for t in texts]
+    read = [folded(t) for t in texts]
     both = []
-    for text, own, more in zip(texts, base, tagged_spans(texts, tagger), strict=True):
+    for (text, places), own, more in zip(read, base, tagged_spans([t for t, _ in read], tagger), strict=True):
         extra = []
         for tagged in more:
-            extra += [x for x in checked(text, *tagged) if all(x[2] <= s or e <= x[1] for _, s, e in own)]
+            found = [(k, places[a][0], places[b - 1][1]) if places else (k, a, b) for k, a, b in checked(text, *tagged)]
+            extra += [x for x in found if all(x[2] <= s or e <= x[1] for _, s, e in own)]
         both.append(sorted(own + extra, key=lambda s: (s[1], KINDS.index(s[0]))))
     return base, both
 

@@ -191,6 +191,31 @@ def test_tagger_gradients():
         assert abs((up - down) / 2e-4 - g[name][at]) < 1e-3 * max(1, abs(g[name][at])), name
 
 
+@pytest.mark.parametrize(
+    "value, kind",
+    [
+        ("jane (at) example (dot) com", "email"),
+        ("jane.doe [AT] mail.example [dot] org", "email"),
+        ("jane＠example.com", "email"),
+        ("ｊａｎｅ＠ｅｘａｍｐｌｅ．ｃｏｍ", "email"),
+        ("١٩٠.١٣٧.١٠.٩", "ip"),
+        ("+１ (８２６) ５５５-４０８１", "phone"),
+        ("४१११११११११११११११", "card"),
+    ],
+)
+def test_forms_that_the_base_rules_do_not_read(value, kind):
+    text = f"please write to {value} before noon"
+    base, both = pii_tagger.all_spans([text, "meet (at) noon, then a point (dot) here"], pii_tagger.trained())
+    assert base == [[], []] and both == [[(kind, 16, 16 + len(value))], []]
+
+
+def test_folding_keeps_places():
+    text = "a  (at) b٣ { dot }c" + " " * 100_000 + "("
+    new, places = pii_tagger.folded(text)
+    assert new == "a@b3.c" + " " * 100_000 + "(" and [text[a:b] for a, b in places[:6]] == ["a", "  (at) ", "b", "٣", " { dot }", "c"]
+    assert len(places) == len(new) and places[-1][1] == len(text) and pii_tagger.folded("x１") == ("x1", [])
+
+
 def test_tagger_learns_and_windows_agree():
     tagger = pii_tagger.trained()
     held_out = pii_tagger.labelled_texts(150, 77)
