@@ -57,11 +57,11 @@ def release(df: DataFrame) -> None:
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def group_rank(df: DataFrame, groups: list[str], block: Column, n_blocks: int, order: list[Column], name: str) -> DataFrame:
+def group_rank(df: DataFrame, groups: list[str], block: Column, order: list[Column], name: str) -> DataFrame:
     """Gapless rank from 0 inside each group, with no task holding a whole group.
 
-    Rows of a group are split over ``n_blocks`` blocks; ranks run through block 0, then block 1
-    and so on. Only the counts (groups x blocks rows, bounded by the parameters) meet in a window.
+    Rows of a group are split over the values of ``block``; ranks run through block 0, then block 1
+    and so on. Only the counts (groups x blocks rows, bounded by the caller) meet in a window.
     """
     b = f"__{name}_block"
     dealt = df.withColumn(b, block)
@@ -69,7 +69,7 @@ def group_rank(df: DataFrame, groups: list[str], block: Column, n_blocks: int, o
     before = Window.partitionBy(*groups).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*groups, b, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     ranked = dealt.withColumn("__rn", F.row_number().over(Window.partitionBy(*groups, b).orderBy(*order)))
-    joined = ranked.join(F.broadcast(offsets), [*groups, b])
+    joined = ranked.join(offsets, [*groups, b])  # dealt alike: only the offsets move, or are broadcast if small
     return joined.withColumn(name, (F.col("__before") + F.col("__rn") - 1).cast("long")).drop("__before", "__rn", b)
 
 

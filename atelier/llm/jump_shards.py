@@ -66,8 +66,8 @@ def shard_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", shards:
         jump_shards(key, shards).alias("__jump"),
     )
     rows = rows.select("doc_id", "size", "text_crc32", F.col("__jump.shard").alias("shard"), F.col("__jump.grown").alias("grown_shard"), F.col("__jump.mixed").alias("__mixed"))
-    block = F.col("__mixed").bitwiseAND(F.lit(blocks - 1)).cast("int")
-    ranked = group_rank(rows, ["shard"], block, blocks, [F.col("doc_id"), F.col("text_crc32"), F.col("size")], "slot")
+    block = (F.col("__mixed") + F.col("text_crc32")).bitwiseAND(F.lit(blocks - 1)).cast("int")  # rows of one key with unlike texts are spread
+    ranked = group_rank(rows, ["shard"], block, [F.col("doc_id"), F.col("text_crc32"), F.col("size")], "slot")
     return ranked.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
@@ -99,9 +99,9 @@ jumps AS (
   FROM (SELECT *, (state % 4294967296 * {MULTIPLIER} + state // 4294967296 * {MULTIPLIER % (1 << 32)} % 4294967296 * 4294967296 + 1) % 18446744073709551616 AS after FROM jumps WHERE jump <= {shards})
 ),
 landed AS (
-  SELECT r, max(shard) FILTER (WHERE shard < {shards})::INT AS shard, max(shard)::INT AS grown_shard, (max(mixed) % {blocks})::INT AS block FROM jumps GROUP BY r
+  SELECT r, max(shard) FILTER (WHERE shard < {shards})::INT AS shard, max(shard)::INT AS grown_shard, max(mixed) AS mixed FROM jumps GROUP BY r
 )
 SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard,
-       row_number() OVER (PARTITION BY shard ORDER BY block, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard
+       row_number() OVER (PARTITION BY shard ORDER BY (mixed + text_crc32) % {blocks}, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard
 FROM checked JOIN landed USING (r)
 """

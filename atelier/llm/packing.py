@@ -7,7 +7,8 @@ of at most a token budget.
 Only the histogram comes to the driver: one number per distinct length, at most the longest text's
 tokens divided by ``MULTIPLE``. Slots in a bucket are dealt in blocks, so no task holds a bucket.
 
-Defined results: a null or empty text has length 1 (its end token); rows longer than the budget
+Defined results: a null or empty text has length 1 (its end token); a long text is counted whole, and
+in a time in line with its length, whatever it holds; rows longer than the budget
 are alone in their batch; equal lengths always share a bucket; repeated rows keep a place each; an
 empty table gives no rows; only doc_id and text are read.
 """
@@ -15,7 +16,8 @@ empty table gives no rows; only doc_id and text are read.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,29 +31,51 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 BUCKETS = 16
 BUDGET = 65_536  # tokens of a batch, padding included
 MULTIPLE = 8  # lengths are padded to multiples of it at least
-BLOCKS = 256
+BLOCK_ROWS = 500_000  # rows of a block within which a bucket's slots are dealt
+LONG_RUN = 10_000  # characters of white space from which on a run is cut out before the pattern sees it
 
-_encodings: dict[str, object] = {}
+# What the pattern's engine takes for white space (Python's own class holds four more controls).
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_RUN = re.compile(f"(?<![{_SPACE}])[{_SPACE}]{{{LONG_RUN},}}")
+_counters: dict[str, Callable[[str], int]] = {}
 
 
-def _encoding(path: str):
-    if path not in _encodings:
+def token_counter(path: str = VOCABULARY) -> Callable[[str], int]:
+    """The function text -> number of tokens.
+
+    The pattern backtracks through white space and ends its process on runs of about a million
+    characters. A long run is therefore cut out as the pattern would cut it: all of it is one piece
+    at a text's end, else all but its last character, with which what follows begins.
+    """
+    if path not in _counters:
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-        _encodings[path] = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _encodings[path]
+        cut = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        whole = tiktoken.Encoding("piece", pat_str="(?s:.+)", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+        def count(text: str) -> int:
+            n, at = 0, 0
+            if len(text) >= LONG_RUN:
+                for m in _RUN.finditer(text):
+                    end = m.end() - (m.end() < len(text))
+                    n += len(cut(text[at : m.start()])) + len(whole(text[m.start() : end]))
+                    at = end
+            return n + len(cut(text[at:] if at else text))
+
+        _counters[path] = count
+    return _counters[path]
 
 
 def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, n_tokens (an end token included) of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(vocabulary).encode_ordinary
+        count = token_counter(vocabulary)
         for batch in batches:
             for part in pieces(batch, "text"):
-                n = [len(encode(x)) + 1 if x else 1 for x in part.column("text").to_pylist()]
+                n = [count(x) + 1 if x else 1 for x in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "n_tokens"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long")
@@ -108,14 +132,16 @@ def padded(n: Column, multiple: int) -> Column:
     return (F.ceil(n / multiple) * multiple).cast("long")
 
 
-def pack(lengths: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, multiple: int = MULTIPLE, blocks: int = BLOCKS) -> DataFrame:
+def pack(lengths: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, multiple: int = MULTIPLE, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(doc_id, n_tokens) -> the same with bucket, padded_tokens, batch, place and padding."""
     lengths = materialise(lengths, "lengths")
     counted = lengths.groupBy(padded(F.col("n_tokens"), multiple).alias("length")).agg(F.count(F.lit(1)).alias("n"))
-    bounds = optimal_bounds({r["length"]: r["n"] for r in counted.collect()}, buckets)
+    histogram = {r["length"]: r["n"] for r in counted.collect()}
+    bounds = optimal_bounds(histogram, buckets)
+    blocks = -(-sum(histogram.values()) // block_rows) or 1
     edges = F.array(*[F.lit(b).cast("long") for b in bounds]) if bounds else F.array(F.lit(0).cast("long"))
     bucketed = lengths.withColumn("bucket", F.size(F.filter(edges, lambda b: b < F.col("n_tokens"))).cast("int"))
-    ranked = group_rank(bucketed, ["bucket"], F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"), blocks, [F.col("doc_id"), F.col("n_tokens")], "slot")
+    ranked = group_rank(bucketed, ["bucket"], F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(blocks)).cast("int"), [F.col("doc_id"), F.col("n_tokens")], "slot")
     width = F.element_at(edges, F.col("bucket") + 1)
     per_batch = F.greatest(F.lit(1), F.floor(F.lit(budget) / width)).cast("long")
     return ranked.select(

@@ -105,6 +105,26 @@ def test_bucket_bounds_are_optimal():
     assert packing.optimal_bounds({}, 4) == []
 
 
+def test_tokens_of_cut_runs(monkeypatch):
+    """Runs cut out before the pattern give the tokens of the pattern alone."""
+    import base64
+
+    import tiktoken
+
+    with open(packing.VOCABULARY, "rb") as f:
+        ranks = {base64.b64decode(t): int(k) for t, k in map(bytes.split, f)}
+    whole = tiktoken.Encoding("whole", pat_str=packing.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    count = packing.token_counter()
+    monkeypatch.setattr(packing, "LONG_RUN", 3)
+    monkeypatch.setattr(packing, "_RUN", re.compile(packing._RUN.pattern.replace("{10000,}", "{3,}")))
+    assert packing._RUN.pattern.endswith("{3,}")
+    r = random.Random(9)
+    spaces = " \n\t\r\x0b\x0c\u3000\x85\xa0\x1c\x1f\u200b\u2028"
+    for _ in range(6000):
+        t = "".join(r.choice(["a", "é", "1", "!", "'s", " the"]) if r.random() < 0.3 else r.choice(spaces) * r.choice([1, 1, 2, 5, 9]) for _ in range(r.randint(0, 14)))
+        assert count(t) == len(whole(t)), t
+
+
 def test_common_subsequence():
     r = random.Random(4)
     for _ in range(200):

@@ -344,7 +344,7 @@ def test_pages(spark):
 def test_packing(spark):
     r = random.Random(7)
     rows = [(i, r.choice([3, 9, 60, 61, 500])) for i in range(500)] + [(500, 5000), (501, 1), (None, 7), (1, 9)]
-    got = packing.pack(spark.createDataFrame(rows, "doc_id long, n_tokens long"), buckets=4, budget=1000, blocks=8).collect()
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, n_tokens long"), buckets=4, budget=1000, block_rows=60).collect()
     assert sorted((x["doc_id"] is None, x["doc_id"], x["n_tokens"]) for x in got if x["doc_id"] is not None) == sorted((False, d, n) for d, n in rows if d is not None)
     batches = {}
     for x in got:
@@ -361,6 +361,23 @@ def test_packing(spark):
     assert packing.pack_documents(empty(spark)).count() == 0
 
 
+def test_packing_of_long_runs(spark):
+    """Texts of five million characters of white space, alone and between words; their stage of the pipeline, too."""
+    run = {"spaces": " ", "newlines": "\n", "tabs": "\t", "mixed": " \n\t\u3000"}
+    texts = {k: c * (5_000_000 // len(c)) for k, c in run.items()}
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts.values(), *(f"ab{t}cd" for t in texts.values())])], EDGE_SCHEMA).repartition(4)
+    got = {r["doc_id"]: r["n_tokens"] for r in packing.pack_documents(docs).collect()}
+    count = packing.token_counter()
+    piece = {c: count(c * 64) for c in run.values()}
+    assert got[0] == 5_000_001 and got[1] == 2_500_001 and piece["\n"] == 32  # this vocabulary has no run of spaces, and one of two line breaks
+    # "ab", the run but for its last character, and "cd" with or without that character
+    assert got[4] == count("ab") + 4_999_999 + count(" cd") + 1
+    assert got[5] == count("ab") + count("\n" * 4_999_999) + count("\ncd") + 1
+    assert {got[i] > 1_000_000 for i in range(8)} == {True}
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 8
+
+
 # --- quality classifier
 
 
