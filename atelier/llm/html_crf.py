@@ -1,16 +1,23 @@
 """Main text of web pages: a linear-chain conditional random field over DOM leaf blocks.
 
 A page is read into leaf blocks: runs of text between block-level tags. Each block has features of
-its ancestors' tags, roles and class words, and of its text. The chain's labels are article and
-other; weights are learned by gradient ascent on the exact log-likelihood (forward-backward) from
-labelled pages, and a page is decoded by Viterbi.
+its ancestors' tags, roles and class words, of its text, and of the container it stands in. The
+chain's labels are article and other; weights are learned by gradient ascent on the exact
+log-likelihood (forward-backward) from labelled pages, and a page is decoded by Viterbi.
+
+Where no part of a page is marked as its article, or only a small part, each of the text and
+container features has a second weight for such pages, so that plain ``div`` and table layouts are
+judged by their text, and not by marks that they lack.
 
 The labelled pages come from ``labelled_pages``, a seeded generator of layouts: where the article
-stands, what surrounds it and what interrupts it vary. Other labelled pages can be given to ``fit``.
+stands, what surrounds it, what interrupts it, and whether marks tell it, are silent or mislead,
+vary. Other labelled pages can be given to ``fit``.
 
 Defined results: a null or empty page has an empty text; a page without article blocks, too;
-unclosed and stray tags are read as browsers do, roughly; text in the elements of ``RAW`` is no text of
-the page, that in formulas (math) is; equal pages give equal texts; only page_id, url and html are read.
+unclosed and stray tags are read as browsers do, roughly, in a time in line with the page's length
+however deep they nest; text in the elements of ``RAW`` is no text of the page, that in formulas
+and fallbacks (math, object, canvas, noscript) is; repeated pages give equal texts, an empty table
+no rows; only page_id, url and html are read.
 """
 
 from __future__ import annotations
@@ -19,7 +26,7 @@ import html as entities
 import random
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +38,15 @@ TEXTS = "page_id long, url string, text string, n_chars long"
 
 # Element kinds of HTML.
 BLOCKS = frozenset(
-    "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol optgroup "
+    "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav noscript ol optgroup "
     "option p pre search section select summary table tbody td textarea tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "noscript", "template", "svg", "iframe", "object", "canvas")
+RAW = ("script", "style", "template", "svg", "iframe")
 CLOSES_P = BLOCKS - frozenset("body button head html label option optgroup select textarea title".split())
 CLOSED_BY = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+LISTS = ("ul", "ol", "dl", "table", "select")
+CONTAINERS = frozenset("article aside body center dd details dialog div fieldset footer form header main nav noscript section td th".split())
 SECTIONS = frozenset("article aside body dialog footer form header main nav section".split())
 # Beginnings of class and id words that tell what a part of a page is for.
 STEMS = (
@@ -45,6 +54,10 @@ STEMS = (
     "breadcrumb pagina pager toolbar header masthead topbar footer bottom copyright legal share social related recommend trending popular tags meta byline author content article post entry story main body text page wrap hidden skip"
 ).split()
 AD_WORDS = frozenset(("ad", "ads", "adv", "adbox", "adslot", "adunit", "adsense", "dfp"))
+# Marks of an article, and marks under which text is none even inside such a one.
+TELLING = frozenset("tag:article tag:main role:main role:article class:article class:content class:post class:entry class:story class:main class:body class:text".split())
+CONTRARY = frozenset("tag:nav tag:aside tag:footer tag:form class:ad class:advert class:sponsor class:comment class:respon class:nav class:menu class:sidebar class:footer class:form class:search hidden".split())
+LONGEST_KEY = 300  # attributes up to this length are remembered with what they say
 
 _IN_TAG = r"""(?:"[^"]*"|'[^']*'|[^'"<>])*"""  # an opening bracket ends what was no tag, so reading stays linear
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_IN_TAG})>", re.S)
@@ -57,14 +70,13 @@ _DIGITS = re.compile(r"\d")
 
 
 class Block:
-    __slots__ = ("features", "section", "text", "linked")
+    __slots__ = ("features", "section", "container", "text", "linked")
 
-    def __init__(self, features: frozenset[str], section: int) -> None:
-        self.features, self.section, self.text, self.linked = features, section, [], 0
+    def __init__(self, features: frozenset[str], section: int, container: int) -> None:
+        self.features, self.section, self.container, self.text, self.linked = features, section, container, [], 0
 
 
-@cache
-def _marks(attributes: str) -> frozenset[str]:
+def _read_marks(attributes: str) -> frozenset[str]:
     out = set()
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
@@ -81,6 +93,13 @@ def _marks(attributes: str) -> frozenset[str]:
     return frozenset(out)
 
 
+_known_marks = lru_cache(8192)(_read_marks)
+
+
+def _marks(attributes: str) -> frozenset[str]:
+    return _known_marks(attributes) if len(attributes) <= LONGEST_KEY else _read_marks(attributes)
+
+
 def self_closed(attributes: str) -> bool:
     """Whether a tag ends in a slash that is not part of an unquoted value."""
     if not attributes.endswith("/"):
@@ -89,12 +108,42 @@ def self_closed(attributes: str) -> bool:
     return "=" not in tail and not attributes[: -len(tail)].rstrip().endswith("=")
 
 
-def leaf_blocks(page: str) -> list[tuple[str, frozenset[str], int, float]]:
-    """(text, ancestor features, number of the nearest section, share of linked characters) of each block with text."""
+class Open:
+    """The open elements: (tag, features, section, container), and where each tag and any block stands among them."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, frozenset[str], int, int]] = []
+        self.at: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, tag: str, features: frozenset[str], section: int, container: int) -> None:
+        self.at.setdefault(tag, []).append(len(self.stack))
+        if tag in BLOCKS:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, features, section, container))
+
+    def last(self, *tags: str) -> int:
+        """Depth of the innermost of these tags; -1 if none is open."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
+
+    def close(self, depth: int) -> None:
+        """Everything from ``depth`` on."""
+        while len(self.stack) > depth:
+            tag = self.stack.pop()[0]
+            self.at[tag].pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
+
+    def innermost(self) -> tuple[str, frozenset[str], int, int]:
+        return self.stack[-1] if self.stack else ("", frozenset(), 0, 0)
+
+
+def leaf_blocks(page: str) -> list[tuple[str, frozenset[str], int, float, int]]:
+    """(text, ancestor features, number of the nearest section, share of linked characters, number of the container) of each block with text."""
     nothing: frozenset[str] = frozenset()
-    stack: list[tuple[str, frozenset[str], int]] = []
+    held = Open()
     out: list[Block] = []
-    now, links, sections, at = None, 0, 0, 0
+    now, sections, containers, at = None, 0, 0, 0
 
     def add(text: str) -> None:
         nonlocal now
@@ -103,12 +152,12 @@ def leaf_blocks(page: str) -> list[tuple[str, frozenset[str], int, float]]:
         if now is None:
             if not text.strip():
                 return
-            top = stack[-1] if stack else ("", nothing, 0)
-            inner = next((t for t, _, _ in reversed(stack) if t in BLOCKS), "none")
-            now = Block(top[1] | {f"in:{inner}"}, top[2])
+            _, features, section, container = held.innermost()
+            inner = held.stack[held.blocks[-1]][0] if held.blocks else "none"
+            now = Block(features | {f"in:{inner}"}, section, container)
             out.append(now)
         now.text.append(text)
-        if links:
+        if held.at.get("a"):
             now.linked += len(text.strip())
 
     while m := _TOKEN.search(page, at):
@@ -129,47 +178,42 @@ def leaf_blocks(page: str) -> list[tuple[str, frozenset[str], int, float]]:
         if tag in BLOCKS:
             now = None
         if m[1]:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if depth is not None and (tag in BLOCKS or all(t not in BLOCKS for t, _, _ in stack[depth:])):
-                links -= sum(t == "a" for t, _, _ in stack[depth:])
-                del stack[depth:]
+            depth = held.last(tag)
+            if depth >= 0 and (tag in BLOCKS or not held.blocks or held.blocks[-1] < depth):
+                held.close(depth)
             continue
         if tag in VOID or m[3].endswith("/") and tag not in BLOCKS:
             continue
-        if tag in CLOSES_P:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in BLOCKS), None)
-            if depth is not None and stack[depth][0] == "p":
-                links -= sum(t == "a" for t, _, _ in stack[depth:])
-                del stack[depth:]
+        if tag in CLOSES_P and held.blocks and held.stack[held.blocks[-1]][0] == "p":
+            held.close(held.blocks[-1])
         if tag in CLOSED_BY:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in ("ul", "ol", "dl", "table", "select") or stack[k][0] in CLOSED_BY[tag]), None)
-            if depth is not None and stack[depth][0] in CLOSED_BY[tag]:
-                links -= sum(t == "a" for t, _, _ in stack[depth:])
-                del stack[depth:]
+            depth = held.last(*CLOSED_BY[tag])
+            if depth > held.last(*LISTS):
+                held.close(depth)
         marks = _marks(m[3]) if m[3] else nothing
-        _, above, section = stack[-1] if stack else ("", nothing, 0)
+        _, above, section, container = held.innermost()
         if tag in SECTIONS or tag == "div" and marks:
             sections += 1
             section = sections
+        if tag in CONTAINERS:
+            containers += 1
+            container = containers
         own = marks | {f"tag:{tag}"} if tag in BLOCKS else marks
         if tag == "article" and "tag:article" in above:
             own = own | {"nested:article"}
-        links += tag == "a"
-        stack.append((tag, above | own if own else above, section))
+        held.push(tag, above if own <= above else above | own, section, container)
     add(page[at:])
     found = []
     for b in out:
         text = " ".join(entities.unescape("".join(b.text)).split())
         if text:
-            found.append((text, b.features, b.section, min(1.0, b.linked / len(text))))
+            found.append((text, b.features, b.section, min(1.0, b.linked / len(text)), b.container))
     return found
 
 
-def block_features(text: str, ancestors: frozenset[str], linked: float) -> list[str]:
+def text_features(text: str, linked: float) -> list[str]:
     words = text.count(" ") + 1
-    out = list(ancestors)
-    out.append(f"words:{min(words.bit_length(), 6)}")
-    out.append("links:all" if linked > 0.8 else "links:some" if linked > 0.2 else "links:few")
+    out = [f"words:{min(words.bit_length(), 6)}", "links:all" if linked > 0.8 else "links:some" if linked > 0.2 else "links:few"]
     if text[-1] in ".!?…":
         out.append("ends")
     if "©" in text:
@@ -179,6 +223,37 @@ def block_features(text: str, ancestors: frozenset[str], linked: float) -> list[
     return out
 
 
+def page_features(blocks: list[tuple[str, frozenset[str], int, float, int]]) -> list[list[str]]:
+    """Features of each block but for its ancestors'."""
+    out = [text_features(text, linked) for text, _, _, linked, _ in blocks]
+    size = [text.count(" ") + 1 for text, *_ in blocks]
+    telling: dict[frozenset[str], bool] = {}
+    marked = 0
+    for n, (_, ancestors, *_) in zip(size, blocks, strict=True):
+        if ancestors not in telling:
+            telling[ancestors] = not TELLING.isdisjoint(ancestors) and CONTRARY.isdisjoint(ancestors)
+        marked += n * telling[ancestors]
+    total = sum(size)
+    if marked * 5 >= total:
+        return out
+    # no marks, or on little text only: what the text and its container look like counts for more
+    kind = "few" if marked else "bare"
+    plain: dict[int, int] = {}  # words out of links in each container
+    linked_words: dict[int, int] = {}
+    for n, (*_, linked, container) in zip(size, blocks, strict=True):
+        (linked_words if linked > 0.8 else plain)[container] = (linked_words if linked > 0.8 else plain).get(container, 0) + n
+    first = next((k for k, f in enumerate(out) if "words:6" in f or "words:5" in f), len(out))
+    last = next((k for k in range(len(out) - 1, -1, -1) if "words:6" in out[k] or "words:5" in out[k]), -1)
+    for k, (own, (_, ancestors, *_, container)) in enumerate(zip(out, blocks, strict=True)):
+        inner = next((f for f in ancestors if f.startswith("in:")), "in:none")
+        near = [f"before:{min(size[k - 1].bit_length(), 6)}" if k else "before:none", f"after:{min(size[k + 1].bit_length(), 6)}" if k + 1 < len(size) else "after:none"]
+        here, links = plain.get(container, 0), linked_words.get(container, 0)
+        room = [f"room:{min(here.bit_length(), 8)}", f"share:{min(4, here * 5 // total)}", "room:linked" if links > here else "room:plain"]
+        place = "place:inside" if first <= k <= last else "place:first" if k < first else "place:last"
+        own += [f"{kind}/{f}" for f in (*own, inner, *near, *room, place, f"{inner}/{own[0]}", f"{inner}/{place}")] + [kind]
+    return out
+
+
 class Field:
     """Weights of a two-label chain: the score of label 1 against 0, and transitions inside and between sections."""
 
@@ -186,14 +261,15 @@ class Field:
         self.weight = dict(zip(names, weights.tolist(), strict=True))
         self.moves = moves.tolist()  # [same section][from][to]
 
-    def decode(self, blocks: list[tuple[str, frozenset[str], int, float]]) -> list[bool]:
+    def decode(self, blocks: list[tuple[str, frozenset[str], int, float, int]]) -> list[bool]:
         """Viterbi."""
         a, b, back, before = 0.0, 0.0, [], None
         known: dict[frozenset[str], float] = {}
-        for k, (text, ancestors, section, linked) in enumerate(blocks):
+        weight, bias = self.weight, self.weight["bias"]
+        for k, ((_, ancestors, section, *_), own) in enumerate(zip(blocks, page_features(blocks), strict=True)):
             if ancestors not in known:
-                known[ancestors] = sum(self.weight.get(f, 0.0) for f in ancestors)
-            score = self.weight["bias"] + known[ancestors] + sum(self.weight.get(f, 0.0) for f in block_features(text, frozenset(), linked))
+                known[ancestors] = sum(weight.get(f, 0.0) for f in ancestors)
+            score = bias + known[ancestors] + sum(weight.get(f, 0.0) for f in own)
             if k == 0:
                 a, b = 0.0, score
             else:
@@ -222,7 +298,7 @@ def fit(pages: list[tuple[str, list[bool]]], steps: int = 150, rate: float = 0.1
     """
     read = [(leaf_blocks(p), y) for p, y in pages]
     read = [(b, y) for b, y in read if b]
-    lists = [[block_features(t, f, link) + ["bias"] for t, f, _, link in b] for b, _ in read]
+    lists = [[[*ancestors, *own, "bias"] for (_, ancestors, *_), own in zip(b, page_features(b), strict=True)] for b, _ in read]
     names = sorted({f for page in lists for block in page for f in block})
     number = {f: k for k, f in enumerate(names)}
     n, most = len(read), max(len(b) for b, _ in read)
@@ -270,8 +346,8 @@ def fit(pages: list[tuple[str, list[bool]]], steps: int = 150, rate: float = 0.1
     return Field(names, theta[:-8], theta[-8:].reshape(2, 2, 2))
 
 
-def labelled_pages(count: int = 500, seed: int = 4) -> list[tuple[str, list[bool]]]:
-    """Pages of random layout with the label of each leaf block."""
+def labelled_pages(count: int = 900, seed: int = 4, plain: float = 0.3, unmarked: float = 0.2) -> list[tuple[str, list[bool]]]:
+    """Pages of random layout with the label of each leaf block; a share of ``plain`` have no telling marks, or misleading ones, and of the rest ``unmarked`` mark all but the article."""
     r = random.Random(seed)
     syllables = "ka lo mi ter en sh un de ra ion ve st al qu é or ing ly ä ó".split()
 
@@ -393,7 +469,12 @@ def labelled_pages(count: int = 500, seed: int = 4) -> list[tuple[str, list[bool
         frame = pick("main div none none")
         out.append({"main": "<main>", "div": f'<div class="{pick("container wrapper page layout")}">', "none": ""}[frame])
         shape = pick("article article article article div section main")
-        mark = "" if shape in ("article", "main") and r.random() < 0.7 else f' {pick("class id")}="{pick("content article post-content entry-content story-body main-text article-body")}"'
+        if r.random() < unmarked:  # the rest of the page is marked, the article is not
+            shape = pick("div div section")
+            out[-1], frame, bare = "", "none", r.choice(["", "", ' class="row"', ' class="col-8 left"', ' id="x1"'])
+        else:
+            bare = None
+        mark = bare if bare is not None else "" if shape in ("article", "main") and r.random() < 0.7 else f' {pick("class id")}="{pick("content article post-content entry-content story-body main-text article-body")}"'
         out.append(f"<{shape}{mark}>")
         body()
         if r.random() < 0.25:
@@ -407,16 +488,129 @@ def labelled_pages(count: int = 500, seed: int = 4) -> list[tuple[str, list[bool
             around("foot")
         return "".join(out) + ("</body></html>" if r.random() < 0.9 else ""), labels
 
+    def build_plain() -> tuple[str, list[bool]]:
+        """Fragments, unmarked divs, layout tables, and wrappers whose marks speak of something else."""
+        out: list[str] = []
+        labels: list[bool] = []
+
+        def put(markup: str, *keep: bool) -> None:
+            out.append(markup)
+            labels.extend(keep)
+
+        def links(n: int) -> None:
+            x = r.random()
+            if x < 0.5:
+                out.append("<ul>")
+                for _ in range(n):
+                    put(f"<li>{link(word())}</li>", False)
+                out.append("</ul>")
+            elif x < 0.8:
+                put(f"<{(t := pick('div p'))}>{pick('| &gt; &middot;').join(f' {link(word())} ' for _ in range(n))}</{t}>", False)
+            else:
+                for _ in range(n):
+                    put(f"<div>{link(word())}</div>", False)
+
+        def text(n: int) -> str:
+            return " ".join(sentence() for _ in range(n))
+
+        def article(heads: str) -> None:
+            if r.random() < 0.8:
+                put(f"<{(t := pick(heads))}>{sentence(8)}</{t}>", True)
+            if r.random() < 0.15:
+                put(f"<p>{sentence(4)} {r.randint(1, 28)}.{r.randint(1, 12)}.{r.randint(1990, 2030)}</p>", True)
+            if r.random() < 0.12:  # one block with line breaks
+                put(f"<div>{'<br><br>'.join(text(r.choice([1, 3, 6])) for _ in range(r.randint(1, 5)))}</div>", True)
+                return
+            for _ in range(r.choice([1, 2, 2, 3, 5, 9])):
+                x = r.random()
+                if x < 0.72:
+                    put(f"<p>{text(r.choice([1, 2, 4, 8]))}" + ("</p>" if r.random() < 0.8 else ""), True)
+                elif x < 0.78:
+                    put(f"<p>{sentence()} {link(word())} {sentence()}</p>", True)
+                elif x < 0.86:
+                    put(f"<{(t := pick('h2 h3 h4'))}>{sentence(5)}</{t}>", True)
+                    put(f"<p>{text(r.choice([1, 2, 4]))}</p>", True)
+                elif x < 0.92:
+                    out.append("<ul>")
+                    for _ in range(r.randint(1, 4)):
+                        put(f"<li>{sentence()}</li>", True)
+                    out.append("</ul>")
+                elif x < 0.96:
+                    put(f"<blockquote>{text(2)}</blockquote>", True)
+                else:
+                    put(f"<figure><img src=x><figcaption>{sentence()}</figcaption></figure>", True)
+            if r.random() < 0.6:
+                put(f"<p>{text(r.choice([2, 4, 8]))}</p>", True)
+
+        def top() -> None:
+            if r.random() < 0.5:
+                put(f"<{(t := pick('div h1 h2 p'))}>{link(sentence(3))}</{t}>" if r.random() < 0.7 else f"<div>{word()}</div>", False)
+            if r.random() < 0.7:
+                links(r.randint(2, 8))
+
+        def bottom() -> None:
+            if r.random() < 0.3:
+                put(f"<h3>{word()} {word()}</h3>", False)
+                out.append("<ul>")
+                for _ in range(r.randint(2, 6)):
+                    put(f"<li>{link(sentence(5))}</li>", False)
+                out.append("</ul>")
+            if r.random() < 0.6:
+                put(f"<{(t := pick('div p'))}>&copy; {r.randint(1995, 2030)} {word()}. {sentence(6) if r.random() < 0.5 else ''}</{t}>", False)
+            if r.random() < 0.3:
+                links(r.randint(2, 5))
+            if r.random() < 0.1:
+                put(f"<footer><p>{sentence()}</p></footer>", False)
+
+        shape = pick("fragment fragment bare bare bare table table misled misled misled")
+        if shape == "fragment":
+            out.append(tag := pick("<div> <div> <body> <section> <center>") if r.random() < 0.8 else "")
+            article("h1 h2")
+            return "".join(out) + tag.replace("<", "</"), labels
+        odd = "has-sidebar sidebar-left with-menu nav-open menu-layout header-fixed comments-open form-page ad-free no-ads widget-area modal-open tagged share-on promo-off social"
+        attribute = f' class="{pick(odd)}"' if shape == "misled" else r.choice(["", "", ' class="row"', ' id="x1"', ' class="col-8 left"', ' class="wrapper"', ' style="width:80%"'])
+        put("<html><head>" + f"<title>{sentence(8)}</title></head><body" + (f' class="{pick(odd)}"' if shape == "misled" and r.random() < 0.5 else "") + ">", False)
+        whole = "<form>" if shape == "misled" and r.random() < 0.2 else ""
+        out.append(whole)
+        if shape == "table":
+            out.append("<table><tr><td colspan=3>")
+            top()
+            out.append("</td></tr><tr><td>")
+            side = r.random() < 0.5
+            if side:
+                for _ in range(r.randint(2, 8)):
+                    put(f"{link(word())}<p>" if r.random() < 0.3 else f"<div>{link(word())}</div>", False)
+                out.append("</td><td>")
+            article("h1 h2 h3")
+            if not side and r.random() < 0.5:
+                out.append("</td><td>")
+                links(r.randint(2, 6))
+            out.append("</td></tr><tr><td>")
+            bottom()
+            out.append("</td></tr></table>")
+        else:
+            out.append(tag := pick("<div> <div> <header>") if r.random() < 0.5 else "")
+            top()
+            out.append(tag.replace("<", "</"))
+            inner = "" if shape == "bare" and r.random() < 0.25 else pick("div div div section")
+            out.append(f"<{inner}{attribute}>" if inner else "")
+            article("h1 h1 h2")
+            out.append(f"</{inner}>" if inner else "")
+            out.append(tag := pick("<div> <footer>") if r.random() < 0.5 else "")
+            bottom()
+            out.append(tag.replace("<", "</"))
+        return "".join(out) + whole.replace("<", "</") + "</body></html>", labels
+
     pages = []
     for _ in range(count):
-        page, labels = build()
+        page, labels = build_plain() if r.random() < plain else build()
         if len(leaf_blocks(page)) == len(labels):  # a layout that reads otherwise than it was meant is no example
             pages.append((page, labels))
     return pages
 
 
 @cache
-def trained(count: int = 500, seed: int = 4) -> Field:
+def trained(count: int = 900, seed: int = 4) -> Field:
     return fit(labelled_pages(count, seed))
 
 

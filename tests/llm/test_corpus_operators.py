@@ -5,6 +5,7 @@ import itertools
 import json
 import random
 import zlib
+from html.parser import HTMLParser
 
 import duckdb
 import pytest
@@ -338,6 +339,45 @@ def test_pages(spark):
     assert html_crf.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+class _Article(HTMLParser):
+    """The article of the table's pages, read by another parser: its blocks, line by line."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.raw, self.blocks = 0, 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        self.raw += tag in ("script", "style")
+        if tag == "br":
+            self.blocks[-1] += " "
+        elif tag not in ("a", "b", "i", "em", "strong", "span", "code"):
+            self.blocks.append("")
+
+    def handle_endtag(self, tag):
+        self.inside -= tag == "article"
+        self.raw -= tag in ("script", "style")
+        if tag not in ("a", "b", "i", "em", "strong", "span", "code"):
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside and not self.raw:
+            self.blocks[-1] += data
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_pages_against_another_parser(spark, sf):
+    rows = spark.read.parquet(f"{SF[:-5]}{sf}/pages.parquet").collect()
+    got = {r["page_id"]: r for r in QUERIES["op4_crf_extraction"](spark, f"{SF[:-5]}{sf}").collect()}
+    for r in rows:
+        parser = _Article()
+        parser.feed(r["html"])
+        parser.close()
+        want = "\n".join(t for t in (" ".join(b.split()) for b in parser.blocks) if t)
+        assert got[r["page_id"]]["text"] == want and got[r["page_id"]]["n_chars"] == len(want), r["page_id"]
+    assert len(got) == len(rows)
+
+
 # --- packing
 
 
