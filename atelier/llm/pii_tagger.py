@@ -1,19 +1,22 @@
 """Personal data: base rules, and a character-level bidirectional LSTM with CRF transitions.
 
 The network is trained in numpy from labelled spans (``labelled_texts``: seeded sentences around
-generated addresses, numbers and look-alikes; other labelled texts can be given to ``train``).
+generated addresses, numbers and look-alikes; other labelled texts can be given to ``train``). Its
+weights are stored in the shared folder, so that they are trained once and not by each driver.
 
-The network reads a text in which digits of all scripts and full-width forms are their ASCII
-characters, and an at or a dot written out in brackets is its sign ("jane (at) example [dot] com");
-spans are places of the text itself. It is covered by overlapping windows wherever it then has a
-digit or an at sign. Numbers in words, and at and dot in words without brackets, are not searched. Each window is run through the network; where windows overlap, their
+Texts are cut into overlapping windows, and digits of all scripts and full-width forms are read as
+their ASCII characters. A value of one of the four kinds has a digit, an at sign or an at written
+out, whatever its form, so windows with none of these near by need not be run: nothing in them could
+pass ``checked`` (tests hold the spans against those of all windows). Where windows overlap, their
 scores are averaged with more weight to the window in which a character stands further from the
 edge, and one Viterbi path per covered stretch settles all of its windows together. Spans of that
-path that are sure enough and touch no base span are added to the base spans.
+path that are sure enough, can be a value of their kind (``checked``) and touch no base span are
+added to the base spans. Numbers in words are not searched.
 
 Defined results: null texts count as empty, and have no spans; base spans of different kinds may
-overlap; of the method's spans none overlaps another; repeated rows are judged alike; an empty
-table gives no rows; only doc_id and text are read, and ``redact`` keeps all columns.
+overlap; of the method's spans none overlaps another; equal scores take the label listed first;
+very long texts are read whole, with memory in line with their length; repeated rows are judged
+alike; an empty table gives no rows; only doc_id and text are read, and ``redact`` keeps all columns.
 """
 
 from __future__ import annotations
@@ -28,15 +31,15 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from atelier.llm.common import pieces
+from atelier.llm.common import pieces, shared_dir
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW, STRIDE, REACH = 96, 48, 40
-HIDDEN, EMBED = 20, 12
+WINDOW, OVERLAP = 192, 32  # characters; training takes windows of half that size
+HIDDEN, EMBED = 16, 12
 SURE = 4.0  # log-odds of a span's labels against none, summed over the span, that the method's own spans need
-SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
+SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long, n_added long"
 
 Span = tuple[str, int, int]
 
@@ -47,7 +50,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]")
 _NO_DIGITS = re.compile(r"[^0-9]")
-_WRITTEN = re.compile(r"(?:(?<!\s)\s+)?(?:\(\s*(at|dot)\s*\)|\[\s*(at|dot)\s*\]|\{\s*(at|dot)\s*\}|<\s*(at|dot)\s*>)\s*", re.I)
+_WRITTEN = re.compile(r"(?:(?<!\s)\s+)?(?:[(\[{<]\s*(at|dot|@|\.)\s*[)\]}>]|(?<=\s)(at|dot)(?=\s))\s*", re.I)
 _ASCII = {c: chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)} | {0xFE6B: "@"}
 _ASCII |= {c: str(unicodedata.decimal(chr(c))) for c in range(128, sys.maxunicode + 1) if chr(c).isdecimal()}
 
@@ -90,14 +93,31 @@ def base_spans(text: str) -> list[Span]:
 
 # --- characters and labels
 
-_CHARS = {c: k + 8 for k, c in enumerate("0123456789@.+-_()[] ,:;/|&#$%*!?\"'=\n")}
-SYMBOLS = len(_CHARS) + 8
+_PRINTED = [*range(32, 127), 10]
+SYMBOLS = 5 + len(_PRINTED)
 LABELS = 1 + 2 * len(KINDS)  # outside; then first and further characters of each kind
 
 
+@cache
+def _code_table() -> np.ndarray:
+    """Code of every character: 0 is no character, then other letters, other capitals, other white space, anything else, ASCII."""
+    out = np.full(sys.maxunicode + 1, 4, np.uint8)
+    for c in range(128, sys.maxunicode + 1):
+        x = chr(c)
+        if x.isalpha():
+            out[c] = 2 if x.isupper() else 1
+        elif x.isspace():
+            out[c] = 3
+    out[9:14] = 3
+    for k, c in enumerate(_PRINTED):
+        out[c] = 5 + k
+    for c, x in _ASCII.items():
+        out[c] = out[ord(x)]
+    return out
+
+
 def codes(text: str) -> np.ndarray:
-    """Small numbers for characters: digits and marks by themselves, letters by case and whether ASCII."""
-    return np.fromiter((_CHARS.get(c) or (1 if "a" <= c <= "z" else 2 if "A" <= c <= "Z" else 3 if c.isalpha() else 4 if c.isspace() else 5) for c in text), np.int64, len(text))
+    return _code_table()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
 
 
 def _allowed() -> tuple[np.ndarray, np.ndarray]:
@@ -125,83 +145,89 @@ class Tagger:
             self.p[f"b{d}"][HIDDEN : 2 * HIDDEN] = 1
 
     def _lstm(self, x: np.ndarray, d: str, keep: bool):
-        """x: steps x rows x EMBED -> hidden states; with what backward needs if ``keep``."""
-        w, b = self.p[f"w{d}"], self.p[f"b{d}"]
-        steps, rows, _ = x.shape
-        inner = x.reshape(-1, EMBED) @ w[:EMBED] + b
-        inner = inner.reshape(steps, rows, -1)
-        h, c = np.zeros((rows, HIDDEN), np.float32), np.zeros((rows, HIDDEN), np.float32)
-        out, saved = np.empty((steps, rows, HIDDEN), np.float32), []
+        """x: steps x rows of codes -> hidden states, steps x rows x HIDDEN; with what backward needs if ``keep``."""
+        w = self.p[f"w{d}"]
+        inner = self.p["embed"] @ w[:EMBED] + self.p[f"b{d}"]  # of each symbol
+        steps, rows = x.shape
         H = HIDDEN
+        kind = inner.dtype
+        h, c, g, tc = np.zeros((rows, H), kind), np.zeros((rows, H), kind), np.empty((rows, 4 * H), kind), np.empty((rows, H), kind)
+        out, saved = np.empty((steps, rows, H), kind), []
         for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
-            g = inner[t] + h @ w[EMBED:]
-            s = np.tanh(g[:, : 3 * H] * 0.5) * 0.5 + 0.5
-            n = np.tanh(g[:, 3 * H :])
             before, h_before = c, h
-            c = s[:, H : 2 * H] * c + s[:, :H] * n
-            tc = np.tanh(c)
-            h = s[:, 2 * H :] * tc
-            out[t] = h
+            np.matmul(h, w[EMBED:], out=g)
+            g += inner[x[t]]
+            s, n = g[:, : 3 * H], g[:, 3 * H :]
+            s *= 0.5
+            np.tanh(g, out=g)
+            s *= 0.5
+            s += 0.5
+            c = s[:, H : 2 * H] * c
+            c += s[:, :H] * n
+            np.tanh(c, out=tc)
+            h = np.multiply(s[:, 2 * H :], tc, out=out[t])
             if keep:
-                saved.append((t, s, n, before, tc, h_before))
+                saved.append((t, s.copy(), n.copy(), before, tc.copy(), h_before))
         return out, saved
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         """rows x steps of codes -> rows x steps x LABELS."""
-        e = self.p["embed"][x.T]
-        both = np.concatenate([self._lstm(e, "f", False)[0], self._lstm(e, "b", False)[0]], axis=2)
-        return (both @ self.p["out"] + self.p["out_b"]).transpose(1, 0, 2)
+        x, H = np.ascontiguousarray(x.T), HIDDEN
+        score = self._lstm(x, "f", False)[0] @ self.p["out"][:H]
+        score += self._lstm(x, "b", False)[0] @ self.p["out"][H:]
+        score += self.p["out_b"]
+        return score.transpose(1, 0, 2)
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean negative log-likelihood of the label paths."""
+        """Of the mean negative log-likelihood of the label paths; forward-backward with each step scaled to sum to one."""
         p, rows, steps = self.p, *x.shape
-        e = p["embed"][x.T]
-        f, saved_f = self._lstm(e, "f", True)
-        b, saved_b = self._lstm(e, "b", True)
+        x = np.ascontiguousarray(x.T)
+        e = p["embed"][x]
+        f, saved_f = self._lstm(x, "f", True)
+        b, saved_b = self._lstm(x, "b", True)
         both = np.concatenate([f, b], axis=2)
         score = (both @ p["out"] + p["out_b"]).astype(np.float64)  # steps x rows x labels
-        moves = p["moves"] + _MOVES
-        fore, back = np.empty_like(score), np.zeros_like(score)
-        fore[0] = score[0] + _START
-        big = moves[None]
-        for t in range(1, steps):
-            z = fore[t - 1][:, :, None] + big
-            top = z.max(1)
-            fore[t] = top + np.log(np.exp(z - top[:, None]).sum(1)) + score[t]
+        score = np.exp(score - score.max(2, keepdims=True))
+        moves = np.exp(p["moves"] + _MOVES)
+        fore, back, scale = np.empty_like(score), np.ones_like(score), np.empty((steps, rows, 1))
+        for t in range(steps):
+            now = score[t] * (np.exp(_START) if t == 0 else fore[t - 1] @ moves)
+            scale[t] = now.sum(1, keepdims=True)
+            fore[t] = now / scale[t]
+        ahead = score / scale
         for t in range(steps - 2, -1, -1):
-            z = big + (score[t + 1] + back[t + 1])[:, None, :]
-            top = z.max(2)
-            back[t] = top + np.log(np.exp(z - top[:, :, None]).sum(2))
-        top = fore[-1].max(1)
-        total = top + np.log(np.exp(fore[-1] - top[:, None]).sum(1))
-        d = np.exp(fore + back - total[None, :, None])
-        pair = np.exp(fore[:-1, :, :, None] + big[None] + (score + back)[1:, :, None, :] - total[None, :, None, None]).sum((0, 1))
-        t_index, r_index = np.arange(steps)[:, None], np.arange(rows)[None]
-        d[t_index, r_index, y.T] -= 1
-        np.add.at(pair, (y[:, :-1].ravel(), y[:, 1:].ravel()), -1)
-        d = (d / rows).astype(np.float32)
-        g = {"moves": (pair / rows).astype(np.float32), "out": np.tensordot(both, d, ([0, 1], [0, 1])), "out_b": d.sum((0, 1))}
+            back[t] = (ahead[t + 1] * back[t + 1]) @ moves.T
+        ahead *= back
+        d = fore * back
+        pair = moves * (fore[:-1].reshape(-1, LABELS).T @ ahead[1:].reshape(-1, LABELS))
+        d[np.arange(steps)[:, None], np.arange(rows)[None], y.T] -= 1
+        pair -= np.bincount(y[:, :-1].ravel() * LABELS + y[:, 1:].ravel(), minlength=LABELS * LABELS).reshape(LABELS, LABELS)
+        d = (d / rows).astype(e.dtype)
+        g = {"moves": (pair / rows).astype(e.dtype), "out": np.tensordot(both, d, ([0, 1], [0, 1])), "out_b": d.sum((0, 1))}
         upper = d @ p["out"].T
         ge = np.zeros_like(e)
         H = HIDDEN
         for name, saved, part in (("f", saved_f, upper[:, :, :H]), ("b", saved_b, upper[:, :, H:])):
             w = p[f"w{name}"]
-            gw, gb = np.zeros_like(w), np.zeros(4 * H, np.float32)
-            gh, gc = np.zeros((rows, H), np.float32), np.zeros((rows, H), np.float32)
+            gh, gc = np.zeros((rows, H), e.dtype), np.zeros((rows, H), e.dtype)
+            gates, earlier = np.empty((steps, rows, 4 * H), e.dtype), np.empty((steps, rows, H), e.dtype)
             for t, s, n, before, tc, h_before in reversed(saved):
-                gh = gh + part[t]
-                i, k, o = s[:, :H], s[:, H : 2 * H], s[:, 2 * H :]
-                gc = gc + gh * o * (1 - tc * tc)
-                gate = np.concatenate([gc * n * i * (1 - i), gc * before * k * (1 - k), gh * tc * o * (1 - o), gc * i * (1 - n * n)], axis=1)
-                gw[:EMBED] += e[t].T @ gate
-                gw[EMBED:] += h_before.T @ gate
-                gb += gate.sum(0)
-                ge[t] += gate @ w[:EMBED].T
+                gh += part[t]
+                gc += gh * s[:, 2 * H :] * (1 - tc * tc)
+                gate = gates[t]
+                np.multiply(gc, n, out=gate[:, :H])
+                np.multiply(gc, before, out=gate[:, H : 2 * H])
+                np.multiply(gh, tc, out=gate[:, 2 * H : 3 * H])
+                gate[:, : 3 * H] *= s * (1 - s)
+                np.multiply(gc * s[:, :H], 1 - n * n, out=gate[:, 3 * H :])
+                earlier[t] = h_before
                 gh = gate @ w[EMBED:].T
-                gc = gc * k
-            g |= {f"w{name}": gw, f"b{name}": gb}
+                gc *= s[:, H : 2 * H]
+            ge += gates @ w[:EMBED].T
+            flat = gates.reshape(-1, 4 * H)
+            g |= {f"w{name}": np.concatenate([e.reshape(-1, EMBED).T @ flat, earlier.reshape(-1, H).T @ flat]), f"b{name}": flat.sum(0)}
         g["embed"] = np.zeros_like(p["embed"])
-        np.add.at(g["embed"], x.T.ravel(), ge.reshape(-1, EMBED))
+        np.add.at(g["embed"], x.ravel(), ge.reshape(-1, EMBED))
         return g
 
 
@@ -213,18 +239,18 @@ def label_codes(text: str, spans: list[Span]) -> np.ndarray:
     return y
 
 
-def train(examples: list[tuple[str, list[Span]]], rounds: int = 10, rows: int = 64, rate: float = 0.02, seed: int = 3) -> Tagger:
+def train(examples: list[tuple[str, list[Span]]], rounds: int = 8, rows: int = 96, rate: float = 0.025, seed: int = 3) -> Tagger:
     """Adam over windows of the labelled texts; the rate falls to nothing."""
-    tagger, r = Tagger(seed), np.random.default_rng(seed)
+    tagger, r, width = Tagger(seed), np.random.default_rng(seed), WINDOW // 2
     xs, ys = [], []
     for text, spans in examples:
         x, y = codes(text), label_codes(text, spans)
-        for a in range(0, max(1, len(x) - WINDOW // 3), STRIDE):
-            part, labels = x[a : a + WINDOW], y[a : a + WINDOW].copy()
+        for a in range(0, max(1, len(x) - width // 3), width // 2):
+            part, labels = x[a : a + width], y[a : a + width].copy()
             if len(labels) and labels[0] and labels[0] % 2 == 0:
                 labels[0] -= 1
-            xs.append(np.pad(part, (0, WINDOW - len(part))))
-            ys.append(np.pad(labels, (0, WINDOW - len(part))))
+            xs.append(np.pad(part, (0, width - len(part))))
+            ys.append(np.pad(labels, (0, width - len(part))))
     xs, ys = np.array(xs), np.array(ys)
     mean, square = ({k: np.zeros_like(v) for k, v in tagger.p.items()} for _ in range(2))
     step, steps = 0, rounds * -(-len(xs) // rows)
@@ -247,11 +273,14 @@ def train(examples: list[tuple[str, list[Span]]], rounds: int = 10, rows: int =
 def labelled_texts(count: int = 2500, seed: int = 8) -> list[tuple[str, list[Span]]]:
     """Sentences with spans of the four kinds, also in forms that the base rules miss, and look-alikes without."""
     r = random.Random(seed)
-    syllables = "ka lo mi ter en sh un de ra ion ve st al qu é or ing ly ä ó the of".split()
+    syllables = "ka lo mi ter en sh un de ra ion ve st al qu é or ing ly ä ó the of at dot and in".split()
     digits = lambda n: "".join(r.choice("0123456789") for _ in range(n))
 
     def word() -> str:
-        w = "".join(r.choice(syllables) for _ in range(r.randint(1, 4)))
+        if r.random() < 0.5:
+            w = "".join(r.choice("bcdfghjklmnpqrstvwxyz") + r.choice("aeiouy") + r.choice(["", "", r.choice("bcdfghjklmnpqrstvwxyz")]) for _ in range(r.randint(1, 4)))
+        else:
+            w = "".join(r.choice(syllables) for _ in range(r.randint(1, 4)))
         x = r.random()
         return w.capitalize() if x < 0.15 else w.upper() if x < 0.22 else w
 
@@ -260,27 +289,39 @@ def labelled_texts(count: int = 2500, seed: int = 8) -> list[tuple[str, list[Spa
 
     def email() -> str:
         local = plain() + r.choice(["", ".", "_", "-", "+"]) + r.choice([plain(), digits(r.randint(1, 4)), ""])
-        host = plain() + r.choice(["", digits(1), "-" + plain()]) + "." + r.choice(["com", "org", "net", "example.com", "co.uk", "de"])
+        ends = r.choice(["com", "org", "net", "example.com", "co.uk", "de", plain()[:3]])
+        host = plain() + r.choice(["", digits(1), "-" + plain()]) + "." + ends
         local = local.strip("._-+") or "ka"
-        e = f"{local}@{host}"
         x = r.random()
-        return e.upper() if x < 0.1 else e.replace("@", " @ ") if x < 0.2 else e
+        if x < 0.16:  # written out
+            box = r.choice(["()", "[]", "{}", "<>", "  "])
+            at, dot = (f"{box[0]}{r.choice([m, m, m.upper()])}{box[1]}" for m in ("at", "dot"))
+            gap = "" if box == "  " else r.choice(["", " ", " "])
+            host = host.replace(".", f"{gap}{dot}{gap}") if box == "  " or r.random() < 0.6 else host
+            return f"{local}{gap}{at}{gap}{host}"
+        e = f"{local}@{host}"
+        return e.upper() if x < 0.24 else e.replace("@", " @ ") if x < 0.32 else e
 
     def ip() -> str:
-        return ".".join(str(r.randint(0, 255)) for _ in range(4))
+        dot = r.choice([".", ".", ".", ".", ".", " . ", "[.]", " dot ", "(dot)"])
+        return dot.join(str(r.randint(0, r.choice([255, 255, 20]))) for _ in range(4))
 
     def card() -> str:
         body = r.choice("3456") + digits(r.choice([14, 14, 14, 13, 12]))
         number = next(body + c for c in "0123456789" if luhn(body + c))
         x = r.random()
-        return r.choice(" -").join(number[k : k + 4] for k in range(0, len(number), 4)) if x < 0.3 else number
+        return r.choice(["  ", "-", "-", " ", "."]).join(number[k : k + 4] for k in range(0, len(number), 4)) if x < 0.35 else number
 
     def phone() -> str:
         a, b, c = digits(3), digits(3), digits(4)
-        return r.choice([f"+1 ({a}) {b}-{c}", f"+{r.randint(1, 99)} {a} {b} {c}", f"+{r.randint(1, 99)}{a}{b}{c}", f"+{r.randint(1, 99)}-{a}-{b}-{c}", f"+1 ({a}) {b}-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}"])
+        return r.choice(
+            [f"+1 ({a}) {b}-{c}", f"+{r.randint(1, 99)} {a} {b} {c}", f"+{r.randint(1, 99)}{a}{b}{c}", f"+{r.randint(1, 99)}-{a}-{b}-{c}", f"+1 ({a}) {b}-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"+{r.randint(1, 99)} {a}/{b}{c}", f"+{r.randint(1, 99)}.{a}.{b}.{c}"]
+        )
 
     def other() -> str:
-        x = r.randint(0, 9)
+        x = r.randint(0, 15)
+        if x > 13:
+            return " ".join(r.choice(["at", "dot", "the", plain(), plain(), word()]) for _ in range(r.randint(3, 9)))
         if x == 0:
             return f"{r.randint(0, 9)}.{r.randint(0, 9)}"
         if x == 1:
@@ -296,11 +337,18 @@ def labelled_texts(count: int = 2500, seed: int = 8) -> list[tuple[str, list[Spa
         if x == 6:
             return digits(r.randint(1, 8))
         if x == 7:
-            body = digits(15)
-            return body + next(c for c in "0123456789" if not luhn(body + c))
+            return digits(r.randint(21, 30))
         if x == 8:
             return f"{r.randint(300, 999)}.{r.randint(256, 999)}.{digits(3)}.{digits(4)}"
-        return f"{r.randint(0, 23)}:{digits(2)} @ {word()}"
+        if x == 9:
+            return f"{r.randint(0, 23)}:{digits(2)} @ {word()}"
+        if x == 10:
+            return f"{r.choice(['look', 'is', plain()])} at {plain()}" + r.choice(["", " dot", f" dot {plain()}", f" and the dot on {plain()}"])
+        if x == 11:
+            return f"https://{plain()}.{r.choice(['com', 'org', 'net'])}/{plain()}/{digits(r.randint(1, 5))}"
+        if x == 12:
+            return f"{plain()} {r.choice(['(at)', '[dot]', '(dot)', '@'])} {plain()}"
+        return f"{r.randint(1, 20)} . {r.randint(1, 20)} {r.choice(['-', '/', ':', '+'])} {digits(2)}"
 
     makers = {"email": email, "ip": ip, "card": card, "phone": phone}
     out = []
@@ -325,81 +373,135 @@ def labelled_texts(count: int = 2500, seed: int = 8) -> list[tuple[str, list[Spa
 
 
 @cache
-def trained(count: int = 3000, rounds: int = 10, seed: int = 8) -> Tagger:
+def trained(count: int = 3000, rounds: int = 8, seed: int = 8) -> Tagger:
     return train(labelled_texts(count, seed), rounds)
 
 
-# --- decoding
+def stored(spark: SparkSession, name: str = "pii-tagger") -> Tagger:
+    """The trained network, read from the shared folder or trained and written there for the next driver.
+
+    The folder's name holds a digest of this file, so other code trains anew; what is not whole is not read.
+    """
+    with open(__file__, "rb") as f:
+        path = f"{shared_dir(spark)}/atelier/{name}-{hashlib.sha256(f.read()).hexdigest()[:16]}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    tagger = Tagger()
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        tagger = trained()
+        rows = [(k, v.astype(np.float64).ravel().tolist()) for k, v in tagger.p.items()]
+        spark.createDataFrame(rows, "name string, weights array<double>").coalesce(1).write.mode("overwrite").parquet(path)
+        return tagger
+    for r in spark.read.parquet(path).collect():
+        tagger.p[r["name"]] = np.array(r["weights"], np.float32).reshape(tagger.p[r["name"]].shape)
+    return tagger
 
 
-def stretches(text: str) -> list[tuple[int, int]]:
-    """Stretches (start, end; multiples of STRIDE) around all digits and at signs; whole windows."""
-    out: list[list[int]] = []
-    for m in _TRIGGER.finditer(text):
-        at = m.start()
-        low = max(0, at - REACH) // STRIDE * STRIDE
-        high = max(-(-(at + REACH) // STRIDE) * STRIDE, low + WINDOW)
-        if out and low <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], high)
-        else:
-            out.append([low, high])
-    return [(a, b) for a, b in out]
+# --- decoding
 
 
+# What any value of the four kinds has, whatever its form: a digit, an at sign, or an at written out.
+_HOLDS = np.zeros(SYMBOLS, bool)
+_HOLDS[[5 + k for k, c in enumerate(_PRINTED) if chr(c) in "0123456789@"]] = True
+_BOXED_AT = re.compile(r"[(\[{<]\s{0,9}at\s{0,9}[)\]}>]")
+_PLAIN_AT = re.compile(r"\sat\s(?=.{1,80}\sdot\s)", re.S)
 _WEIGHT = np.minimum(np.arange(WINDOW) + 1, np.arange(WINDOW, 0, -1)).astype(np.float32)[:, None]
+TOGETHER = 768  # windows that go through the network at once
+NEAR = 64  # characters on both sides of what a value must have that are read at least
+
+
+def window_starts(length: int) -> np.ndarray:
+    """Windows over a text: OVERLAP characters in common, the last one ending with the text."""
+    last = max(0, length - WINDOW)
+    return np.append(np.arange(0, last, WINDOW - OVERLAP), last)
+
+
+def hints(text: str, x: np.ndarray) -> np.ndarray:
+    """Places of what a value must have."""
+    out = np.flatnonzero(_HOLDS[x])
+    if "at" in (low := text.lower()) and len(low) == len(text):
+        written = [m.start() for m in _BOXED_AT.finditer(low)]
+        if "dot" in low:
+            written += [m.start() for m in _PLAIN_AT.finditer(low)]
+        if written:
+            out = np.sort(np.append(out, written))
+    return out
 
 
-def viterbi(scores: list[np.ndarray], moves: np.ndarray) -> list[np.ndarray]:
-    """Best label path of each stretch (steps x labels each); stretches of like lengths go together."""
-    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(scores)
-    order = sorted(range(len(scores)), key=lambda k: -len(scores[k]))
-    for low in range(0, len(order), 256):
-        group = order[low : low + 256]
-        lengths = np.array([len(scores[k]) for k in group])
-        best = np.stack([scores[k][0] for k in group]) + _START
-        back = np.zeros((int(lengths[0]), len(group), LABELS), np.int8)
+def stretch_scores(texts: list[str], tagger: Tagger, whole: bool = False) -> list[tuple[int, int, np.ndarray]]:
+    """(text, start, characters x LABELS) of each stretch that windows cover; with ``whole``, all windows."""
+    starts, places, flat, size = [], [], [], 0
+    for i, text in enumerate(texts):
+        if not text:
+            continue
+        x = codes(text)
+        own = window_starts(len(x))
+        if not whole:
+            at = hints(text, x)
+            own = own[np.searchsorted(at, own + WINDOW + NEAR) > np.searchsorted(at, own - NEAR)]
+        if not len(own):
+            continue
+        jumps = np.flatnonzero(np.diff(own) > WINDOW) + 1
+        for part in np.split(own, jumps):
+            a, b = int(part[0]), int(part[-1]) + WINDOW
+            starts.append(part - a + size)
+            places.append((i, a, size, min(b, len(x)) - a))
+            held = x[a:b]
+            flat += [held, np.zeros(b - a - len(held), np.uint8)]
+            size += b - a
+    if not places:
+        return []
+    starts = np.concatenate(starts)
+    windows = np.lib.stride_tricks.sliding_window_view(np.concatenate(flat), WINDOW)
+    total, weight = np.zeros((size, LABELS), np.float32), np.zeros((size, 1), np.float32)
+    for low in range(0, len(starts), TOGETHER):
+        some = starts[low : low + TOGETHER]
+        for s, part in zip(some.tolist(), tagger.scores(windows[some]) * _WEIGHT, strict=True):
+            total[s : s + WINDOW] += part
+            weight[s : s + WINDOW] += _WEIGHT
+    total /= weight
+    return [(i, a, total[s : s + n]) for i, a, s, n in places]
+
+
+def viterbi(jobs: list[np.ndarray], moves: np.ndarray) -> list[np.ndarray]:
+    """Best label path of each stretch (steps x LABELS of scores); stretches of like lengths go together."""
+    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(jobs)
+    order = sorted(range(len(jobs)), key=lambda k: -len(jobs[k]))
+    low = 0
+    while low < len(order):
+        steps = len(jobs[order[low]])
+        group = order[low : low + max(1, min(512, 400_000 // steps))]
+        low += len(group)
+        lengths = np.array([len(jobs[k]) for k in group])
+        held = np.zeros((steps, len(group), LABELS), np.float32)
+        for j, k in enumerate(group):
+            held[: lengths[j], j] = jobs[k]
+        best = held[0] + _START
+        back = np.zeros((steps, len(group), LABELS), np.int8)
         final = best.copy()
-        for t in range(1, int(lengths[0])):
-            live = int((lengths > t).sum())
-            z = best[:live, :, None] + moves[None]
+        for t in range(1, steps):
+            live = int(np.searchsorted(-lengths, -t, "left"))
+            z = best[:live, :, None] + moves
             back[t, :live] = z.argmax(1)
-            best = z.max(1) + np.stack([scores[k][t] for k in group[:live]])
+            best = z.max(1) + held[t, :live]
             final[:live] = best
+        now = final.argmax(1)
+        paths = np.zeros((steps, len(group)), np.int64)
+        rows = np.arange(len(group))
+        for t in range(steps - 1, -1, -1):
+            paths[t] = now
+            now = np.where(t < lengths, back[t, rows, now], now)
         for j, k in enumerate(group):
-            path = np.empty(lengths[j], np.int64)
-            path[-1] = final[j].argmax()
-            for t in range(int(lengths[j]) - 1, 0, -1):
-                path[t - 1] = back[t, j, path[t]]
-            out[k] = path
+            out[k] = paths[: lengths[j], j]
     return out
 
 
-def tagged_spans(texts: list[str], tagger: Tagger) -> list[list[Span]]:
+def tagged_spans(texts: list[str], tagger: Tagger, whole: bool = False) -> list[list[Span]]:
     """The method's sure spans of each text."""
     found: list[list[Span]] = [[] for _ in texts]
-    jobs = [(i, a, b) for i, text in enumerate(texts) for a, b in stretches(text)]
-    if not jobs:
-        return found
-    windows, parts = [], []
-    for i, a, b in jobs:
-        x = codes(texts[i][a:b])
-        x = np.pad(x, (0, b - a - len(x)))
-        starts = range(0, b - a - WINDOW + 1, STRIDE)
-        parts.append(len(starts))
-        windows += [x[s : s + WINDOW] for s in starts]
-    raw = np.concatenate([tagger.scores(np.stack(windows[k : k + 512])) for k in range(0, len(windows), 512)])
-    at, joined = 0, []
-    for (i, a, b), n in zip(jobs, parts, strict=True):
-        total, weight = np.zeros((b - a, LABELS), np.float32), np.zeros((b - a, 1), np.float32)
-        for k in range(n):
-            total[k * STRIDE : k * STRIDE + WINDOW] += raw[at + k] * _WEIGHT
-            weight[k * STRIDE : k * STRIDE + WINDOW] += _WEIGHT
-        at += n
-        joined.append((total / weight)[: max(1, len(texts[i]) - a)])
-    paths = viterbi(joined, tagger.p["moves"] + _MOVES)
-    for (i, a, _), score, path in zip(jobs, joined, paths, strict=True):
-        starts = np.flatnonzero(path % 2 == 1)
-        for s in starts.tolist():
+    jobs = stretch_scores(texts, tagger, whole)
+    paths = viterbi([score for *_, score in jobs], tagger.p["moves"] + _MOVES)
+    for (i, a, score), path in zip(jobs, paths, strict=True):
+        for s in np.flatnonzero(path % 2 == 1).tolist():
             kind, e = int(path[s]), s + 1
             while e < len(path) and path[e] == kind + 1:
                 e += 1
@@ -410,22 +512,27 @@ def tagged_spans(texts: list[str], tagger: Tagger) -> list[list[Span]]:
 
 
 def folded(text: str) -> tuple[str, list[tuple[int, int]]]:
-    """The text as the network reads it, and what part of ``text`` each character stands for (none if unmoved)."""
-    if not text.isascii():
-        text = text.translate(_ASCII)
+    """The text in ASCII forms and signs, and what part of ``text`` each character stands for."""
+    plain = text if text.isascii() else text.translate(_ASCII)
     out, places, at = [], [], 0
-    for m in _WRITTEN.finditer(text):
-        out += [text[at : m.start()], "@" if m[m.lastindex].lower() == "at" else "."]
+    for m in _WRITTEN.finditer(plain):
+        out += [plain[at : m.start()], "@" if m[m.lastindex].lower() in ("at", "@") else "."]
         places += [(k, k + 1) for k in range(at, m.start())] + [m.span()]
         at = m.end()
-    if not at:
-        return text, []
-    return "".join([*out, text[at:]]), places + [(k, k + 1) for k in range(at, len(text))]
+    return "".join([*out, plain[at:]]), places + [(k, k + 1) for k in range(at, len(plain))]
+
+
+_EDGES = {"email": re.compile(r"[^\W_][\w.%+-]* ?@ ?[\w-]+(?: ?\. ?[\w-]+)+"), "ip": re.compile("[0-9].*[0-9]", re.S), "phone": re.compile("[+(]?[0-9].*[0-9]", re.S)}
+_CAN_BE = {
+    "email": bool,
+    "ip": lambda x: len(n := re.findall("[0-9]+", x)) == 4 and all(len(k) <= 3 and int(k) <= 255 for k in n),
+    "phone": lambda x: 9 <= len(_NO_DIGITS.sub("", x)) <= 15,
+}
 
 
-def _card_numbers(text: str, a: int, b: int) -> list[tuple[int, int]]:
-    """Runs of digit groups of a stretch that pass as cards, longest first from the left."""
-    groups = [(a + m.start(), a + m.end()) for m in re.finditer("[0-9]+", text[a:b])]
+def _card_numbers(text: str) -> list[tuple[int, int]]:
+    """Runs of digit groups that pass as cards, longest first from the left."""
+    groups = [m.span() for m in re.finditer("[0-9]+", text)]
     out, k = [], 0
     while k < len(groups):
         for last in range(min(len(groups), k + 8) - 1, k - 1, -1):
@@ -439,29 +546,24 @@ def _card_numbers(text: str, a: int, b: int) -> list[tuple[int, int]]:
 
 
 def checked(text: str, kind: str, a: int, b: int) -> list[Span]:
-    """The spans of a tagged stretch that a value of its kind can be, whatever its form."""
-    part = text[a:b]
-    digits = _NO_DIGITS.sub("", part)
+    """The spans of a tagged stretch that a value of its kind can be, whatever its form, cut to the value's edges."""
+    part, places = folded(text[a:b])
     if kind == "card":
-        return [(kind, s, e) for s, e in _card_numbers(text, a, b)]
-    if kind == "ip":
-        numbers = re.findall("[0-9]+", part)
-        return [(kind, a, b)] if len(numbers) == 4 and all(len(n) <= 3 and int(n) <= 255 for n in numbers) else []
-    if kind == "phone":
-        return [(kind, a, b)] if 9 <= len(digits) <= 15 else []
-    return [(kind, a, b)] if "@" in part and "." in part[part.index("@") :] else []
+        found = _card_numbers(part)
+    else:
+        m = _EDGES[kind].search(part)
+        found = [m.span()] if m and _CAN_BE[kind](m[0]) else []
+    return [(kind, a + places[s][0], a + places[e - 1][1]) for s, e in found]
 
 
 def all_spans(texts: list[str], tagger: Tagger) -> tuple[list[list[Span]], list[list[Span]]]:
     """(base spans, all spans) of each text, by start, then kind."""
     base = [base_spans(t) for t in texts]
-    read = [folded(t) for t in texts]
     both = []
-    for (text, places), own, more in zip(read, base, tagged_spans([t for t, _ in read], tagger), strict=True):
+    for text, own, more in zip(texts, base, tagged_spans(texts, tagger), strict=True):
         extra = []
         for tagged in more:
-            found = [(k, places[a][0], places[b - 1][1]) if places else (k, a, b) for k, a, b in checked(text, *tagged)]
-            extra += [x for x in found if all(x[2] <= s or e <= x[1] for _, s, e in own)]
+            extra += [x for x in checked(text, *tagged) if all(x[2] <= s or e <= x[1] for _, s, e in own)]
         both.append(sorted(own + extra, key=lambda s: (s[1], KINDS.index(s[0]))))
     return base, both
 
@@ -472,7 +574,7 @@ def joined(spans: list[Span]) -> str:
 
 def tag_documents(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
     """Counts and digest of the base spans, and all spans, of every whole text. Narrow: one pass."""
-    shared = docs.sparkSession.sparkContext.broadcast(tagger or trained())
+    shared = docs.sparkSession.sparkContext.broadcast(tagger or stored(docs.sparkSession))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -480,8 +582,8 @@ def tag_documents(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
                 base, both = all_spans([t or "" for t in part.column("text").to_pylist()], shared.value)
                 counts = [pa.array([sum(s[0] == k for s in own) for own in base], pa.int64()) for k in KINDS]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), *counts, pa.array([hashlib.sha256(joined(s).encode()).hexdigest() for s in base]), pa.array([joined(s) for s in both], pa.string()), pa.array([len(x) - len(y) for x, y in zip(both, base, strict=True)], pa.int64())],
-                    names=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"],
+                    [part.column("doc_id").cast(pa.int64()), *counts, pa.array([hashlib.sha256(joined(s).encode()).hexdigest() for s in base]), pa.array([joined(s) for s in both], pa.string()), pa.array([len(x) for x in both], pa.int64()), pa.array([len(x) - len(y) for x, y in zip(both, base, strict=True)], pa.int64())],
+                    names=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_spans", "n_added"],
                 )
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
@@ -499,7 +601,7 @@ def masked(text: str, spans: list[Span]) -> str:
 
 def redact(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
     """``docs`` with personal data replaced in text, and n_chars (if there) counted anew."""
-    shared = docs.sparkSession.sparkContext.broadcast(tagger or trained())
+    shared = docs.sparkSession.sparkContext.broadcast(tagger or stored(docs.sparkSession))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

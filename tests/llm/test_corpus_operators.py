@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from atelier.llm import chat_masks, chosen_path, common, decontaminate, html_crf, jump_shards, packing, pii_tagger, suffix_rules, warc_revisit, zstd_quality
 from atelier.llm.queries import ORACLES, QUERIES
+from tests.llm.test_corpus_kernels import brute_spans
 
 SF = "/root/testdata/sf0.001"
 EDGE = [(1, None), (2, ""), (3, " \n\t"), (4, "one two"), (5, "one two"), (5, "one two"), (None, "ünï ©ode | ### text"), (7, "long " * 30_000), (8, "a@b.co 4111 1111 1111 1111"), (-9, "x" * 50_000)]
@@ -329,6 +330,25 @@ def test_tags_and_redaction(spark):
     assert pii_tagger.masked("ab", [("ip", 0, 2), ("card", 1, 2)]) == "[IP]"
 
 
+def test_weights_are_stored(spark, monkeypatch):
+    first = pii_tagger.stored(spark)
+    monkeypatch.setattr(pii_tagger, "trained", None)
+    again = pii_tagger.stored(spark)
+    assert first.p.keys() == again.p.keys() and all((first.p[k] == again.p[k]).all() for k in first.p)
+
+
+def test_tags_of_a_table_against_brute_force(spark):
+    """Base spans of every document by the contract's expressions, and counts that agree with the spans."""
+    rows = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    found = {r["doc_id"]: r for r in QUERIES["op3_pii_tagger"](spark, SF).collect()}
+    assert found.keys() == rows.keys()
+    for d, text in rows.items():
+        base, r = brute_spans(text), found[d]
+        assert [r[f"n_{k}"] for k in pii_tagger.KINDS] == [sum(s[0] == k for s in base) for k in pii_tagger.KINDS]
+        assert r["base_sha256"] == hashlib.sha256(pii_tagger.joined(base).encode()).hexdigest()
+        assert set(pii_tagger.joined(base).split(",")) - {""} <= set(r["spans"].split(",")) and r["n_spans"] == len(base) + r["n_added"]
+
+
 # --- pages
 
 
