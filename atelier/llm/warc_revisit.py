@@ -1,9 +1,11 @@
 """Not-modified revisits of a web archive: as-of join to the latest earlier full response.
 
 A revisit record says that a page had not changed. Its payload is that of the latest full response
-fetched earlier for the same canonical URL, if the validators agree: strong entity tags byte by
-byte or, where the revisit has none, the modification time. The response's stored headers are then updated by those
-headers that a not-modified answer may carry.
+fetched earlier for the same canonical URL, if the validators agree. Strong validators go first, weak ones
+stand in where there are none, as RFC 9111 (4.3.4) has it: a strong entity tag must be the response's tag
+byte by byte; a weak one is compared weakly (RFC 9110, 8.8.3.2), so W/"1", W/"1" and "1" are alike to it;
+without a tag the modification times must be equal. The response's stored headers are then updated by
+those headers that a not-modified answer may carry.
 
 Skew: time is cut into blocks of near equal row counts, so a (URL, block) group holds at most a
 block's share of all rows even if one URL owns everything; between blocks only one row per
@@ -79,8 +81,9 @@ def resolve_revisits(records: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     revisits = here.filter("kind = 'revisit'").join(carried, ["canonical_url", "__block"], "left")
     found = F.coalesce(F.col("__near"), F.col("__carried"))
     revisits = revisits.withColumn("__found", found)
-    strong = ~F.col("etag").startswith("W/") & ~F.col("__found.etag").startswith("W/")
-    by_tag = F.coalesce(strong & (F.col("etag") == F.col("__found.etag")), F.lit(False))
+    opaque = lambda tag: F.regexp_replace(tag, "^W/", "")
+    weakly = F.col("etag").startswith("W/") & (opaque(F.col("etag")) == opaque(F.col("__found.etag")))
+    by_tag = F.coalesce(weakly | (F.col("etag") == F.col("__found.etag")), F.lit(False))
     by_time = F.coalesce(F.col("last_modified") == F.col("__found.last_modified"), F.lit(False))
     status = (
         F.when(F.col("__found").isNull(), "no_response")
@@ -154,7 +157,7 @@ joined AS (
 ), judged AS (
   SELECT *, CASE WHEN response_page_id IS NULL THEN 'no_response'
     WHEN etag IS NULL AND last_modified IS NULL THEN 'no_validator'
-    WHEN CASE WHEN etag IS NOT NULL THEN coalesce(NOT starts_with(etag, 'W/') AND NOT starts_with(f_etag, 'W/') AND etag = f_etag, false)
+    WHEN CASE WHEN etag IS NOT NULL THEN coalesce(CASE WHEN starts_with(etag, 'W/') THEN regexp_replace(etag, '^W/', '') = regexp_replace(f_etag, '^W/', '') ELSE etag = f_etag END, false)
          ELSE coalesce(last_modified = f_modified, false) END THEN 'resolved' ELSE 'changed' END AS status
   FROM joined
 )

@@ -87,14 +87,15 @@ def brute_revisits(records):
     for r in records:
         if r["kind"] != "revisit":
             continue
-        earlier = [x for x in records if x["kind"] == "response" and x["complete"] and x["u"] == r["u"] and (x["at"], x["record_id"]) < (r["at"], r["record_id"])]
+        earlier = [x for x in records if x["kind"] == "response" and x["complete"] and x["u"] == r["u"] and None not in (x["at"], r["at"]) and (x["at"], x["record_id"]) < (r["at"], r["record_id"])]
         f = max(earlier, key=lambda x: (x["at"], x["record_id"]), default=None)
         if f is None:
             status = "no_response"
         elif r["etag"] is None and r["last_modified"] is None:
             status = "no_validator"
         elif r["etag"] is not None:
-            status = "resolved" if f["etag"] == r["etag"] and not r["etag"].startswith("W/") else "changed"
+            mine, stored = r["etag"], f["etag"] or ""
+            status = "resolved" if mine == stored or mine[:2] == "W/" and mine[2:] == stored.removeprefix("W/") else "changed"
         else:
             status = "resolved" if f["last_modified"] == r["last_modified"] else "changed"
         merged = None
@@ -104,16 +105,42 @@ def brute_revisits(records):
     return out
 
 
+@pytest.mark.parametrize(
+    "stored, asked, status",
+    [  # (entity tag, modification time) of the response and of the revisit; what the standard says of them
+        (('"a"', None), ('"a"', None), "resolved"),
+        (('"a"', None), ('"b"', None), "changed"),
+        (('W/"a"', None), ('W/"a"', None), "resolved"),  # weak comparison
+        (('"a"', None), ('W/"a"', None), "resolved"),
+        (('W/"a"', None), ('W/"b"', None), "changed"),
+        (('W/"a"', None), ('"a"', None), "changed"),  # a strong validator needs the same strong one
+        (('W/"a"', "d"), ('W/"a"', "d"), "resolved"),
+        (('W/"a"', "d"), ('W/"b"', "d"), "changed"),  # tags go before times
+        ((None, "d"), ('"a"', "d"), "changed"),
+        (('"a"', "d"), (None, "d"), "resolved"),
+        (('"a"', "d"), (None, "e"), "changed"),
+        ((None, None), (None, "d"), "changed"),
+        (('"a"', "d"), (None, None), "no_validator"),
+    ],
+)
+def test_validators(spark, stored, asked, status):
+    schema = "record_id long, url string, at long, kind string, complete boolean, etag string, last_modified string, headers map<string,string>"
+    rows = [(1, "http://a.org/x", 1, "response", True, *stored, {"date": "1", "etag": "x", "x-own": "kept"}), (2, "https://www.a.org/x/", 2, "revisit", None, *asked, {"date": "2", "content-length": "0"}), (3, "a.org/x", None, "revisit", None, *asked, None)]
+    got = {r["record_id"]: r for r in warc_revisit.resolve_revisits(spark.createDataFrame(rows, schema), blocks=2).collect()}
+    assert got[2]["status"] == status and got[2]["headers"] == ({"date": "2", "etag": "x", "x-own": "kept"} if status == "resolved" else None)
+    assert (got[3]["status"], got[3]["response_id"]) == ("no_response", None)
+
+
 def test_revisits_against_brute_force(spark):
     r = random.Random(1)
     records = []
     for i in range(400):
         u = r.choice(["hot"] * 5 + ["a", "b"])
         records.append(
-            {"record_id": i, "url": {"hot": r.choice(["http://www.Hot.org/p/", "https://hot.org:443/p?utm_source=x#f"]), "a": "a.org/?b=2&a=1", "b": "a.org?a=1&b=2&ref=9"}[u], "u": u if u == "hot" else "ab", "at": r.choice([None, *range(60)]) if r.random() < 0.1 else r.randrange(60),
+            {"record_id": i, "url": {"hot": r.choice(["http://www.Hot.org/p/", "https://hot.org:443/p?utm_source=x#f"]), "a": "a.org/?b=2&a=1", "b": "a.org?a=1&b=2&ref=9"}[u], "u": u if u == "hot" else "ab", "at": None if r.random() < 0.1 else r.randrange(60),
              "kind": r.choice(["response", "revisit"]), "complete": r.random() < 0.8, "etag": r.choice([None, '"1"', '"2"', 'W/"1"']), "last_modified": r.choice([None, "d1", "d2"]), "headers": r.choice([None, {"date": str(i), "content-length": "5", "x": "y"}])}
         )
-    records = [x for x in records if x["at"] is not None]
+    assert {x["kind"] for x in records if x["at"] is None} == {"response", "revisit"}
     schema = "record_id long, url string, at long, kind string, complete boolean, etag string, last_modified string, headers map<string,string>, canonical_url string"
     df = spark.createDataFrame([tuple(x[c] for c in ("record_id", "url", "at", "kind", "complete", "etag", "last_modified", "headers")) + ("clash",) for x in records], schema)
     got = {x["record_id"]: (x["response_id"], x["status"], x["headers"]) for x in warc_revisit.resolve_revisits(df, blocks=8).collect()}
