@@ -9,13 +9,20 @@ Texts are sets of five-word shingles; links are pairs of similarity 0.8 or more.
    is the head: what is close to it joins it, what is all but equal to it is settled, and the rest
    is split again; at ``DEPTH`` what is still large hangs together as it is. Runs with other seeds repeat this until
    the target recall (``runs_for``).
-3. What hangs together, a superset of the links, forms clusters (distributed components). Inside
-   each cluster every pair is compared exactly, in blocks of ``BLOCK`` texts: a cluster's rows meet
-   block by block in tasks of bounded size (by texts and by shingles), and only counts per text leave them.
+3. What hangs together, a superset of the links, forms clusters (distributed components). Texts move
+   once: a cluster's texts meet in blocks of ``BLOCK``. A cluster of one block is compared there. In
+   a larger one each text is written as its differences from the text of the cluster's root (shingles
+   gone and new), and every pair of wider blocks of ``WIDE`` texts is compared by these: the
+   common shingles of two texts are those of the root less what either lacks, plus what both lack
+   or both have new. So what moves with the number of pairs of blocks is differences, not texts.
+   All tasks are bounded (by texts and by shingles), and only counts per text leave them.
+
+Joins by keys that may own a large share of all rows (a path, a cluster, a class, a set of
+shingles) bring the few hot keys to their rows (``common.skew_join``).
 
 Defined results: texts without words are never linked; null texts count as empty; repeated rows
 are copies of each other, each with its own row; equal similarities need no rule, as all links
-count; an empty table gives no rows; only doc_id and text are read.
+count; very long texts are read whole; an empty table gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -29,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atelier.llm.common import components, grouped, materialise, pieces
+from atelier.llm.common import components, grouped, materialise, pieces, release, skew_join
 from atelier.llm.words import U, mix, shingles
 
 SHINGLE = 5
@@ -39,6 +46,9 @@ LEAF = 256
 DEPTH = 4
 BLOCK = 128  # texts of a block on average ...
 BLOCK_SHINGLES = 200_000  # ... or fewer, if they have more shingles than this together
+WIDE = 1024  # texts of a block of differences on average ...
+WIDE_SHINGLES = 400_000  # ... or fewer, if they have more differences than this together
+DENSE = 48  # shingles of at most so many holders are counted pair by pair, others by a matrix product
 RECALL = 0.99
 NEAR = 0.45  # members of a large bucket that hang together with its head
 SETTLED = 0.75  # those that need no further splitting: what matches them (0.8) is NEAR the head as well
@@ -174,30 +184,29 @@ def _leaf_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a_out)), pa.array(np.concatenate(b_out))], names=["a", "b"])
 
 
-def candidate_edges(sets: DataFrame) -> DataFrame:
+def candidate_edges(sets: DataFrame, scratch: list[DataFrame]) -> DataFrame:
     """Edges (a, b) over (uid, sketch, paths): every pair that some run brings into one bucket is connected."""
     spark = sets.sparkSession
     level = sets.select(F.explode("paths").alias("path"), "uid")
     sketches = sets.select("uid", "sketch")
     leaves, edges = [], []
     for depth in range(1, DEPTH + 1):
-        # counts are written, so that the joins that bring them back have no aggregate below and Spark may split a hot bucket
         drawn = F.xxhash64("uid", "path")
-        sizes = materialise(level.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min(drawn).alias("lowest")).filter("n > 1"), "sizes", narrow=True)
-        sized = level.join(sizes, "path")
+        sizes = materialise(level.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min(drawn).alias("lowest")).filter("n > 1"), "sizes", narrow=True, held=scratch)
+        sized = skew_join(level, sizes, ["path"], "n")
         if depth == 1:  # tokens only for what has company
             sized = sized.join(sketches, "uid")
-        sized = materialise(sized, "paths")
+        sized = materialise(sized, "paths", held=scratch)
         leaves.append(sized.filter(F.col("n") <= LEAF).select("path", "uid", "sketch"))
         large = sized.filter(F.col("n") > LEAF)
         if large.isEmpty():
             break
-        heads = large.filter(drawn == F.col("lowest")).select("path", F.col("uid").alias("head"), F.col("sketch").alias("head_sketch"))
-        led = large.select("path", "uid", "sketch").join(heads, "path")
+        heads = large.filter(drawn == F.col("lowest")).select("path", F.col("uid").alias("head"), F.col("sketch").alias("head_sketch"), "n")
+        led = skew_join(large.select("path", "uid", "sketch"), heads, ["path"], "n").drop("n")
         if depth == DEPTH:
             edges.append(led.select(F.col("uid").alias("a"), F.col("head").alias("b")))
             break
-        split = materialise(led.mapInArrow(_split, "path long, uid long, sketch binary, head long, members array<long>"), "split")
+        split = materialise(led.mapInArrow(_split, "path long, uid long, sketch binary, head long, members array<long>"), "split", held=scratch)
         edges.append(split.filter("path is null").select(F.explode("members").alias("a"), F.col("head").alias("b")))
         level = split.filter("path is not null").select("path", "uid", "sketch")
     width = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -205,41 +214,114 @@ def candidate_edges(sets: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, edges, buckets.mapInArrow(_leaf_edges, "a long, b long"))
 
 
-def _compare(size: int, similarity: float):
-    """Exact comparison of the texts of one pair of blocks; counts and trees per text."""
+def common_counts(term: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """n x n: in how many terms two rows meet (each term once a row; the diagonal is not meant)."""
+    _, term, holders = np.unique(term, return_inverse=True, return_counts=True)
+    met = holders[term] > 1  # what one row alone holds meets nothing
+    row, term = row[met], (np.cumsum(holders > 1) - 1)[term[met]]
+    holders = holders[holders > 1]
+    shared = np.zeros((n, n), np.float32)
+    order = np.argsort(term, kind="stable")
+    term, row = term[order], row[order]
+    first = np.cumsum(holders) - holders
+    for h in np.unique(holders[holders <= DENSE]).tolist():
+        x, y = np.triu_indices(h, 1)
+        at = first[holders == h]
+        step = max(1, 2_000_000 // len(x))
+        for low in range(0, len(at), step):
+            own = row[at[low : low + step, None] + np.arange(h)]
+            pair, count = np.unique((own[:, x] * n + own[:, y]).ravel(), return_counts=True)
+            shared[pair // n, pair % n] += count
+            shared[pair % n, pair // n] += count
+    dense = np.repeat(holders > DENSE, holders)
+    term, row = (np.cumsum(holders > DENSE) - 1)[term[dense]], row[dense]
+    step = max(1, 4_000_000 // max(n, 1))
+    top = int(term[-1]) + 1 if len(term) else 0
+    for low in range(0, top, step):
+        a, b = np.searchsorted(term, [low, low + step])
+        part = np.zeros((n, min(step, top - low)), np.float32)
+        part[row[a:b], term[a:b] - low] = 1
+        shared += part @ part.T
+    return shared
+
+
+def linked_pairs(shared: np.ndarray, size: np.ndarray, similarity: float) -> np.ndarray:
+    linked = shared >= similarity * (size[:, None] + size[None, :] - shared) - 1e-3
+    linked &= shared > 0
+    np.fill_diagonal(linked, False)
+    return linked
+
+
+_NAMES = ["uid", "links", "text_links", "root", "whole", "cluster", "copies", "size", "base", "gone", "new"]
+_MET = "uid long, links long, text_links long, root long, whole boolean, cluster long, copies long, size long, base long, gone array<long>, new array<long>"
+
+
+def _counted(uid: np.ndarray, copies: np.ndarray, linked: np.ndarray, whole: bool) -> list[pa.Array]:
+    """Links of each text, and a tree over what is linked."""
+    root = _roots(len(uid), *np.nonzero(np.triu(linked)))
+    return [pa.array(uid), pa.array((linked * copies[None, :]).sum(1).astype(np.int64)), pa.array(linked.sum(1).astype(np.int64)), pa.array(uid[root]), pa.array(np.full(len(uid), whole))]
+
+
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts).view(np.int64)))
+
+
+def _meet(size: int, similarity: float):
+    """A block of texts of one cluster: compared if it is all of the cluster, else written as differences from the root's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, left, right), group in grouped(batches, ["cluster", "left", "right"]):
-            uid, keep = np.unique(group.column("uid").to_numpy(), return_index=True)
-            group = group.take(pa.array(keep))
-            copies, block = group.column("copies").to_numpy(), group.column("block").to_numpy()
+        for (cluster, _), group in grouped(batches, ["cluster", "block"]):
+            is_root = group.column("is_root").to_numpy()
+            uid, keep = np.unique(np.where(is_root, -1, group.column("uid").to_numpy()), return_index=True)
+            group = group.take(pa.array(keep))  # the root's text goes first, if it is there as such
             value, row = shingles(group.column("text"), size)
-            n = len(uid)
+            copies, n = group.column("copies").to_numpy(), len(uid)
             count = np.bincount(row, minlength=n)
-            _, term, holders = np.unique(value, return_inverse=True, return_counts=True)
-            met = holders[term] > 1  # shingles of one text alone meet nothing
-            row, term = row[met], (np.cumsum(holders > 1) - 1)[term[met]]
-            shared = np.zeros((n, n), np.float32)
-            order = np.argsort(term, kind="stable")
-            term, row = term[order], row[order]
-            step = max(1, 4_000_000 // max(n, 1))
-            top = int(term[-1]) + 1 if len(term) else 0
-            for low in range(0, top, step):
-                a, b = np.searchsorted(term, [low, low + step])
-                part = np.zeros((n, min(step, top - low)), np.float32)
-                part[row[a:b], term[a:b] - low] = 1
-                shared += part @ part.T
-            linked = shared >= similarity * (count[:, None] + count[None, :] - shared) - 1e-3
-            linked &= shared > 0
-            np.fill_diagonal(linked, False)
+            if group.column("blocks")[0].as_py() == 1:
+                columns = _counted(uid, copies, linked_pairs(common_counts(value, row, n), count, similarity), True)
+                types = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2
+                yield pa.RecordBatch.from_arrays(columns + [pa.nulls(n, t) for t in types], names=_NAMES)
+                continue
+            cut = np.cumsum(count) - count
+            root = np.sort(value[: count[0]])
+            gone, new = [], []
+            for k in range(1, n):
+                own = value[cut[k] : cut[k] + count[k]]
+                gone.append(np.setdiff1d(root, own, assume_unique=True))
+                new.append(np.setdiff1d(own, root, assume_unique=True))
+            if n == 1:
+                continue
+            m = n - 1
+            columns = [pa.array(uid[1:]), *(pa.nulls(m, pa.int64()) for _ in range(3)), pa.nulls(m, pa.bool_()), pa.array(np.full(m, cluster)), pa.array(copies[1:])]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(count[1:].astype(np.int64)), pa.array(np.full(m, len(root))), _lists(gone), _lists(new)], names=_NAMES)
+
+    return run
+
+
+def _compare(similarity: float):
+    """Exact comparison of the texts of one pair of wide blocks by their differences; counts and trees per text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, left, right), group in grouped(batches, ["cluster", "left", "right"]):
+            group = group.combine_chunks()
+            n = group.num_rows
+            uid, copies, block, size = (group.column(c).to_numpy() for c in ("uid", "copies", "block", "size"))
+            terms, rows, lost = [], [], np.zeros(n, np.int64)
+            for name in ("gone", "new"):
+                lists = group.column(name).combine_chunks()
+                lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                terms.append(lists.flatten().to_numpy(zero_copy_only=False))
+                rows.append(np.repeat(np.arange(n), lengths))
+                if name == "gone":
+                    lost = lengths
+            base = group.column("base")[0].as_py()
+            shared = common_counts(np.concatenate(terms), np.concatenate(rows), n)
+            shared += base - lost[:, None] - lost[None, :]
+            linked = linked_pairs(shared, size, similarity)
             if left != right:
                 linked &= block[:, None] != block[None, :]
-            x, y = np.nonzero(np.triu(linked))
-            root = _roots(n, x, y)
-            whole = np.full(n, group.column("blocks")[0].as_py() == 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(uid), pa.array((linked * copies[None, :]).sum(1).astype(np.int64)), pa.array(linked.sum(1).astype(np.int64)), pa.array(uid[root]), pa.array(whole)], names=["uid", "links", "text_links", "root", "whole"]
-            )
+            yield pa.RecordBatch.from_arrays(_counted(uid, copies, linked, False), names=_NAMES[:5])
 
     return run
 
@@ -255,52 +337,65 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMIL
 
 
 def _joined(docs: DataFrame, size: int, similarity: float, recall: float) -> DataFrame:
-    """The join's rows with the text's key, and whether the row is the first of its class."""
-    spark = docs.sparkSession
-    rows = materialise(profiles(docs, size, runs_for(recall)).withColumn("uid", F.monotonically_increasing_id()), "profiles")
+    """The join's rows with the text's key, and whether the row is the first of its class; written, and all else released."""
+    spark, scratch = docs.sparkSession, []
+    width = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = F.count(F.lit(1))
+    rows = materialise(profiles(docs, size, runs_for(recall)).withColumn("uid", F.monotonically_increasing_id()), "profiles", held=scratch)
     groups = materialise(
-        rows.filter("not empty").groupBy("f1", "f2").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("d"), "uid")).alias("m"), F.count(F.lit(1)).alias("copies")).select("f1", "f2", F.col("m.uid").alias("uid"), "copies"), "groups"
+        rows.filter("not empty").groupBy("f1", "f2").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("d"), "uid")).alias("m"), n.alias("copies")).select("f1", "f2", F.col("m.uid").alias("uid"), "copies"), "groups", held=scratch
     )
     heads = groups.select("uid", "copies")
-    sets = rows.select("uid", "doc_id", "key", "sketch", "paths").join(heads, "uid")
-    clusters = components(candidate_edges(sets.select("uid", "sketch", "paths")), "clusters").select(F.col("node").alias("uid"), F.col("root").alias("cluster"))
-    clusters = clusters.join(rows.select("uid", "doc_id", "key", "size"), "uid")
-    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("total")).filter("members > 1")
+    sets = rows.select("uid", "sketch", "paths").join(heads.select("uid"), "uid")
+    clusters = components(candidate_edges(sets, scratch), "clusters", scratch).select(F.col("node").alias("uid"), F.col("root").alias("cluster"))
+    clusters = materialise(clusters.join(rows.select("uid", "doc_id", "key", "size"), "uid").join(heads, "uid"), "members", held=scratch)
+    sizes = clusters.groupBy("cluster").agg(n.alias("members"), F.sum("size").alias("total")).filter("members > 1")
     blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int")
-    sizes = materialise(sizes.select("cluster", blocks.alias("blocks")), "members", narrow=True)
-    members = clusters.drop("size").join(sizes, "cluster").join(heads, "uid")
+    sizes = materialise(sizes.select("cluster", "members", blocks.alias("blocks")), "clusters", narrow=True, held=scratch)
+    members = skew_join(clusters.drop("size"), sizes, ["cluster"], "members")
     texts = docs.select(F.col("doc_id").alias("__d"), F.xxhash64("text").alias("__k"), "text")
+    if not clusters.join(rows.groupBy("doc_id", "key").agg(n.alias("n")).filter("n > 1"), ["key"]).isEmpty():
+        texts = texts.dropDuplicates(["__d", "__k"])  # rows that repeat doc_id and text: one stays, thinned before the shuffle
     held = members.join(texts, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("key") == F.col("__k")))
-    held = held.withColumn("block", F.pmod(F.xxhash64("uid", F.lit(5)), "blocks").cast("int"))
-    dealt = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("cluster", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "uid", "block", "blocks", "copies", "text")
-    width = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    held = held.withColumn("own_block", F.pmod(F.xxhash64("uid", F.lit(5)), "blocks").cast("int"))
+    is_root = (F.col("uid") == F.col("cluster")) & (F.col("blocks") > 1)
+    dealt = held.withColumn("to", F.explode(F.when(is_root, F.sequence(F.lit(-1), F.col("blocks") - 1)).otherwise(F.array(F.lit(-1)))))  # the root's text goes to each block, too
+    dealt = dealt.select("cluster", F.when(F.col("to") < 0, F.col("own_block")).otherwise(F.col("to")).alias("block"), (F.col("to") >= 0).alias("is_root"), "uid", "blocks", "copies", "text")
+    dealt = dealt.repartition(width, "cluster", "block").sortWithinPartitions("cluster", "block")
+    met = materialise(dealt.mapInArrow(_meet(size, similarity), _MET), "met", held=scratch)
+    folded = met.filter("cluster is not null").drop("links", "text_links", "root", "whole")
+    wide = folded.groupBy("cluster").agg(n.alias("members"), F.sum(F.size("gone") + F.size("new")).alias("total"))
+    wide = materialise(wide.select("cluster", "members", F.ceil(F.greatest(F.col("members") / WIDE, F.col("total") / WIDE_SHINGLES)).cast("int").alias("blocks")), "wide", narrow=True, held=scratch)
+    folded = skew_join(folded, wide, ["cluster"], "members").withColumn("block", F.pmod(F.xxhash64("uid", F.lit(6)), "blocks").cast("int"))
+    dealt = folded.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("cluster", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "uid", "block", "copies", "size", "base", "gone", "new")
     dealt = dealt.repartition(width, "cluster", "left", "right").sortWithinPartitions("cluster", "left", "right")
-    compared = materialise(dealt.mapInArrow(_compare(size, similarity), "uid long, links long, text_links long, root long, whole boolean"), "compared")
+    parts = dealt.mapInArrow(_compare(similarity), "uid long, links long, text_links long, root long, whole boolean")
+    compared = materialise(met.filter("whole").select("uid", "links", "text_links", "root", "whole").union(parts), "compared", held=scratch)
     counts = compared.groupBy("uid").agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))
     classes = compared.filter("whole").select(F.col("uid").alias("node"), "root")
     parts = compared.filter("not whole and uid <> root").select(F.col("uid").alias("a"), F.col("root").alias("b"))
     if not parts.isEmpty():  # clusters of several blocks: the blocks' trees are joined
-        joined = components(parts, "classes")
+        joined = components(parts, "classes", scratch)
         alone = compared.filter("not whole").select(F.col("uid").alias("node")).distinct().join(joined, "node", "left_anti")
         classes = classes.union(joined).union(alone.select("node", F.col("node").alias("root")))
     ids = rows.select(F.col("uid").alias("node"), "doc_id")
-    named = classes.join(ids, "node")
+    named = materialise(classes.join(ids, "node"), "named", narrow=True, held=scratch)
     last_id = F.coalesce("doc_id", F.lit(2**63 - 1))
-    smallest = materialise(named.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.min(F.struct(last_id.alias("d"), "node"))["node"].alias("first_uid")), "firsts", narrow=True)
-    of_head = named.join(smallest, "root").select(F.col("node").alias("uid"), "class_id", "first_uid").join(counts, "uid")
+    smallest = named.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.min(F.struct(last_id.alias("d"), "node"))["node"].alias("first_uid"), n.alias("n"))
+    smallest = materialise(smallest, "firsts", narrow=True, held=scratch)
+    of_head = skew_join(named.select("root", "node"), smallest, ["root"], "n").select(F.col("node").alias("uid"), "class_id", "first_uid").join(counts, "uid")
     heads_out = groups.join(of_head, "uid", "left").join(ids.select(F.col("node").alias("uid"), F.col("doc_id").alias("head_id")), "uid")
-    heads_out = heads_out.select("f1", "f2", F.lit(False).alias("empty"), "copies", F.coalesce("class_id", "head_id").alias("class_id"), F.coalesce("first_uid", "uid").alias("first_uid"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("text_links", F.lit(0)).alias("text_links"))
-    out = rows.select("doc_id", "key", "uid", "f1", "f2", "empty").join(heads_out, ["f1", "f2", "empty"], "left")
-    return out.select(
-        "doc_id",
-        F.coalesce("class_id", "doc_id").alias("class_id"),
-        (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"),
-        F.coalesce("text_links", F.lit(0)).alias("n_text_links"),
-        F.coalesce("copies", F.lit(1)).alias("n_copies"),
-        "key",
-        (F.col("uid") == F.coalesce("first_uid", "uid")).alias("first"),
-    )
+    heads_out = heads_out.select("f1", "f2", "copies", F.coalesce("class_id", "head_id").alias("class_id"), F.coalesce("first_uid", "uid").alias("first_uid"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("text_links", F.lit(0)).alias("text_links"))
+    heads_out = materialise(heads_out, "heads", narrow=True, held=scratch)
+    of_row = rows.select("doc_id", "key", "uid", "f1", "f2", "empty")
+    full = skew_join(of_row.filter("not empty").drop("empty"), heads_out, ["f1", "f2"], "copies")
+    full = full.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), (F.col("links") + F.col("copies") - 1).alias("n_links"), F.col("text_links").alias("n_text_links"), F.col("copies").alias("n_copies"), "key", (F.col("uid") == F.col("first_uid")).alias("first"))
+    empty = of_row.filter("empty").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_text_links"), F.lit(1).cast("long").alias("n_copies"), "key", F.lit(True).alias("first"))
+    out = materialise(full.union(empty), "joined")
+    for done in scratch:
+        release(done)
+    return out
 
 
 def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
@@ -309,8 +404,10 @@ def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, similarity: float = S
     First is the smallest doc_id (no doc_id comes last); of repeated rows one stays.
     """
     names = ("__of_class_id", "__of_class_key")
-    found = _joined(docs, size, similarity, recall).groupBy(F.coalesce("doc_id", F.lit(-(2**63))).alias(names[0]), F.col("key").alias(names[1]))
+    joined = _joined(docs, size, similarity, recall)
+    found = joined.groupBy(F.coalesce("doc_id", F.lit(-(2**63))).alias(names[0]), F.col("key").alias(names[1]))
     found = materialise(found.agg(F.max("first").alias("stays"), F.count(F.lit(1)).alias("n")).filter("not stays or n > 1"), "classes")
+    release(joined)
     keyed = docs.withColumns({names[0]: F.coalesce(F.col("doc_id"), F.lit(-(2**63))), names[1]: F.xxhash64("text")})
     kept = keyed.join(found.filter("not stays").select(*names), list(names), "left_anti")
     if not found.filter("stays").isEmpty():  # rows that repeat doc_id and text

@@ -1,4 +1,4 @@
-"""Shared pieces of the corpus operators: session settings, tables, shared folder."""
+"""Shared pieces of the corpus operators: tables, shared folder, ranks, joins with hot keys, components."""
 
 from __future__ import annotations
 
@@ -32,11 +32,12 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+def materialise(df: DataFrame, name: str, narrow: bool = False, held: list[DataFrame] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage and recomputation.
 
     A lost executor only costs the tasks of the stage that was running. ``narrow``: rows of a few
-    numbers, written by an eighth of the shuffle's partitions.
+    numbers, written by an eighth of the shuffle's partitions. ``held`` collects what is to be
+    released later.
     """
     spark = df.sparkSession
     if narrow:
@@ -45,6 +46,8 @@ def materialise(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.parquet(path)
     out._shared_path = path
+    if held is not None:
+        held.append(out)
     return out
 
 
@@ -73,6 +76,25 @@ def group_rank(df: DataFrame, groups: list[str], block: Column, order: list[Colu
     return joined.withColumn(name, (F.col("__before") + F.col("__rn") - 1).cast("long")).drop("__before", "__rn", b)
 
 
+HOT_ROWS = 200  # a key of fewer rows is never treated as hot
+HOT_KEYS = 1_000
+
+
+def skew_join(left: DataFrame, right: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """Inner join on ``keys``, unique in ``right``, whose column ``count`` says how many rows of ``left`` have them, or more.
+
+    Keys that own over a thousandth of the rows are hot. There can be at most ``HOT_KEYS`` such, so
+    they are broadcast, and their rows of ``left`` stay where they are; the rest are dealt by key.
+    """
+    total, top = right.agg(F.sum(count), F.max(count)).first()
+    bound = max(HOT_ROWS, (total or 0) // HOT_KEYS)
+    if (top or 0) <= bound:
+        return left.join(right, keys)
+    hot = right.filter(F.col(count) > bound)
+    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return left.join(F.broadcast(hot), keys).unionByName(rest.join(right.filter(F.col(count) <= bound), keys))
+
+
 def pieces(batch: pa.RecordBatch, column: str, most_bytes: int = 750_000):
     """Cut a batch into slices whose ``column`` holds about ``most_bytes`` (one row at least)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
@@ -120,22 +142,24 @@ def _all_stars(edges: DataFrame) -> bool:
     return held.filter("up > 1 or up = 1 and down = 1").isEmpty()
 
 
-def components(edges: DataFrame, name: str) -> DataFrame:
+def components(edges: DataFrame, name: str, held: list[DataFrame] | None = None) -> DataFrame:
     """(node, root) of every node of the edges (a, b), both long: root is the smallest of its component.
 
     Alternating large-star and small-star steps (Kiveris et al. 2014). Hubs are safe: minima are
-    pre-aggregated and written, so the joins that bring them back have no aggregate below and Spark
-    may split a hub.
+    pre-aggregated with the number of their rows, and joins bring those of hubs to the rows.
     """
+    n = F.count(F.lit(1)).alias("n")
     kept = materialise(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name, narrow=True)
     while not _all_stars(kept):
         both = kept.select(F.col("a").alias("u"), F.col("b").alias("v")).union(kept.select("b", "a"))
-        least_u = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), name, narrow=True)
-        large = materialise(both.filter("v > u").join(least_u, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(), name, narrow=True)
-        least = materialise(large.groupBy("a").agg(F.min("b").alias("m")), name, narrow=True)
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+        least_u = materialise(both.groupBy("u").agg(F.min("v").alias("m"), n).select("u", F.least("u", "m").alias("m"), "n"), name, narrow=True)
+        large = materialise(skew_join(both.filter("v > u"), least_u, ["u"], "n").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(), name, narrow=True)
+        least = materialise(large.groupBy("a").agg(F.min("b").alias("m"), n), name, narrow=True)
+        small = skew_join(large, least, ["a"], "n").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         last, kept = kept, materialise(small.union(least.select("a", F.col("m").alias("b"))).distinct(), name, narrow=True)
         for done in (last, least_u, large, least):
             release(done)
+    if held is not None:
+        held.append(kept)
     roots = kept.select(F.col("b").alias("node")).distinct()
     return kept.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots.select("node", "node"))

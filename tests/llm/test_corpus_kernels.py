@@ -94,6 +94,17 @@ def test_token_sketch_estimates_similarity():
     assert chosen_path.runs_for(0.99, 1) <= chosen_path.runs_for(0.99, 3) <= chosen_path.runs_for(0.999, 3)
 
 
+@pytest.mark.parametrize("dense", [0, 3, 48])
+def test_common_counts(monkeypatch, dense):
+    monkeypatch.setattr(chosen_path, "DENSE", dense)
+    r = random.Random(11)
+    for n, terms in ((1, 4), (7, 9), (40, 300), (90, 12)):
+        sets = [{r.randrange(terms) for _ in range(r.randint(0, terms))} for _ in range(n)]
+        term, row = np.array([t for s in sets for t in s], np.int64), np.array([i for i, s in enumerate(sets) for _ in s], np.int64)
+        got = chosen_path.common_counts(term, row, n)
+        assert all(got[i, j] == len(sets[i] & sets[j]) for i, j in itertools.permutations(range(n), 2))
+
+
 def test_bucket_bounds_are_optimal():
     r = random.Random(3)
     pad = lambda h, b: sum(n * (min(x for x in b if x >= length) - length) for length, n in h.items())

@@ -1,8 +1,10 @@
 """The operators on Spark: edge cases, and brute force on small tables."""
 
+import glob
 import hashlib
 import itertools
 import json
+import os
 import random
 import zlib
 from html.parser import HTMLParser
@@ -219,10 +221,13 @@ def near_rows():
     return rows + [(1000, None), (1001, ""), (1002, "one two"), (1003, "One two"), (1002, "one two")]
 
 
-@pytest.mark.parametrize("leaf, block", [(256, 128), (16, 32)])
-def test_join_against_brute_force(spark, near_rows, monkeypatch, leaf, block):
+@pytest.mark.parametrize("leaf, block, wide, hot", [(256, 128, 1024, 200), (16, 32, 1024, 10), (16, 16, 24, 2)])
+def test_join_against_brute_force(spark, near_rows, monkeypatch, leaf, block, wide, hot):
+    """Clusters of one block, of several compared in one wide block or in pairs of such; few or all keys hot."""
     monkeypatch.setattr(chosen_path, "LEAF", leaf)
     monkeypatch.setattr(chosen_path, "BLOCK", block)
+    monkeypatch.setattr(chosen_path, "WIDE", wide)
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
     links, smallest = brute_classes(near_rows)
     got = chosen_path.jaccard_join(spark.createDataFrame(near_rows, EDGE_SCHEMA)).collect()
     assert len(got) == len(near_rows)
@@ -230,6 +235,37 @@ def test_join_against_brute_force(spark, near_rows, monkeypatch, leaf, block):
     assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in got) == want
 
 
+def test_join_of_repeated_rows(spark, near_rows):
+    """One row and its near copy, each many times over, beside a large cluster: each repeat counts, none is compared anew."""
+    a, b = near_rows[0][1], " ".join(near_rows[0][1].split()[:-1]) + " other"
+    once = [(0, a), (500, b), *near_rows[1:40]]
+    links, smallest = brute_classes(once)
+    text_links = links[0]
+    docs = spark.createDataFrame(once, EDGE_SCHEMA).withColumn("n", F.when(F.col("doc_id") % 500 == 0, 10_000).otherwise(1)).withColumn("i", F.explode(F.sequence(F.lit(1), "n"))).select("doc_id", "text")
+    got = chosen_path.jaccard_join(docs).groupBy("doc_id", "class_id", "n_links", "n_text_links", "n_copies").count().collect()
+    by = {r["doc_id"]: r for r in got}
+    assert len(got) == len(once) and by[0]["count"] == by[500]["count"] == by[0]["n_copies"] == 10_000
+    assert {d: r["class_id"] for d, r in by.items()} == {d: smallest[i] for i, (d, _) in enumerate(once)}
+    assert by[0]["n_text_links"] == text_links and by[0]["n_links"] == 9_999 + text_links - 1 + 10_000
+    assert chosen_path.keep_one_of_each(docs).count() == len(set(smallest.values()))
+
+
+def test_join_leaves_one_table(spark, near_rows):
+    before = set(glob.glob(f"{common.shared_dir(spark).removeprefix('file://')}/atelier/*"))
+    chosen_path.jaccard_join(spark.createDataFrame(near_rows, EDGE_SCHEMA)).count()
+    left = {os.path.basename(x).split("-")[0] for x in set(glob.glob(f"{common.shared_dir(spark).removeprefix('file://')}/atelier/*")) - before}
+    assert left == {"joined"}
+
+
+def test_skew_join(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    left = spark.range(300).selectExpr("case when id < 100 then 7 when id < 130 then 8 else id end as k", "id as v")
+    right = left.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("m")).filter("k <> 200")
+    joined = common.skew_join(left, right, ["k"], "n")
+    assert sorted(map(tuple, joined.select("k", "v", "m").collect())) == sorted(map(tuple, left.join(right, "k").select("k", "v", "m").collect()))
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().toString() and common.skew_join(left, right.limit(0), ["k"], "n").count() == 0
+
+
 def test_join_edges(spark):
     assert chosen_path.jaccard_join(empty(spark)).count() == 0
     assert chosen_path.jaccard_join(edge(spark)).count() == len(EDGE)
