@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -17,41 +18,98 @@ HISTORY = 500_000
 KEEP = 10
 
 
-def ema(df: DataFrame, series: str, at: str, tie: str, value: str, alpha: float, blocks: int = 64) -> DataFrame:
+STEP = 64  # rows of a running average that one matrix product covers
+
+
+def decayed(x: np.ndarray, alpha: float, begun: float) -> np.ndarray:
+    """e[k] = alpha * e[k - 1] + (1 - alpha) * x[k] from e[-1] = begun, STEP rows at a time."""
+    k = np.arange(STEP)
+    weight = (1 - alpha) * np.tril(alpha ** np.clip(k[:, None] - k[None, :], 0, None).astype(float))
+    power = alpha ** (k + 1.0)
+    out = np.empty(len(x))
+    whole = len(x) // STEP * STEP
+    out[:whole] = (x[:whole].reshape(-1, STEP) @ weight.T).ravel()
+    if whole < len(x):
+        out[whole:] = weight[: len(x) - whole, : len(x) - whole] @ x[whole:]
+    for low in range(0, len(x), STEP):
+        part = out[low : low + STEP]
+        part += power[: len(part)] * begun
+        begun = part[-1]
+    return out
+
+
+def _averaged(batches: Iterator[pa.RecordBatch], series: str, value: str, alpha: float, first_of: str):
+    """(batch, running average, power of alpha since the block's beginning, whether a block ends) of rows that come by series and block.
+
+    In the first block that has values the average begins with the first of them (before: not a number), in later ones with 0.
+    A null leaves things as they are.
+    """
+    now, e, power, begun = None, 0.0, 1.0, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        block, first = batch.column("__block").to_numpy(), batch.column(first_of).to_numpy()
+        names = pc.fill_null(batch.column(series).cast(pa.string()), "\0").dictionary_encode().indices.to_numpy()
+        x = batch.column(value).cast(pa.float64())
+        real, x = pc.is_valid(x).to_numpy(zero_copy_only=False), pc.fill_null(x, 0.0).to_numpy()
+        edges = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (names[1:] != names[:-1])])).tolist()
+        part, powers = np.empty(len(x)), np.empty(len(x))
+        for a, b in zip(edges, [*edges[1:], len(x)], strict=True):
+            key = (batch.column(series)[a].as_py(), int(block[a]))
+            if key != now:
+                now, begun = key, bool(block[a] > first[a])
+                e, power = (0.0, 1.0) if begun else (np.nan, 0.0)
+            at = np.flatnonzero(real[a:b])
+            own = x[a:b][at]
+            if len(own):
+                averages = decayed(own, alpha, e) if begun else np.concatenate([own[:1], decayed(own[1:], alpha, own[0])])
+                grown = power * alpha ** np.arange(1.0, len(own) + 1)
+                seen = np.cumsum(real[a:b])
+                part[a:b], powers[a:b] = np.concatenate([[e], averages])[seen], np.concatenate([[power], grown])[seen]
+                e, power, begun = averages[-1], grown[-1], True
+            else:
+                part[a:b], powers[a:b] = e, power
+        yield batch, part, powers, edges
+
+
+def ema(df: DataFrame, series: str, at: str, tie: str, value: str, alpha: float, blocks: int | None = None) -> DataFrame:
     """Adds ``ema``: e = x at first, then alpha * e + (1 - alpha) * x, per series in order of (at, tie).
 
-    A series is cut into blocks of time. Inside a block rows stream in order; the recurrence is linear, so a
-    block's end is known up to alpha^rows times its beginning, and a fold over the few block ends gives
-    each block its beginning. alpha of 1 or more gives x itself.
+    A null value leaves the average as it was (null before the first value). A series is cut into blocks
+    of time, as many as the rows need; the recurrence is linear, so a block's end is known up to
+    alpha^rows times its beginning, and a fold over the few block ends gives each block its beginning.
+    alpha of 1 or more gives x itself.
     """
     if alpha >= 1:
         return df.withColumn("ema", F.col(value).cast("double"))
     keyed = df.withColumn("__at", F.col(at).cast("double") if dict(df.dtypes)[at] != "timestamp_ntz" else F.unix_micros(F.col(at).cast("timestamp")))
     keyed = keyed.withColumn("__block", blocks_by_quantile(keyed, "__at", blocks))
-    first = keyed.groupBy(series).agg(F.min("__block").alias("__first"))
-    dealt = keyed.join(first, series).repartition(series, "__block").sortWithinPartitions(series, "__block", at, tie)
-    schema = StructType(list(dealt.schema)).add("__part", "double").add("__power", "double")
+    first = keyed.filter(F.col(value).isNotNull()).groupBy(F.col(series).alias("__series")).agg(F.min("__block").alias("__first"))
+    dealt = keyed.join(first, F.col(series).eqNullSafe(F.col("__series")), "left").drop("__series").withColumn("__first", F.coalesce("__first", F.lit(2**31 - 1)))
+    dealt = dealt.repartition(series, "__block").sortWithinPartitions(series, "__block", at, tie)
+    kind = dict(df.dtypes)[series]
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The last state of each block: one row a block and batch that it spans, the last of which counts."""
+        n = 0
+        for batch, part, powers, edges in _averaged(batches, series, value, alpha, "__first"):
+            last = np.array([*edges[1:], batch.num_rows]) - 1
+            n += 1
+            yield pa.RecordBatch.from_arrays([batch.column(series).take(pa.array(last)), batch.column("__block").take(pa.array(last)), pa.array(np.full(len(last), n)), pa.array(part[last]), pa.array(powers[last])], names=["__series", "__block", "__n", "__part", "__power"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, e, power = None, 0.0, 1.0
-        for batch in batches:
-            keys = list(zip(batch.column(series).to_pylist(), batch.column("__block").to_pylist(), strict=True))
-            starts = (batch.column("__block").to_numpy() == batch.column("__first").to_numpy()).tolist()
-            part, powers = np.empty(len(keys)), np.empty(len(keys))
-            for k, (key, start, x) in enumerate(zip(keys, starts, batch.column(value).to_pylist(), strict=True)):
-                if key != now:
-                    now, e, power = key, x if start else (1 - alpha) * x, 0.0 if start else alpha
-                else:
-                    e, power = alpha * e + (1 - alpha) * x, power * alpha
-                part[k], powers[k] = e, power
+        for batch, part, powers, _ in _averaged(batches, series, value, alpha, "__first"):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part), pa.array(powers)], names=[*batch.schema.names, "__part", "__power"])
 
-    local = dealt.mapInArrow(run, schema)
-    ends = local.groupBy(series, "__block").agg(F.max_by(F.struct("__part", "__power"), F.struct(at, tie)).alias("__end"))
-    before = Window.partitionBy(series).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    begun = F.aggregate(F.collect_list("__end").over(before), F.lit(0.0), lambda e, b: b["__power"] * e + b["__part"])
-    carried = ends.select(series, "__block", begun.alias("__begun"))
-    return local.join(carried, [series, "__block"]).withColumn("ema", F.col("__part") + F.col("__power") * F.col("__begun")).select(*df.columns, "ema")
+    closed = dealt.select(series, "__block", "__first", value).mapInArrow(ends, f"__series {kind}, __block int, __n long, __part double, __power double")
+    closed = closed.groupBy("__series", "__block").agg(F.max_by(F.struct("__part", "__power"), "__n").alias("__end"))
+    before = Window.partitionBy("__series").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    begun = F.aggregate(F.collect_list("__end").over(before), F.lit(0.0), lambda e, b: F.when(F.isnan(b["__part"]), e).otherwise(b["__power"] * e + b["__part"]))
+    carried = closed.select("__series", F.col("__block").alias("__of"), begun.alias("__begun"))
+    local = dealt.mapInArrow(run, StructType(list(dealt.schema)).add("__part", "double").add("__power", "double"))
+    joined = local.join(carried, F.col(series).eqNullSafe(F.col("__series")) & (F.col("__block") == F.col("__of")))
+    average = F.col("__part") + F.col("__power") * F.col("__begun")
+    return joined.withColumn("ema", F.when(~F.isnan("__part"), average)).select(*df.columns, "ema")
 
 
 def vector_ema(vectors: Column, decay: float) -> Column:
@@ -89,8 +147,11 @@ def resume_choice(checkpoints: DataFrame, kinds: list[str]) -> DataFrame:
     return checkpoints.agg(F.coalesce(*latest).alias("name"))
 
 
-def nearest_ranks(df: DataFrame, group: str, value: str, shares: list[float], blocks: int = 64) -> DataFrame:
-    """(group, share, value) at sorted position int(share * (n - 1)): exact, without sorting a group in one task."""
+def nearest_ranks(df: DataFrame, group: str, value: str, shares: list[float], blocks: int | None = None) -> DataFrame:
+    """(group, share, value) at sorted position int(share * (n - 1)): exact, without sorting a group in one task.
+
+    Equal values are counted before they are sorted, so a value that most rows share is one row.
+    """
     held = df.select(F.col(group), F.col(value).alias("__v"))
     held = held.withColumn("__block", blocks_by_quantile(held, "__v", blocks))
     counts = held.groupBy(group, "__block").agg(F.count(F.lit(1)).alias("__n"))
@@ -100,8 +161,10 @@ def nearest_ranks(df: DataFrame, group: str, value: str, shares: list[float], bl
     wanted = wanted.withColumn("__rank", F.floor(F.col("share") * (F.col("__all") - 1)))
     wanted = wanted.filter((F.col("__rank") >= F.col("__before")) & (F.col("__rank") < F.col("__before") + F.col("__n")))
     inside = held.join(wanted.select(group, "__block").distinct(), [group, "__block"], "left_semi")  # only blocks that hold a wanted rank
-    ranked = inside.withColumn("__at", F.row_number().over(Window.partitionBy(group, "__block").orderBy("__v")) - 1)
-    return wanted.join(ranked, [group, "__block"]).filter(F.col("__at") == F.col("__rank") - F.col("__before")).select(group, "share", F.col("__v").alias("value"))
+    tied = inside.groupBy(group, "__block", "__v").agg(F.count(F.lit(1)).alias("__ties"))
+    ranked = tied.withColumn("__to", F.sum("__ties").over(Window.partitionBy(group, "__block").orderBy("__v")))
+    at = F.col("__rank") - F.col("__before")
+    return wanted.join(ranked, [group, "__block"]).filter((at < F.col("__to")) & (at >= F.col("__to") - F.col("__ties"))).select(group, "share", F.col("__v").alias("value"))
 
 
 def throughput(mean_ms: Column, batch: int) -> Column:

@@ -2,9 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from atelier.functions.ranking import rank_by_key
 from atelier.operators import catalog as op
-from atelier.operators.catalog import Catalog
+from atelier.operators.catalog import Catalog, OrderedCatalog
 from atelier.plans.common import Family, table, uniform_sql
 
 family = Family()
@@ -12,7 +11,7 @@ SEED = 1234
 
 
 def orders(spark, d):
-    return Catalog.of(rank_by_key(table(spark, d, "orders"), "o_orderkey"))
+    return OrderedCatalog(table(spark, d, "orders"), "o_orderkey")
 
 
 NUMBERED = "(SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_idx FROM orders)"
@@ -70,12 +69,12 @@ def has_value_index(spark, d):
 
 @family.add("rows_eq", "SELECT p_partkey, p_name, p_type FROM part WHERE p_type = 'PROMO'")
 def rows_eq(spark, d):
-    return table(spark, d, "part").filter(F.col("p_type") == "PROMO").select("p_partkey", "p_name", "p_type")
+    return op.rows_with(table(spark, d, "part"), F.col("p_type"), "PROMO").select("p_partkey", "p_name", "p_type")
 
 
 @family.add("rows_contains", "SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'd w')")
 def rows_contains(spark, d):
-    return table(spark, d, "part").filter(op.contains(F.col("p_name"), "d w")).select("p_partkey", "p_name")
+    return op.rows_with(table(spark, d, "part"), F.col("p_name"), "d w", exact=False).select("p_partkey", "p_name")
 
 
 @family.add("shuffled_rows", f"SELECT c_custkey, c_name, row_number() OVER (ORDER BY {uniform_sql('c_custkey', SEED)}, c_custkey) - 1 AS position FROM customer")

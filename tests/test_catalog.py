@@ -1,7 +1,10 @@
+import csv
+import random
+
 import pytest
 
 from atelier.operators.catalog import Catalog
-from atelier.sources.csv_table import append_rows, read_captions, read_catalog, read_dictionary
+from atelier.sources.csv_table import append_rows, read_captions, read_catalog, read_dictionary, read_rows
 
 
 @pytest.fixture(scope="module")
@@ -18,9 +21,58 @@ def test_header(spark, files):
     assert (c.rows_count(), c.cols_count(), c.summary()) == (4, 3, "<Catalog: 4 rows, 2 columns>")
     assert c.row(0) == ["1", 'a "q", b', "x"]
     assert c.row(1)[1] == "two\nlines"
-    assert c.row(2) == ["3", "", "z"] and c.row(3) == ["4", "short", ""]
+    assert c.row(2) == ["3", "", "z"] and c.row(3) == ["4", "short"]
     assert c.value(0, "id") == "x"  # of equal names the last counts
     assert c.value_by_index(0, 0) == "1"
+    with pytest.raises(IndexError):
+        c.value(3, "id")  # the row is too short
+    mixed = c.shuffled(3)
+    assert (mixed.cols_count(), mixed.summary()) == (3, c.summary())
+    at = next(r["row_idx"] for r in mixed.data().collect() if r["col0"] == "1")
+    assert mixed.value(at, "id") == "x" and mixed.row(at) == c.row(0)
+
+
+def rows_of(spark, path, **options):
+    return [r["cells"] for r in read_rows(spark, str(path), **options).orderBy("row_idx").collect()]
+
+
+def test_irregular_rows(spark, tmp_path):
+    """Blank, short and long rows keep their places, as Python's own reader has them."""
+    text = 'a,b,c\n1,2,3\n\n4,5\n6,7,8,9\n"x\n\ny","",\n,\n"q""q"z,a"b"c\r\n"open to, the end\nof it'
+    (tmp_path / "r.csv").write_text(text, newline="")
+    with open(tmp_path / "r.csv") as f:
+        want = list(csv.reader(f))
+    assert rows_of(spark, tmp_path / "r.csv") == want and [] in want and ["6", "7", "8", "9"] in want
+    c = read_catalog(spark, str(tmp_path / "r.csv"))
+    assert (c.rows_count(), c.cols_count()) == (8, 3) and [c.row(i) for i in range(4)] == want[1:5]
+    assert c.value(3, "c") == "8" and c.has_value("c", "8") and not c.has_value("c", "9")
+    assert [r["row_idx"] for r in c.rows_by_value("a", "6").collect()] == [3]
+    (tmp_path / "l.csv").write_bytes("é,ü\n".encode("latin-1"))
+    assert rows_of(spark, tmp_path / "l.csv", encoding="iso-8859-1") == [["é", "ü"]]
+
+
+@pytest.mark.parametrize("size", [7, 40, 400])
+def test_rows_across_splits(spark, tmp_path, size):
+    """Files cut into many splits, quoted cells that run over several of them."""
+    r = random.Random(size)
+    for name in ("a.csv", "b.csv"):
+        with open(tmp_path / name, "w", newline="") as f:
+            writer = csv.writer(f, lineterminator="\n")
+            for i in range(60):
+                writer.writerow([f"{name}{i}", *(r.choice(["", "x", 'q"q', "two\nlines", "long\n" * 30, ",", '"']) for _ in range(r.randint(0, 4)))])
+                if r.random() < 0.1:
+                    f.write("\n")
+    want = []
+    for name in ("a.csv", "b.csv"):
+        with open(tmp_path / name) as f:
+            want += list(csv.reader(f))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size * 10))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert rows_of(spark, tmp_path) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_errors_and_their_order(spark, files):

@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from atelier.functions.ranking import rank_by_key, rank_in_file_order
+from atelier.functions.ranking import KeyOrder, block_of, blocks_of, rank_by_key
 from atelier.operators import arrays, geometry, listing, metrics, sampling
 from atelier.sources import arrays as files
 from atelier.sources import html_pages, index, manifest
@@ -10,8 +10,36 @@ from atelier.sources import html_pages, index, manifest
 def test_ranking(spark):
     df = spark.range(0, 5000, 1, 7).select((F.col("id") * 37 % 5003).alias("k"))
     assert [r["row_idx"] for r in rank_by_key(df, "k").orderBy("k").collect()] == list(range(5000))
-    assert [r["id"] for r in rank_in_file_order(spark.range(100)).orderBy("row_idx").collect()] == list(range(100))
-    assert rank_by_key(df.limit(0), "k").count() == 0
+    held = KeyOrder(df, "k", blocks=30)
+    keys = sorted(r["k"] for r in df.collect())
+    for start, length in ((0, 1), (77, 1), (1234, 700), (4990, 10), (4999, 5), (6000, 3), (0, 5000)):
+        got = [(r["row_idx"], r["k"]) for r in held.between(start, length).orderBy("row_idx").collect()]
+        assert got == list(enumerate(keys))[start : start + length]
+    assert held.count() == 5000 and KeyOrder(df.limit(0), "k").between(0, 5).count() == 0
+    plan = KeyOrder(df, "k", blocks=30).between(2500, 1)._jdf.queryExecution().toString()
+    assert "Filter" in plan and rank_by_key(df.limit(0), "k").count() == 0
+    assert blocks_of(0) == 8 and blocks_of(10**7) == 40 and blocks_of(10**12) == 4096
+
+
+def test_blocks_are_found_in_two_steps(spark):
+    for n in (1, 2, 5, 16, 17, 100):
+        cuts = [3 * k for k in range(n)]
+        got = spark.range(-5, 3 * n + 5).select("id", block_of(F.col("id"), cuts).alias("b")).collect()
+        assert all(r["b"] == sum(c < r["id"] for c in cuts) for r in got)
+
+
+def test_tied_keys_keep_their_places(spark):
+    df = spark.createDataFrame([(5,)] * 40 + [(None,)] * 3 + [(9,)] * 40, "k int")
+    held = KeyOrder(df, "k", blocks=8)
+    assert [r["k"] for r in held.between(0, 83).orderBy("row_idx").collect()] == [None] * 3 + [5] * 40 + [9] * 40
+    assert [r["k"] for r in held.between(42, 2).orderBy("row_idx").collect()] == [5, 9]
+
+
+def test_rows_are_read_from_their_blocks_only(spark):
+    """A lookup by position filters the scan."""
+    held = KeyOrder(spark.read.parquet("/root/testdata/sf0.001/orders.parquet"), "o_orderkey", blocks=16)
+    plan = held.between(700, 1)._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(o_orderkey), GreaterThan(o_orderkey" in plan
 
 
 def test_page_rules(spark):
@@ -75,6 +103,21 @@ def test_ema_in_blocks(spark):
     assert [x["ema"] for x in plain] == [x["v"] for x in plain]
 
 
+def test_ema_with_nulls(spark):
+    """A null leaves the average as it was; before the first value there is none."""
+    values = {"a": [None, None, 2.0, None, 4.0, None, 8.0] + [None] * 200 + [1.0], "b": [None] * 9, None: [3.0, None, 5.0]}
+    rows = [(s, i, v) for s, own in values.items() for i, v in enumerate(own)]
+    df = spark.createDataFrame(rows, "s string, i long, v double")
+    got = {(r["s"], r["i"]): r["ema"] for r in metrics.ema(df, "s", "i", "i", "v", 0.5, blocks=5).collect()}
+    assert len(got) == len(rows)
+    for s, own in values.items():
+        e = None
+        for i, v in enumerate(own):
+            e = e if v is None else v if e is None else 0.5 * e + 0.5 * v
+            assert (got[s, i] is None) == (e is None) and (e is None or abs(got[s, i] - e) < 1e-12), (s, i)
+    assert metrics.ema(df.limit(0), "s", "i", "i", "v", 0.5).count() == 0
+
+
 def test_retention(spark):
     def names(ema, raw):
         rows = [(f"step_{i}_{k}", k, i) for k, n in (("ema", ema), ("raw", raw)) for i in range(n)]
@@ -89,6 +132,9 @@ def test_nearest_ranks(spark):
     df = spark.createDataFrame([("g", float(v)) for v in values], "g string, v double")
     got = {r["share"]: r["value"] for r in metrics.nearest_ranks(df, "g", "v", [0.0, 0.5, 0.95, 0.99, 1.0], blocks=8).collect()}
     assert got == {q: float(sorted(values)[int(q * 299)]) for q in (0.0, 0.5, 0.95, 0.99, 1.0)}
+    same = spark.createDataFrame([("g", 1.0)] * 200 + [("g", 2.0)] + [("h", 3.0)], "g string, v double")
+    got = {(r["g"], r["share"]): r["value"] for r in metrics.nearest_ranks(same, "g", "v", [0.0, 0.5, 1.0]).collect()}
+    assert got == {("g", 0.0): 1.0, ("g", 0.5): 1.0, ("g", 1.0): 2.0, ("h", 0.0): 3.0, ("h", 0.5): 3.0, ("h", 1.0): 3.0}
 
 
 def test_batches_and_plans(spark):
