@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from atelier.functions.text import or_empty, strip
 
@@ -67,3 +70,16 @@ def token_count_proxy(c: Column, cap: int = TOKEN_CAP) -> Column:
     """Words between white space, at most the cap: a stand-in where no tokenizer is given."""
     words = F.filter(F.split(or_empty(c), r"\s+"), lambda x: x != "")
     return F.least(F.size(words), F.lit(cap))
+
+
+def token_counts(df: DataFrame, text: str, name: str, tokenizer: Callable[[], Callable[[str], int]], cap: int = TOKEN_CAP) -> DataFrame:
+    """Adds the number of tokens, at most the cap. ``tokenizer`` makes, once a task, the function text -> tokens; null counts as empty."""
+    schema = StructType([*df.schema, *StructType().add(name, LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = tokenizer()
+        for batch in batches:
+            n = [min(cap, count(t or "")) for t in batch.column(text).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64())], names=[*batch.schema.names, name])
+
+    return df.mapInArrow(run, schema)

@@ -35,6 +35,11 @@ def item_id(link: Column, pattern: str = ID_PATTERN) -> Column:
     return F.regexp_extract(link, pattern, 1)
 
 
+def allowed(items: DataFrame, kind: str, types: list[str]) -> DataFrame:
+    """Items of the types that are wanted; the case of letters counts, and no type is none of them."""
+    return items.filter(F.col(kind).isin(types))
+
+
 def new_items(items: DataFrame, catalog: DataFrame, key: str) -> DataFrame:
     """Items that the catalog's snapshot lacks. An item seen twice comes twice."""
     return items.join(catalog.select(key).distinct(), key, "left_anti")

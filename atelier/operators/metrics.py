@@ -141,12 +141,28 @@ def pruned(checkpoints: DataFrame, keep: int = KEEP) -> DataFrame:
     return old.crossJoin(F.broadcast(many)).filter("__many").drop("__many")
 
 
+def after_warmup(runs: DataFrame, series: str, order: list[str], discarded: int) -> DataFrame:
+    """Runs but for the first ``discarded`` of each series, in an order without ties. Only these are ranked, each task's own first; the rest are compared with the last of them."""
+    at = F.struct(*order)
+    first = runs.select(F.col(series).alias("__series"), at.alias("__at")).withColumn("__rn", F.row_number().over(Window.partitionBy("__series").orderBy("__at")))
+    last = first.filter(F.col("__rn") <= discarded).groupBy("__series").agg(F.max("__at").alias("__last"), F.count(F.lit(1)).alias("__n")).filter(F.col("__n") == discarded)
+    return runs.join(last, F.col(series).eqNullSafe(F.col("__series"))).filter(at > F.col("__last")).select(*runs.columns)
+
+
 def resume_choice(checkpoints: DataFrame, kinds: list[str]) -> DataFrame:
     """(name) to resume from: the last by name of the first kind that has any; null if none has."""
     latest = [F.max(F.when(F.col("kind") == k, F.col("name"))) for k in kinds]
     return checkpoints.agg(F.coalesce(*latest).alias("name"))
 
 
+def resume_from(checkpoints: DataFrame, kinds: list[str]) -> str:
+    """The same as a name; without any checkpoint of these kinds it is an error."""
+    name = resume_choice(checkpoints, kinds).first()["name"]
+    if name is None:
+        raise FileNotFoundError("no checkpoint to resume from")
+    return name
+
+
 def nearest_ranks(df: DataFrame, group: str, value: str, shares: list[float], blocks: int | None = None) -> DataFrame:
     """(group, share, value) at sorted position int(share * (n - 1)): exact, without sorting a group in one task.
 

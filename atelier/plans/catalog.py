@@ -1,10 +1,14 @@
 """Catalog queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from atelier.functions.shared import shared_dir
 from atelier.operators import catalog as op
 from atelier.operators.catalog import Catalog, OrderedCatalog
 from atelier.plans.common import Family, table, uniform_sql
+from atelier.sources.csv_table import read_rows
 
 family = Family()
 SEED = 1234
@@ -54,6 +58,23 @@ def value_at_pos(spark, d):
     return orders(spark, d).row_frame(1234).select(F.col("col2").alias("value"))
 
 
+IRREGULAR = """CASE p_partkey % 5 WHEN 0 THEN []::VARCHAR[] WHEN 1 THEN [p_partkey::VARCHAR, replace(p_name, ' ', '"')] WHEN 2 THEN [p_partkey::VARCHAR, p_name, p_type, 'x,y', '']
+  WHEN 3 THEN [p_name || chr(10) || p_type, p_partkey::VARCHAR] ELSE [p_partkey::VARCHAR] END"""
+
+
+@family.add("irregular_rows", f"SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS row_idx, len(c) AS n_cells, array_to_string(c, '|') AS cells FROM (SELECT p_partkey, {IRREGULAR} AS c FROM part)")
+def irregular_rows(spark, d):
+    """A file with blank, short, long, quoted and broken rows, written and read by the CSV source."""
+    k, name = F.col("p_partkey"), F.col("p_name")
+    key = k.cast("string")
+    quoted = F.concat(key, F.lit(',"'), F.replace(name, F.lit(" "), F.lit('""')), F.lit('"'))
+    long, broken = F.concat(key, F.lit(","), name, F.lit(","), F.col("p_type"), F.lit(',"x,y",')), F.concat(F.lit('"'), name, F.lit("\n"), F.col("p_type"), F.lit('",'), key)
+    line = F.when(k % 5 == 0, "").when(k % 5 == 1, quoted).when(k % 5 == 2, long).when(k % 5 == 3, broken).otherwise(key)
+    path = f"{shared_dir(spark)}/atelier/irregular-{uuid.uuid4().hex}"
+    table(spark, d, "part").orderBy(k).select(line.alias("value")).write.text(path)
+    return read_rows(spark, path).select("row_idx", F.size("cells").cast("long").alias("n_cells"), F.array_join("cells", "|").alias("cells"))
+
+
 PROBES = ["BUILDING", "MACHINERY", "building", "ABSENT"]
 
 

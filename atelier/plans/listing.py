@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from atelier.functions.text import uniform
 from atelier.operators import listing as op
-from atelier.plans.common import Family, table, uniform_sql
+from atelier.plans.common import Family, strip_sql, table, uniform_sql
 from atelier.sources import html_pages, manifest
 
 family = Family()
@@ -55,7 +55,7 @@ def page_urls(spark, d):
 
 @family.add("type_allowlist", "SELECT p_partkey, p_type FROM part WHERE p_type IN ('PROMO', 'ECONOMY')")
 def type_allowlist(spark, d):
-    return table(spark, d, "part").filter(F.col("p_type").isin("PROMO", "ECONOMY")).select("p_partkey", "p_type")
+    return op.allowed(table(spark, d, "part"), "p_type", ["PROMO", "ECONOMY"]).select("p_partkey", "p_type")
 
 
 @family.add("extract_id", "SELECT page_id, regexp_extract(url, '/(\\d+)', 1) AS item_id FROM pages")
@@ -150,12 +150,16 @@ def manifest_filter(spark, d):
     return t.filter(F.lower(manifest.extension(F.col("path"))).isin(list(manifest.IMAGE_EXTENSIONS)))
 
 
-@family.add("manifest_from_list", f"SELECT trim(url) AS path FROM (SELECT url || '.webp' AS url FROM pages WHERE {uniform_sql('page_id', 7)} < 0.5) WHERE url IN (SELECT url || '.webp' FROM pages WHERE page_id % 2 = 0)")
+LISTED = f"(SELECT CASE page_id % 5 WHEN 0 THEN ' \u3000' || url || '.webp ' WHEN 1 THEN url || '.webp' WHEN 2 THEN ' ' WHEN 3 THEN url || '.WEBP' ELSE url || '.webp.png' END AS line FROM pages WHERE {uniform_sql('page_id', 7)} < 0.8)"
+
+
+@family.add("manifest_from_list", f"SELECT path FROM (SELECT {strip_sql('line')} AS path FROM {LISTED}) WHERE path LIKE '%.webp' AND path IN (SELECT url || '.webp' FROM pages WHERE page_id % 2 = 0)")
 def manifest_from_list(spark, d):
-    """The list-file rules over a column of listed lines."""
-    pages = table(spark, d, "pages").withColumn("path", F.concat("url", F.lit(".webp")))
-    listed = pages.filter(uniform(F.col("page_id"), 7) < 0.5).select("path")
-    return listed.join(pages.filter("page_id % 2 = 0").select("path").distinct(), "path", "left_semi")
+    """Listed lines with white space around, blank ones, and other endings."""
+    pages, k = table(spark, d, "pages"), F.col("page_id") % 5
+    path = F.concat("url", F.lit(".webp"))
+    line = F.when(k == 0, F.concat(F.lit(" \u3000"), path, F.lit(" "))).when(k == 1, path).when(k == 2, " ").when(k == 3, F.concat("url", F.lit(".WEBP"))).otherwise(F.concat(path, F.lit(".png")))
+    return manifest.listed(pages.filter(uniform(F.col("page_id"), 7) < 0.8).select(line.alias("line")), "line", pages.filter("page_id % 2 = 0").select(path.alias("path")))
 
 
 @family.add("error_capture", "SELECT event_id, try_cast(props->>'k' AS INT) AS k, CASE WHEN try_cast(props->>'k' AS INT) % 7 = 0 THEN 'failed' ELSE 'ok' END AS status FROM events")

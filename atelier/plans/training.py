@@ -85,11 +85,11 @@ def axis_range(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count_if(metrics.in_range(F.col("value"), 5, 50)).alias("n_inside"))
 
 
-CHECKPOINTS = "(SELECT 'step_' || o_orderkey AS name, CASE WHEN o_orderstatus = 'F' THEN 'raw' ELSE 'ema' END AS kind, epoch(o_orderdate) * 100000 + o_orderkey AS mtime FROM orders WHERE o_orderpriority = '1-URGENT')"
+CHECKPOINTS = "(SELECT 'step_' || o_orderkey AS name, CASE WHEN o_orderstatus = 'F' THEN 'raw' ELSE 'ema' END AS kind, epoch(o_orderdate) * 100000 + o_orderkey AS mtime FROM orders)"
 
 
 def checkpoints(spark, d):
-    t = table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'")
+    t = table(spark, d, "orders")
     mtime = F.unix_seconds(F.col("o_orderdate").cast("timestamp")) * 100000 + F.col("o_orderkey")
     return t.select(F.concat(F.lit("step_"), F.col("o_orderkey").cast("string")).alias("name"), F.when(F.col("o_orderstatus") == "F", "raw").otherwise("ema").alias("kind"), mtime.alias("mtime"))
 
@@ -123,28 +123,36 @@ def bench_grid(spark, d):
     return spark.range(1).select(F.explode(F.split(F.lit("4,8,16"), ",").cast("array<int>")).alias("batch")).withColumn("mode", F.explode(F.array(F.lit("eager"), F.lit("compiled"))))
 
 
-@family.add("warmup_discard", "SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean FROM events WHERE event_id >= 50 GROUP BY event_type")
+WARM = 50
+TIMED = f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events) WHERE rn > {WARM})"
+
+
+def timed_runs(spark, d):
+    return metrics.after_warmup(table(spark, d, "events").select("event_type", "ts", "event_id", "value"), "event_type", ["ts", "event_id"], WARM)
+
+
+@family.add("warmup_discard", f"SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean FROM {TIMED} GROUP BY event_type")
 def warmup_discard(spark, d):
-    return table(spark, d, "events").filter(F.col("event_id") >= 50).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("mean"))
+    return timed_runs(spark, d).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("mean"))
 
 
-RANKED = "(SELECT event_type, count(*) AS n, list(value ORDER BY value) AS xs, round(1000.0::DOUBLE / (avg(value) + 1e-12::DOUBLE) * 4, 3) AS sps FROM events GROUP BY 1)"
+RANKED = f"(SELECT event_type, count(*) AS n, list(value ORDER BY value) AS xs, round(1000.0::DOUBLE / (avg(value) + 1e-12::DOUBLE) * 4, 3) AS sps FROM {TIMED} GROUP BY 1)"
 
 
 @family.add(
     "bench_report",
-    f"""SELECT '{{"meta":{{"warmup":50,"runs":300}},"cases":[' || string_agg('{{"batch":4,"mode":"' || event_type || '","latency_ms":{{"p50":' || xs[trunc(0.5 * (n - 1))::INT + 1] || ',"p95":' || xs[trunc(0.95 * (n - 1))::INT + 1]
+    f"""SELECT '{{"meta":{{"warmup":{WARM},"runs":' || max(n) || ',"modes":' || count(*) || '}},"cases":[' || string_agg('{{"batch":4,"mode":"' || event_type || '","latency_ms":{{"p50":' || xs[trunc(0.5 * (n - 1))::INT + 1] || ',"p95":' || xs[trunc(0.95 * (n - 1))::INT + 1]
     || ',"p99":' || xs[trunc(0.99 * (n - 1))::INT + 1] || '}},"throughput_sps":' || sps || ',"max_mem_mb":null}}', ',' ORDER BY event_type) || ']}}' AS report FROM {RANKED}""",
 )
 def bench_report(spark, d):
-    """The nested report; peak memory is null, as on a CPU."""
-    events = table(spark, d, "events")
-    ranks = metrics.nearest_ranks(events, "event_type", "value", [0.5, 0.95, 0.99]).groupBy("event_type").pivot("share", [0.5, 0.95, 0.99]).agg(F.first("value"))
-    rates = events.groupBy("event_type").agg(F.round(metrics.throughput(F.avg("value"), 4), 3).alias("sps"))
+    """The nested report of the timed runs; its meta is taken from them, and peak memory is null, as on a CPU."""
+    runs = timed_runs(spark, d)
+    ranks = metrics.nearest_ranks(runs, "event_type", "value", [0.5, 0.95, 0.99]).groupBy("event_type").pivot("share", [0.5, 0.95, 0.99]).agg(F.first("value"))
+    rates = runs.groupBy("event_type").agg(F.round(metrics.throughput(F.avg("value"), 4), 3).alias("sps"), F.count(F.lit(1)).alias("n"))
     latency = F.struct(F.col("`0.5`").alias("p50"), F.col("`0.95`").alias("p95"), F.col("`0.99`").alias("p99"))
     case = F.struct(F.lit(4).alias("batch"), F.col("event_type").alias("mode"), latency.alias("latency_ms"), F.col("sps").alias("throughput_sps"), F.lit(None).cast("double").alias("max_mem_mb"))
-    listed = ranks.join(rates, "event_type").agg(F.transform(F.array_sort(F.collect_list(F.struct("event_type", case.alias("c")))), lambda s: s["c"]).alias("cases"))
-    meta = F.struct(F.lit(50).alias("warmup"), F.lit(300).alias("runs"))
+    listed = ranks.join(rates, "event_type").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("modes"), F.transform(F.array_sort(F.collect_list(F.struct("event_type", case.alias("c")))), lambda s: s["c"]).alias("cases"))
+    meta = F.struct(F.lit(WARM).alias("warmup"), F.col("n").alias("runs"), "modes")
     return listed.select(F.to_json(F.struct(meta.alias("meta"), "cases"), {"ignoreNullFields": "false"}).alias("report"))
 
 

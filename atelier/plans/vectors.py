@@ -129,11 +129,12 @@ def chw_to_hwc(spark, d):
     return exploded(spark, d, F.transform(op.channels_last(F.col("embedding"), 4, 4, 4), lambda x: x.cast("double")))
 
 
-@family.add("cond_dropout", f"SELECT vec_id, (CASE WHEN {uniform_sql('vec_id', 5)} < 0.1 THEN 0.0 ELSE embedding[1] END)::DOUBLE AS first, {uniform_sql('vec_id', 5)} < 0.1 AS dropped FROM embeddings")
+@family.add("cond_dropout", f"SELECT vec_id, i::INT AS pos, (CASE WHEN {uniform_sql('vec_id', 5)} < 0.1 THEN 0.0 ELSE embedding[i + 1] END)::DOUBLE AS x FROM embeddings, unnest(range(64)) t(i)")
 def cond_dropout(spark, d):
     drawn = uniform(F.col("vec_id"), 5)
     empty = F.array_repeat(F.lit(0.0).cast("float"), 64)
-    return table(spark, d, "embeddings").select("vec_id", F.element_at(op.dropped_out(F.col("embedding"), empty, drawn), 1).cast("double").alias("first"), (drawn < 0.1).alias("dropped"))
+    t = table(spark, d, "embeddings").select("vec_id", F.posexplode(op.dropped_out(F.col("embedding"), empty, drawn)).alias("pos", "x"))
+    return t.select("vec_id", "pos", F.col("x").cast("double").alias("x"))
 
 
 MSE = "list_sum(list_transform(range(1, 65), lambda i: (embedding[i]::DOUBLE - embedding[65 - i]::DOUBLE) ** 2)) / 64"
@@ -188,8 +189,8 @@ def distinct_then_join(spark, d):
     return computed_once(table(spark, d, "part").select("p_partkey", "p_name"), "p_name", lambda c: F.sha1(c.cast("binary"))).select("p_partkey", "computed")
 
 
-@family.add("embed_lookup", "SELECT doc_id, coalesce(embedding[1], -1)::DOUBLE AS first FROM documents LEFT JOIN embeddings ON vec_id = doc_id")
+@family.add("embed_lookup", "SELECT doc_id, i::INT AS pos, coalesce(embedding[i + 1], -1)::DOUBLE AS x FROM documents LEFT JOIN embeddings ON vec_id = doc_id, unnest(range(64)) t(i)")
 def embed_lookup(spark, d):
     vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     found = looked_up(table(spark, d, "documents").select("doc_id"), "doc_id", vectors, "embedding", F.array_repeat(F.lit(-1.0).cast("float"), 64))
-    return found.select("doc_id", F.element_at("embedding", 1).cast("double").alias("first"))
+    return found.select("doc_id", F.posexplode("embedding").alias("pos", "x")).select("doc_id", "pos", F.col("x").cast("double").alias("x"))

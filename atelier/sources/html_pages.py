@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 # Elements without an end tag.
@@ -30,38 +30,47 @@ def _fits(step: tuple[str, frozenset[str], str], node: tuple[str, frozenset[str]
 
 
 class _Collector(HTMLParser):
+    """Matches against what is open. Beside each open element stands how many steps of the selector it and those
+    around it fulfil, so an element is judged by the one around it, and a stray end tag by the number of its kind."""
+
     def __init__(self, steps: list[tuple[str, frozenset[str], str]]) -> None:
         super().__init__(convert_charrefs=True)
-        self.steps, self.open, self.found = steps, [], []
-
-    def _matches(self) -> bool:
-        nodes = [n for n, _ in self.open]
-        if not _fits(self.steps[-1], nodes[-1]):
-            return False
-        at = len(self.steps) - 2
-        for node in reversed(nodes[:-1]):
-            if at >= 0 and _fits(self.steps[at], node):
-                at -= 1
-        return at < 0
+        self.steps, self.found = steps, []
+        self.open: list[tuple[str, int, int | None]] = []  # tag, steps fulfilled (the last one but for), number of the element
+        self.count: dict[str, int] = {}
+        self.matched: list[int] = []  # numbers of the open elements that match
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         held = dict(attrs)
-        self.open.append(((tag, frozenset((held.get("class") or "").split()), held.get("id") or ""), None))
-        if self._matches():
+        node = (tag, frozenset((held.get("class") or "").split()), held.get("id") or "")
+        done = self.open[-1][1] if self.open else 0
+        number = None
+        if done == len(self.steps) - 1 and _fits(self.steps[-1], node):
+            number = len(self.found)
             self.found.append([held.get("href"), []])
-            self.open[-1] = (self.open[-1][0], len(self.found) - 1)
         if tag in VOID:
-            self.open.pop()
+            return
+        if done < len(self.steps) - 1 and _fits(self.steps[done], node):
+            done += 1
+        self.open.append((tag, done, number))
+        self.count[tag] = self.count.get(tag, 0) + 1
+        if number is not None:
+            self.matched.append(number)
 
     def handle_endtag(self, tag: str) -> None:
-        depth = next((k for k in range(len(self.open) - 1, -1, -1) if self.open[k][0][0] == tag), None)
-        if depth is not None:
-            del self.open[depth:]
+        if not self.count.get(tag):
+            return
+        while True:
+            last, _, number = self.open.pop()
+            self.count[last] -= 1
+            if number is not None:
+                self.matched.pop()
+            if last == tag:
+                return
 
     def handle_data(self, data: str) -> None:
-        for _, number in self.open:
-            if number is not None:
-                self.found[number][1].append(data)
+        for number in self.matched:
+            self.found[number][1].append(data)
 
 
 def elements_of(page: str | None, selector: str) -> list[tuple[str | None, str]]:
@@ -73,12 +82,14 @@ def elements_of(page: str | None, selector: str) -> list[tuple[str | None, str]]
 
 
 def select_elements(pages: DataFrame, key: str, html: str, selector: str) -> DataFrame:
-    """(key, pos, href, text) of matching elements; narrow, one pass over the pages."""
-    kind = dict(pages.dtypes)[key]
+    """(key, pos, href, text) of matching elements; narrow, one pass over the pages, page by page."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = [(k, i, href, text) for k, page in zip(f[key], f[html], strict=True) for i, (href, text) in enumerate(elements_of(page, selector))]
-            yield pd.DataFrame(rows, columns=[key, "pos", "href", "text"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                found = elements_of(batch.column(html)[k].as_py(), selector)
+                if found:
+                    own = pa.array([k] * len(found))
+                    yield pa.RecordBatch.from_arrays([batch.column(key).take(own), pa.array(range(len(found)), pa.int64()), *(pa.array(c, pa.string()) for c in zip(*found, strict=True))], names=[key, "pos", "href", "text"])
 
-    return pages.select(key, html).mapInPandas(run, f"{key} {kind}, pos long, href string, text string")
+    return pages.select(key, html).mapInArrow(run, f"{key} {dict(pages.dtypes)[key]}, pos long, href string, text string")

@@ -24,7 +24,12 @@ def scan(spark: SparkSession, root: str, extensions: tuple[str, ...] = IMAGE_EXT
 
 def from_list(spark: SparkSession, list_file: str, listing: DataFrame, ending: str = ".webp") -> DataFrame:
     """Listed paths, trimmed, not blank, of one extension, that the listing holds."""
-    named = spark.read.text(list_file).select(strip(F.col("value")).alias("path")).filter(F.col("path") != "")
+    return listed(spark.read.text(list_file), "value", listing, ending)
+
+
+def listed(lines: DataFrame, line: str, listing: DataFrame, ending: str = ".webp") -> DataFrame:
+    """The same of lines from anywhere."""
+    named = lines.select(strip(F.col(line)).alias("path")).filter(F.col("path") != "")
     return named.filter(F.col("path").endswith(ending)).join(listing.select("path"), "path", "left_semi")
 
 

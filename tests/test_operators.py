@@ -1,10 +1,13 @@
+import time
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from atelier.functions.ranking import KeyOrder, block_of, blocks_of, rank_by_key
-from atelier.operators import arrays, geometry, listing, metrics, sampling
+from atelier.operators import arrays, captions, geometry, listing, metrics, sampling
 from atelier.sources import arrays as files
-from atelier.sources import html_pages, index, manifest
+from atelier.sources import html_pages, index, manifest, run_files
 
 
 def test_ranking(spark):
@@ -61,6 +64,62 @@ def test_selectors():
     assert html_pages.elements_of(page, "ul a") == html_pages.elements_of(None, "a") == []
 
 
+def test_reading_pages_is_linear():
+    """Stray and unclosed tags; a nested match has its own text and its parent's holds it, too."""
+    began = time.process_time()
+    page = "<i>" * 30_000 + "</b>" * 30_000 + "<p>x</p>" * 10_000
+    assert len(html_pages.elements_of(page, "i p")) == 10_000
+    assert time.process_time() - began < 5
+    assert html_pages.elements_of("<div class=a>1<div class=a>2</div>3</div><img class=a src=x>4", ".a") == [(None, "123"), (None, "2"), (None, "")]
+    assert html_pages.elements_of("<ul><li><a href=1>x</a></ul><ol><li><a href=2>y</a></ol>", "ul li a") == [("1", "x")]
+
+
+def test_run_files(spark, tmp_path):
+    lines = spark.createDataFrame([(2, "ERR", "no page"), (1, "INFO", "begun"), (3, "INFO", "done")], "at int, level string, message string")
+    for _ in range(2):  # written anew each time
+        run_files.write_log(lines.repartition(3), str(tmp_path / "log"), "2024-01-01 00:00:00", "at")
+    read = [x for p in sorted((tmp_path / "log").glob("part-*")) for x in p.read_text().splitlines()]
+    assert read == ["2024-01-01 00:00:00", "[INFO] begun", "[ERR] no page", "[INFO] done"]
+    assert sorted(r[0] for r in spark.read.text(str(tmp_path / "log")).select(listing.level_of(F.col("value"))).collect()) == ["", "ERR", "INFO", "INFO"]
+    for text, want in (("0.1 2", (0.1, 2.0)), (" 1\n3 ", (1.0, 3.0)), ("3 1", None), ("1 1", None), ("1", None), ("1 2 3", None), ("a b", None), ("", None), ("nan 1", None)):
+        (tmp_path / "range.txt").write_text(text)
+        assert run_files.read_range(spark, str(tmp_path / "range.txt")) == want
+    assert run_files.read_range(spark, str(tmp_path / "none.txt")) is None and run_files.read_range(spark, str(tmp_path)) is None
+
+
+def test_resuming(spark, tmp_path):
+    loaded = []
+
+    def package(path):
+        if "bare" in path:
+            raise ValueError("no package")
+        return {"global_step": 7, "opt_step": 3}
+
+    assert run_files.resume(spark, None, package, loaded.append)["global_step"] == 0
+    with pytest.raises(FileNotFoundError):
+        run_files.resume(spark, str(tmp_path), package, loaded.append)
+    for name in ("step_9.pth", "step_10.pt", "notes.txt", "bare.pth"):
+        (tmp_path / name).write_text("x")
+    with pytest.raises(FileNotFoundError):
+        run_files.resume(spark, str(tmp_path / "gone.pth"), package, loaded.append)
+    with pytest.raises(FileNotFoundError):
+        run_files.resume(spark, str(tmp_path / "notes.txt"), package, loaded.append)
+    assert run_files.resume(spark, str(tmp_path), package, loaded.append) == {"global_step": 7, "epoch": 0, "prediction_type": None, "opt_step": 3}
+    assert run_files.resume_path(spark, str(tmp_path)).endswith("step_9.pth")  # by name
+    assert not loaded and run_files.resume(spark, str(tmp_path / "bare.pth"), package, loaded.append)["global_step"] == 0 and loaded[0].endswith("bare.pth")
+    names = spark.createDataFrame([("step_9", "raw"), ("step_10", "raw")], "name string, kind string")
+    assert metrics.resume_from(names, ["ema", "raw"]) == "step_9"
+    with pytest.raises(FileNotFoundError):
+        metrics.resume_from(names, ["ema"])
+
+
+def test_warm_up_and_tokens(spark):
+    runs = spark.createDataFrame([("a", i, 1.0) for i in range(7)] + [("b", i, 1.0) for i in range(3)] + [(None, 1, 1.0), (None, 1, 1.0), (None, 2, 1.0), (None, 9, 1.0)], "s string, i int, v double")
+    assert sorted((r["s"] or "", r["i"]) for r in metrics.after_warmup(runs, "s", ["i"], 3).collect()) == [("", 9), *(("a", i) for i in range(3, 7))]
+    got = captions.token_counts(spark.createDataFrame([("a b",), (None,), ("x " * 100,)], "t string"), "t", "n", lambda: lambda text: len(text.split()))
+    assert [r["n"] for r in got.collect()] == [2, 0, 77]
+
+
 def test_novelty_and_dictionaries(spark):
     items = spark.createDataFrame([("1", 0, "a"), ("2", 1, "b"), ("2", 2, "c")], "id string, at int, v string")
     seen = spark.createDataFrame([("1", "old")], "id string, v string")

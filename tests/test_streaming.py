@@ -1,9 +1,11 @@
 import os
+import threading
+import time
 
 import pandas as pd
 
 from atelier.operators import listing
-from atelier.streaming.streams import ema_stream, novelty_stream, stop_asked
+from atelier.streaming.streams import ema_stream, novelty_stream, run_until_stopped, stop_asked
 
 
 def test_novelty_equals_batch(spark, tmp_path):
@@ -34,3 +36,16 @@ def test_stop_file(spark, tmp_path):
     assert not stop_asked(spark, str(tmp_path / "stop"))
     (tmp_path / "stop").write_text("")
     assert stop_asked(spark, str(tmp_path / "stop"))
+
+
+def test_a_stream_runs_until_the_stop_file_is_there(spark, tmp_path):
+    os.makedirs(tmp_path / "in")
+    pd.DataFrame({"id": ["1", "2"]}).to_parquet(tmp_path / "in" / "0.parquet")
+    stream = spark.readStream.schema("id string").parquet(str(tmp_path / "in"))
+    q = novelty_stream(stream, spark.createDataFrame([("1",)], "id string"), "id", str(tmp_path / "out"), str(tmp_path / "cp"))
+    asked = threading.Timer(3.0, lambda: (tmp_path / "stop").write_text(""))
+    asked.start()
+    began = time.time()
+    run_until_stopped(spark, q, str(tmp_path / "stop"), pause=0.2)
+    assert time.time() - began >= 2.5 and not q.isActive
+    assert [r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["2"]  # what was there is finished first
