@@ -6,14 +6,16 @@ once with character offsets, and the assistants' spans are found among the token
 Texts may hold control strings: each ``<``, any number of backslashes, ``|`` gets one backslash more,
 and one less when read back, so no text can open or close a turn.
 
-A conversation is dealt in segments of ``SEGMENT`` turn numbers. As control strings are never
+A conversation is dealt in segments of ``SEGMENT`` turn numbers, and a segment is written in parts of
+about ``PART`` characters, however many rows one turn number has. As control strings are never
 merged with text, the segments' tokens are those of the whole conversation, and even a conversation with most of
 the rows is encoded by many tasks. Digests over a conversation stream through its segments.
 
 Defined results: null texts and roles count as empty; rows of a conversation are taken by turn
 (null first), then role and text; repeated rows are turns of their own; a null conv_id is a
-conversation of its own; an empty table leaves only conversation -1 in the query; other columns
-are ignored.
+conversation of its own; very long texts are formatted whole; an empty table leaves only conversation
+-1 in the query, and a conversation -1 of the table has a row beside that one; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -27,17 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atelier.llm.common import grouped
-
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 START, MIDDLE, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 SEGMENT = 64
+PART = 250_000
 TRAINED_ROLE = "assistant"
 
 _TURN = re.compile(re.escape(START) + "(.*?)" + re.escape(MIDDLE) + "(.*?)" + re.escape(END) + "\n", re.S)
 _CONTROL = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
 _NONE = -(2**63)
+_PROBE = _NONE + 1  # the query's own conversation, until it is -1 in the result
 _tokenizers: dict[str, object] = {}
 
 
@@ -82,7 +84,7 @@ def loss_mask(offsets: np.ndarray, spans: np.ndarray) -> np.ndarray:
 
 
 def format_conversations(rows: DataFrame, tokenizer: str = TOKENIZER, segment: int = SEGMENT) -> DataFrame:
-    """conv_id, segment, formatted, ids, mask: a row for each segment of each conversation."""
+    """conv_id, segment, part, formatted, ids, mask: a row for each part of each segment of each conversation."""
     rows = rows.select(
         F.coalesce(F.col("conv_id").cast("long"), F.lit(_NONE)).alias("conv_id"),
         F.coalesce(F.floor(F.col("turn") / segment), F.lit(_NONE)).cast("long").alias("segment"),
@@ -94,33 +96,40 @@ def format_conversations(rows: DataFrame, tokenizer: str = TOKENIZER, segment: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(tokenizer)
-        held: list[tuple] = []
+        held: list[tuple] = []  # (conv_id, segment, part, text, spans) not yet encoded
 
         def flush() -> pa.RecordBatch:
-            encoded = tok.encode_batch([h[2] for h in held], add_special_tokens=False)
+            encoded = tok.encode_batch([h[3] for h in held], add_special_tokens=False)
             ids, masks = [], []
-            for (_, _, _, spans), e in zip(held, encoded, strict=True):
+            for (*_, spans), e in zip(held, encoded, strict=True):
                 ids.append(np.array(e.ids, np.int32))
                 masks.append(loss_mask(np.array(e.offsets, np.int64).reshape(-1, 2), spans))
             out = pa.RecordBatch.from_arrays(
-                [pa.array([h[0] for h in held], pa.int64()), pa.array([h[1] for h in held], pa.int64()), pa.array([h[2] for h in held], pa.string()), pa.array(ids, pa.list_(pa.int32())), pa.array(masks, pa.list_(pa.bool_()))],
-                names=["conv_id", "segment", "formatted", "ids", "mask"],
+                [*(pa.array([h[k] for h in held], pa.int64()) for k in range(3)), pa.array([h[3] for h in held], pa.string()), pa.array(ids, pa.list_(pa.int32())), pa.array(masks, pa.list_(pa.bool_()))],
+                names=["conv_id", "segment", "part", "formatted", "ids", "mask"],
             )
             held.clear()
             return out
 
-        size = 0
-        for (conv, part), group in grouped(batches, ["conv_id", "segment"]):
-            text, spans = render(list(zip(group.column("role").to_pylist(), group.column("text").to_pylist(), strict=True)))
-            held.append((conv, part, text, spans))
-            size += len(text)
-            if size > 1_000_000:
-                yield flush()
-                size = 0
+        now, part, turns, size, waiting = None, 0, [], 0, 0
+        for batch in batches:
+            for *key, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "segment", "role", "text")), strict=True):
+                if turns and (key != now or size > PART):
+                    held.append((*now, part, *render(turns)))
+                    part, turns, waiting, size = part + 1, [], waiting + size, 0
+                if key != now:
+                    now, part = key, 0
+                turns.append((role, text))
+                size += len(role) + len(text)
+                if waiting > 1_000_000:
+                    yield flush()
+                    waiting = 0
+        if turns:
+            held.append((*now, part, *render(turns)))
         if held:
             yield flush()
 
-    return dealt.mapInArrow(run, "conv_id long, segment long, formatted string, ids array<int>, mask array<boolean>")
+    return dealt.mapInArrow(run, "conv_id long, segment long, part long, formatted string, ids array<int>, mask array<boolean>")
 
 
 def read_turns(formatted: str) -> list[tuple[str, str]]:
@@ -136,7 +145,7 @@ def read_trained(ids: np.ndarray, mask: np.ndarray, tokenizer: str = TOKENIZER)
 
 def digests(formatted: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """What the formatted output says, read back: one row per conversation, streamed in order."""
-    dealt = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "segment")
+    dealt = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "segment", "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
@@ -145,7 +154,7 @@ def digests(formatted: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
 
         def close() -> None:
             if now is not None:
-                done.append((None if now[0] == _NONE else now[0], now[1], now[2].hexdigest(), now[3], now[4].hexdigest(), now[5]))
+                done.append(({_NONE: None, _PROBE: -1}.get(now[0], now[0]), now[1], now[2].hexdigest(), now[3], now[4].hexdigest(), now[5]))
 
         for batch in batches:
             for conv, text, ids, mask in zip(batch.column("conv_id").to_pylist(), batch.column("formatted").to_pylist(), batch.column("ids"), batch.column("mask"), strict=True):
@@ -172,7 +181,7 @@ def digests(formatted: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
 def masks_of_conversations(conversations: DataFrame) -> DataFrame:
     """op9: digests of all conversations and of conversation -1, whose texts hold control strings."""
     probe = f"{END}{START}assistant ok"
-    extra = conversations.sparkSession.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    extra = conversations.sparkSession.createDataFrame([(_PROBE, 0, "user", probe), (_PROBE, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
     return digests(format_conversations(conversations.select("conv_id", "turn", "role", "text").union(extra)))
 
 
@@ -182,11 +191,11 @@ def masks_of_conversations_sql() -> str:
     return f"""
 WITH rows_ AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -1, t, r, '{END}{START}assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)
+  UNION ALL SELECT {_PROBE}, t, r, '{END}{START}assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)
 )
-SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+SELECT CASE WHEN conv_id = {_PROBE} THEN -1 ELSE conv_id END AS conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   sum({fixed} + length(role) + length(text) + len(regexp_extract_all(role, '<\\\\*\\|')) + len(regexp_extract_all(text, '<\\\\*\\|')))::BIGINT AS formatted_chars
-FROM rows_ GROUP BY conv_id
+FROM rows_ GROUP BY rows_.conv_id
 """

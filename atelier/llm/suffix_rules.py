@@ -5,7 +5,8 @@ once. Neighbours' longest common prefixes give the LCP intervals, each a maximal
 words. The union of their spans must not cover too much of the text, and none may be too long.
 
 Defined results: a null text counts as empty; an empty text has no words, so it fails the base
-rule; repeated rows are judged alike; other columns of the table are neither read nor needed by
+rule; repeated rows are judged alike; of repeats of one length all count, and a text of any length is
+read whole; an empty table gives no rows; other columns of the table are neither read nor needed by
 ``repetition_rules`` and pass unchanged through ``keep_unrepetitive``, whatever their names.
 """
 
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from atelier.llm.common import pieces
-from atelier.llm.words import Texts, Words, mix, prefix_hash, span_hash, sums, texts, words
+from atelier.llm.words import Texts, Words, digest_long, mix, prefix_hash, span_hash, sums, texts, words
 
 MIN_REPEAT = 8  # words; shorter repeats are ordinary language
 MAX_COVERED = 0.35  # fraction of the words inside repeats
@@ -189,7 +190,7 @@ def _repeated_lines(t: Texts, prefix: np.ndarray, space: np.ndarray) -> np.ndarr
     np.cumsum(~space, out=seen[1:])
     real = seen[end] > seen[start]
     start, end, doc = start[real], end[real], doc[real]
-    key = mix(span_hash(prefix, start, end) + doc.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+    key = mix(digest_long(span_hash(prefix, start, end), t.data, start, end) + doc.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
     _, first = np.unique(key, return_index=True)
     return np.bincount(doc, minlength=t.rows) - np.bincount(doc[first], minlength=t.rows)
 

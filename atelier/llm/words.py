@@ -1,12 +1,15 @@
 """Words of many texts at once, as numpy arrays.
 
 A word is a run of anything but space and the ASCII controls 9 to 13. Words and lines are
-compared by a 64-bit hash of their bytes; two different ones of a batch share a hash with
-probability below 1e-7.
+compared by a 64-bit hash of their bytes: a polynomial modulo 2^64 for spans of at most ``LONG``
+bytes, a keyed BLAKE2 digest for longer ones. (Strings that collide under such a polynomial for
+every base exist, but only from 1,024 bytes on, so none can be built of short spans.) Two
+different spans of a batch share a hash with probability below 1e-7.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +22,7 @@ _BASE_INVERSE = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+LONG = 256
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -93,6 +97,13 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def digest_long(value: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hashes with those of long spans replaced by digests of their bytes."""
+    for k in np.flatnonzero(end - start > LONG).tolist():
+        value[k] = int.from_bytes(hashlib.blake2b(data[start[k] : end[k]].tobytes(), digest_size=8, key=b"atelier").digest(), "little")
+    return value
+
+
 def words(t: Texts, prefix: np.ndarray | None = None) -> Words:
     inside = ~_SPACE[t.data]
     opens = inside.copy()
@@ -106,7 +117,8 @@ def words(t: Texts, prefix: np.ndarray | None = None) -> Words:
     first = np.searchsorted(start, t.cut[:-1])
     last = np.searchsorted(start, t.cut[1:])
     doc = np.repeat(np.arange(t.rows), last - first)
-    return Words(start, end, span_hash(prefix_hash(t) if prefix is None else prefix, start, end), doc, first, last)
+    value = span_hash(prefix_hash(t) if prefix is None else prefix, start, end)
+    return Words(start, end, digest_long(value, t.data, start, end), doc, first, last)
 
 
 def sums(flags: np.ndarray, t: Texts) -> np.ndarray:

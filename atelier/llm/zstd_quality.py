@@ -8,8 +8,12 @@ Learning uses bounded samples (``SAMPLE`` rows per class for the dictionaries, `
 for the fit, none of more than ``LONGEST`` characters) of labelled rows that are not held out;
 scoring covers every whole text.
 
+The labelled rows are found in one pass and written. Only the dictionaries' texts (of ``DICTIONARY``
+bytes a class at most) come to the driver; of the calibration rows, only their differences do.
+
 Defined results: a null text counts as empty; an empty text has difference 0 and the score of that;
-repeated rows score alike; without labels of both classes every score is the share of label 1
+repeated rows score alike, and of rows that repeat a labelled doc_id one is learnt from (its text the
+smallest by hash); very long texts are scored whole; an empty table gives no rows; without labels of both classes every score is the share of label 1
 (one half without any); only doc_id and text are read, and of the labels doc_id and quality.
 """
 
@@ -22,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atelier.llm.common import pieces
+from atelier.llm.common import materialise, pieces, release
 
 SAMPLE = 1_500
 CALIBRATION = 4_000
@@ -90,34 +94,51 @@ def band(size: int) -> int:
     return sum(size >= b for b in BANDS)
 
 
-def dictionary(texts: list[bytes], size: int = DICTIONARY) -> bytes:
-    """Whole texts, as many as fit."""
+def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(h, quality, use, text) to learn from, at most 2 * SAMPLE + CALIBRATION: use 0 for dictionaries, 1 for calibration."""
+    known = labels.filter("quality in (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality")).filter(fold(F.col("doc_id")) != 0)
+    known = known.withColumn("h", F.xxhash64("doc_id", F.lit(6))).withColumn("half", F.pmod("h", F.lit(2)))
+    part = lambda rows, n, use: rows.orderBy("h", "quality").limit(n).select("doc_id", "quality", "h", F.lit(use).alias("use"))
+    sample = part(known.filter("half = 0 and quality = 1"), SAMPLE, 0).union(part(known.filter("half = 0 and quality = 0"), SAMPLE, 0)).union(part(known.filter("half = 1"), CALIBRATION, 1)).distinct()
+    texts = docs.select("doc_id", "text").filter(F.length("text").between(1, LONGEST))
+    found = texts.join(F.broadcast(sample), "doc_id")
+    return found.groupBy("h", "quality", "use").agg(F.min(F.struct(F.xxhash64("text").alias("t"), "text"))["text"].alias("text"))
+
+
+def fitting(rows: list, size: int = DICTIONARY) -> list[int]:
+    """The h of whole texts in their order, as many as fit."""
     out, held = [], 0
-    for t in texts:
-        if held + len(t) <= size:
-            out.append(t)
-            held += len(t) + 1
-    return b"\n".join(out)
+    for r in rows:
+        if held + r["n"] <= size:
+            out.append(r["h"])
+            held += r["n"] + 1
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learn from labelled rows that are not held out; at most 2 * SAMPLE + CALIBRATION texts reach the driver."""
-    known = labels.filter("quality in (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality")).filter(fold(F.col("doc_id")) != 0)
-    known = known.withColumn("__h", F.xxhash64("doc_id", F.lit(6))).withColumn("__half", F.pmod("__h", F.lit(2)))
-    part = lambda rows, n, use: rows.orderBy("__h", "quality").limit(n).select("doc_id", "quality", "__h", F.lit(use).alias("use"))
-    sample = part(known.filter("__half = 0 and quality = 1"), SAMPLE, 0).union(part(known.filter("__half = 0 and quality = 0"), SAMPLE, 0)).union(part(known.filter("__half = 1"), CALIBRATION, 1))
-    texts = docs.select("doc_id", "text").filter(F.length("text").between(1, LONGEST))
-    found = texts.join(F.broadcast(sample), "doc_id").select("__h", "quality", "use", "text").collect()
-    found.sort(key=lambda r: (r["__h"], r["quality"], r["text"]))
-    good, bad = ([r["text"].encode() for r in found if r["use"] == 0 and r["quality"] == q] for q in (1, 0))
-    rest = [(r["text"].encode(), r["quality"]) for r in found if r["use"] == 1]
-    if not good or not bad or not rest:
-        ones = sum(r["quality"] for r in found)
-        return Model(None, None, [([0.0], [(ones + 1) / (len(found) + 2)])])
-    g, b = dictionary(good), dictionary(bad)
-    sizes = Compressors(g, b)
-    x, y = np.array([sizes.difference(t) for t, _ in rest]), np.array([q for _, q in rest], float)
-    bands = np.array([band(len(t)) for t, _ in rest])
+    """Learn from labelled rows that are not held out."""
+    found = materialise(labelled_rows(docs, labels), "labelled")
+    sizes = found.filter("use = 0").select("h", "quality", F.octet_length("text").alias("n")).orderBy("h").collect()
+    chosen = {q: fitting([r for r in sizes if r["quality"] == q]) for q in (1, 0)}
+    counts = found.agg(F.count(F.lit(1)).alias("n"), F.sum("quality").alias("ones"), F.count_if(F.col("use") == 1).alias("rest")).first()
+    if not chosen[1] or not chosen[0] or not counts["rest"]:
+        release(found)
+        return Model(None, None, [([0.0], [((counts["ones"] or 0) + 1) / (counts["n"] + 2)])])
+    kept = found.sparkSession.createDataFrame([(h, q) for q in chosen for h in chosen[q]], "h long, quality int")
+    texts = found.filter("use = 0").join(F.broadcast(kept), ["h", "quality"]).orderBy("h").collect()
+    g, b = (b"\n".join(r["text"].encode() for r in texts if r["quality"] == q) for q in (1, 0))
+    shared = found.sparkSession.sparkContext.broadcast((g, b))
+
+    def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = Compressors(*shared.value)
+        for batch in batches:
+            own = [t.encode() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array([sizes.difference(t) for t in own], pa.float64()), pa.array([len(t) for t in own], pa.int64()), batch.column("quality")], names=["h", "x", "n", "quality"])
+
+    rest = found.filter("use = 1").select("h", "text", "quality").mapInArrow(differences, "h long, x double, n long, quality int").orderBy("h", "quality").collect()
+    release(found)
+    x, y = np.array([r["x"] for r in rest]), np.array([r["quality"] for r in rest], float)
+    bands = np.array([band(r["n"]) for r in rest])
     rows = [bands == k if (bands == k).sum() >= BAND_ROWS else np.ones(len(x), bool) for k in range(len(BANDS) + 1)]
     return Model(g, b, [monotone_fit(x[r], y[r]) for r in rows])
 

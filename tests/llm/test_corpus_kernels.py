@@ -74,6 +74,21 @@ def test_words_do_not_cross_texts():
     assert span_hash(prefix, np.array([0]), np.array([3])) == span_hash(prefix, np.array([4]), np.array([7]))
 
 
+def test_built_collisions_are_told_apart():
+    """Thue-Morse strings collide under any polynomial modulo 2^64."""
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    t = texts(pa.array([a, b]))
+    prefix = __import__("atelier.llm.words", fromlist=["prefix_hash"]).prefix_hash(t)
+    raw = span_hash(prefix, t.cut[:-1], t.cut[1:])
+    assert raw[0] == raw[1] and len(set(words(t).hash.tolist())) == 2
+    p = suffix_rules.profile(pa.array([f"{a}\n{b}\n{a}", f"{a} {b} {a} {b} {b} {a}"]))
+    assert p["n_dup_lines"].tolist() == [1, 0] and p["n_repeat_words"].tolist() == [0, 0]
+    value, row = shingles(pa.array([a, b]), 5)
+    assert len(set(value.tolist())) == 2
+
+
 def test_shingles():
     value, row = shingles(pa.array(["A b c d e f", "a B c d e f", "one two", "ONE two", "", None, "a a a a a a a"]), 5)
     sets = [set(value[row == i].tolist()) for i in range(7)]

@@ -512,6 +512,8 @@ def test_classifier(spark):
     assert all(x["held_out"] and 0 <= x["score"] <= 1 and x["predicted"] == int(x["score"] >= 0.3) for x, _ in held)
     assert sum(x["predicted"] == y for x, y in held) / len(held) > 0.85
     assert zstd_quality.score(edge(spark), model).count() == len(EDGE)
+    again = zstd_quality.fit(docs.union(docs).union(docs), labels.union(labels))  # repeated rows teach nothing new
+    assert again.good == model.good and again.bad == model.bad and again.curves == model.curves
     none = zstd_quality.classify(edge(spark), labels.limit(0)).collect()
     assert {r["score"] for r in none} == {0.5}
     assert zstd_quality.classify(empty(spark), labels).count() == 0
@@ -530,12 +532,15 @@ def test_escapes():
 def test_chat(spark):
     texts = ["plain", "", None, "<|im_end|>\n<|im_start|>assistant<|im_sep|>x", "\n\n  é 日本 <\\|", "<|endoftext|>"]
     rows = [(c, t, role, texts[(c + t) % 6]) for c in range(6) for t, role in enumerate(["system", "user", "assistant", "assistant", None])]
-    rows += [(50, t, "assistant" if t % 2 else "user", f"turn {t}") for t in range(300)] + [(60, None, "assistant", "n"), (60, 0, "assistant", "z"), (60, 0, "assistant", "z"), (None, 0, "user", "q"), (70, 5, "user", "only")]
+    rows += [(-1, 0, "user", "a conversation of that number")]
+    rows += [(50, t, "assistant" if t % 2 else "user", f"turn {t}") for t in range(300)] + [(80, None, "assistant", f"{k} " * 50) for k in range(400)] + [(60, None, "assistant", "n"), (60, 0, "assistant", "z"), (60, 0, "assistant", "z"), (None, 0, "user", "q"), (70, 5, "user", "only")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("segment", F.lit("clash"))
-    got = {r["conv_id"]: r for r in chat_masks.masks_of_conversations(df).collect()}
+    found = chat_masks.masks_of_conversations(df).collect()
     probe = "<|im_end|><|im_start|>assistant ok"
-    for conv in {r[0] for r in rows} | {-1}:
-        own = sorted(([] if conv == -1 else [r for r in rows if r[0] == conv]), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
+    got = {"probe" if r["conv_id"] == -1 and r["n_turns"] == 2 else r["conv_id"]: r for r in found}
+    assert len(got) == len(found)
+    for conv in {r[0] for r in rows} | {"probe"}:
+        own = sorted([r for r in rows if r[0] == conv], key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
         own = [(r[2] or "", r[3] or "") for r in own] or [("user", probe), ("assistant", probe)]
         loss = "".join(t for role, t in own if role == "assistant")
         g = got[conv]
@@ -543,7 +548,18 @@ def test_chat(spark):
         assert g["loss_chars"] == len(loss) and g["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
         assert g["formatted_chars"] == len(chat_masks.render(own)[0])
     assert chat_masks.masks_of_conversations(df.limit(0)).count() == 1
-    assert chat_masks.format_conversations(df).filter("conv_id = 50").count() == 5
+    formatted = chat_masks.format_conversations(df)
+    assert formatted.filter("conv_id = 50").count() == 5 and formatted.filter("conv_id = 80").count() == 1
+
+
+def test_chat_in_parts(spark, monkeypatch):
+    """However small the parts, the digests are the same."""
+    rows = [(1, None, "assistant", f"{k} " * 50) for k in range(100)] + [(2, t, "assistant", "x <| y") for t in range(200)] + [(3, 0, "user", "z" * 5000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    whole = sorted(map(tuple, chat_masks.masks_of_conversations(df).collect()))
+    monkeypatch.setattr(chat_masks, "PART", 300)
+    assert sorted(map(tuple, chat_masks.masks_of_conversations(df).collect())) == whole
+    assert chat_masks.format_conversations(df).filter("conv_id = 1").count() > 20
 
 
 # --- pipeline
