@@ -6,17 +6,20 @@
    disjoint passages: each task adds A'(A R) for a fixed random matrix R, and blocks of its rows are
    summed by key. Benchmark items are rows of A, too, weighted so that all together weigh as much as the corpus.
    The eigenvectors follow from this one product (Nystroem form of the randomised SVD).
-4. A third pass projects half-overlapping passages; an item is a candidate where the latent cosine
-   is high enough. Candidates must then share a long common subsequence of words with the item, in
+4. A third pass projects half-overlapping passages (for short items, short ones); an item is a
+   candidate where the latent cosine is high enough. Candidates must then share a long common subsequence of words with the item, in
    order, and enough of its answer (its last sentence), so that paraphrases count and common words do not.
    An item of fewer than MIN_TERMS different words says too little for a cosine: its candidates are the
    passages that hold those of its words that it cannot do without.
 
-What reaches the driver is bounded by the benchmark: a count per term and a terms x rank matrix.
+What reaches the driver is bounded by the benchmark: a count per term and a terms x rank matrix. A
+benchmark of over ``MOST_ITEMS`` items or ``MOST_TERMS`` different words is searched in blocks of so
+many, each with passes of its own, so matrices and broadcasts have a bound (about 100 MB); up to that
+number of items tests measure what the search finds against all pairs.
 
 Defined results: null texts count as empty; an item without words is never found, and words end at white
 space or ASCII punctuation, also in scripts that write none between them; an empty
-benchmark finds nothing; ties in an item's best place go to the earliest passage; repeated rows
+benchmark or table finds nothing; very long texts are searched whole, passage by passage; ties in an item's best place go to the earliest passage; repeated rows
 are each reported; only doc_id and text, item_id and text are read.
 """
 
@@ -39,14 +42,16 @@ from atelier.llm.common import materialise, pieces, release
 from atelier.llm.words import Texts, Words, texts, words
 
 HALF = 32  # words; a passage is two halves
+SHORT_HALF = 8  # the same for items of at most two such halves, of which a longer passage would say too little
 COMMON = 0.1  # share of items from which on a word is no term
 FREQUENT = 0.01  # share of passages from which on a word is no term
 KEPT_TERMS = 10  # each item keeps so many of its rarest words as terms against both rules
 SPARE = 56  # rank beyond the number of items
 MOST_RANK = 768
-MOST_ITEMS = 50_000  # the benchmark is the query set and is sent to every executor: a larger one is searched in blocks of so many
+MOST_ITEMS, MOST_TERMS = 3_000, 30_000  # of a block of the benchmark; a block is sent to every executor
+PRODUCTS = 4096  # at most so many tasks make a product each; of a larger table each takes several parts
 SUMS = 32  # tasks' products are summed in so many groups before all of them
-MIN_TERMS = 3  # terms that a passage needs to be a candidate, if the item has so many
+MIN_TERMS = 3  # terms that a passage needs to be a candidate, if the item has so many; a short one needs one less
 COSINE = 0.45
 COVERED = 0.6  # part of the item's words in common order
 SURE = 0.8  # from here on without an answer check
@@ -222,31 +227,34 @@ def latent_space(docs: DataFrame, items: Items, seed: int = 5) -> tuple[Items, n
                 if len(at):
                     total += gram_part(*tf_idf(disjoint(w, at), term, idf), probe)
         for low in range(0, d, step):
-            yield pa.RecordBatch.from_arrays([pa.array([low], pa.int64()), pa.array([total[low : low + step].astype(np.float32).tobytes()], pa.binary())], names=["low", "part"])
+            yield from rows_of(low, total[low : low + step])
 
-    def add(batches: Iterator[pa.RecordBatch], kind: type = np.float32) -> Iterator[pa.RecordBatch]:
+    def rows_of(low: int, total: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Those rows of a block that are not all zero."""
+        has = np.flatnonzero(total.any(1)).astype(np.int32)
+        if len(has):
+            yield pa.RecordBatch.from_arrays([pa.array([low], pa.int64()), pa.array([has.tobytes()], pa.binary()), pa.array([total[has].astype(np.float32).tobytes()], pa.binary())], names=["low", "rows", "part"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums of the blocks, which come by ``low``."""
         low, total = None, None
         for batch in batches:
-            for key, raw in zip(batch.column("low").to_pylist(), batch.column("part").to_pylist(), strict=True):
-                if low is not None and key != low:
-                    yield pa.RecordBatch.from_arrays([pa.array([low], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["low", "part"])
-                    total = None
-                low = key
-                total = np.frombuffer(raw, kind).astype(np.float64) + (0 if total is None else total)
+            for key, has, raw in zip(*(batch.column(c).to_pylist() for c in ("low", "rows", "part")), strict=True):
+                if key != low:
+                    if low is not None:
+                        yield from rows_of(low, total)
+                    low, total = key, np.zeros((step, probe.shape[1]))
+                total[np.frombuffer(has, np.int32)] += np.frombuffer(raw, np.float32).reshape(-1, probe.shape[1])
         if low is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([low], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["low", "part"])
-
-    def add_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from add(batches, np.float64)
+            yield from rows_of(low, total)
 
-    kind = "low long, part binary"
-    parts = docs.select("text").mapInArrow(gram, kind).withColumn("task", F.pmod(F.spark_partition_id(), F.lit(SUMS)))
-    parts = parts.repartition("low", "task").sortWithinPartitions("low").select("low", "part").mapInArrow(add, kind)
-    parts = parts.repartition("low").sortWithinPartitions("low").mapInArrow(add_again, kind)
+    kind = "low long, rows binary, part binary"
+    parts = docs.select("text").coalesce(PRODUCTS).mapInArrow(gram, kind).withColumn("task", F.pmod(F.spark_partition_id(), F.lit(SUMS)))
+    parts = parts.repartition("low", "task").sortWithinPartitions("low").select("low", "rows", "part").mapInArrow(add, kind)
+    parts = parts.repartition("low").sortWithinPartitions("low").mapInArrow(add, kind)
     product = np.zeros(probe.shape)
     for r in parts.collect():
-        got = np.frombuffer(r["part"], np.float64).reshape(-1, probe.shape[1])
-        product[r["low"] : r["low"] + len(got)] += got
+        product[r["low"] + np.frombuffer(r["rows"], np.int32)] += np.frombuffer(r["part"], np.float32).reshape(-1, probe.shape[1])
     row, term, weight = tf_idf(*_item_rows(items), idf)
     product += max(n, 1) / len(items.ids) * gram_part(row, term, weight, probe)
     return items, idf, eigenvectors(product, probe.astype(np.float64), rank).astype(np.float32)
@@ -282,11 +290,11 @@ class Judge:
         self.counts = [Counter(x.tolist()) for x in items.words]
         self.items = [(len(x), _bits(x.tolist()), len(a), _bits(a.tolist())) for x, a in zip(items.words, items.answers, strict=True)]
 
-    def best(self, item: int, own: list[int], first: int) -> tuple[int, int, float]:
-        """(common words, place, share of the answer) of the best stretch near word ``first`` of a text."""
+    def best(self, item: int, own: list[int], first: int, words_: int) -> tuple[int, int, float]:
+        """(common words, place, share of the answer) of the best stretch near the ``words_`` from word ``first`` of a text on."""
         length, bits, answer, answer_bits = self.items[item]
         wide, step = -(-length * 5 // 4), max(1, length // 4)
-        low, high = max(0, first - length), min(len(own), first + 2 * HALF + length)
+        low, high = max(0, first - length), min(len(own), first + words_ + length)
         best = (0, 0, 0.0)
         left, shared = self.counts[item], 0
         for word, n in Counter(own[low:high]).items():
@@ -302,16 +310,21 @@ class Judge:
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Items]:
-    """The benchmark in blocks of MOST_ITEMS rows, by item; those without words are left out."""
+    """The benchmark in blocks of at most MOST_ITEMS rows and about MOST_TERMS words, by item; those without words are left out."""
     benchmark = benchmark.select("item_id", "text")
     rows = benchmark.limit(MOST_ITEMS + 1).collect()
     if len(rows) > MOST_ITEMS:
         rows = benchmark.orderBy("item_id", "text").toLocalIterator()
-    rows = iter(rows)
-    while block := [(r["item_id"], r["text"]) for r in itertools.islice(rows, MOST_ITEMS)]:
-        items = Items(block)
-        if items.ids:
-            yield items
+    block, known = [], set()
+    for r in itertools.chain(rows, [None]):
+        if block and (r is None or len(block) == MOST_ITEMS or len(known) >= MOST_TERMS):
+            items = Items(block)
+            if items.ids:
+                yield items
+            block, known = [], set()
+        if r is not None:
+            block.append((r["item_id"], r["text"]))
+            known.update((r["text"] or "").lower().split())
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, covered: float = COVERED) -> DataFrame:
@@ -396,52 +409,62 @@ def _searcher(docs: DataFrame, items: Items, cosine: float, covered: float):
     shared = docs.sparkSession.sparkContext.broadcast((items, idf, space, queries, short_items(items, covered)))
 
     def make():
-        items, idf, space, queries, short = shared.value
+        items, idf, space, queries, few = shared.value
         judge = Judge(items, covered)
-        short_item = np.array([k for k, _, _ in short], np.int64)
-
-        def search(column: pa.Array) -> list[tuple]:
-            _, w = plain_words(column)
-            at, term = items.lookup(w.hash)
-            if not len(at):
-                return []
-            half = (at - w.first[w.doc[at]]) // HALF
-            halves = np.maximum(-(-(w.last - w.first) // HALF), 1)
-            base = np.concatenate([[0], np.cumsum(halves)])
-            place = base[w.doc[at]] + half  # a passage is numbered by its first half
-            again = half > 0
-            row, held = np.concatenate([place, place[again] - 1]), np.concatenate([term, term[again]])
-            row, held, weight = tf_idf(row, held, idf)
-            enough = np.bincount(row) >= MIN_TERMS
-            pairs = holders(row, held, short) if short else []
+        brief = np.array([len(x) <= 2 * SHORT_HALF for x in items.words])
+        brief[[k for k, _, _ in few]] = False
+        other = ~brief
+        other[[k for k, _, _ in few]] = False
+        scales = [(SHORT_HALF, np.flatnonzero(brief), MIN_TERMS - 1, [])] if brief.any() else []
+        scales += [(HALF, np.flatnonzero(other), MIN_TERMS, few)] if other.any() or few else []
+
+        def candidates(w: Words, at: np.ndarray, term: np.ndarray, half: int, which: np.ndarray, least: int, few: list) -> Iterator[tuple[int, int, int, float]]:
+            """(row, first word, item, cosine) of the passages of two halves that are near an item."""
+            base = np.concatenate([[0], np.cumsum(np.maximum(-(-(w.last - w.first) // half), 1))])
+            own = (at - w.first[w.doc[at]]) // half
+            place = base[w.doc[at]] + own  # a passage is numbered by its first half
+            again = own > 0
+            row, held, weight = tf_idf(np.concatenate([place, place[again] - 1]), np.concatenate([term, term[again]]), idf)
+            enough = np.bincount(row) >= least
+            pairs = holders(row, held, few) if few else []
             keep = enough.copy()
             keep[[p for p, _ in pairs]] = True
             keep = keep[row]
             row, held, weight = row[keep], held[keep], weight[keep]
             numbers, row = np.unique(row, return_inverse=True)
             extra = np.array(sorted(zip(np.searchsorted(numbers, [p for p, _ in pairs]).tolist(), [k for _, k in pairs], strict=True)), np.int64).reshape(-1, 2)
-            out: dict[tuple[int, int], tuple] = {}
-            lists: dict[int, list[int]] = {}
+            wanted = queries[which].T
             for low in range(0, len(numbers), 4096):
                 a, b = np.searchsorted(row, [low, low + 4096])
                 z = project(row[a:b] - low, held[a:b], weight[a:b], space, min(4096, len(numbers) - low))
                 z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
-                close = z @ queries.T
+                close = z @ wanted
                 near = close >= cosine
                 near[~enough[numbers[low : low + 4096]]] = False
-                near[:, short_item] = False
+                p, k = np.nonzero(near)
                 here = extra[(extra[:, 0] >= low) & (extra[:, 0] < low + 4096)]
-                near[here[:, 0] - low, here[:, 1]] = True
-                for p, item in zip(*np.nonzero(near), strict=True):
-                    number = numbers[low + p]
-                    doc = int(np.searchsorted(base, number, side="right") - 1)
+                found = [(p, which[k], close[p, k]), (here[:, 0] - low, here[:, 1], np.einsum("ij,ij->i", z[here[:, 0] - low], queries[here[:, 1]]))]
+                for ps, ks, cs in found:
+                    number = numbers[low + ps]
+                    doc = np.searchsorted(base, number, side="right") - 1
+                    yield from zip(doc.tolist(), ((number - base[doc]) * half).tolist(), ks.tolist(), cs.tolist(), strict=True)
+
+        def search(column: pa.Array) -> list[tuple]:
+            _, w = plain_words(column)
+            at, term = items.lookup(w.hash)
+            if not len(at):
+                return []
+            out: dict[tuple[int, int], tuple] = {}
+            lists: dict[int, list[int]] = {}
+            for half, which, least, own_few in scales:
+                for doc, first, item, close in candidates(w, at, term, half, which, least, own_few):
                     if doc not in lists:
                         lists[doc] = w.hash[w.first[doc] : w.last[doc]].tolist()
-                    common, start, answer = judge.best(item, lists[doc], int(number - base[doc]) * HALF)
+                    common, start, answer = judge.best(item, lists[doc], first, 2 * half)
                     length = judge.items[item][0]
                     share = common / length
                     if share >= SURE or share >= covered and answer >= ANSWER:
-                        row_ = (doc, items.ids[item], start, length, common, share, answer, float(close[p, item]))
+                        row_ = (doc, items.ids[item], start, length, common, share, answer, close)
                         if (doc, item) not in out or row_[4] > out[doc, item][4]:
                             out[doc, item] = row_
             return list(out.values())

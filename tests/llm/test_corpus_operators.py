@@ -1,5 +1,6 @@
 """The operators on Spark: edge cases, and brute force on small tables."""
 
+import collections
 import glob
 import hashlib
 import itertools
@@ -10,6 +11,7 @@ import zlib
 from html.parser import HTMLParser
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -339,6 +341,73 @@ def test_leaks_of_a_table(spark):
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, bench).collect()} == truth and truth
 
 
+def brute_leaks(docs, items):
+    """Every document against every item and every place, by common subsequences and the answer alone."""
+    judge = decontaminate.Judge(items, decontaminate.COVERED)
+    lists = {}
+    for d, text in docs:
+        _, w = decontaminate.plain_words(pa.array([text], pa.string()))
+        lists[d] = w.hash.tolist()
+    out = set()
+    for d, own in lists.items():
+        held = collections.Counter(own)
+        for k, item in enumerate(items.ids):
+            length, bits, answer, answer_bits = judge.items[k]
+            if sum(min(n, held[w]) for w, n in judge.counts[k].items()) < judge.least[k]:
+                continue
+            wide, step = -(-length * 5 // 4), max(1, length // 8)
+            for start in range(0, max(1, len(own) - length // 2), step):
+                part = own[start : start + wide]
+                share = decontaminate.common_subsequence(bits, length, part) / length
+                if share >= decontaminate.SURE or share >= decontaminate.COVERED and decontaminate.common_subsequence(answer_bits, answer, part) / answer >= decontaminate.ANSWER:
+                    out.add((d, item))
+                    break
+    return out
+
+
+@pytest.mark.parametrize("n_items, n_docs", [(30, 400), (400, 200), (2000, 120)])
+def test_recall_of_the_latent_search(spark, n_items, n_docs):
+    """Verbatim items and paraphrases, items of 1 to 200 words, on both sides of the rank's bound: against all pairs."""
+    r = random.Random(n_items)
+    vocabulary = ["".join(r.choice("bdfgklmnprstvz") + r.choice("aeiou") for _ in range(r.randint(1, 4))) for _ in range(6000)]
+    weights = [1 / (k + 200) for k in range(len(vocabulary))]
+    say = lambda n: " ".join(r.choices(vocabulary, weights, k=n))
+    items = [(i, f"{say(r.choice([1, 2, 3, 6, 12, 25, 60, 150]))}. {say(r.randint(2, 10))}." if i % 9 else say(r.choice([1, 2, 3])) + f" only{i}") for i in range(n_items)]
+    docs, planted = [], set()
+    for d in range(n_docs):
+        words = say(r.choice([20, 120, 400])).split()
+        if d % 3:
+            k = r.randrange(n_items)
+            body = items[k][1].split()
+            if d % 3 == 2:  # a paraphrase: a fifth of the words swapped, some added
+                body = [w if r.random() > 0.2 else r.choice(vocabulary) for w in body]
+                for _ in range(len(body) // 12):
+                    body.insert(r.randrange(len(body)), r.choice(vocabulary))
+            at = r.randint(0, len(words))
+            words[at:at] = body
+            planted.add((d, k))
+        docs.append((d, " ".join(words)))
+    want = brute_leaks(docs, decontaminate.Items(items))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(x["doc_id"], x["item_id"]) for x in decontaminate.find_leaks(spark.createDataFrame(docs, EDGE_SCHEMA), bench).collect()}
+    long = {i for i, t in items if len(t.split()) >= 5}
+    parts = {"all": want, "planted": want & planted, "of five words or more": {p for p in want if p[1] in long}}
+    recall = {k: len(v & found) / len(v) for k, v in parts.items()}
+    print(f"items {n_items}: {len(want)} pairs, recall {recall}, {len(found - want)} more")
+    # what is not found are words of items of two to four that stand near each other by chance
+    assert len(want) > n_docs / 3 and recall["planted"] >= 0.95 and recall["of five words or more"] >= 0.95 and len(found - want) <= len(want) / 20
+
+
+def test_leaks_edges(spark):
+    """Repeated documents are each reported; a very long text is searched to its end."""
+    bench = spark.createDataFrame([(1, "seven grey herons stood beside the frozen canal at dawn. They were waiting.")], "item_id long, text string")
+    text = "filler words go here " * 100_000 + "seven grey herons stood beside the frozen canal at dawn. They were waiting."
+    rows = [(1, text), (1, text), (2, text[:-60]), (3, None), (None, text[-90:])]
+    got = decontaminate.find_leaks(spark.createDataFrame(rows, EDGE_SCHEMA), bench).collect()
+    assert sorted((x["doc_id"] or 0, x["item_id"]) for x in got) == [(0, 1), (1, 1), (1, 1)]
+    assert decontaminate.drop_leaking(spark.createDataFrame(rows, EDGE_SCHEMA), bench).count() == 2
+
+
 def test_leaks_of_short_items(spark):
     """Items of one or two different words: exact copies alone, among words that are no terms, and among terms of other items."""
     long = [(i, " ".join(f"t{i}x{k}" for k in range(40))) for i in range(10, 13)]
