@@ -9,8 +9,8 @@
 4. A third pass projects half-overlapping passages (for short items, short ones); an item is a
    candidate where the latent cosine is high enough. Candidates must then share a long common subsequence of words with the item, in
    order, and enough of its answer (its last sentence), so that paraphrases count and common words do not.
-   An item of fewer than MIN_TERMS different words says too little for a cosine: its candidates are the
-   passages that hold those of its words that it cannot do without.
+   An item of fewer than MIN_TERMS different words, or of at most FEW words, says too little for a
+   cosine: its candidates are all passages that hold as many of its words as it cannot do without.
 
 What reaches the driver is bounded by the benchmark: a count per term and a terms x rank matrix. A
 benchmark of over ``MOST_ITEMS`` items or ``MOST_TERMS`` different words is searched in blocks of so
@@ -52,6 +52,7 @@ MOST_ITEMS, MOST_TERMS = 3_000, 30_000  # of a block of the benchmark; a block i
 PRODUCTS = 4096  # at most so many tasks make a product each; of a larger table each takes several parts
 SUMS = 32  # tasks' products are summed in so many groups before all of them
 MIN_TERMS = 3  # terms that a passage needs to be a candidate, if the item has so many; a short one needs one less
+FEW = 4
 COSINE = 0.45
 COVERED = 0.6  # part of the item's words in common order
 SURE = 0.8  # from here on without an answer check
@@ -374,30 +375,39 @@ def _without(docs: DataFrame, searcher) -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
-def short_items(items: Items, covered: float) -> list[tuple[int, int, int]]:
-    """(item, term, other term or -1) of each item of one or two terms: what a passage must hold to cover enough of it."""
-    out = []
-    for k, x in enumerate(items.words):
-        own, count = np.unique(items.lookup(x)[1], return_counts=True)
-        if len(own) < MIN_TERMS:  # so few terms are all its words
-            first, *other = own[np.argsort(-count, kind="stable")].tolist()
-            out.append((k, first, other[0] if other and count.max() < covered * len(x) else -1))
-    return out
+class FewWorded:
+    """Items that say too little for a cosine: what each of their terms counts, and how much a passage must hold."""
 
+    def __init__(self, items: Items, covered: float) -> None:
+        self.need, term, item, count = {}, [], [], []
+        for k, x in enumerate(items.words):
+            own, n = np.unique(items.lookup(x)[1], return_counts=True)
+            if len(own) < MIN_TERMS or len(x) <= FEW:  # so few words are all terms
+                self.need[k] = covered * len(x) - 1e-9
+                term.append(own)
+                item.append(np.full(len(own), k))
+                count.append(n)
+        term, item, count = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (term, item, count))
+        order = np.argsort(term, kind="stable")
+        self.term, self.item, self.count = term[order], item[order], count[order]
+
+    def of(self, some: set[int]) -> FewWorded:
+        """Those of some items."""
+        out = copy.copy(self)
+        keep = np.isin(self.item, sorted(some))
+        out.term, out.item, out.count = self.term[keep], self.item[keep], self.count[keep]
+        return out
 
-def holders(row: np.ndarray, term: np.ndarray, short: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """(row, item) of the rows that hold what each of the short items needs."""
-    order = np.argsort(term, kind="stable")
-    row, term = row[order], term[order]
-    need = np.array([s[1:] for s in short], np.int64)
-    low, high = np.searchsorted(term, need, "left"), np.searchsorted(term, need, "right")
-    out = []
-    for k in np.flatnonzero((high > low).all(1) | (need[:, 1] < 0) & (high > low)[:, 0]).tolist():
-        found = row[low[k, 0] : high[k, 0]]
-        if need[k, 1] >= 0:
-            found = np.intersect1d(found, row[low[k, 1] : high[k, 1]], assume_unique=True)
-        out += [(p, short[k][0]) for p in found.tolist()]
-    return out
+    def holders(self, row: np.ndarray, term: np.ndarray) -> np.ndarray:
+        """(row, item) of the rows, given by their different terms, that hold enough of an item."""
+        low, high = np.searchsorted(self.term, term, "left"), np.searchsorted(self.term, term, "right")
+        n = high - low
+        at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        most = int(self.item.max()) + 1 if len(self.item) else 1
+        key, inverse = np.unique(np.repeat(row, n) * most + self.item[at], return_inverse=True)
+        held = np.bincount(inverse, self.count[at], minlength=len(key))
+        need = np.array([self.need.get(k, 0.0) for k in range(most)])
+        return np.stack([key // most, key % most], axis=1)[held >= need[key % most]]
 
 
 def _searcher(docs: DataFrame, items: Items, cosine: float, covered: float):
@@ -406,19 +416,18 @@ def _searcher(docs: DataFrame, items: Items, cosine: float, covered: float):
     row, term, weight = tf_idf(*_item_rows(items), idf)
     queries = project(row, term, weight, space, len(items.ids))
     queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-9)
-    shared = docs.sparkSession.sparkContext.broadcast((items, idf, space, queries, short_items(items, covered)))
+    shared = docs.sparkSession.sparkContext.broadcast((items, idf, space, queries, FewWorded(items, covered)))
 
     def make():
         items, idf, space, queries, few = shared.value
         judge = Judge(items, covered)
+        scales = []
         brief = np.array([len(x) <= 2 * SHORT_HALF for x in items.words])
-        brief[[k for k, _, _ in few]] = False
-        other = ~brief
-        other[[k for k, _, _ in few]] = False
-        scales = [(SHORT_HALF, np.flatnonzero(brief), MIN_TERMS - 1, [])] if brief.any() else []
-        scales += [(HALF, np.flatnonzero(other), MIN_TERMS, few)] if other.any() or few else []
+        for half, own, least in ((SHORT_HALF, brief, MIN_TERMS - 1), (HALF, ~brief, MIN_TERMS)):
+            some = set(np.flatnonzero(own).tolist())
+            scales += [(half, np.array(sorted(some - few.need.keys()), np.int64), least, few.of(some))] if some else []
 
-        def candidates(w: Words, at: np.ndarray, term: np.ndarray, half: int, which: np.ndarray, least: int, few: list) -> Iterator[tuple[int, int, int, float]]:
+        def candidates(w: Words, at: np.ndarray, term: np.ndarray, half: int, which: np.ndarray, least: int, few: FewWorded) -> Iterator[tuple[int, int, int, float]]:
             """(row, first word, item, cosine) of the passages of two halves that are near an item."""
             base = np.concatenate([[0], np.cumsum(np.maximum(-(-(w.last - w.first) // half), 1))])
             own = (at - w.first[w.doc[at]]) // half
@@ -426,13 +435,13 @@ def _searcher(docs: DataFrame, items: Items, cosine: float, covered: float):
             again = own > 0
             row, held, weight = tf_idf(np.concatenate([place, place[again] - 1]), np.concatenate([term, term[again]]), idf)
             enough = np.bincount(row) >= least
-            pairs = holders(row, held, few) if few else []
+            pairs = few.holders(row, held)
             keep = enough.copy()
-            keep[[p for p, _ in pairs]] = True
+            keep[pairs[:, 0]] = True
             keep = keep[row]
             row, held, weight = row[keep], held[keep], weight[keep]
             numbers, row = np.unique(row, return_inverse=True)
-            extra = np.array(sorted(zip(np.searchsorted(numbers, [p for p, _ in pairs]).tolist(), [k for _, k in pairs], strict=True)), np.int64).reshape(-1, 2)
+            extra = np.stack([np.searchsorted(numbers, pairs[:, 0]), pairs[:, 1]], axis=1)
             wanted = queries[which].T
             for low in range(0, len(numbers), 4096):
                 a, b = np.searchsorted(row, [low, low + 4096])

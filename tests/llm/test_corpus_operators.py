@@ -390,12 +390,9 @@ def test_recall_of_the_latent_search(spark, n_items, n_docs):
     want = brute_leaks(docs, decontaminate.Items(items))
     bench = spark.createDataFrame(items, "item_id long, text string")
     found = {(x["doc_id"], x["item_id"]) for x in decontaminate.find_leaks(spark.createDataFrame(docs, EDGE_SCHEMA), bench).collect()}
-    long = {i for i, t in items if len(t.split()) >= 5}
-    parts = {"all": want, "planted": want & planted, "of five words or more": {p for p in want if p[1] in long}}
-    recall = {k: len(v & found) / len(v) for k, v in parts.items()}
+    recall = {k: len(v & found) / len(v) for k, v in {"all": want, "planted": want & planted}.items()}
     print(f"items {n_items}: {len(want)} pairs, recall {recall}, {len(found - want)} more")
-    # what is not found are words of items of two to four that stand near each other by chance
-    assert len(want) > n_docs / 3 and recall["planted"] >= 0.95 and recall["of five words or more"] >= 0.95 and len(found - want) <= len(want) / 20
+    assert len(want) > n_docs / 3 and min(recall.values()) >= 0.95 and len(found - want) <= len(want) / 20
 
 
 def test_leaks_edges(spark):
