@@ -631,6 +631,88 @@ def test_chat_in_parts(spark, monkeypatch):
 # --- pipeline
 
 
+@pytest.fixture(scope="module")
+def odd_docs(spark):
+    """Rows that each stage has to live with: nulls, empty and very long texts, repeats, ties, clashing columns."""
+    r = random.Random(12)
+    prose = " ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(120))
+    long = " ".join(f"w{k}" for k in range(200_000))
+    rows = [*EDGE, (20, prose), (20, prose), (21, prose + " more"), (None, prose), (22, f"{prose[::-1]} write to a@b.co"), (23, long), (24, "\n" * 2_000_000), (25, None), (25, None)]
+    return spark.createDataFrame(rows, EDGE_SCHEMA).selectExpr("'c' as kept", "doc_id", "text", "1 as shard", "cast(length(text) as long) as n_chars", "'s' as class_id", "2L as uid", "3 as bucket")
+
+
+def stages():
+    return dict(pytest.importorskip("corpus_pipeline").STAGES)
+
+
+def ids(df):
+    return collections.Counter(r["doc_id"] for r in df.select("doc_id").collect())
+
+
+def test_stages_of_an_empty_table(spark, odd_docs):
+    for name, stage in stages().items():
+        out = stage(spark, odd_docs.limit(0), SF)
+        assert out.count() == 0 and (name == "length_buckets" or out.columns == odd_docs.columns), name
+
+
+def test_quality_stage_of_odd_rows(spark, odd_docs):
+    out = stages()["quality_rules"](spark, odd_docs, SF)
+    assert out.columns == odd_docs.columns and ids(out) == {20: 2, 21: 1, None: 1, 22: 1, 23: 1}
+
+
+def test_near_copies_stage_of_odd_rows(spark, odd_docs):
+    out = stages()["near_duplicates"](spark, odd_docs, SF)
+    assert out.columns == odd_docs.columns
+    # (4, 5, 5: "one two"; 20, 20, 21, None: one prose; repeats of one row once)
+    assert ids(out) == {1: 1, 2: 1, 3: 1, 4: 1, None: 1, 7: 1, 8: 1, -9: 1, 20: 1, 22: 1, 23: 1, 24: 1, 25: 1}
+
+
+def test_decontamination_stage_of_odd_rows(spark, odd_docs):
+    out = stages()["decontamination"](spark, odd_docs, SF)
+    assert out.columns == odd_docs.columns and ids(out) == ids(odd_docs)
+
+
+def test_personal_data_stage_of_odd_rows(spark, odd_docs):
+    out = stages()["personal_data"](spark, odd_docs, SF)
+    assert out.columns == odd_docs.columns and ids(out) == ids(odd_docs)
+    by = {r["doc_id"]: r for r in out.collect()}
+    assert by[22]["text"].endswith("write to [EMAIL]") and by[22]["n_chars"] == len(by[22]["text"]) and by[25]["text"] is None
+
+
+def test_packing_stage_of_odd_rows(spark, odd_docs):
+    out = stages()["length_buckets"](spark, odd_docs, SF)
+    rows = out.collect()
+    assert ids(out) == ids(odd_docs) and len({(r["bucket"], r["batch"], r["place"]) for r in rows}) == len(rows)
+    assert {r["n_tokens"] for r in rows if r["doc_id"] in (1, 2, 25)} == {1}
+
+
+def test_packing_against_brute_force(spark):
+    """The whole query: tokens by the pattern itself, the least padding of all sets of bounds, full batches."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    count = packing.token_counter()
+    rows = {r["doc_id"]: r for r in QUERIES["op5_length_buckets"](spark, SF).collect()}
+    assert {d: r["n_tokens"] for d, r in rows.items()} == {r["doc_id"]: (count(r["text"]) if r["text"] else 0) + 1 for r in docs}
+    padded = sorted(-(-r["n_tokens"] // packing.MULTIPLE) * packing.MULTIPLE for r in rows.values())
+    lengths = sorted(set(padded))
+    least = {0: 0}  # least padding of the lengths up to each, by one more bucket a round
+    for _ in range(packing.BUCKETS):
+        new = dict(least)
+        for j in range(1, len(lengths) + 1):
+            for i, cost in least.items():
+                if i < j:
+                    own = [x for x in padded if lengths[i] <= x <= lengths[j - 1]] if i else [x for x in padded if x <= lengths[j - 1]]
+                    new[j] = min(new.get(j, 10**12), cost + sum(lengths[j - 1] - x for x in own))
+        least = new
+    got = sum(r["padded_tokens"] - -(-r["n_tokens"] // packing.MULTIPLE) * packing.MULTIPLE for r in rows.values())
+    assert got == least[len(lengths)]
+    batches = collections.defaultdict(list)
+    for r in rows.values():
+        batches[r["bucket"], r["batch"]].append(r)
+    for (bucket, batch), own in batches.items():
+        full = max(1, packing.BUDGET // own[0]["padded_tokens"])
+        assert sorted(r["place"] for r in own) == list(range(len(own))) and (len(own) == full or (bucket, batch + 1) not in batches and len(own) < full)
+
+
 def test_pipeline(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{SF}/documents.parquet")
