@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 BLOCK_ROWS = 250_000  # rows that one task sorts, about
+CUT_ROWS = 500_000  # rows of a sample that cuts are taken from, at least
 LEAST_BLOCKS, MOST_BLOCKS = 8, 4096  # of more rows than these hold, blocks grow; a task sorts them on disk
 
 
@@ -17,9 +18,17 @@ def blocks_of(rows: int) -> int:
     return min(MOST_BLOCKS, max(LEAST_BLOCKS, -(-rows // BLOCK_ROWS)))
 
 
-def quantile_cuts(df: DataFrame, key: str, blocks: int) -> list:
-    """Approximate quantiles that cut the rows into so many blocks (``blocks`` numbers reach the driver)."""
-    return sorted(set(df.select(F.percentile_approx(key, [i / blocks for i in range(1, blocks)], 10 * blocks)).first()[0] or []))
+def quantile_cuts(df: DataFrame, key: str, blocks: int, rows: int | None = None) -> list:
+    """Approximate quantiles that cut the rows into so many blocks (``blocks`` numbers reach the driver).
+
+    Any cuts give right ranks, so with ``rows`` known a large table's are taken from a sample: else the
+    sketches of all its tasks would meet in one.
+    """
+    held = df.select(key)
+    share = max(CUT_ROWS, 100 * blocks) / max(rows or 1, 1)
+    if share < 1:
+        held = held.sample(share, seed=1)
+    return sorted(set(held.select(F.percentile_approx(key, [i / blocks for i in range(1, blocks)], 10 * blocks)).first()[0] or []))
 
 
 def block_of(key: Column, cuts: list) -> Column:
@@ -38,7 +47,8 @@ def block_of(key: Column, cuts: list) -> Column:
 
 def blocks_by_quantile(df: DataFrame, key: str, blocks: int | None = None) -> Column:
     """Block number of a numeric key; as many blocks as the rows need, if their number is not given."""
-    return block_of(F.col(key), quantile_cuts(df, key, blocks or blocks_of(df.count())))
+    rows = df.count()
+    return block_of(F.col(key), quantile_cuts(df, key, blocks or blocks_of(rows), rows))
 
 
 def global_rank(df: DataFrame, block: Column, order: list[Column], name: str) -> DataFrame:
@@ -63,7 +73,8 @@ class KeyOrder:
 
     def __init__(self, df: DataFrame, key: str, blocks: int | None = None) -> None:
         self.df, self.key = df, key
-        self.cuts = quantile_cuts(df, key, blocks or blocks_of(df.count()))
+        rows = df.count()
+        self.cuts = quantile_cuts(df, key, blocks or blocks_of(rows), rows)
         found = {r["b"]: r["n"] for r in df.groupBy(block_of(F.col(key), self.cuts).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
         self.before = [0]
         for b in range(len(self.cuts) + 1):

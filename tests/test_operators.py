@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from atelier.functions import ranking
 from atelier.functions.ranking import KeyOrder, block_of, blocks_of, rank_by_key
 from atelier.operators import arrays, captions, geometry, listing, metrics, sampling
 from atelier.sources import arrays as files
@@ -31,6 +32,16 @@ def test_blocks_are_found_in_two_steps(spark):
         assert all(r["b"] == sum(c < r["id"] for c in cuts) for r in got)
 
 
+def test_cuts_of_a_sample(spark, monkeypatch):
+    """Whatever the sample, ranks are exact."""
+    monkeypatch.setattr(ranking, "CUT_ROWS", 100)
+    df = spark.range(0, 20_000, 1, 5).select((F.col("id") * 37 % 20_011).alias("k"))
+    held = KeyOrder(df, "k", blocks=12)
+    keys = sorted(r["k"] for r in df.collect())
+    assert len(held.cuts) > 5 and [(r["row_idx"], r["k"]) for r in held.between(9_990, 30).orderBy("row_idx").collect()] == list(enumerate(keys))[9_990:10_020]
+    assert KeyOrder(df.limit(3), "k", blocks=12).between(0, 9).count() == 3
+
+
 def test_tied_keys_keep_their_places(spark):
     df = spark.createDataFrame([(5,)] * 40 + [(None,)] * 3 + [(9,)] * 40, "k int")
     held = KeyOrder(df, "k", blocks=8)
