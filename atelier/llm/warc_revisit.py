@@ -23,7 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BLOCKS = 128
+from atelier.functions.ranking import block_of, blocks_of, quantile_cuts
+
+LEAST_BLOCKS = 128
 REVISIT_LAG = 1000  # in the query: a page is asked for again after so many fetches
 
 # Parameters that only track visitors; headers that a 304 answer may update.
@@ -44,27 +46,19 @@ def canonical_url(url: Column) -> Column:
     return F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
 
 
-def time_block(records: DataFrame, at: str, blocks: int) -> Column:
-    """Number of the time block, cut at approximate quantiles (``blocks`` numbers come to the driver)."""
-    cuts = records.select(F.percentile_approx(at, [i / blocks for i in range(1, blocks)], 10 * blocks).alias("c")).first()[0] or []
-    cuts = sorted(set(cuts))
-    if not cuts:
-        return F.lit(0)
-    edges = F.array(*[F.lit(c) for c in cuts])
-    return F.size(F.filter(edges, lambda c: c < F.col(at)))
-
-
-def resolve_revisits(records: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+def resolve_revisits(records: DataFrame, blocks: int | None = None) -> DataFrame:
     """records: record_id long, url string, at long, kind 'response' | 'revisit', complete boolean,
     etag string, last_modified string, headers map<string,string> (names in lower case).
 
-    One row per revisit: record_id, canonical_url, at, response_id, status, headers.
+    Without ``blocks``, time is cut into as many as the rows need. One row per revisit: record_id, canonical_url, at, response_id, status, headers.
     status: resolved, changed (validators disagree), no_validator, no_response.
     """
     rows = records.select(
         "record_id", canonical_url(F.col("url")).alias("canonical_url"), "at", "kind", "etag", "last_modified", "headers", (F.col("kind") == "response") & F.coalesce(F.col("complete"), F.lit(False)) & F.col("at").isNotNull()
     ).toDF("record_id", "canonical_url", "at", "kind", "etag", "last_modified", "headers", "__full")
-    rows = rows.withColumn("__block", time_block(records, "at", blocks))
+    total = records.count()
+    cuts = quantile_cuts(records, "at", blocks or max(LEAST_BLOCKS, blocks_of(total)), total)
+    rows = rows.withColumn("__block", F.coalesce(block_of(F.col("at"), cuts), F.lit(0)))
     held = F.when(F.col("__full"), F.struct("record_id", "etag", "last_modified", "headers"))
     within = Window.partitionBy("canonical_url", "__block").orderBy("at", "record_id").rowsBetween(Window.unboundedPreceding, -1)
     here = rows.withColumn("__near", F.last(held, ignorenulls=True).over(within))
