@@ -2,9 +2,11 @@ import csv
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from atelier.functions.text import fixed
 from atelier.operators.catalog import Catalog
-from atelier.sources.csv_table import append_rows, read_captions, read_catalog, read_dictionary, read_rows
+from atelier.sources.csv_table import append_rows, read_captions, read_catalog, read_dictionary, read_rows, write_metrics
 
 
 @pytest.fixture(scope="module")
@@ -113,3 +115,12 @@ def test_append_and_dictionary(spark, files, tmp_path):
         read_dictionary(spark, str(files / "bare.csv"))
     (tmp_path / "c.csv").write_text("path,caption\np1,c1\n")
     assert [tuple(r)[:3] for r in read_captions(spark, str(tmp_path / "c.csv")).collect()] == [("p1", "c1", "")]
+
+
+def test_metric_series_as_text(spark, tmp_path):
+    """A header that names alpha, then lines in step order; the file is written anew each time."""
+    df = spark.createDataFrame([(k, k / 4) for k in (3, 1, 2)], "step long, loss double").repartition(3)
+    for _ in range(2):
+        write_metrics(df, str(tmp_path / "m"), 0.98, F.concat_ws(",", F.col("step").cast("string"), fixed(F.col("loss"), 6), fixed(F.col("loss"), 6)))
+    lines = [x for p in sorted((tmp_path / "m").glob("part-*")) for x in p.read_text().splitlines()]
+    assert lines == ["step,loss,loss_ema(alpha=0.98)", "1,0.250000,0.250000", "2,0.500000,0.500000", "3,0.750000,0.750000"]
