@@ -462,11 +462,70 @@ def stretch_scores(texts: list[str], tagger: Tagger, whole: bool = False) -> lis
     return [(i, a, total[s : s + n]) for i, a, s, n in places]
 
 
+CHUNK, LONG_STRETCH = 256, 4096
+
+
+def long_viterbi(score: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Best label path of one long stretch, its chunks side by side.
+
+    For each chunk, the best value from every label before it to every label at its end; these are
+    composed from chunk to chunk, which gives the labels at all chunks' ends, and with them each
+    chunk's path. The same path as step by step, in a two-hundredth of the steps.
+    """
+    many = len(score) // CHUNK
+    parts = score[: many * CHUNK].reshape(many, CHUNK, LABELS).astype(np.float64)
+    through = np.empty((many, LABELS, LABELS))
+    for low in range(0, many, 1024):
+        some = parts[low : low + 1024]
+        value = moves[None] + some[:, 0, None, :]
+        for t in range(1, CHUNK):
+            value = (value[:, :, :, None] + moves).max(2) + some[:, t, None, :]
+        through[low : low + 1024] = value
+    first = _START + parts[0, 0]
+    for t in range(1, CHUNK):
+        first = (first[:, None] + moves).max(0) + parts[0, t]
+    best, came = [first], []
+    for j in range(1, many):
+        z = best[-1][:, None] + through[j]
+        came.append(z.argmax(0))
+        best.append(z.max(0))
+    final, tail_back = best[-1], []
+    for row in score[many * CHUNK :].astype(np.float64):
+        z = final[:, None] + moves
+        tail_back.append(z.argmax(0))
+        final = z.max(0) + row
+    path = np.empty(len(score), np.int64)
+    now = int(final.argmax())
+    for k in range(len(tail_back) - 1, -1, -1):
+        path[many * CHUNK + k] = now
+        now = int(tail_back[k][now])
+    ends = np.empty(many, np.int64)
+    for j in range(many - 1, -1, -1):
+        ends[j] = now
+        now = int(came[j - 1][now]) if j else now
+    begin = moves[ends[:-1]]  # of the labels before all chunks but the first
+    rows = np.arange(many)
+    value = np.concatenate([_START[None], begin]) + parts[:, 0]
+    back = np.zeros((CHUNK, many, LABELS), np.int8)
+    for t in range(1, CHUNK):
+        z = value[:, :, None] + moves
+        back[t] = z.argmax(1)
+        value = z.max(1) + parts[:, t]
+    inner, now = path[: many * CHUNK].reshape(many, CHUNK), ends
+    for t in range(CHUNK - 1, -1, -1):
+        inner[:, t] = now
+        now = back[t, rows, now]
+    return path
+
+
 def viterbi(jobs: list[np.ndarray], moves: np.ndarray) -> list[np.ndarray]:
     """Best label path of each stretch (steps x LABELS of scores); stretches of like lengths go together."""
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(jobs)
     order = sorted(range(len(jobs)), key=lambda k: -len(jobs[k]))
     low = 0
+    while low < len(order) and len(jobs[order[low]]) >= LONG_STRETCH:
+        out[order[low]] = long_viterbi(jobs[order[low]], moves)
+        low += 1
     while low < len(order):
         steps = len(jobs[order[low]])
         group = order[low : low + max(1, min(512, 400_000 // steps))]

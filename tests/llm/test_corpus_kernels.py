@@ -341,6 +341,22 @@ def test_viterbi_is_the_best_path():
         assert np.isclose(value(s, path), value(s, best))
 
 
+@pytest.mark.parametrize("steps", [256, 257, 511, 512, 3000])
+def test_chunks_give_the_same_path(steps):
+    r = np.random.default_rng(steps)
+    for spread in (0.3, 3.0):
+        moves = r.standard_normal((pii_tagger.LABELS, pii_tagger.LABELS)) + pii_tagger._MOVES
+        score = (r.standard_normal((steps, pii_tagger.LABELS)) * spread).astype(np.float32)
+        assert (pii_tagger.long_viterbi(score, moves) == pii_tagger.viterbi([score], moves)[0]).all()
+
+
+def test_a_long_text_of_digits():
+    text, tagger = "7 1 " * 100_000 + "a@b.co", pii_tagger.trained()
+    began = time.process_time()
+    base, both = pii_tagger.all_spans([text], tagger)
+    assert base == both == [[("email", 400_000, 400_006)]] and time.process_time() - began < 40
+
+
 def test_leaf_blocks():
     page = """<html><head><title>T &amp; t</title><script>var a="<p>no</p>";</script></head><body><!-- <p>no</p> --><nav><ul><li><a href="/x">One<li><a href="/y">Two</a></ul></nav>
     <article><h1>Head</h1><p>a <b>b<br>c</b>  &eacute;<p title="x > y">d<div class="ad">buy</div></article><footer>&copy; f"""
