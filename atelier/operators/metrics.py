@@ -38,38 +38,33 @@ def decayed(x: np.ndarray, alpha: float, begun: float) -> np.ndarray:
     return out
 
 
-def _averaged(batches: Iterator[pa.RecordBatch], series: str, value: str, alpha: float, first_of: str):
-    """(batch, running average, power of alpha since the block's beginning, whether a block ends) of rows that come by series and block.
+def _averaged(batches: Iterator[pa.RecordBatch], series: str, value: str, alpha: float) -> Iterator[tuple]:
+    """(batch, average from nothing, power of alpha, first value of the block so far, beginnings of blocks) of rows that come by series and block.
 
-    In the first block that has values the average begins with the first of them (before: not a number), in later ones with 0.
-    A null leaves things as they are.
+    The power is that of alpha by the number of values since the block's beginning; a null leaves things as they are.
     """
-    now, e, power, begun = None, 0.0, 1.0, False
+    now, e, power, first = None, 0.0, 1.0, np.nan
     for batch in batches:
         if not batch.num_rows:
             continue
-        block, first = batch.column("__block").to_numpy(), batch.column(first_of).to_numpy()
+        block = batch.column("__block").to_numpy()
         names = pc.fill_null(batch.column(series).cast(pa.string()), "\0").dictionary_encode().indices.to_numpy()
         x = batch.column(value).cast(pa.float64())
         real, x = pc.is_valid(x).to_numpy(zero_copy_only=False), pc.fill_null(x, 0.0).to_numpy()
         edges = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (names[1:] != names[:-1])])).tolist()
-        part, powers = np.empty(len(x)), np.empty(len(x))
+        part, powers, firsts = np.empty(len(x)), np.empty(len(x)), np.empty(len(x))
         for a, b in zip(edges, [*edges[1:], len(x)], strict=True):
             key = (batch.column(series)[a].as_py(), int(block[a]))
             if key != now:
-                now, begun = key, bool(block[a] > first[a])
-                e, power = (0.0, 1.0) if begun else (np.nan, 0.0)
-            at = np.flatnonzero(real[a:b])
-            own = x[a:b][at]
-            if len(own):
-                averages = decayed(own, alpha, e) if begun else np.concatenate([own[:1], decayed(own[1:], alpha, own[0])])
-                grown = power * alpha ** np.arange(1.0, len(own) + 1)
-                seen = np.cumsum(real[a:b])
-                part[a:b], powers[a:b] = np.concatenate([[e], averages])[seen], np.concatenate([[power], grown])[seen]
-                e, power, begun = averages[-1], grown[-1], True
-            else:
-                part[a:b], powers[a:b] = e, power
-        yield batch, part, powers, edges
+                now, e, power, first = key, 0.0, 1.0, np.nan
+            own = x[a:b][real[a:b]]
+            seen = np.cumsum(real[a:b])
+            part[a:b] = np.concatenate([[e], decayed(own, alpha, e)])[seen]
+            powers[a:b] = power * alpha ** seen.astype(float)
+            first = own[0] if len(own) and np.isnan(first) else first
+            firsts[a:b] = first
+            e, power = part[b - 1], powers[b - 1]
+        yield batch, part, powers, firsts, edges
 
 
 def ema(df: DataFrame, series: str, at: str, tie: str, value: str, alpha: float, blocks: int | None = None) -> DataFrame:
@@ -78,38 +73,35 @@ def ema(df: DataFrame, series: str, at: str, tie: str, value: str, alpha: float,
     A null value leaves the average as it was (null before the first value). A series is cut into blocks
     of time, as many as the rows need; the recurrence is linear, so a block's end is known up to
     alpha^rows times its beginning, and a fold over the few block ends gives each block its beginning.
-    alpha of 1 or more gives x itself.
+    (A series begins as if its first value had been its average before.) alpha of 1 or more gives x itself.
     """
     if alpha >= 1:
         return df.withColumn("ema", F.col(value).cast("double"))
     keyed = df.withColumn("__at", F.col(at).cast("double") if dict(df.dtypes)[at] != "timestamp_ntz" else F.unix_micros(F.col(at).cast("timestamp")))
     keyed = keyed.withColumn("__block", blocks_by_quantile(keyed, "__at", blocks))
-    first = keyed.filter(F.col(value).isNotNull()).groupBy(F.col(series).alias("__series")).agg(F.min("__block").alias("__first"))
-    dealt = keyed.join(first, F.col(series).eqNullSafe(F.col("__series")), "left").drop("__series").withColumn("__first", F.coalesce("__first", F.lit(2**31 - 1)))
-    dealt = dealt.repartition(series, "__block").sortWithinPartitions(series, "__block", at, tie)
-    kind = dict(df.dtypes)[series]
+    dealt = keyed.repartition(series, "__block").sortWithinPartitions(series, "__block", at, tie)
 
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The last state of each block: one row a block and batch that it spans, the last of which counts."""
         n = 0
-        for batch, part, powers, edges in _averaged(batches, series, value, alpha, "__first"):
+        for batch, *states, edges in _averaged(batches, series, value, alpha):
             last = np.array([*edges[1:], batch.num_rows]) - 1
             n += 1
-            yield pa.RecordBatch.from_arrays([batch.column(series).take(pa.array(last)), batch.column("__block").take(pa.array(last)), pa.array(np.full(len(last), n)), pa.array(part[last]), pa.array(powers[last])], names=["__series", "__block", "__n", "__part", "__power"])
+            yield pa.RecordBatch.from_arrays([batch.column(series).take(pa.array(last)), batch.column("__block").take(pa.array(last)), pa.array(np.full(len(last), n)), *(pa.array(s[last]) for s in states)], names=["__series", "__block", "__n", "__part", "__power", "__first"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, part, powers, _ in _averaged(batches, series, value, alpha, "__first"):
+        for batch, part, powers, *_ in _averaged(batches, series, value, alpha):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part), pa.array(powers)], names=[*batch.schema.names, "__part", "__power"])
 
-    closed = dealt.select(series, "__block", "__first", value).mapInArrow(ends, f"__series {kind}, __block int, __n long, __part double, __power double")
-    closed = closed.groupBy("__series", "__block").agg(F.max_by(F.struct("__part", "__power"), "__n").alias("__end"))
+    closed = dealt.select(series, "__block", value).mapInArrow(ends, f"__series {dict(df.dtypes)[series]}, __block int, __n long, __part double, __power double, __first double")
+    closed = closed.groupBy("__series", "__block").agg(F.max_by(F.struct("__part", "__power", F.nanvl("__first", F.lit(None)).alias("__first")), "__n").alias("__end"))
     before = Window.partitionBy("__series").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    begun = F.aggregate(F.collect_list("__end").over(before), F.lit(0.0), lambda e, b: F.when(F.isnan(b["__part"]), e).otherwise(b["__power"] * e + b["__part"]))
-    carried = closed.select("__series", F.col("__block").alias("__of"), begun.alias("__begun"))
+    begun = F.aggregate(F.collect_list("__end").over(before), F.lit(None).cast("double"), lambda e, b: F.coalesce(b["__part"] + b["__power"] * F.coalesce(e, b["__first"]), e))
+    carried = closed.select("__series", F.col("__block").alias("__of"), begun.alias("__begun"), F.col("__end.__first").alias("__first"))
     local = dealt.mapInArrow(run, StructType(list(dealt.schema)).add("__part", "double").add("__power", "double"))
     joined = local.join(carried, F.col(series).eqNullSafe(F.col("__series")) & (F.col("__block") == F.col("__of")))
-    average = F.col("__part") + F.col("__power") * F.col("__begun")
-    return joined.withColumn("ema", F.when(~F.isnan("__part"), average)).select(*df.columns, "ema")
+    average = F.col("__part") + F.col("__power") * F.coalesce("__begun", "__first")
+    return joined.withColumn("ema", F.when(F.col("__power") == 1, F.col("__begun")).otherwise(average)).select(*df.columns, "ema")
 
 
 def vector_ema(vectors: Column, decay: float) -> Column:

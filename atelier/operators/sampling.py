@@ -7,14 +7,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atelier.functions.ranking import rank_by_uniform
+from atelier.functions.ranking import blocks_of, rank_by_uniform
 from atelier.functions.text import uniform
 
 
 def train_batches(df: DataFrame, key: str, size: int, seed: int, epoch: int = 0) -> DataFrame:
     """(key, batch, place) in a new order each epoch; an incomplete last batch is dropped."""
     n = df.count()
-    ranked = rank_by_uniform(df.select(key), uniform(F.col(key), seed + epoch), key, "__rank")
+    ranked = rank_by_uniform(df.select(key), uniform(F.col(key), seed + epoch), key, "__rank", blocks_of(n))
     batch = F.floor(F.col("__rank") / size).cast("long")
     return ranked.select(key, batch.alias("batch"), (F.col("__rank") % size).cast("int").alias("place")).filter(F.col("batch") < n // size)
 
