@@ -505,7 +505,7 @@ def labelled_pages(count: int = 900, seed: int = 4, plain: float = 0.3, unmarked
                     put(f"<li>{link(word())}</li>", False)
                 out.append("</ul>")
             elif x < 0.8:
-                put(f"<{(t := pick('div p'))}>{pick('| &gt; &middot;').join(f' {link(word())} ' for _ in range(n))}</{t}>", False)
+                put(f"<{(t := pick('div p'))}>{pick('| &gt; &middot; <br>').join(f' {link(word())} ' for _ in range(n))}</{t}>", False)
             else:
                 for _ in range(n):
                     put(f"<div>{link(word())}</div>", False)
@@ -578,7 +578,9 @@ def labelled_pages(count: int = 900, seed: int = 4, plain: float = 0.3, unmarked
             out.append("</td></tr><tr><td>")
             side = r.random() < 0.5
             if side:
-                for _ in range(r.randint(2, 8)):
+                if r.random() < 0.3:
+                    put("<br>".join(link(word()) for _ in range(r.randint(2, 6))), False)
+                for _ in range(r.randint(1, 7)):
                     put(f"{link(word())}<p>" if r.random() < 0.3 else f"<div>{link(word())}</div>", False)
                 out.append("</td><td>")
             article("h1 h2 h3")
