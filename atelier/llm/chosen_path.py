@@ -409,9 +409,9 @@ def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, similarity: float = S
     found = materialise(found.agg(F.max("first").alias("stays"), F.count(F.lit(1)).alias("n")).filter("not stays or n > 1"), "classes")
     release(joined)
     keyed = docs.withColumns({names[0]: F.coalesce(F.col("doc_id"), F.lit(-(2**63))), names[1]: F.xxhash64("text")})
+    if not found.filter("n > 1").isEmpty():  # rows that repeat doc_id and text are thinned before the shuffle
+        keyed = keyed.dropDuplicates(list(names))
     kept = keyed.join(found.filter("not stays").select(*names), list(names), "left_anti")
-    if not found.filter("stays").isEmpty():  # rows that repeat doc_id and text
-        kept = kept.dropDuplicates(list(names))
     return kept.select(*docs.columns)
 
 
