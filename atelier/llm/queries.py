@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from atelier.llm import chat_masks, chosen_path, decontaminate, html_crf, jump_shards, packing, pii_tagger, suffix_rules, warc_revisit, zstd_quality
+from atelier.llm import chat_masks, chosen_path, collocations, conversation_trie, decontaminate, html_crf, jump_shards, packing, pii_tagger, source_mixing, suffix_rules, warc_revisit, zstd_quality
 from atelier.llm.common import table
 
 QUERIES = {
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_jump_sharding": lambda spark, d: jump_shards.shard_rows(table(spark, d, "documents")),
     "op9_chat_masks": lambda spark, d: chat_masks.masks_of_conversations(table(spark, d, "conversations")),
     "op10_chosen_path_join": lambda spark, d: chosen_path.jaccard_join(table(spark, d, "documents")),
+    "op11_priority_mixing": lambda spark, d: source_mixing.mix_documents(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op12_truncation_trie": lambda spark, d: conversation_trie.trie_of_conversations(table(spark, d, "conversations")),
+    "op13_hat_collocations": lambda spark, d: collocations.collocations(table(spark, d, "documents")),
 }
 
 ORACLES = {
@@ -23,4 +26,7 @@ ORACLES = {
     "op8_jump_sharding": jump_shards.shard_rows_sql(),
     "op9_chat_masks": chat_masks.masks_of_conversations_sql(),
     "op10_chosen_path_join": chosen_path.jaccard_join_sql(),
+    "op11_priority_mixing": source_mixing.mix_documents_sql(),
+    "op12_truncation_trie": conversation_trie.trie_of_conversations_sql(),
+    "op13_hat_collocations": collocations.collocations_sql(),
 }
