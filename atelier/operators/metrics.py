@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -95,9 +96,20 @@ def ema(df: DataFrame, series: str, at: str, tie: str, value: str, alpha: float,
 
     closed = dealt.select(series, "__block", value).mapInArrow(ends, f"__series {dict(df.dtypes)[series]}, __block int, __n long, __part double, __power double, __first double")
     closed = closed.groupBy("__series", "__block").agg(F.max_by(F.struct("__part", "__power", F.nanvl("__first", F.lit(None)).alias("__first")), "__n").alias("__end"))
-    before = Window.partitionBy("__series").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    begun = F.aggregate(F.collect_list("__end").over(before), F.lit(None).cast("double"), lambda e, b: F.coalesce(b["__part"] + b["__power"] * F.coalesce(e, b["__first"]), e))
-    carried = closed.select("__series", F.col("__block").alias("__of"), begun.alias("__begun"), F.col("__end.__first").alias("__first"))
+    held = closed.select("__series", "__block", "__end.*")
+
+    def fold(f: pd.DataFrame) -> pd.DataFrame:
+        """Once through the ends of a series' blocks, of which there are a bounded number."""
+        f = f.sort_values("__block")
+        begun, e = [], np.nan
+        for part, power, first in zip(f["__part"], f["__power"], f["__first"], strict=True):
+            begun.append(e)
+            now = part + power * (first if np.isnan(e) else e)
+            e = e if np.isnan(now) else now
+        return pd.DataFrame({"__series": f["__series"], "__of": f["__block"], "__begun": begun, "__first": f["__first"]})
+
+    carried = held.groupBy("__series").applyInPandas(fold, f"__series {dict(df.dtypes)[series]}, __of int, __begun double, __first double")
+    carried = carried.withColumns({c: F.nanvl(c, F.lit(None)) for c in ("__begun", "__first")})
     local = dealt.mapInArrow(run, StructType(list(dealt.schema)).add("__part", "double").add("__power", "double"))
     joined = local.join(carried, F.col(series).eqNullSafe(F.col("__series")) & (F.col("__block") == F.col("__of")))
     average = F.col("__part") + F.col("__power") * F.coalesce("__begun", "__first")

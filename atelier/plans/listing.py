@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from atelier.functions.text import uniform
 from atelier.operators import listing as op
 from atelier.plans.common import Family, strip_sql, table, uniform_sql
-from atelier.sources import html_pages, manifest
+from atelier.sources import arrays, html_pages, manifest
 
 family = Family()
 ANCHORS = "regexp_extract_all(html, '<a href=\"([^\"]*)\">([^<]*)</a>', {})"
@@ -162,8 +162,15 @@ def manifest_from_list(spark, d):
     return manifest.listed(pages.filter(uniform(F.col("page_id"), 7) < 0.8).select(line.alias("line")), "line", pages.filter("page_id % 2 = 0").select(path.alias("path")))
 
 
-@family.add("error_capture", "SELECT event_id, try_cast(props->>'k' AS INT) AS k, CASE WHEN try_cast(props->>'k' AS INT) % 7 = 0 THEN 'failed' ELSE 'ok' END AS status FROM events")
+@family.add("error_capture", "SELECT event_id, CASE WHEN k % 7 <> 0 THEN k * 2 END AS doubled, CASE WHEN k % 7 <> 0 THEN 'ok' ELSE 'failed' END AS status FROM (SELECT event_id, try_cast(props->>'k' AS INT) AS k FROM events)")
 def error_capture(spark, d):
-    k = F.get_json_object("props", "$.k").try_cast("int")
-    bad = F.expr("try_divide(1, try_cast(get_json_object(props, '$.k') as int) % 7)").isNull()
-    return table(spark, d, "events").select("event_id", k.alias("k"), F.when(bad, "failed").otherwise("ok").alias("status"))
+    """A model that fails on some records: their status says so, and the others go on."""
+
+    def model(shape, a):
+        if not a[0] % 7 > 0:
+            raise ValueError("not for this model")
+        return a * 2
+
+    k = F.get_json_object("props", "$.k").try_cast("float")
+    done = arrays.apply_model(table(spark, d, "events").select(F.col("event_id").cast("string").alias("path"), F.array(F.lit(1)).alias("shape"), F.array(F.coalesce(k, F.lit(0.0).cast("float"))).alias("data")), model)
+    return done.select(F.col("path").cast("long").alias("event_id"), F.element_at("data", 1).cast("int").alias("doubled"), F.when(F.col("status") == "ok", "ok").otherwise("failed").alias("status"))

@@ -1,10 +1,14 @@
 """Sampling, metric, retention and statistics queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from atelier.functions.shared import shared_dir
 from atelier.functions.text import fixed
 from atelier.operators import metrics, sampling
 from atelier.plans.common import Family, table, uniform_sql
+from atelier.sources import published, run_files
 
 family = Family()
 ALPHA = 0.98
@@ -29,10 +33,12 @@ def step_plan(spark, d):
 
 @family.add(
     "lr_schedule",
-    "SELECT s::INT AS step, round(CASE WHEN s = 0 THEN 1e-4::DOUBLE WHEN s < 100 THEN 1e-4::DOUBLE * (s / 100.0::DOUBLE) ELSE 1e-4::DOUBLE * (0.1 + 0.45 * (1 + cos(pi() * (s - 100) / 1900.0::DOUBLE))) END, 12) AS lr FROM range(2201) t(s)",
+    "SELECT event_id, round(CASE WHEN s = 0 THEN 1e-4::DOUBLE WHEN s < 100 THEN 1e-4::DOUBLE * (s / 100.0::DOUBLE) ELSE 1e-4::DOUBLE * (0.1 + 0.45 * (1 + cos(pi() * (s - 100) / 1900.0::DOUBLE))) END, 12) AS lr FROM (SELECT event_id, event_id // 8 AS s FROM events)",
 )
 def lr_schedule(spark, d):
-    return spark.range(2201).select(F.col("id").cast("int").alias("step"), F.round(sampling.learning_rate(F.col("id"), 1e-4, 2000, 100), 12).alias("lr"))
+    """The rate at which each micro-step of the table is taken, eight to an optimiser step."""
+    step = sampling.accumulation_group(F.col("event_id"), 8)
+    return table(spark, d, "events").select("event_id", F.round(sampling.learning_rate(step, 1e-4, 2000, 100), 12).alias("lr"))
 
 
 @family.add("accum_groups", "SELECT event_id // 8 AS opt_step, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1 HAVING count(*) = 8")
@@ -82,7 +88,12 @@ def loss_csv(spark, d):
 
 @family.add("axis_range", "SELECT event_type, min(value) AS low, max(value) AS high, count(*) FILTER (WHERE value BETWEEN 5 AND 50) AS n_inside FROM events GROUP BY event_type")
 def axis_range(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count_if(metrics.in_range(F.col("value"), 5, 50)).alias("n_inside"))
+    """Bounds from a range file, written and read."""
+    path = f"{shared_dir(spark)}/atelier/range-{uuid.uuid4().hex}"
+    run_files.write_range(spark, path, 5, 50)
+    low, high = run_files.read_range(spark, path)
+    published.remove(spark, path)
+    return table(spark, d, "events").groupBy("event_type").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count_if(metrics.in_range(F.col("value"), low, high)).alias("n_inside"))
 
 
 CHECKPOINTS = "(SELECT 'step_' || o_orderkey AS name, CASE WHEN o_orderstatus = 'F' THEN 'raw' ELSE 'ema' END AS kind, epoch(o_orderdate) * 100000 + o_orderkey AS mtime FROM orders)"
@@ -117,10 +128,11 @@ def throughput(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.round(metrics.throughput(F.avg("value"), 4), 6).alias("per_second"))
 
 
-@family.add("bench_grid", "SELECT b::INT AS batch, m AS mode FROM (SELECT unnest(string_split('4,8,16', ',')) AS b), (VALUES ('eager'), ('compiled')) v(m)")
+@family.add("bench_grid", "SELECT b::INT AS batch, event_type AS mode, n // b AS batches FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type), (SELECT unnest([4, 8, 16]) AS b)")
 def bench_grid(spark, d):
-    """Two short lists of parameters."""
-    return spark.range(1).select(F.explode(F.split(F.lit("4,8,16"), ",").cast("array<int>")).alias("batch")).withColumn("mode", F.explode(F.array(F.lit("eager"), F.lit("compiled"))))
+    """A sweep: each mode of the table's runs with each batch size, and the whole batches that it has for it."""
+    modes = table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return modes.select(F.explode(F.split(F.lit("4,8,16"), ",").cast("array<int>")).alias("batch"), F.col("event_type").alias("mode"), "n").select("batch", "mode", F.expr("n div batch").alias("batches"))
 
 
 WARM = 50

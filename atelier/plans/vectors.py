@@ -154,24 +154,24 @@ def weighted_batch_loss(spark, d):
 SCHEDULE = """(SELECT t, beta, exp(sum(ln(1 - beta)) OVER (ORDER BY t)) AS alpha_bar FROM (SELECT t, (sqrt(0.00085::DOUBLE) + t * ((sqrt(0.012::DOUBLE) - sqrt(0.00085::DOUBLE)) / 999)) ** 2 AS beta FROM range(1000) r(t)))"""
 
 
-@family.add("noise_schedule", f"SELECT t::INT AS t, round(beta, 9) AS beta, round(alpha_bar, 8) AS alpha_bar FROM {SCHEDULE}")
+def timed(spark, d):
+    t = table(spark, d, "embeddings").withColumn("t", (F.col("vec_id") % 1000).cast("int"))
+    return t.join(F.broadcast(op.noise_schedule(spark)), "t").withColumn("e", F.reverse("embedding"))
+
+
+@family.add("noise_schedule", f"SELECT vec_id, s.t::INT AS t, round(beta, 9) AS beta, round(alpha_bar, 8) AS alpha_bar FROM embeddings JOIN {SCHEDULE} s ON s.t = vec_id % 1000")
 def noise_schedule(spark, d):
-    return op.noise_schedule(spark).select("t", F.round("beta", 9).alias("beta"), F.round("alpha_bar", 8).alias("alpha_bar"))
+    return timed(spark, d).select("vec_id", "t", F.round("beta", 9).alias("beta"), F.round("alpha_bar", 8).alias("alpha_bar"))
 
 
-@family.add("min_snr", f"SELECT t::INT AS t, round(least(s, 5.0::DOUBLE) / (s + 1), 7) AS weight FROM (SELECT t, alpha_bar / greatest(1 - alpha_bar, 1e-8::DOUBLE) AS s FROM {SCHEDULE})")
+@family.add("min_snr", f"SELECT vec_id, round(least(s, 5.0::DOUBLE) / (s + 1), 7) AS weight FROM (SELECT vec_id, alpha_bar / greatest(1 - alpha_bar, 1e-8::DOUBLE) AS s FROM embeddings JOIN {SCHEDULE} s ON s.t = vec_id % 1000)")
 def min_snr(spark, d):
-    return op.noise_schedule(spark).select("t", F.round(op.min_snr_weight(op.snr(F.col("alpha_bar")), 5.0), 7).alias("weight"))
+    return timed(spark, d).select("vec_id", F.round(op.min_snr_weight(op.snr(F.col("alpha_bar")), 5.0), 7).alias("weight"))
 
 
 NOISED = """SELECT vec_id, i::INT AS pos, round({}, 7) AS x FROM embeddings e JOIN {} s ON s.t = e.vec_id % 1000, unnest(range(1, 65)) u(i)"""
 
 
-def timed(spark, d):
-    t = table(spark, d, "embeddings").withColumn("t", (F.col("vec_id") % 1000).cast("int"))
-    return t.join(F.broadcast(op.noise_schedule(spark)), "t").withColumn("e", F.reverse("embedding"))
-
-
 @family.add("add_noise", NOISED.format("sqrt(alpha_bar) * embedding[i]::DOUBLE + sqrt(1 - alpha_bar) * embedding[65 - i]::DOUBLE", SCHEDULE))
 def add_noise(spark, d):
     t = timed(spark, d).select("vec_id", F.posexplode(op.add_noise(F.col("embedding"), F.col("e"), F.col("alpha_bar"))).alias("pos", "x"))

@@ -10,6 +10,7 @@ run from one split into the next are put together by a shuffle.
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atelier.operators.catalog import Catalog
+from atelier.sources.published import write_once
 
 _SPLIT = "file string, start long, inside boolean, goes_on boolean, rows long, inside_goes_on boolean, inside_ended boolean, inside_rows long"
 _ROW = "file string, start long, row_idx long, part long, text string, cells array<string>"
@@ -46,7 +48,7 @@ def ends_inside(line: str, inside: bool) -> bool:
 def cells_of(text: str) -> list[str]:
     """The cells of one row; a blank line has none."""
     csv.field_size_limit(2**31 - 1)
-    return next(csv.reader(text.splitlines(keepends=True) if "\n" in text else [text]), [])
+    return next(csv.reader(re.split("(?<=\n)", text)), [])  # other line ends are characters of a cell
 
 
 def _lines(batch: pa.RecordBatch, encoding: str) -> Iterator[tuple[str, str, int]]:
@@ -159,6 +161,11 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("escape", '"').option("emptyValue", "").csv(path)
 
 
+def append_rows_once(df: DataFrame, path: str, run: str) -> bool:
+    """Append to a headerless catalog what one run has found, whole and once, however often the run is tried; False if it was there."""
+    return write_once(df, path, "run", run, "csv", escape='"', emptyValue="")
+
+
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """(id, value, row_idx) of a headerless two-column file."""
     c = read_catalog(spark, path, has_header=False)

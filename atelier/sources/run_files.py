@@ -5,15 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from atelier.sources.published import place_of
+
 # Endings of checkpoint files.
 CHECKPOINT_ENDINGS = (".pth", ".pt")
 
 
-def _place(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def write_log(lines: DataFrame, path: str, begun: str, order: str) -> None:
     """A run's log anew: the time it began, then ``[LEVEL] message`` lines of (level, message) by ``order``.
 
@@ -27,10 +24,10 @@ def write_log(lines: DataFrame, path: str, begun: str, order: str) -> None:
 
 def read_range(spark: SparkSession, path: str) -> tuple[float, float] | None:
     """(low, high) of a text file of exactly two numbers, the first under the second; None for anything else, or no file."""
-    place, store = _place(spark, path)
+    place, store = place_of(spark, path)
     if not store.exists(place) or not store.getFileStatus(place).isFile():
         return None
-    words = " ".join(r["value"] for r in spark.read.text(path).limit(100).collect()).split()
+    words = [r["word"] for r in spark.read.text(path).select(F.explode(F.regexp_extract_all("value", F.lit(r"(?U)\S+"), F.lit(0))).alias("word")).take(3)]  # a third one is one too many
     try:
         low, high = map(float, words)
     except ValueError:
@@ -38,11 +35,19 @@ def read_range(spark: SparkSession, path: str) -> tuple[float, float] | None:
     return (low, high) if low < high else None
 
 
+def write_range(spark: SparkSession, path: str, low: float, high: float) -> None:
+    """The range file, anew."""
+    place, store = place_of(spark, path)
+    out = store.create(place, True)
+    out.writeBytes(f"{low} {high}\n")
+    out.close()
+
+
 def resume_path(spark: SparkSession, path: str | None) -> str | None:
     """What to resume from: None without a path, a folder's last checkpoint by name, or the file itself; else an error."""
     if path is None:
         return None
-    place, store = _place(spark, path)
+    place, store = place_of(spark, path)
     if store.exists(place):
         status = store.getFileStatus(place)
         found = sorted(f.getPath().toString() for f in store.listStatus(place) if f.getPath().getName().endswith(CHECKPOINT_ENDINGS))
@@ -61,7 +66,7 @@ def resume(spark: SparkSession, path: str | None, load_package, load_weights) ->
     found = resume_path(spark, path)
     if found is None:
         return begin
-    place, store = _place(spark, path)
+    place, store = place_of(spark, path)
     if not store.getFileStatus(place).isFile():
         return {**begin, **load_package(found)}
     try:

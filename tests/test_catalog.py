@@ -1,4 +1,5 @@
 import csv
+import io
 import random
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from atelier.functions.text import fixed
 from atelier.operators.catalog import Catalog
+from atelier.sources import csv_table, run_files
 from atelier.sources.csv_table import append_rows, read_captions, read_catalog, read_dictionary, read_rows, write_metrics
 
 
@@ -124,3 +126,30 @@ def test_metric_series_as_text(spark, tmp_path):
         write_metrics(df, str(tmp_path / "m"), 0.98, F.concat_ws(",", F.col("step").cast("string"), fixed(F.col("loss"), 6), fixed(F.col("loss"), 6)))
     lines = [x for p in sorted((tmp_path / "m").glob("part-*")) for x in p.read_text().splitlines()]
     assert lines == ["step,loss,loss_ema(alpha=0.98)", "1,0.250000,0.250000", "2,0.500000,0.500000", "3,0.750000,0.750000"]
+
+
+def test_cells_keep_all_characters(spark, tmp_path):
+    """Against Python's reader: every line break that Python knows inside cells, quoted and bare, in splits of odd sizes."""
+    rng = random.Random(6)
+    marks = ["\u2028", "\u2029", "\x85", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", '"', ",", "a", "\u00e9", " "]
+    text = '1,"two\nlines",sep\u2028here,last\n'
+    for _ in range(300):
+        cells = ["".join(rng.choice(marks) for _ in range(rng.randrange(6))) for _ in range(rng.randrange(5))]
+        cells = ['"' + c.replace('"', '""') + rng.choice(["", "\n", "\n\n"]) + '"' if rng.random() < 0.4 else c.replace('"', "").replace(",", "") for c in cells]
+        text += ",".join(cells) + "\n"
+    (tmp_path / "a.csv").write_text(text, newline="")
+    want = list(csv.reader(io.StringIO(text, newline="")))
+    for size in (97, 1024, 1 << 20):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        got = [list(r["cells"]) for r in csv_table.read_rows(spark, str(tmp_path / "a.csv")).orderBy("row_idx").collect()]
+        assert got == want
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_range_file_is_read_whole(spark, tmp_path):
+    path = tmp_path / "range"
+    for text, want in (("0 1", (0.0, 1.0)), ("0\n1\n", (0.0, 1.0)), ("0 1" + "\n" * 100 + "7", None), ("\n" * 5000 + "-2\u2003" + "\n" * 300 + "1e3", (-2.0, 1000.0)), ("1 0", None), ("a b", None), ("", None), ("3", None)):
+        path.write_text(text)
+        assert run_files.read_range(spark, str(path)) == want
+    run_files.write_range(spark, str(path), 5, 50)
+    assert run_files.read_range(spark, str(path)) == (5.0, 50.0)

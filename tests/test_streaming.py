@@ -1,11 +1,27 @@
+import datetime
 import os
-import threading
+import random
 import time
 
 import pandas as pd
+import pytest
 
-from atelier.operators import listing
-from atelier.streaming.streams import ema_stream, novelty_stream, run_until_stopped, stop_asked
+from atelier.operators import listing, metrics
+from atelier.sources import csv_table, published
+from atelier.streaming import streams
+from atelier.streaming.streams import appended_once, ema_stream, first_sightings, novelty_stream, run_until_stopped, stop_asked
+
+
+def in_parts(spark, df, path, parts):
+    """A stream that reads the rows of each number in ``part`` as a batch of its own."""
+    for k in range(parts):
+        df.filter(f"part = {k}").drop("part").coalesce(1).write.parquet(str(path / f"{k:03d}"))
+    return spark.readStream.schema(df.drop("part").schema).option("maxFilesPerTrigger", 1).parquet(str(path / "*"))
+
+
+def finished(query):
+    query.processAllAvailable()
+    query.stop()
 
 
 def test_novelty_equals_batch(spark, tmp_path):
@@ -13,23 +29,134 @@ def test_novelty_equals_batch(spark, tmp_path):
     items.repartition(3).write.parquet(str(tmp_path / "in"))
     catalog = spark.range(5).selectExpr("cast(id as string) as id")
     stream = spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    q = novelty_stream(stream, catalog, "id", str(tmp_path / "out"), str(tmp_path / "cp"))
-    q.processAllAvailable()
-    q.stop()
+    finished(novelty_stream(stream, catalog, "id", str(tmp_path / "out"), str(tmp_path / "cp")))
     got = sorted(r["at"] for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == sorted(r["at"] for r in listing.new_items(items, catalog, "id").collect())
 
 
-def test_ema_stream_keeps_state(spark, tmp_path):
-    schema = "s string, i long, v double"
-    os.makedirs(tmp_path / "in")
-    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-    q = ema_stream(stream, "s", "i", "v", 0.5).writeStream.format("memory").queryName("emas").option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").start()
-    for k, part in enumerate(([1.0, 3.0], [5.0])):
-        pd.DataFrame({"s": "a", "i": [10 * k + j for j in range(len(part))], "v": part}).to_parquet(tmp_path / "in" / f"{k}.parquet")
+@pytest.mark.parametrize("fails", ["staged", "published"])
+def test_every_row_once_after_a_failure(spark, tmp_path, monkeypatch, fails):
+    """The query dies between writing and publishing a batch, or between publishing and Spark's own commit."""
+    items = spark.range(30).selectExpr("id", "cast(id % 3 as int) as part")
+    stream = in_parts(spark, items, tmp_path / "in", 3)
+    real, seen = published.publish, []
+
+    def dying(spark, staged, path):
+        seen.append(path)
+        if len(seen) != 2:
+            return real(spark, staged, path)
+        if fails == "published":
+            real(spark, staged, path)
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(published, "publish", dying)
+    run = lambda: appended_once(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    q = run()
+    with pytest.raises(Exception):  # noqa: B017
         q.processAllAvailable()
     q.stop()
-    assert [r["ema"] for r in spark.sql("select ema from emas order by i").collect()] == [1.0, 2.0, 3.5]
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == (10 if fails == "staged" else 20)  # nothing half written is seen
+    finished(run())
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r["id"] for r in out.collect()) == list(range(30)) and len(out.columns) == 2
+    assert published.published(spark, str(tmp_path / "out"), "batch") == ["0", "1", "2"]
+    assert len(seen) == (4 if fails == "staged" else 3)  # a published batch is not written again
+    assert not list((tmp_path / "out" / "_staging").glob("*/*"))
+
+
+def test_one_of_two_writers_of_an_id(spark, tmp_path):
+    out = str(tmp_path / "out")
+    df = spark.range(3)
+    df.write.parquet(f"{out}/_staging/other")
+    assert published.write_once(df, out, "batch", 7)
+    assert not published.publish(spark, f"{out}/_staging/other", f"{out}/batch=7")
+    assert not published.write_once(spark.range(99), out, "batch", 7)
+    assert spark.read.parquet(out).count() == 3 and not os.path.exists(f"{out}/_staging/other")
+
+
+def test_catalog_rows_appended_once(spark, tmp_path):
+    path = str(tmp_path / "catalog")
+    for run, names in (("monday", ["a", 'b "x", c']), ("tuesday", ["d"]), ("monday", ["again"])):
+        csv_table.append_rows_once(spark.createDataFrame([(n, "") for n in names], "name string, more string"), path, run)
+    got = csv_table.read_catalog(spark, path, has_header=False)
+    assert sorted(r["col0"] for r in got.data().collect()) == ["a", 'b "x", c', "d"] and got.cols_count() == 2
+
+
+def first_rows(spark, seed, size):
+    rng = random.Random(seed)
+    begun = datetime.datetime(2024, 1, 1)
+    rows = [(f"k{rng.randrange(40)}" if rng.random() < 0.7 else "hot", begun + datetime.timedelta(seconds=rng.randrange(600)), k, f"v{k}", rng.randrange(6)) for k in range(size)]
+    return spark.createDataFrame(rows, "id string, at timestamp, n long, more string, part int")
+
+
+def test_first_sightings_equal_batch(spark, tmp_path):
+    df = first_rows(spark, 4, 400)
+    end = spark.createDataFrame([("\0end", datetime.datetime(2024, 2, 1), 10**6, "", 6), ("\0end", datetime.datetime(2024, 3, 1), 10**6, "", 7)], df.schema)
+    stream = in_parts(spark, df.union(end), tmp_path / "in", 8)
+    q = appended_once(first_sightings(stream, "id", "at", ["n"], "20 minutes", "20 minutes"), str(tmp_path / "out"), str(tmp_path / "cp"))
+    q.processAllAvailable()
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    q.stop()
+    names = ["id", "at", "n", "more"]
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select(names).filter("id <> '\\0end'").collect())
+    assert got == sorted(tuple(r) for r in listing.first_of(df.select(names), "id", ["at", "n"]).collect())
+    assert max(states) <= 42 and states[-1] <= 1  # a row a key, and none once its session is closed
+
+
+def test_a_forgotten_key_is_new_again(spark, tmp_path):
+    begun = datetime.datetime(2024, 1, 1)
+    rows = [("a", begun + datetime.timedelta(hours=h), k, "", part) for k, (h, part) in enumerate([(0, 0), (0.1, 0), (9, 1), (30, 2), (60, 3)])]
+    stream = in_parts(spark, spark.createDataFrame(rows, "id string, at timestamp, n long, more string, part int"), tmp_path / "in", 4)
+    finished(appended_once(first_sightings(stream, "id", "at", ["n"], "1 minute", "1 hour"), str(tmp_path / "out"), str(tmp_path / "cp")))
+    assert sorted(r["n"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 2, 3]
+
+
+@pytest.fixture
+def rocks(spark):
+    key, value = next(iter(streams.STATE_STORE.items()))
+    spark.conf.set(key, value)
+    yield
+    spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("alpha", [0.9, 1.0])
+def test_running_average_equals_batch(spark, tmp_path, rocks, alpha):
+    """Nulls at the beginning and between, ties, repeated and late rows, several batches, a null series."""
+    rng = random.Random(9)
+    begun = datetime.datetime(2024, 1, 1)
+    rows = []
+    for k in range(500):
+        at = begun + datetime.timedelta(milliseconds=rng.randrange(400) * 1500)
+        value = None if rng.random() < 0.2 or at < begun + datetime.timedelta(seconds=20) else rng.random() * 100
+        rows.append((rng.choice(["a", "b", "b", "b", None]), at, k // 2, value, rng.randrange(5)))
+    rows += rows[:20]
+    df = spark.createDataFrame(rows, "s string, at timestamp, i long, v double, part int")
+    end = spark.createDataFrame([("end", begun + datetime.timedelta(days=9), 0, 1.0, 5)], df.schema)
+    stream = in_parts(spark, df.union(end), tmp_path / "in", 6)
+    finished(appended_once(ema_stream(stream, "s", "at", "i", "v", alpha, "1 hour", bucket_ms=7000), str(tmp_path / "out"), str(tmp_path / "cp")))
+    key = lambda r: tuple((x is not None, x or 0) for x in r)
+    names = ["s", "at", "i"]
+    plain = lambda d: sorted(((r["s"], r["at"], r["i"], None if r["ema"] is None else round(r["ema"], 9)) for r in d.collect()), key=key)
+    got = spark.read.parquet(str(tmp_path / "out")).filter("s is null or s <> 'end'").select(*names, "ema")
+    # rows alike in series, time and tie may stand in either order: their values are made equal for the batch form
+    want = metrics.ema(df.drop("part"), "s", "at", "i", "v", alpha)
+    unique = df.groupBy(names).count().filter("count = 1").drop("count")
+    both = [plain(d.join(unique, [d["s"].eqNullSafe(unique["s"]), d["at"] == unique["at"], d["i"] == unique["i"]], "left_semi")) for d in (got, want)]
+    assert got.count() == len(rows) and len(both[0]) > 100
+    assert [r[:3] for r in both[0]] == [r[:3] for r in both[1]]
+
+
+def test_running_average_values(spark, tmp_path, rocks):
+    begun = datetime.datetime(2024, 1, 1)
+    at = lambda m: begun + datetime.timedelta(minutes=m)
+    # minute 3 comes a batch before minute 2; the row of minute 1 comes a batch after the watermark has passed it, and is dropped
+    rows = [("a", at(0), 0, None, 0), ("a", at(1), 0, 1.0, 0), ("a", at(3), 0, 3.0, 0), ("a", at(2), 0, None, 1), ("a", at(2), 1, 5.0, 1), ("z", at(500), 0, 0.0, 2), ("z", at(501), 0, 0.0, 3), ("a", at(1), 7, 99.0, 4), ("a", at(501), 0, 1.0, 4), ("z", at(9000), 0, 0.0, 5)]
+    df = spark.createDataFrame(rows, "s string, at timestamp, i long, v double, part int")
+    stream = in_parts(spark, df, tmp_path / "in", 6)
+    finished(appended_once(ema_stream(stream, "s", "at", "i", "v", 0.5, "30 minutes"), str(tmp_path / "out"), str(tmp_path / "cp")))
+    got = [(r["i"], r["ema"]) for r in spark.read.parquet(str(tmp_path / "out")).filter("s = 'a'").orderBy("at", "i").collect()]
+    assert got == [(0, None), (0, 1.0), (0, 1.0), (1, 3.0), (0, 3.0), (0, 2.0)]
 
 
 def test_stop_file(spark, tmp_path):
@@ -38,14 +165,39 @@ def test_stop_file(spark, tmp_path):
     assert stop_asked(spark, str(tmp_path / "stop"))
 
 
-def test_a_stream_runs_until_the_stop_file_is_there(spark, tmp_path):
+def test_an_idle_stream_stops_at_once(spark, tmp_path):
     os.makedirs(tmp_path / "in")
     pd.DataFrame({"id": ["1", "2"]}).to_parquet(tmp_path / "in" / "0.parquet")
     stream = spark.readStream.schema("id string").parquet(str(tmp_path / "in"))
-    q = novelty_stream(stream, spark.createDataFrame([("1",)], "id string"), "id", str(tmp_path / "out"), str(tmp_path / "cp"))
-    asked = threading.Timer(3.0, lambda: (tmp_path / "stop").write_text(""))
-    asked.start()
-    began = time.time()
+    q = novelty_stream(stream, spark.createDataFrame([("1",)], "id string"), "id", str(tmp_path / "out"), str(tmp_path / "cp"), str(tmp_path / "stop"))
+    q.processAllAvailable()
+    (tmp_path / "stop").write_text("")
     run_until_stopped(spark, q, str(tmp_path / "stop"), pause=0.2)
-    assert time.time() - began >= 2.5 and not q.isActive
-    assert [r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["2"]  # what was there is finished first
+    assert not q.isActive
+    assert [r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["2"]
+
+
+def test_an_endless_stream_stops_within_a_batch(spark, tmp_path):
+    """The batch that runs when the file appears ends and is committed; no other is written; a new start goes on where it was."""
+    stop = tmp_path / "stop"
+    stream = spark.readStream.format("rate").option("rowsPerSecond", 500).load()
+
+    def slow(batch):
+        time.sleep(1.0)
+        if published.published(spark, str(tmp_path / "out"), "batch")[-1:] == ["1"] and not stop.exists():
+            stop.write_text("")  # while batch 2 runs
+        return batch
+
+    q = appended_once(stream, str(tmp_path / "out"), str(tmp_path / "cp"), slow, str(stop))
+    began = time.time()
+    run_until_stopped(spark, q, str(stop), pause=0.1)
+    assert not q.isActive and time.time() - began < 60
+    assert published.published(spark, str(tmp_path / "out"), "batch") == ["0", "1", "2"]
+    assert (tmp_path / "cp" / "commits" / "2").exists() and not (tmp_path / "cp" / "commits" / "3").exists()
+    stop.unlink()
+    q = appended_once(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    while not (tmp_path / "cp" / "commits" / "3").exists():
+        time.sleep(0.1)
+    q.stop()
+    values = sorted(r["value"] for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert values == list(range(len(values)))
