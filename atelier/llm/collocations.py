@@ -1,14 +1,16 @@
 """Phrase collocations, counted in HAT-tries (Askitis and Sinha 2007).
 
-Phrases are counted in three passes over the texts: words, pairs of frequent words, then stretches of up to five words
-whose neighbouring pairs are all frequent. A frequent phrase has frequent parts only, so nothing is lost, and
-stretches end where they can no longer be part of one. What is frequent is known to tasks as a bit map of
+Three passes read the texts. The first counts words. The second counts pairs of frequent words in hash buckets (Park, Chen
+and Yu 1995), as many as the words need, up to a fixed number. The third counts stretches of up to five words whose
+neighbouring pairs are all in buckets of enough pairs: a frequent phrase has frequent parts only, so nothing is
+lost, and stretches end where they can no longer be part of one. What is frequent is known to tasks as a bit map of
 fixed size (``MOST_BITS`` at most): a bit that stands for several words or pairs lets too much through, never too little.
 
 Inside a task stretches go into a trie of word numbers with hash containers as leaves: a container that grows over
 ``BURST`` is dealt to children by its next word. Over ``ENTRIES`` entries, the largest subtrees leave whole as runs, sorted by
-key; runs are shuffled by their first three words and merged by a stream that counts all prefixes at once. So a
-task of either kind holds a bounded number of entries, whatever the texts.
+key; runs are shuffled by their first three words and merged by a stream that counts all prefixes at once (those of
+two words in part, so that a very common pair is no hot task; the parts are added up after). So a task of
+either kind holds a bounded number of entries, whatever the texts.
 
 A word number is a 64-bit hash of the word and its language: of 10^6 frequent words and 10^9 others, some frequent
 one would share its number with a chance of 5 in 100,000. Words come back from a table of frequent words.
@@ -36,9 +38,11 @@ LEAST = 100  # occurrences of a candidate
 LONGEST = 5  # its words at most
 TOP = 2_000  # of each language
 BURST = 4_096  # entries of a container before it becomes a node
-ENTRIES = 300_000  # entries of a task's trie before subtrees leave
+ENTRIES = 150_000  # entries of a task's trie before subtrees leave
 CHUNK = 500_000  # bytes that are cut into words at once
 MOST_BITS = 27  # log2 of a bit map's largest size: 16 MB
+PAIR_BUCKETS = 24  # log2 of the largest number of buckets that pairs are counted in: 16 MB a task
+PIECE = 16  # log2 of the buckets that are added up at once
 LONG_WORD = 4_096  # bytes of a word from which on it is hashed on its own
 
 _CLASS = np.zeros(256, np.uint8)
@@ -300,49 +304,90 @@ def bit_map(numbers: DataFrame, column: str) -> np.ndarray:
     return found.view(np.uint8)
 
 
-def _windows(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, pairs: np.ndarray | None, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(n x longest numbers, lengths) of the stretches from every word on that only hold frequent words, or pairs if given."""
+def pair_buckets(texts: DataFrame, frequent, words: int, least: int) -> np.ndarray:
+    """A bit map of the buckets in which pairs of frequent words stand ``least`` times or more, taken together.
+
+    Each task counts into a table of fixed size, whose pieces are added up one piece a group.
+    """
+    bits = min(PAIR_BUCKETS, max(PIECE, (words // 16).bit_length()))
+    small = least <= 255
+    most = 255 if small else 2**31 - 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << bits, np.uint8 if small else np.uint32)
+        for number, piece, keep in _joined(batches, 2):
+            link = _links(number, piece, frequent.value)[: len(number) - max(keep, 1)]
+            at = np.flatnonzero(link)
+            bucket, n = np.unique(_index(_pairs(number[at], number[at + 1]), bits).view(np.int64), return_counts=True)
+            table[bucket] = np.minimum(table[bucket].astype(np.int64) + n, most)
+        pieces = table.reshape(-1, 1 << PIECE)
+        used = np.flatnonzero(pieces.any(axis=1))
+        for k in range(0, len(used), 64):
+            yield pa.RecordBatch.from_arrays([pa.array(used[k : k + 64]), pa.array([pieces[i].tobytes() for i in used[k : k + 64]], pa.binary())], names=["piece", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, np.zeros(1 << PIECE, np.int64)
+        full = lambda: pa.RecordBatch.from_arrays([pa.array([now]), pa.array([np.packbits(total >= least, bitorder="little").tobytes()])], names=["piece", "bits"])
+        for batch in batches:
+            for k, held in zip(batch.column("piece").to_pylist(), batch.column("counts"), strict=True):
+                if k != now:
+                    if now is not None:
+                        yield full()
+                    now, total[:] = k, 0
+                total += np.frombuffer(held.as_buffer(), table_type)
+        if now is not None:
+            yield full()
+
+    table_type = np.uint8 if small else np.uint32
+    tables = texts.mapInArrow(count, "piece long, counts binary")
+    held = tables.repartition("piece").sortWithinPartitions("piece").mapInArrow(add, "piece long, bits binary").toArrow()
+    found = np.zeros((1 << (bits - PIECE), 1 << (PIECE - 3)), np.uint8)
+    for k, bits_ in zip(held.column("piece").to_pylist(), held.column("bits").to_pylist(), strict=True):
+        found[k] = np.frombuffer(bits_, np.uint8)
+    return found.ravel()
+
+
+def _joined(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(numbers, pieces, keep) of words; the last ``keep`` come again at the next's begin, for what follows them in their piece."""
     carried = np.zeros(0, np.uint64)  # last words of a piece that a cut runs through
     for words, goes_on in stretches(batches):
-        number, piece = words.number, words.piece
         lead = carried if goes_on else carried[:0]
         if len(carried) and not goes_on:
-            yield from _of_run(carried, np.zeros(len(carried), np.int64), frequent, pairs, longest, 0)
-        number, piece = np.concatenate([lead, number]), np.concatenate([np.zeros(len(lead), np.int64), piece])
+            yield carried, np.zeros(len(carried), np.int64), 0
+        number, piece = np.concatenate([lead, words.number]), np.concatenate([np.zeros(len(lead), np.int64), words.piece])
         keep = int((piece[-(longest - 1) :] == words.last_piece).sum())
         carried = number[len(number) - keep :].copy()
         if len(number):
-            yield from _of_run(number, piece, frequent, pairs, longest, keep)
+            yield number, piece, keep
     if len(carried):
-        yield from _of_run(carried, np.zeros(len(carried), np.int64), frequent, pairs, longest, 0)
+        yield carried, np.zeros(len(carried), np.int64), 0
 
 
-def _of_run(number: np.ndarray, piece: np.ndarray, frequent: np.ndarray, pairs: np.ndarray | None, longest: int, skip: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The stretches that begin at all words but the last ``skip``."""
-    n = len(number)
-    if n - skip < 1 or n < 2:
-        return
+def _links(number: np.ndarray, piece: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Whether word i and the next are frequent words of one piece."""
     ok = _in_map(frequent, number)
-    link = ok[:-1] & ok[1:] & (piece[:-1] == piece[1:])  # i and i + 1 may stand in a phrase together
-    if pairs is not None:
+    return ok[:-1] & ok[1:] & (piece[:-1] == piece[1:])
+
+
+def _windows(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, pairs: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(n x longest numbers, lengths) of the stretches of two words or more, from every word on, of which all pairs may be frequent."""
+    for number, piece, keep in _joined(batches, longest):
+        n = len(number)
+        link = _links(number, piece, frequent)
         link[link] = _in_map(pairs, _pairs(number[:-1][link], number[1:][link]))
-    size = np.ones(n, np.int64)
-    run = np.append(link, False)
-    for k in range(1, longest):
-        size += run
-        run = run & np.append(link[k:], np.zeros(min(k + 1, n), bool))[:n]
-    size = size[: n - skip]
-    least = 2 if longest == 2 else 3
-    start = np.flatnonzero(size >= least)
-    if not len(start):
-        return
-    index = start[:, None] + np.arange(longest)
-    valid = np.arange(longest) < size[start][:, None]
-    rows = np.where(valid, number[np.minimum(index, n - 1)], np.uint64(0))
-    yield rows, size[start]
-
-
-def stretch_runs(texts: DataFrame, frequent, pairs, longest: int, burst: int = BURST, entries: int = ENTRIES) -> DataFrame:
+        size = np.ones(n, np.int64)
+        run = np.append(link, False)
+        for k in range(1, longest):
+            size += run
+            run = run & np.append(link[k:], np.zeros(min(k + 1, n), bool))[:n]
+        start = np.flatnonzero(size[: n - keep] > 1)
+        if len(start):
+            index = start[:, None] + np.arange(longest)
+            valid = np.arange(longest) < size[start][:, None]
+            yield np.where(valid, number[np.minimum(index, n - 1)], np.uint64(0)), size[start]
+
+
+def stretch_runs(texts: DataFrame, frequent, pairs, longest: int = LONGEST, burst: int = BURST, entries: int = ENTRIES) -> DataFrame:
     """part, key, n: sorted runs of counted stretches, as they leave the tasks' tries. ``frequent`` and ``pairs``: broadcast bit maps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,7 +404,7 @@ def stretch_runs(texts: DataFrame, frequent, pairs, longest: int, burst: int = B
             if keys:
                 yield _run_batch(keys, counts)
 
-        for rows, size in _windows(batches, frequent.value, None if pairs is None else pairs.value, longest):
+        for rows, size in _windows(batches, frequent.value, pairs.value, longest):
             mix = rows[:, 0].copy()
             for k in range(1, longest):
                 mix = _mixed(mix) + rows[:, k] * _MIX[1]
@@ -385,8 +430,11 @@ def _run_batch(keys: list[bytes], counts: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(keys, pa.binary()), pa.array(counts, pa.int64())], names=["part", "key", "n"])
 
 
-def merged(runs: DataFrame, least: int, shortest: int) -> DataFrame:
-    """key, n of all prefixes of at least ``shortest`` words that occur ``least`` times: runs merged in order, one open prefix a length."""
+def merged(runs: DataFrame, least: int) -> DataFrame:
+    """key, n of all prefixes of two words or more that occur ``least`` times: runs merged in order, one open prefix a length.
+
+    Prefixes of two words lie in as many parts as they have third words: each part's count goes on, and they are added up.
+    """
     dealt = runs.repartition("part").sortWithinPartitions("key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -394,7 +442,7 @@ def merged(runs: DataFrame, least: int, shortest: int) -> DataFrame:
 
         def close(kept: int) -> None:
             for size in range(len(now) // 8, kept, -1):
-                if counts[size] >= least and size >= shortest:
+                if size == 2 or size > 2 and counts[size] >= least:
                     done.append((now[: size * 8], counts[size]))
                 counts[size] = 0
 
@@ -416,16 +464,8 @@ def merged(runs: DataFrame, least: int, shortest: int) -> DataFrame:
         if done:
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in done], pa.binary()), pa.array([n for _, n in done], pa.int64())], names=["key", "n"])
 
-    return dealt.select("key", "n").mapInArrow(run, "key binary, n long")
-
-
-def _pair_numbers(pairs: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both = np.frombuffer(b"".join(batch.column(0).to_pylist()), ">u8").astype(np.uint64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(_pairs(both[:, 0], both[:, 1]).view(np.int64))], names=["number"])
-
-    return pairs.select("key").mapInArrow(run, "number long")
+    found = dealt.select("key", "n").mapInArrow(run, "key binary, n long")
+    return found.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
 def scored(phrases: DataFrame, words: DataFrame, totals: DataFrame) -> DataFrame:
@@ -456,16 +496,14 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, burst: int
     counted = materialise(word_counts(texts).filter((F.col("n") >= least) | F.col("word").isNull()), "phrase-words")
     words, totals = counted.filter("word is not null"), counted.filter("word is null").select("lang", "n")
     frequent = spark.sparkContext.broadcast(bit_map(words, "number"))
-    pairs = materialise(merged(stretch_runs(texts, frequent, None, 2, burst, entries), least, 2), "phrase-pairs", held=held)
-    joined = spark.sparkContext.broadcast(bit_map(_pair_numbers(pairs), "number"))
-    longer = materialise(merged(stretch_runs(texts, frequent, joined, LONGEST, burst, entries), least, 3), "phrase-longer", held=held)
-    phrases = pairs.union(longer)
-
+    n = totals.agg(F.sum("n")).first()[0] or 0
+    pairs = spark.sparkContext.broadcast(pair_buckets(texts, frequent, n, least))
+    phrases = materialise(merged(stretch_runs(texts, frequent, pairs, burst=burst, entries=entries), least), "phrases", held=held)
     ranked = materialise(scored(phrases, words, totals), "phrase-scores")
     for done in held:
         release(done)
     frequent.destroy()
-    joined.destroy()
+    pairs.destroy()
     first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
     best = ranked.withColumn("near", F.rank().over(first)).filter(F.col("near") <= top).drop("near")
     named = words.select(F.unhex(F.lpad(F.hex("number"), 16, "0")).alias("part"), "word")
