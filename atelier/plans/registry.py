@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atelier.plans import captions, catalog, listing, training, vectors
+from atelier.plans import captions, catalog, listing, streams, training, vectors
 from atelier.plans.common import Query
 
-FAMILIES = (catalog.family, listing.family, captions.family, vectors.family, training.family)
+FAMILIES = (catalog.family, listing.family, captions.family, vectors.family, training.family, streams.family)
 QUERIES: dict[str, Query] = {name: q for f in FAMILIES for name, q in f.queries.items()}
 ORACLES: dict[str, str] = {name: sql for f in FAMILIES for name, sql in f.oracles.items()}
 

@@ -16,6 +16,7 @@ from atelier.operators.metrics import decayed
 from atelier.sources.published import exists, write_once
 
 BUCKET_MS = 60_000  # milliseconds of event time whose rows a running average sorts at once
+_FIRST = -(2**63)  # stands for a null tie, which comes first
 _ASKED = "the stop file asked for this end"
 
 
@@ -123,8 +124,9 @@ def ema_stream(rows: DataFrame, series: str, at: str, tie: str, value: str, alph
     """
     kinds = dict(rows.dtypes)
     out = f"{series} {kinds[series]}, {at} timestamp, {tie} long, ema double"
-    held = rows.select(series, F.col(at).cast("timestamp").alias(at), F.col(tie).cast("long").alias(tie), F.col(value).cast("double").alias(value)).withWatermark(at, delay)
-    return held.groupBy(series).transformWithStateInPandas(RunningAverage(series, at, tie, value, alpha, bucket_ms), out, "append", "eventTime")
+    held = rows.select(series, F.col(at).cast("timestamp").alias(at), F.coalesce(F.col(tie).cast("long"), F.lit(_FIRST)).alias(tie), F.col(value).cast("double").alias(value)).withWatermark(at, delay)
+    averaged = held.groupBy(series).transformWithStateInPandas(RunningAverage(series, at, tie, value, alpha, bucket_ms), out, "append", "eventTime")
+    return averaged.withColumn(tie, F.nullif(F.col(tie), F.lit(_FIRST)))
 
 
 STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
