@@ -59,12 +59,16 @@ TELLING = frozenset("tag:article tag:main role:main role:article class:article c
 CONTRARY = frozenset("tag:nav tag:aside tag:footer tag:form class:ad class:advert class:sponsor class:comment class:respon class:nav class:menu class:sidebar class:footer class:form class:search hidden".split())
 LONGEST_KEY = 300  # attributes up to this length are remembered with what they say
 
-_IN_TAG = r"""(?:"[^"]*"|'[^']*'|[^'"<>])*"""  # an opening bracket ends what was no tag, so reading stays linear
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_IN_TAG})>", re.S)
-_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
+# Tags and comments as HTML reads them: a quote opens a value only after an equals sign, a name ends at white space,
+# slash or bracket, and a comment ends at once at <!--> and <!--->, and at --!>. Nothing is tried twice.
+_IN_TAG = r"""(?:(?>=\s*+(?:"[^"]*+"|'[^']*+'))|[^>])*+"""
+_TOKEN = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+>|</(?![a-zA-Z])[^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)({_IN_TAG})>", re.S)
+_UNFINISHED = re.compile(r"<[a-zA-Z/!?]")
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+>", re.I) for t in RAW}
+_NESTED = {t: re.compile(rf"<(/?){t}(?=[\s/>])({_IN_TAG})>", re.I) for t in ("template", "svg")}  # these may hold others of their kind
 _NAME_ENDS = ("", "/", " ", "\t", "\n", "\f", "\r")  # what follows a name; after anything else it is a custom element's
 _TAG_PART = re.compile(r"[\s\"']")
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?""")
 _CLASS_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d")
 
@@ -79,12 +83,14 @@ class Block:
 def _read_marks(attributes: str) -> frozenset[str]:
     out = set()
     for name, value in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'")
+        name = name.lower()
+        if value[:1] in ("'", '"') and value[-1:] == value[:1] and len(value) > 1:
+            value = value[1:-1]
         if name == "hidden" or name == "style" and "display:none" in value.replace(" ", "").lower():
             out.add("hidden")
         elif name == "role":
             out.add(f"role:{value.lower()}")
-        elif name != "style":
+        elif name in ("class", "id"):
             for w in _CLASS_WORD.findall(value):
                 w = w.lower()
                 if w in AD_WORDS:
@@ -138,6 +144,19 @@ class Open:
         return self.stack[-1] if self.stack else ("", frozenset(), 0, 0)
 
 
+def _raw_end(page: str, tag: str, at: int) -> int:
+    """Where the text after a raw element goes on: after its own end tag, be there others of its kind inside, else at the page's end."""
+    if tag not in _NESTED:
+        end = _RAW_END[tag].search(page, at)
+        return end.end() if end else len(page)
+    depth = 1
+    for m in _NESTED[tag].finditer(page, at):
+        depth += -1 if m[1] else not (tag == "svg" and self_closed(m[2]))
+        if not depth:
+            return m.end()
+    return len(page)
+
+
 def leaf_blocks(page: str) -> list[tuple[str, frozenset[str], int, float, int]]:
     """(text, ancestor features, number of the nearest section, share of linked characters, number of the container) of each block with text."""
     nothing: frozenset[str] = frozenset()
@@ -160,7 +179,8 @@ def leaf_blocks(page: str) -> list[tuple[str, frozenset[str], int, float, int]]:
         if held.at.get("a"):
             now.linked += len(text.strip())
 
-    while m := _TOKEN.search(page, at):
+    close = page.rfind(">")
+    while m := _TOKEN.search(page, at) if at <= close else None:
         add(page[at : m.start()])
         at = m.end()
         tag = m[2]
@@ -169,8 +189,7 @@ def leaf_blocks(page: str) -> list[tuple[str, frozenset[str], int, float, int]]:
         tag = tag.lower()
         if tag in _RAW_END and not m[1] and m[3][:1] in _NAME_ENDS:
             if tag != "svg" or not self_closed(m[3]):  # of these, only in svg a slash ends the element
-                end = _RAW_END[tag].search(page, at)
-                at = end.end() if end else len(page)
+                at = _raw_end(page, tag, at)
             continue
         if tag == "br":
             add(" ")
@@ -202,7 +221,8 @@ def leaf_blocks(page: str) -> list[tuple[str, frozenset[str], int, float, int]]:
         if tag == "article" and "tag:article" in above:
             own = own | {"nested:article"}
         held.push(tag, above if own <= above else above | own, section, container)
-    add(page[at:])
+    cut = _UNFINISHED.search(page, max(at, close + 1))  # a tag that the page's end cuts off
+    add(page[at : cut.start() if cut else len(page)])
     found = []
     for b in out:
         text = " ".join(entities.unescape("".join(b.text)).split())
