@@ -402,8 +402,8 @@ def stored(spark: SparkSession, name: str = "pii-tagger") -> Tagger:
 # What any value of the four kinds has, whatever its form: a digit, an at sign, or an at written out.
 _HOLDS = np.zeros(SYMBOLS, bool)
 _HOLDS[[5 + k for k, c in enumerate(_PRINTED) if chr(c) in "0123456789@"]] = True
-_BOXED_AT = re.compile(r"[(\[{<]\s{0,9}at\s{0,9}[)\]}>]")
-_PLAIN_AT = re.compile(r"\sat\s(?=.{1,80}\sdot\s)", re.S)
+_BOXED_AT = re.compile(r"[(\[{<]\s{0,9}at\s{0,9}[)\]}>]", re.I)
+_PLAIN_AT = re.compile(r"\sat\s(?=\S{1,64}\.\w|.{1,80}\sdot\s)", re.S | re.I)
 _WEIGHT = np.minimum(np.arange(WINDOW) + 1, np.arange(WINDOW, 0, -1)).astype(np.float32)[:, None]
 TOGETHER = 768  # windows that go through the network at once
 NEAR = 64  # characters on both sides of what a value must have that are read at least
@@ -418,12 +418,9 @@ def window_starts(length: int) -> np.ndarray:
 def hints(text: str, x: np.ndarray) -> np.ndarray:
     """Places of what a value must have."""
     out = np.flatnonzero(_HOLDS[x])
-    if "at" in (low := text.lower()) and len(low) == len(text):
-        written = [m.start() for m in _BOXED_AT.finditer(low)]
-        if "dot" in low:
-            written += [m.start() for m in _PLAIN_AT.finditer(low)]
-        if written:
-            out = np.sort(np.append(out, written))
+    written = [m.start() for form in (_BOXED_AT, _PLAIN_AT) for m in form.finditer(text)]
+    if written:
+        out = np.sort(np.append(out, written))
     return out
 
 
@@ -604,14 +601,21 @@ def _card_numbers(text: str) -> list[tuple[int, int]]:
     return out
 
 
+_ONE_OF_SEVERAL = {"ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\s?\.\s?[0-9]{1,3}){3}(?![0-9])"), "phone": re.compile(r"[+(]?[0-9](?:[0-9\x20().-]*[0-9])?")}
+
+
 def checked(text: str, kind: str, a: int, b: int) -> list[Span]:
-    """The spans of a tagged stretch that a value of its kind can be, whatever its form, cut to the value's edges."""
+    """The spans of a tagged stretch that values of its kind can be, whatever their form, each cut to its edges.
+
+    A stretch of numbers that is no value as a whole may hold several.
+    """
     part, places = folded(text[a:b])
     if kind == "card":
         found = _card_numbers(part)
     else:
-        m = _EDGES[kind].search(part)
-        found = [m.span()] if m and _CAN_BE[kind](m[0]) else []
+        found = [m.span() for m in _EDGES[kind].finditer(part) if _CAN_BE[kind](m[0])]
+        if not found and kind in _ONE_OF_SEVERAL:
+            found = [m.span() for m in _ONE_OF_SEVERAL[kind].finditer(part) if _CAN_BE[kind](m[0])]
     return [(kind, a + places[s][0], a + places[e - 1][1]) for s, e in found]
 
 
