@@ -42,13 +42,14 @@ from atelier.llm.common import materialise, pieces, release
 from atelier.llm.words import Texts, Words, texts, words
 
 HALF = 32  # words; a passage is two halves
-SHORT_HALF = 8  # the same for items of at most two such halves, of which a longer passage would say too little
+SHORT_HALVES = (4, 8, 16)  # the same for items of at most two such halves, of which a longer passage would say too little
+BRIEF = 16  # words of an item up to which a passage needs one term less
 COMMON = 0.1  # share of items from which on a word is no term
 FREQUENT = 0.01  # share of passages from which on a word is no term
 KEPT_TERMS = 10  # each item keeps so many of its rarest words as terms against both rules
 SPARE = 56  # rank beyond the number of items
 MOST_RANK = 768
-MOST_ITEMS, MOST_TERMS = 3_000, 30_000  # of a block of the benchmark; a block is sent to every executor
+MOST_ITEMS, MOST_TERMS = MOST_RANK - SPARE, 30_000  # of a block of the benchmark; a block is sent to every executor
 PRODUCTS = 4096  # at most so many tasks make a product each; of a larger table each takes several parts
 SUMS = 32  # tasks' products are summed in so many groups before all of them
 MIN_TERMS = 3  # terms that a passage needs to be a candidate, if the item has so many; a short one needs one less
@@ -422,8 +423,10 @@ def _searcher(docs: DataFrame, items: Items, cosine: float, covered: float):
         items, idf, space, queries, few = shared.value
         judge = Judge(items, covered)
         scales = []
-        brief = np.array([len(x) <= 2 * SHORT_HALF for x in items.words])
-        for half, own, least in ((SHORT_HALF, brief, MIN_TERMS - 1), (HALF, ~brief, MIN_TERMS)):
+        size = np.array([len(x) for x in items.words])
+        half_of = np.select([size <= 2 * h for h in SHORT_HALVES], SHORT_HALVES, HALF)
+        for half in (*SHORT_HALVES, HALF):
+            own, least = half_of == half, MIN_TERMS - (2 * half <= BRIEF)
             some = set(np.flatnonzero(own).tolist())
             scales += [(half, np.array(sorted(some - few.need.keys()), np.int64), least, few.of(some))] if some else []
 
