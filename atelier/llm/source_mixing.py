@@ -102,7 +102,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, source_weights: tuple
     sources = materialise(sources, "mix-targets", held=held)
 
     most = sources.agg(F.max("n_rows")).first()[0] or 0
-    blocks = min(MOST_BLOCKS, max(16, -(-most // BLOCK_ROWS)))
+    blocks = min(MOST_BLOCKS, max(256, -(-most // BLOCK_ROWS)))
     block = F.least(F.floor((1 - F.exp(-F.col("key"))) * blocks), F.lit(blocks - 1)).cast("int")  # rises with the key, about evenly
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
     dealt = rows.withColumn("block", block)
