@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atelier.llm.common import components, grouped, materialise, pieces, release, skew_join
+from atelier.llm.common import components, grouped, materialise, pieces, reading, release, skew_join
 from atelier.llm.words import U, mix, shingles
 
 SHINGLE = 5
@@ -337,8 +337,17 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMIL
 
 
 def _joined(docs: DataFrame, size: int, similarity: float, recall: float) -> DataFrame:
-    """The join's rows with the text's key, and whether the row is the first of its class; written, and all else released."""
-    spark, scratch = docs.sparkSession, []
+    """The join's rows with the text's key, and whether the row is the first of its class; written, and all else released, also after a failure."""
+    scratch: list[DataFrame] = []
+    try:
+        return _written(docs, size, similarity, recall, scratch)
+    finally:
+        for done in scratch:
+            release(done)
+
+
+def _written(docs: DataFrame, size: int, similarity: float, recall: float, scratch: list[DataFrame]) -> DataFrame:
+    spark = docs.sparkSession
     width = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
     n = F.count(F.lit(1))
     rows = materialise(profiles(docs, size, runs_for(recall)).withColumn("uid", F.monotonically_increasing_id()), "profiles", held=scratch)
@@ -392,10 +401,7 @@ def _joined(docs: DataFrame, size: int, similarity: float, recall: float) -> Dat
     full = skew_join(of_row.filter("not empty").drop("empty"), heads_out, ["f1", "f2"], "copies")
     full = full.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), (F.col("links") + F.col("copies") - 1).alias("n_links"), F.col("text_links").alias("n_text_links"), F.col("copies").alias("n_copies"), "key", (F.col("uid") == F.col("first_uid")).alias("first"))
     empty = of_row.filter("empty").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_text_links"), F.lit(1).cast("long").alias("n_copies"), "key", F.lit(True).alias("first"))
-    out = materialise(full.union(empty), "joined")
-    for done in scratch:
-        release(done)
-    return out
+    return materialise(full.union(empty), "joined")
 
 
 def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
@@ -412,7 +418,7 @@ def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, similarity: float = S
     if not found.filter("n > 1").isEmpty():  # rows that repeat doc_id and text are thinned before the shuffle
         keyed = keyed.dropDuplicates(list(names))
     kept = keyed.join(found.filter("not stays").select(*names), list(names), "left_anti")
-    return kept.select(*docs.columns)
+    return reading(kept.select(*docs.columns), found)
 
 
 def jaccard_join_sql(size: int = SHINGLE, similarity: float = SIMILARITY) -> str:

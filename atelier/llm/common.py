@@ -39,8 +39,16 @@ def materialise(df: DataFrame, name: str, narrow: bool = False, held: list[DataF
     return out
 
 
+def reading(df: DataFrame, *written: DataFrame) -> DataFrame:
+    """``df``, of which ``release`` is to delete these written tables, too: it reads them."""
+    df._reads = written
+    return df
+
+
 def release(df: DataFrame) -> None:
-    """Delete what ``materialise`` wrote for ``df``, once nothing will read it again."""
+    """Delete what ``materialise`` wrote for ``df``, and what it reads, once nothing will read it again."""
+    for other in getattr(df, "_reads", ()):
+        release(other)
     path = getattr(df, "_shared_path", None)
     if path:
         spark = df.sparkSession

@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atelier.llm.common import materialise, pieces, release
+from atelier.llm.common import materialise, pieces, reading, release
 from atelier.llm.words import Texts, Words, texts, words
 
 HALF = 32  # words; a passage is two halves
@@ -361,7 +361,7 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             if last is not None:
                 release(last)
         kept = _without(docs if written is None else written, _searcher(docs, items, COSINE, COVERED))
-    return docs if kept is None else kept
+    return docs if kept is None else kept if written is None else reading(kept, written)
 
 
 def _without(docs: DataFrame, searcher) -> DataFrame:

@@ -98,3 +98,38 @@ def test_hints_do_not_depend_on_other_letters():
             assert len(got) == 1 and text[got[0] : got[0] + 5].strip(" ([").lower().startswith("at")
     assert not len(pii_tagger.hints("she sat at home. Then dots", pii_tagger.codes("she sat at home. Then dots")))
     assert np.all(np.diff(pii_tagger.hints("1 (at) 2 at x.y", pii_tagger.codes("1 (at) 2 at x.y"))) > 0)
+
+
+def test_the_pipeline_leaves_what_its_result_reads(spark, tmp_path):
+    import os
+
+    import corpus_pipeline
+    from atelier.functions.shared import shared_dir
+
+    top = shared_dir(spark).removeprefix("file://") + "/atelier"
+    pii_tagger.stored(spark)
+    before = set(os.listdir(top))
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = set(os.listdir(top)) - before
+    assert len(left) == 1 and next(iter(left)).startswith("lengths-")
+    assert out.count() > 50 and out.count() == out.select("doc_id").distinct().count()
+
+
+def test_a_failed_join_leaves_nothing(spark, monkeypatch):
+    import os
+
+    from atelier.functions.shared import shared_dir
+    from atelier.llm import chosen_path
+
+    top = shared_dir(spark).removeprefix("file://") + "/atelier"
+    os.makedirs(top, exist_ok=True)
+    before = set(os.listdir(top))
+
+    def fails(*_):
+        raise RuntimeError("no more")
+
+    monkeypatch.setattr(chosen_path, "_compare", fails)
+    docs = spark.createDataFrame([(k, "one two three four five six seven " * 3 + str(k % 2)) for k in range(6)], "doc_id long, text string")
+    with pytest.raises(RuntimeError):
+        chosen_path.jaccard_join(docs)
+    assert set(os.listdir(top)) == before
