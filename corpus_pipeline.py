@@ -69,6 +69,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole ``documents`` table."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        last, docs = docs, materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        made = stage(spark, docs, sf_dir)
+        last, docs = docs, materialise(made, f"stage-{name}")
         release(last)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        release(made)  # what only the stage has read
+    out = STAGES[-1][1](spark, docs, sf_dir)
+    release(docs)  # packing has written the lengths, which are all that its result reads
+    return out
