@@ -1,14 +1,18 @@
 """Index, geometry and array queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from atelier.functions.shared import shared_dir
 from atelier.functions.text import uniform
 from atelier.operators import arrays as op
 from atelier.operators import geometry
 from atelier.operators.assemble import computed_once, looked_up
 from atelier.plans.common import Family, table, uniform_sql
 from atelier.sources import arrays as files
-from atelier.sources import index
+from atelier.sources import index, latents
+from atelier.sources.row_offsets import RowOffsets
 
 family = Family()
 
@@ -44,6 +48,28 @@ def index_existing(spark, d):
     return index.existing(table(spark, d, "documents").select("doc_id", "source"), table(spark, d, "labels"), "doc_id")
 
 
+@family.add("latent_source", "SELECT vec_id, label::VARCHAR AS caption, len(embedding) AS n, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 5) AS total FROM embeddings")
+def latent_source(spark, d):
+    """All vectors through archives and their index, by the data source in both directions."""
+    path = f"{shared_dir(spark)}/atelier/latents-{uuid.uuid4().hex}"
+    src = F.concat(F.lit("vec/"), F.col("vec_id").cast("string"))
+    latents.write_latents(table(spark, d, "embeddings").select(src.alias("src"), F.col("label").cast("string").alias("caption"), F.lit("").alias("author"), F.col("embedding").alias("latent")), path)
+    t = latents.read_latents(spark, path, "src string, caption string, latent array<float>, latent_shape array<int>")
+    total = F.aggregate("latent", F.lit(0.0), lambda s, x: s + x.cast("double"))
+    return t.select(F.substring_index("src", "/", -1).cast("long").alias("vec_id"), "caption", F.element_at("latent_shape", 1).cast("long").alias("n"), F.round(total, 5).alias("total"))
+
+
+@family.add("row_by_seek", "SELECT row_idx, 'docs/' || doc_id || '.txt' AS src FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx, count(*) OVER () AS n FROM documents) WHERE row_idx IN (0, n // 2, n - 1)")
+def row_by_seek(spark, d):
+    """An index of all documents, and three of its records by position."""
+    path = f"{shared_dir(spark)}/atelier/rows-{uuid.uuid4().hex}"
+    src = F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    index.write_index(table(spark, d, "documents").orderBy("doc_id").select(index.index_line(src, F.col("lang"), F.col("source")).alias("value")), path)
+    rows = RowOffsets(spark, path)
+    wanted = sorted({0, len(rows) // 2, len(rows) - 1})
+    return spark.createDataFrame([(i, rows.row(i)["src"]) for i in wanted], "row_idx long, src string")
+
+
 @family.add("path_key", "SELECT page_id, sha1(url) AS path_key FROM pages")
 def path_key(spark, d):
     return table(spark, d, "pages").select("page_id", index.record_key(F.col("url")).alias("path_key"))
