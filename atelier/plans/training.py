@@ -4,6 +4,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from atelier.functions.permutation import PRIME, Permutation
+from atelier.functions.ranking import rank_by_key
 from atelier.functions.shared import shared_dir
 from atelier.functions.text import fixed
 from atelier.operators import metrics, sampling
@@ -22,6 +24,27 @@ def train_batches(spark, d):
     return sampling.train_batches(table(spark, d, "documents"), "doc_id", 16, 1234, epoch=1)
 
 
+def _keyed_sql(seed: int, size: int) -> str:
+    """The same order in SQL: rounds folded over the keys, again for places beyond the last row."""
+    keys = ", ".join(f"{{'l': 0::BIGINT, 'r': 0::BIGINT, 'm': {m}::BIGINT, 'c': {c}::BIGINT, 'd': {d}::BIGINT, 'odd': {k % 2}::BIGINT}}" for k, (m, c, d) in reversed(list(enumerate(Permutation(0, seed).keys))))
+    y = "[CASE WHEN k.odd = 1 THEN s.l ELSE s.r END]"
+    for step in (f"(y * k.m + k.c) % {PRIME}", f"(xor(y, y >> 13) * k.d) % {PRIME}", f"(xor(y, y >> 11) * k.m) % {PRIME}", "xor(y, y >> 15)"):
+        y = f"list_transform({y}, lambda y: {step})"
+    new = f"list_transform({y}, lambda y: {{'l': CASE WHEN k.odd = 1 THEN s.l ELSE ((s.l - y % a) % a + a) % a END, 'r': CASE WHEN k.odd = 1 THEN ((s.r - y % b) % b + b) % b ELSE s.r END, 'm': a, 'c': b, 'd': 0::BIGINT, 'odd': 0::BIGINT}})[1]"
+    turn = f"list_transform([list_reduce(list_prepend({{'l': x // b, 'r': x % b, 'm': 0::BIGINT, 'c': 0::BIGINT, 'd': 0::BIGINT, 'odd': 0::BIGINT}}, [{keys}]), lambda s, k: {new})], lambda s: s.l * b + s.r)[1]"
+    return f"""WITH RECURSIVE sized AS (SELECT n, a, (n + a - 1) // a AS b FROM (SELECT n, (floor(sqrt(n - 1)) + 1)::BIGINT AS a FROM (SELECT count(*) AS n FROM documents))),
+    walk AS (SELECT doc_id, x, true AS again FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS x FROM documents)
+      UNION ALL SELECT doc_id, t, t >= n FROM (SELECT doc_id, n, {turn} AS t FROM walk, sized WHERE again))
+    SELECT doc_id, x // {size} AS batch, (x % {size})::INT AS place FROM (SELECT doc_id, last(x ORDER BY again DESC) AS x FROM walk WHERE NOT again GROUP BY doc_id), sized WHERE x // {size} < n // {size}"""
+
+
+@family.add("keyed_train_batches", _keyed_sql(1234 + 2, 16))
+def keyed_train_batches(spark, d):
+    """Batches of the third epoch without a sort of drawn numbers: each document's place is computed from its position."""
+    t = rank_by_key(table(spark, d, "documents").select("doc_id"), "doc_id")
+    return sampling.keyed_batches(t, "row_idx", t.count(), 16, 1234, epoch=2).select("doc_id", "batch", "place")
+
+
 @family.add(
     "step_plan",
     "SELECT b AS batches, greatest(1, ceil(b / 4.0)::BIGINT) AS steps_per_epoch, greatest(1, ceil(b / 4.0)::BIGINT) * 10 AS total_steps, greatest(100, trunc(0.03 * greatest(1, ceil(b / 4.0)::BIGINT) * 10)::BIGINT) AS warmup_steps FROM (SELECT count(*) // 16 AS b FROM documents)",
