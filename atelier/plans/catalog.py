@@ -9,6 +9,7 @@ from atelier.operators import catalog as op
 from atelier.operators.catalog import Catalog, OrderedCatalog
 from atelier.plans.common import Family, table, uniform_sql
 from atelier.sources.csv_table import read_rows
+from atelier.sources.trigrams import TrigramIndex
 
 family = Family()
 SEED = 1234
@@ -112,3 +113,10 @@ def rows_range(spark, d):
 def catalog_summary(spark, d):
     t = table(spark, d, "orders")
     return t.agg(F.format_string("<Catalog: %d rows, %d columns>", F.count(F.lit(1)), F.lit(len(set(t.columns)))).alias("summary"))
+
+
+@family.add("rows_by_trigram", "SELECT doc_id, source FROM documents WHERE contains(text, 'ing the') OR contains(text, 'zq')")
+def rows_by_trigram(spark, d):
+    """Documents that hold either of two strings, through an index of all their texts."""
+    index = TrigramIndex.build(table(spark, d, "documents").select("doc_id", "source", "text"), f"{shared_dir(spark)}/atelier/trigrams-{uuid.uuid4().hex}", "text")
+    return index.find("ing the").unionByName(index.find("zq").filter(~F.col("text").contains("ing the"))).select("doc_id", "source")

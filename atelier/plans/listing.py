@@ -1,11 +1,15 @@
 """Listing and novelty queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from atelier.functions.shared import shared_dir
 from atelier.functions.text import uniform
 from atelier.operators import listing as op
 from atelier.plans.common import Family, strip_sql, table, uniform_sql
 from atelier.sources import arrays, html_pages, manifest
+from atelier.sources.bucketed import BucketedDictionary
 
 family = Family()
 ANCHORS = "regexp_extract_all(html, '<a href=\"([^\"]*)\">([^<]*)</a>', {})"
@@ -94,6 +98,19 @@ def artist_dictionary(spark, d):
     return op.upsert_first_wins(known, seen, "id", ["at"])
 
 
+@family.add(
+    "bucketed_upsert",
+    "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY user_id % 3 <> 0 OR event_id % 2 = 0, ts, event_id) AS rn FROM events) WHERE rn = 1",
+)
+def bucketed_upsert(spark, d):
+    """A dictionary of a third of the users, by their odd events; then all events are upserted: known users stay as they are."""
+    events = table(spark, d, "events").select("user_id", "ts", "event_id", "event_type")
+    known = op.first_of(events.filter("user_id % 3 = 0 and event_id % 2 = 1"), "user_id", ["ts", "event_id"]).select("user_id", "event_id", "event_type")
+    held = BucketedDictionary.create(known, f"{shared_dir(spark)}/atelier/dictionary-{uuid.uuid4().hex}", "user_id", buckets=32)
+    held.upsert_first_wins(events, ["ts", "event_id"])
+    return held.read()
+
+
 @family.add("dictionary_last_wins", "SELECT o_custkey, max_by(o_orderpriority, o_orderkey) AS priority FROM orders GROUP BY o_custkey")
 def dictionary_last_wins(spark, d):
     return op.last_wins(table(spark, d, "orders").select("o_custkey", F.col("o_orderpriority").alias("priority"), "o_orderkey"), "o_custkey", "priority", "o_orderkey")

@@ -146,6 +146,17 @@ def latency_percentiles(spark, d):
     return metrics.nearest_ranks(table(spark, d, "lineitem"), "l_returnflag", "l_extendedprice", [0.5, 0.95, 0.99])
 
 
+@family.add("sketched_percentiles", "SELECT l_returnflag, share, true AS within FROM (SELECT DISTINCT l_returnflag FROM lineitem), (SELECT unnest([0.01::DOUBLE, 0.5::DOUBLE, 0.95::DOUBLE, 0.99::DOUBLE]) AS share)")
+def sketched_percentiles(spark, d):
+    """Quantiles from sketches of parts of the table, and whether their true ranks are as near as the bound says."""
+    t = table(spark, d, "lineitem").select("l_returnflag", "l_extendedprice", (F.col("l_orderkey") % 7).alias("part"))
+    found = metrics.sketched_ranks(metrics.quantile_sketches(t, ["l_returnflag", "part"], "l_extendedprice"), "l_returnflag", [0.01, 0.5, 0.95, 0.99])
+    # a few values a group: how many rows are below and up to each
+    ranked = t.join(F.broadcast(found.select("l_returnflag", "share", "value")), "l_returnflag").groupBy("l_returnflag", "share").agg(F.avg((F.col("l_extendedprice") < F.col("value")).cast("double")).alias("below"), F.avg((F.col("l_extendedprice") <= F.col("value")).cast("double")).alias("upto"))
+    near = (F.col("below") - metrics.rank_error() <= F.col("share")) & (F.col("upto") + metrics.rank_error() >= F.col("share"))
+    return ranked.select("l_returnflag", "share", near.alias("within"))
+
+
 @family.add("throughput", "SELECT event_type, round(1000.0::DOUBLE / (avg(value) + 1e-12::DOUBLE) * 4, 6) AS per_second FROM events GROUP BY event_type")
 def throughput(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.round(metrics.throughput(F.avg("value"), 4), 6).alias("per_second"))

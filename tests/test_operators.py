@@ -1,3 +1,4 @@
+import random
 import time
 
 import numpy as np
@@ -255,3 +256,19 @@ def test_image_models_boundary_refuses_pickles():
     np.save(out, np.array([{"a": 1}], dtype=object), allow_pickle=True)
     with pytest.raises(ValueError):
         files.decode(out.getvalue(), "p")
+
+
+def test_sketched_ranks(spark):
+    """Within the stated error of the exact ranks, in whatever order the sketches are merged; nulls are left out."""
+    rng = random.Random(3)
+    rows = [(rng.choice("aab"), rng.choice([rng.random(), rng.gauss(0, 1), 0.5]), k % 9) for k in range(30_000)] + [("a", None, 1), ("c", 1.0, 0)]
+    df = spark.createDataFrame(rows, "g string, v double, part int")
+    shares = [0.0, 0.1, 0.5, 0.9, 0.99, 1.0]
+    sketches = metrics.quantile_sketches(df, ["g", "part"], "v")
+    assert sketches.agg({"n": "sum"}).first()[0] == 30_001
+    for merged in (sketches, sketches.orderBy("part"), sketches.orderBy(sketches["part"].desc()).coalesce(1), metrics.quantile_sketches(df, ["g"], "v")):
+        for r in metrics.sketched_ranks(merged, "g", shares).collect():
+            own = [v for g, v, _ in rows if g == r["g"] and v is not None]
+            below, upto = sum(v < r["value"] for v in own) / len(own), sum(v <= r["value"] for v in own) / len(own)
+            assert below - metrics.rank_error() <= r["share"] <= upto + metrics.rank_error()
+    assert metrics.rank_error(200) < 0.0195 and metrics.rank_error() < 0.0046
