@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from atelier.functions.shared import shared_dir
 from atelier.functions.text import uniform
 from atelier.operators import listing as op
+from atelier.operators import novelty
 from atelier.plans.common import Family, strip_sql, table, uniform_sql
 from atelier.sources import arrays, html_pages, manifest
 from atelier.sources.bucketed import BucketedDictionary
@@ -82,6 +83,14 @@ def known_items(spark, d):
     return op.known_items(table(spark, d, "documents").select("doc_id", "source"), [table(spark, d, "labels"), table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"))], "doc_id")
 
 
+@family.add("new_items_filtered", "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+def new_items_filtered(spark, d):
+    """Orders whose customer is in no catalog of one segment: Bloom filters, then the exact join of what may be known."""
+    catalog = table(spark, d, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    known = novelty.KnownKeys.build(catalog, "o_custkey", f"{shared_dir(spark)}/atelier/known-{uuid.uuid4().hex}")
+    return novelty.new_items_filtered(table(spark, d, "orders").select("o_orderkey", "o_custkey"), catalog, "o_custkey", known)
+
+
 @family.add("new_items_first_wins", "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1")
 def new_items_first_wins(spark, d):
     return op.first_of(table(spark, d, "events").select("user_id", "ts", "event_id", "event_type"), "user_id", ["ts", "event_id"]).select("user_id", "event_id", "event_type")
