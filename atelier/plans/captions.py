@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from atelier.functions import tokens
 from atelier.functions.text import uniform
 from atelier.operators import captions as op
 from atelier.operators import tags
@@ -118,6 +119,13 @@ def token_count_proxy(spark, d):
     return table(spark, d, "documents").select("doc_id", op.token_count_proxy(F.col("text")).alias("n_tokens"))
 
 
+@family.add("caption_tokens", None)
+def caption_tokens(spark, d):
+    """Tokens of each whole text by the vocabulary that captions are encoded with, and how many an encoder keeps."""
+    counted = op.token_counts(table(spark, d, "documents").select("doc_id", "text"), "text", "n_tokens", tokens.caption_tokens(), cap=2**31 - 1)
+    return counted.select("doc_id", "n_tokens", F.least("n_tokens", F.lit(op.TOKEN_CAP).cast("long")).alias("n_kept"))
+
+
 @family.add(
     "caption_assemble",
     f"""SELECT 'v/' || vec_id || '/image_1.webp' AS path, coalesce((SELECT string_agg('tag' || pos, ', ' ORDER BY pos) FROM {SCORES} s WHERE s.vec_id = e.vec_id AND score >= {THRESHOLD}), '') AS caption,

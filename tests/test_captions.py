@@ -39,3 +39,18 @@ def test_exclusion_and_lines(spark):
     assert all(r[0] == r[1] for r in df.select(op.keeps(F.col("c"), op.EXCLUDED), "keep").collect())
     line = spark.range(1).select(tag_line(F.lit("t"), F.lit(0.5005)).alias("a"), tag_line(F.lit("t"), F.lit(1234.5)).alias("b")).first()
     assert tuple(line) == ("t 0.500", "t 1234.500")
+
+
+def test_caption_tokens(spark):
+    """Against the tokenizer itself; a pinned count; nulls, special strings and long texts."""
+    from tokenizers import Tokenizer
+
+    from atelier.functions import tokens
+
+    rows = [(1, "long hair, 1girl, Red Bow"), (2, ""), (3, None), (4, "<|endoftext|> text"), (5, "snow, " * 20_000), (6, "\u96ea  \U0001f600")]
+    df = spark.createDataFrame(rows, "k int, t string")
+    got = {r["k"]: r["n"] for r in op.token_counts(df, "t", "n", tokens.caption_tokens(), cap=10**9).collect()}
+    assert got[1] == 10 and got[2] == got[3] == 2 and got[5] == 40_002 and got[4] > 4
+    plain = Tokenizer.from_file(tokens.CAPTION_VOCABULARY)
+    assert got[6] == len(plain.encode(rows[5][1], add_special_tokens=False).ids) + 2
+    assert {r["n"] for r in op.token_counts(df, "t", "n", tokens.caption_tokens()).collect()} <= set(range(78))
