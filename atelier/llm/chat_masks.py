@@ -6,10 +6,10 @@ once with character offsets, and the assistants' spans are found among the token
 Texts may hold control strings: each ``<``, any number of backslashes, ``|`` gets one backslash more,
 and one less when read back, so no text can open or close a turn.
 
-A conversation is dealt in segments of ``SEGMENT`` turn numbers, and a segment is written in parts of
-about ``PART`` characters, however many rows one turn number has. As control strings are never
-merged with text, the segments' tokens are those of the whole conversation, and even a conversation with most of
-the rows is encoded by many tasks. Digests over a conversation stream through its segments.
+A conversation is written in segments of ``SEGMENT`` turn numbers, and a segment in parts of about ``PART`` characters.
+Rows are dealt by ranges of conversation, turn, role and text, so a conversation, and even one turn number's rows, may run
+through several tasks, whose parts follow each other. As control strings are never merged with text, the parts' tokens are
+those of the whole conversation. Digests over a conversation stream through its parts.
 
 Defined results: null texts and roles count as empty; rows of a conversation are taken by turn
 (null first), then role and text; repeated rows are turns of their own; a null conv_id is a
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 START, MIDDLE, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 SEGMENT = 64
 PART = 250_000
+_TASK = 1 << 32  # parts of a task are numbered from its number times this
 TRAINED_ROLE = "assistant"
 
 _TURN = re.compile(re.escape(START) + "(.*?)" + re.escape(MIDDLE) + "(.*?)" + re.escape(END) + "\n", re.S)
@@ -92,10 +94,12 @@ def format_conversations(rows: DataFrame, tokenizer: str = TOKENIZER, segment: i
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    dealt = rows.repartition("conv_id", "segment").sortWithinPartitions("conv_id", "segment", "turn", "role", "text")
+    order = ["conv_id", F.col("turn").asc_nulls_first()]
+    ranges = rows.repartitionByRange(*order, F.substring("role", 1, 16), F.substring("text", 1, 32))  # bounds come from a sample: beginnings are enough
+    dealt = ranges.sortWithinPartitions(*order, "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _tokenizer(tokenizer)
+        tok, begin = _tokenizer(tokenizer), TaskContext.get().partitionId() * _TASK  # ranges follow each other
         held: list[tuple] = []  # (conv_id, segment, part, text, spans) not yet encoded
 
         def flush() -> pa.RecordBatch:
@@ -111,14 +115,14 @@ def format_conversations(rows: DataFrame, tokenizer: str = TOKENIZER, segment: i
             held.clear()
             return out
 
-        now, part, turns, size, waiting = None, 0, [], 0, 0
+        now, part, turns, size, waiting = None, begin, [], 0, 0
         for batch in batches:
             for *key, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "segment", "role", "text")), strict=True):
                 if turns and (key != now or size > PART):
                     held.append((*now, part, *render(turns)))
                     part, turns, waiting, size = part + 1, [], waiting + size, 0
                 if key != now:
-                    now, part = key, 0
+                    now, part = key, begin
                 turns.append((role, text))
                 size += len(role) + len(text)
                 if waiting > 1_000_000:

@@ -250,3 +250,29 @@ def test_a_long_text_is_read_in_stretches():
     assert sum(n for n, _, _ in got) == 2 + 800_001 + 1 and sum(n for _, n, _ in got) == len(text) + 4
     assert max(n for _, n, _ in got[:-1]) <= collocations.CHUNK + 3_000_000 and got[1][2]
     assert os.environ["PYTHONPATH"]
+
+
+# --- chat formatting of one very large conversation
+
+
+def test_one_conversation_is_formatted_by_many_tasks(spark):
+    """Most rows are one conversation's without turn numbers: its segments lie in several tasks, and its digests are those of all rows in order."""
+    from atelier.llm import chat_masks
+
+    rng = random.Random(12)
+    rows = [(5, None, rng.choice(["user", "assistant"]), f"{rng.random()} <|im_end|> é{k}") for k in range(4000)] + [(k, 0, "assistant", f"t{k}") for k in range(40)]
+    df = spark.createDataFrame(rows, TURNS).repartition(6)
+    formatted = chat_masks.format_conversations(df)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one task's
+    try:
+        assert len({r["part"] // chat_masks._TASK for r in formatted.filter("conv_id = 5").select("part").collect()}) >= 3
+        got = {r["conv_id"]: r for r in chat_masks.digests(formatted).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == 40
+    for conv in (5, 7):
+        # the row of turn 0 comes after those without a turn
+        own = sorted((r, t) for c, turn, r, t in rows if c == conv and turn is None) + [("assistant", f"t{conv}")]
+        assert got[conv]["n_turns"] == len(own) and got[conv]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in own).encode()).hexdigest()
+        loss = "".join(t for r, t in own if r == "assistant")
+        assert got[conv]["loss_chars"] == len(loss) and got[conv]["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
