@@ -7,10 +7,10 @@ lost, and stretches end where they can no longer be part of one. What is frequen
 fixed size (``MOST_BITS`` at most): a bit that stands for several words or pairs lets too much through, never too little.
 
 Inside a task stretches go into a trie of word numbers with hash containers as leaves: a container that grows over
-``BURST`` is dealt to children by its next word. Over ``ENTRIES`` entries, the largest subtrees leave whole as runs, sorted by
-key; runs are shuffled by their first three words and merged by a stream that counts all prefixes at once (those of
-two words in part, so that a very common pair is no hot task; the parts are added up after). So a task of
-either kind holds a bounded number of entries, whatever the texts.
+``BURST`` is dealt to children by its next word. Over ``ENTRIES`` entries, the largest subtrees leave whole, as a sorted run for
+each prefix partition, which the first two words and, in ``SPLIT`` parts, the third decide. A partition's runs are shuffled together
+and merged, and all prefixes counted at once (those of two words in part, so that a very common pair is no hot
+task; the parts are added up after). There are as many partitions as the words need, so that one holds some 100,000 entries.
 
 A word number is a 64-bit hash of the word and its language: of 10^6 frequent words and 10^9 others, some frequent
 one would share its number with a chance of 5 in 100,000. Words come back from a table of frequent words.
@@ -24,6 +24,7 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +43,11 @@ ENTRIES = 150_000  # entries of a task's trie before subtrees leave
 CHUNK = 500_000  # bytes that are cut into words at once
 MOST_BITS = 27  # log2 of a bit map's largest size: 16 MB
 PAIR_BUCKETS = 24  # log2 of the largest number of buckets that pairs are counted in: 16 MB a task
+SPLIT = 8  # parts that the stretches after one pair of words are dealt to
+PART_WORDS, MOST_PARTS = 100_000, 1 << 22  # words of the texts for each prefix partition, about; partitions
+MERGED = 500_000  # entries of runs that are merged at once
 PIECE = 16  # log2 of the buckets that are added up at once
-LONG_WORD = 4_096  # bytes of a word from which on it is hashed on its own
+LONG_WORD = 256  # bytes of a word from which on it is hashed on its own
 
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[[0x20, 0x09]] = 1  # between words
@@ -387,22 +391,31 @@ def _windows(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, pairs: np.
             yield np.where(valid, number[np.minimum(index, n - 1)], np.uint64(0)), size[start]
 
 
-def stretch_runs(texts: DataFrame, frequent, pairs, longest: int = LONGEST, burst: int = BURST, entries: int = ENTRIES) -> DataFrame:
-    """part, key, n: sorted runs of counted stretches, as they leave the tasks' tries. ``frequent`` and ``pairs``: broadcast bit maps."""
+def parts_of(rows: np.ndarray, parts: int) -> np.ndarray:
+    """The prefix partition of each stretch: its first two words and, in ``SPLIT`` parts, the third decide."""
+    return (_mixed(_pairs(rows[:, 0], rows[:, 1]) + rows[:, 2] % np.uint64(SPLIT)) % np.uint64(parts)).view(np.int64)
+
+
+def stretch_runs(texts: DataFrame, frequent, pairs, parts: int, longest: int = LONGEST, burst: int = BURST, entries: int = ENTRIES) -> DataFrame:
+    """part, keys, counts: what leaves the tasks' tries, a sorted run for each prefix partition. ``frequent`` and ``pairs``: broadcast bit maps."""
+    width = 8 * longest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = HatTrie(burst, entries)
 
         def out(keep: int) -> Iterator[pa.RecordBatch]:
-            keys, counts = [], []
-            for key, n in trie.spill(keep):
-                keys.append(key)
-                counts.append(n)
-                if len(keys) == 50_000:
-                    yield _run_batch(keys, counts)
-                    keys, counts = [], []
-            if keys:
-                yield _run_batch(keys, counts)
+            """Keys shorter than the longest end in zeros; a part's keys stay in order."""
+            leaving = trie.spill(keep)
+            while held := list(itertools.islice(leaving, entries)):
+                rows = np.frombuffer(b"".join([k.ljust(width, b"\0") for k, _ in held]), ">u8").astype(np.uint64).reshape(-1, longest)
+                counts = np.array([n for _, n in held], np.int64)
+                part = parts_of(rows, parts)
+                by = np.argsort(part, kind="stable")
+                rows, counts, part = rows[by], counts[by], part[by]
+                edge = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part)).tolist()
+                for k in range(0, len(edge) - 1, 1000):
+                    own = list(zip(edge[k : k + 1000], edge[k + 1 : k + 1001], strict=False))
+                    yield pa.RecordBatch.from_arrays([pa.array(part[[a for a, _ in own]]), pa.array([rows[a:b].tobytes() for a, b in own], pa.binary()), pa.array([counts[a:b].tobytes() for a, b in own], pa.binary())], names=["part", "keys", "counts"])
 
         for rows, size in _windows(batches, frequent.value, pairs.value, longest):
             mix = rows[:, 0].copy()
@@ -413,58 +426,68 @@ def stretch_runs(texts: DataFrame, frequent, pairs, longest: int = LONGEST, burs
             at, counts = at[by], counts[by].tolist()
             whole = rows[at].astype(">u8").tobytes()
             ends = (size[at] * 8).tolist()
-            step = 8 * longest
             firsts = rows[at, 0]
             edge = np.append(np.flatnonzero(np.append(True, firsts[1:] != firsts[:-1])), len(firsts)).tolist()
             for a, b in zip(edge[:-1], edge[1:], strict=True):
-                trie.add(whole[a * step : a * step + 8], [whole[k * step + 8 : k * step + ends[k]] for k in range(a, b)], counts[a:b])
+                trie.add(whole[a * width : a * width + 8], [whole[k * width + 8 : k * width + ends[k]] for k in range(a, b)], counts[a:b])
                 if trie.full():
                     yield from out(entries // 2)
         yield from out(0)
 
-    return texts.mapInArrow(run, "part long, key binary, n long")
+    return texts.mapInArrow(run, "part long, keys binary, counts binary")
 
 
-def _run_batch(keys: list[bytes], counts: list[int]) -> pa.RecordBatch:
-    part = [int.from_bytes(k[:8], "big") * 3 + int.from_bytes(k[8:16], "big") * 5 + int.from_bytes(k[16:24], "big") * 7 & (1 << 62) - 1 for k in keys]
-    return pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(keys, pa.binary()), pa.array(counts, pa.int64())], names=["part", "key", "n"])
+def _summed(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs merged: keys in order, each once."""
+    by = np.lexsort(rows.T[::-1])
+    rows, counts = rows[by], counts[by]
+    first = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]).any(axis=1)))
+    return rows[first], np.add.reduceat(counts, first)
 
 
-def merged(runs: DataFrame, least: int) -> DataFrame:
-    """key, n of all prefixes of two words or more that occur ``least`` times: runs merged in order, one open prefix a length.
+def merged(runs: DataFrame, least: int, longest: int = LONGEST, most: int = MERGED) -> DataFrame:
+    """key, n of all prefixes of two words or more that occur ``least`` times: the runs of each partition, merged.
 
-    Prefixes of two words lie in as many parts as they have third words: each part's count goes on, and they are added up.
+    Prefixes of two words lie in up to ``SPLIT`` parts: each part's count goes on, and they are added up.
     """
-    dealt = runs.repartition("part").sortWithinPartitions("key")
+    dealt = runs.repartition("part").sortWithinPartitions("part")
+
+    def prefixes(rows: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        keys, sums = [], []
+        wide = np.ascontiguousarray(rows.astype(">u8"))
+        change = np.zeros(len(rows), bool)
+        change[0] = True
+        for k in range(longest):
+            change[1:] |= rows[1:, k] != rows[:-1, k]
+            if k:
+                first = np.flatnonzero(change)
+                n = np.add.reduceat(counts, first)
+                ok = (rows[first, k] != 0) & ((n >= least) | (k == 1))
+                keys += [wide[i, : k + 1].tobytes() for i in first[ok].tolist()]
+                sums.append(n[ok])
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(np.concatenate(sums))], names=["key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, counts, done = b"", [0] * (LONGEST + 1), []
+        now, held, size = None, [], 0
 
-        def close(kept: int) -> None:
-            for size in range(len(now) // 8, kept, -1):
-                if size == 2 or size > 2 and counts[size] >= least:
-                    done.append((now[: size * 8], counts[size]))
-                counts[size] = 0
+        def joined() -> tuple[np.ndarray, np.ndarray]:
+            return _summed(np.concatenate([r for r, _ in held]), np.concatenate([c for _, c in held]))
 
         for batch in batches:
-            for key, n in zip(batch.column("key").to_pylist(), batch.column("n").to_pylist(), strict=True):
-                size = len(key) // 8
-                if key != now:
-                    same = 0
-                    while same < size and now[same * 8 : same * 8 + 8] == key[same * 8 : same * 8 + 8]:
-                        same += 1
-                    close(same)
-                    now = key
-                for k in range(1, size + 1):
-                    counts[k] += n
-            if done:
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in done], pa.binary()), pa.array([n for _, n in done], pa.int64())], names=["key", "n"])
-                done.clear()
-        close(0)
-        if done:
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in done], pa.binary()), pa.array([n for _, n in done], pa.int64())], names=["key", "n"])
-
-    found = dealt.select("key", "n").mapInArrow(run, "key binary, n long")
+            for part, keys, counts in zip(batch.column("part").to_pylist(), batch.column("keys"), batch.column("counts"), strict=True):
+                if part != now and held:
+                    yield prefixes(*joined())
+                    held, size = [], 0
+                now = part
+                held.append((np.frombuffer(keys.as_buffer(), np.uint64).reshape(-1, longest), np.frombuffer(counts.as_buffer(), np.int64)))
+                size += len(held[-1][1])
+                if size > most:  # what is merged so far takes the room of its different keys only
+                    held = [joined()]
+                    size = len(held[0][1]) // 2
+        if held:
+            yield prefixes(*joined())
+
+    found = dealt.mapInArrow(run, "key binary, n long")
     return found.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
@@ -498,7 +521,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, burst: int
     frequent = spark.sparkContext.broadcast(bit_map(words, "number"))
     n = totals.agg(F.sum("n")).first()[0] or 0
     pairs = spark.sparkContext.broadcast(pair_buckets(texts, frequent, n, least))
-    phrases = materialise(merged(stretch_runs(texts, frequent, pairs, burst=burst, entries=entries), least), "phrases", held=held)
+    phrases = materialise(merged(stretch_runs(texts, frequent, pairs, min(MOST_PARTS, n // PART_WORDS + 64), burst=burst, entries=entries), least), "phrases", held=held)
     ranked = materialise(scored(phrases, words, totals), "phrase-scores")
     for done in held:
         release(done)
