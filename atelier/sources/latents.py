@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import io
 import json
+import os
 import uuid
 import zipfile
 from collections.abc import Iterable, Iterator, Sequence
@@ -35,7 +36,9 @@ SCHEMA = "npz string, src string, caption string, author string, latent array<fl
 
 
 def _store(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else f"/{path}")
+    if path.startswith("file:") and "://" not in path:  # as Hadoop writes local paths
+        path = path.removeprefix("file:")
+    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else os.path.abspath(path))
 
 
 @dataclass
